@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import truncate_ntz
-from usageledger.operators.skew import BROADCAST_ROWS, skew_safe_join
+from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, skew_safe_join
 
 #: Meter columns after the interval join.
 METER = ("meter_name", "meter_start", "meter_end", "meter_credits")
 
 
-def _meters(metering: DataFrame) -> DataFrame:
+def hourly_meters(metering: DataFrame) -> DataFrame:
     """Meters with one row per hour they cover; hourly meters stay one row or two."""
     hours = F.sequence(
         truncate_ntz("hour", F.col("meter_start")), truncate_ntz("hour", F.col("meter_end")), F.expr("INTERVAL 1 HOUR")
@@ -47,20 +47,21 @@ def _within(closed: str) -> Column:
 
 def match_meters(
     queries: DataFrame,
-    metering: DataFrame,
+    hourly: DataFrame,
     closed: str = "left",
-    spread_by: Sequence[str] = ("query_id", "start_time"),
+    small: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Queries with the meter interval they started in.
+    """Queries with the meter interval they started in; ``hourly`` comes from ``hourly_meters``.
 
     The hour is a second equi key, so a warehouse's queries meet only the meters
     of their hour and not every meter of the warehouse.
     """
     keyed = queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
-    return skew_safe_join(
-        keyed, _meters(metering), ["warehouse_id", "_hour"], spread_by, _within(closed), max_rows
-    ).drop("_hour")
+    joined = skew_safe_join(
+        keyed, hourly, ["warehouse_id", "_hour"], ["query_id", "start_time"], small, max_rows
+    )
+    return joined.filter(_within(closed)).drop("_hour")
 
 
 def _units(guard_zero: bool) -> Column:
@@ -84,20 +85,19 @@ def attribute_credits(
     """
     slim = queries.select("query_id", "warehouse_id", "start_time", "execution_time")
     interval = ["meter_name", "meter_start", "meter_end"]
+    hourly = hourly_meters(metering)
+    small = fits_broadcast(hourly, max_rows)
     totals = (
-        match_meters(slim, metering, closed, max_rows=max_rows)
-        .groupBy(*interval)
-        .agg(F.sum(_units(guard_zero)).alias("_total"))
-    )
-    hourly = _meters(metering).join(totals, interval)
-    keyed = queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
-    joined = skew_safe_join(
-        keyed, hourly, ["warehouse_id", "_hour"], ["query_id", "start_time"], _within(closed), max_rows
+        match_meters(slim, hourly, closed, small, max_rows).groupBy(*interval).agg(F.sum(_units(guard_zero)).alias("_total"))
     )
+    # Never more rows than the meters themselves, so the same choice of join holds.
+    with_total = hourly.join(totals, interval)
     share = F.try_divide(F.col("execution_time"), F.col("_total"))
-    return joined.withColumns(
-        {"pct_credit_used_by_query": share * 100, "credit_used_by_query": share * F.col("meter_credits")}
-    ).drop("_hour", "_total")
+    return (
+        match_meters(queries, with_total, closed, small, max_rows)
+        .withColumns({"pct_credit_used_by_query": share * 100, "credit_used_by_query": share * F.col("meter_credits")})
+        .drop("_total")
+    )
 
 
 def attribute_groups(
@@ -113,7 +113,7 @@ def attribute_groups(
     One pass over the queries: they are summed per (interval, group) on the map
     side, and the interval's total is taken over those few sums.
     """
-    matched = match_meters(queries, metering, closed, max_rows=max_rows)
+    matched = match_meters(queries, hourly_meters(metering), closed, max_rows=max_rows)
     sums = matched.groupBy(*METER, *group).agg(
         F.sum("execution_time").alias("_time"), F.sum(_units(guard_zero)).alias("_units"), F.count(F.lit(1)).alias("queries")
     )

@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usageledger.operators.skew import skew_safe_anti
+
 _ROW, _MATCHED = "_new", "_matched"
 
 
 def unmatched(batch: DataFrame, target: DataFrame, key: Sequence[str], can_match: Column | None = None) -> DataFrame:
     """Batch rows whose key the target does not hold."""
     seen = target if can_match is None else target.filter(can_match)
-    return batch.join(seen.select(*key).distinct(), list(key), "left_anti")
+    return skew_safe_anti(batch, seen.select(*key), key).select(*batch.columns)
 
 
 def merge_insert_only(

@@ -10,13 +10,15 @@ def top_recent(df: DataFrame, time: str, unique: str, rows: int = 1_000_000) ->
     """The ``rows`` newest rows by time, ties broken by a unique column.
 
     Only (time, unique) pairs are ranked; the full rows are then filtered by the
-    last pair that made it, so wide rows never meet in one task. The result is
-    not sorted; the consumer orders what it shows.
+    last pair that made it, so wide rows never meet in one task. Repeats of a
+    pair count once and all stay. The result is not sorted; the consumer orders
+    what it shows.
     """
     position = F.struct(F.col(time).alias("t"), F.col(unique).alias("u"))
     dated = df.filter(F.col(time).isNotNull())
     last = (
         dated.select(position.alias("p"))
+        .distinct()
         .orderBy(F.col("p").desc())
         .limit(rows)
         .agg(F.min("p").alias("p"))

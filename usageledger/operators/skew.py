@@ -33,35 +33,64 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def _hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, max_rows: int) -> DataFrame:
+    """Keys with more than hot_rows rows and over how many slots each is spread."""
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.filter(F.col("_rows") > hot_rows).select(
+        *on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(_FAN)
+    )
+    return broadcast_checked(hot, max_rows)
+
+
+def _into_slots(facts: DataFrame, hot: DataFrame, on: Sequence[str], place: Column) -> DataFrame:
+    slot = F.coalesce(F.pmod(place, F.col(_FAN)).cast("int"), F.lit(0))
+    return facts.join(hot, list(on), "left").withColumn(_SLOT, slot).drop(_FAN)
+
+
+def _for_each_slot(dim: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    slots = F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)
+    return dim.join(hot, list(on), "left").withColumn(_SLOT, F.explode(slots)).drop(_FAN)
+
+
 def skew_safe_join(
     facts: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    residual: Column | None = None,
+    small: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner equi join of facts to dim, plus an optional residual predicate.
+    """Inner equi join of facts to dim.
 
     ``spread_by`` names fact columns that differ between rows of one key (a row
     id). Slots come from their hash, so a task that is run again after a lost
-    executor puts each row into the same slot.
+    executor puts each row into the same slot. ``small`` tells that dim was
+    already found to fit a broadcast, or not.
+    """
+    on = list(on)
+    if fits_broadcast(dim, max_rows) if small is None else small:
+        return facts.join(F.broadcast(dim), on)
+    hot = _hot_keys(facts, on, hot_rows, max_rows)
+    spread = _into_slots(facts, hot, on, F.xxhash64(*spread_by))
+    return spread.join(_for_each_slot(dim, hot, on), [*on, _SLOT]).drop(_SLOT)
+
+
+def skew_safe_anti(
+    rows: DataFrame,
+    seen: DataFrame,
+    on: Sequence[str],
+    max_rows: int = BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows whose key is not in seen.
+
+    Copies of one row have nothing to tell them apart, so the rows of a hot key
+    are spread by the input partition they come from.
     """
     on = list(on)
-    if fits_broadcast(dim, max_rows):
-        joined = facts.join(F.broadcast(dim), on)
-    else:
-        hot = (
-            facts.groupBy(*on)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > hot_rows)
-            .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(_FAN))
-        )
-        hot = broadcast_checked(hot, max_rows)
-        slot = F.pmod(F.xxhash64(*spread_by), F.col(_FAN)).cast("int")
-        spread = facts.join(hot, on, "left").withColumn(_SLOT, F.coalesce(slot, F.lit(0))).drop(_FAN)
-        slots = F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)
-        repeated = dim.join(hot, on, "left").withColumn(_SLOT, F.explode(slots)).drop(_FAN)
-        joined = spread.join(repeated, [*on, _SLOT]).drop(_SLOT)
-    return joined if residual is None else joined.filter(residual)
+    if fits_broadcast(seen, max_rows):
+        return rows.join(F.broadcast(seen.select(*on)), on, "left_anti")
+    hot = _hot_keys(rows, on, hot_rows, max_rows)
+    spread = _into_slots(rows, hot, on, F.spark_partition_id())
+    return spread.join(_for_each_slot(seen.select(*on).distinct(), hot, on), [*on, _SLOT], "left_anti").drop(_SLOT)

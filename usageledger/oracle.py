@@ -59,7 +59,7 @@ def resolved(user: str = "analyst", roles: str = ROLES) -> str:
       WHERE dp IS NOT NULL AND wp IS NOT NULL)"""
 
 
-OWN_ROWS = ("usr_7", "('role_3')")
+OWN_ROWS = ("usr_2", "('role_3')")
 
 
 def allowed(condition: str) -> str:
@@ -125,7 +125,7 @@ def prices(*series: str, every_account: bool = False) -> str:
         out.append(f"""{alias} AS (
           SELECT d.account_locator, d.region, d.usage_type, d.rate_date, {columns}
           FROM (SELECT account_locator, region, usage_type, CAST(unnest(generate_series(min(rate_date), DATE '2024-02-10', INTERVAL 1 DAY)) AS DATE) AS rate_date
-                FROM sheet WHERE usage_type = '{label}'{own} GROUP BY ALL) d
+                FROM sheet WHERE usage_type = '{label}'{own} GROUP BY account_locator, region, usage_type) d
           LEFT JOIN sheet s ON s.account_locator = d.account_locator AND s.region = d.region AND s.usage_type = d.usage_type AND s.rate_date = d.rate_date
           WINDOW w AS (PARTITION BY d.account_locator, d.region, d.usage_type ORDER BY d.rate_date ROWS UNBOUNDED PRECEDING))""")
     return ", ".join(out)

@@ -70,8 +70,8 @@ def _query_columns(df: DataFrame) -> DataFrame:
 
 def query_history_view(history: DataFrame, patterns: DataFrame, rows: int = QUERY_VIEW_ROWS) -> DataFrame:
     """The newest queries of the caller's warehouses or databases."""
-    seen = _query_columns(scope_rows_either(history, patterns)).distinct()
-    return top_recent(seen, "start_time", "query_id", rows)
+    newest = top_recent(scope_rows_either(history, patterns), "start_time", "query_id", rows)
+    return _query_columns(newest).distinct()
 
 
 def reader_query_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ EVENTS = ReportContext(
 ORDERS = EVENTS.at(datetime(2001, 12, 31, 8))
 FILE_LOADS = EVENTS.at(datetime(2001, 7, 15, 12))
 #: A caller with rows of their own in the access map.
-OWN_ROWS = ReportContext(as_of=EVENTS.as_of, user="USR_7", roles=("ROLE_3",))
+OWN_ROWS = ReportContext(as_of=EVENTS.as_of, user="USR_2", roles=("ROLE_3",))
 
 #: Where the first of two batches ends.
 EVENTS_CUT = datetime(2024, 1, 20, 10, 30)

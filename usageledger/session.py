@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="usageledger-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
@@ -36,6 +42,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="usageledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -125,15 +125,17 @@ INPUTS: dict[str, str] = {
     "rate_sheet": """
         SELECT DISTINCT 'ORG' AS organization_name, CAST(o_custkey % 3 AS BIGINT) + 1 AS contract_number,
           'NAME_' || CAST(o_custkey % 3 AS STRING) AS account_name, 'ACC_' || CAST(o_custkey % 3 AS STRING) AS account_locator,
-          'R1' AS region, CASE WHEN extract(day FROM o_orderdate) = 21 THEN NULL ELSE 'ENTERPRISE' END AS service_level,
+          'R1' AS region, CASE WHEN extract(day FROM o_orderdate) >= 21 THEN NULL ELSE 'ENTERPRISE' END AS service_level,
           CASE WHEN o_orderpriority = '1-URGENT' THEN 'compute' WHEN o_orderpriority = '2-HIGH' THEN 'overage-cloud services'
             WHEN o_orderpriority = '3-MEDIUM' THEN 'search optimization'
             WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'overage-serverless tasks' ELSE 'overage-adj for incl cloud services' END AS usage_type,
-          CAST(CAST(o_orderdate AS DATE) + INTERVAL '8218' DAY AS DATE) AS rate_date, 'USD' AS currency,
+          CAST(CAST(date_trunc('month', o_orderdate) AS DATE) + INTERVAL '8218' DAY + INTERVAL '1' DAY *
+            CASE WHEN extract(day FROM o_orderdate) < 11 THEN 0 WHEN extract(day FROM o_orderdate) < 21 THEN 10 ELSE 20 END AS DATE) AS rate_date,
+          'USD' AS currency,
           CAST(CAST(200 + (o_custkey % 3) * 10 + extract(month FROM o_orderdate) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2))
             AS DECIMAL(12,2)) AS effective_rate,
           CASE WHEN o_orderpriority = '1-URGENT' THEN 'COMPUTE' ELSE 'OTHER' END AS service_type
-        FROM {orders} WHERE extract(day FROM o_orderdate) IN (1, 11, 21)""",
+        FROM {orders}""",
     "org_usage": f"""
         SELECT 'ORG' AS organization_name, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(7 AS BIGINT) END AS contract_number,
           {_name('NAME_', 'o_custkey % 3')} AS account_name, {_name('ACC_', 'o_custkey % 3')} AS account_locator, 'R1' AS region,
@@ -191,7 +193,7 @@ INPUTS: dict[str, str] = {
         FROM {{lineitem}}""",
     # ---- people, grants and tags, from customers
     "access_map": f"""
-        SELECT CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN {_name('Usr_', 'c_nationkey')} END AS account,
+        SELECT CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN {_name('Usr_', 'c_nationkey % 5')} END AS account,
           CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE', 'HOUSEHOLD') THEN {_name('Role_', 'c_nationkey')} END AS role,
           CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment = 'AUTOMOBILE' THEN '.+'
             ELSE 'WH_[' || CAST(c_nationkey % 4 AS STRING) || '-6](_.*)?' END AS warehouse,

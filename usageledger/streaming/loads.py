@@ -88,15 +88,26 @@ def append_stream(
 
 
 def dedup_late(
-    stream: DataFrame, key: Sequence[str], time: str, delay: timedelta = LATE_LOOKBACK
+    stream: DataFrame, key: Sequence[str], time: str, delay: timedelta = LATE_LOOKBACK, slots: int = 16
 ) -> DataFrame:
-    """First row per key among rows that arrive within the delay; state is bounded by it."""
+    """First row per key among rows that arrive within the delay; state is bounded by it.
+
+    Copies are dropped in two steps, first per key and slot and then per key. The
+    slot is the input partition's, so the copies of a key that makes up a large
+    part of the stream are spread over ``slots`` tasks, and the second step gets
+    at most one row per slot.
+    """
     hours = int(delay.total_seconds() // 3600)
-    timed = stream.withColumn("_event_time", F.col(time).cast("timestamp"))
+    timed = stream.withColumns(
+        {
+            "_event_time": F.col(time).cast("timestamp"),
+            "_slot": F.pmod(F.spark_partition_id(), F.lit(slots)),
+        }
+    ).withWatermark("_event_time", f"{hours} hours")
     return (
-        timed.withWatermark("_event_time", f"{hours} hours")
+        timed.dropDuplicatesWithinWatermark([*key, "_slot"])
         .dropDuplicatesWithinWatermark(list(key))
-        .drop("_event_time")
+        .drop("_event_time", "_slot")
     )
 
 
