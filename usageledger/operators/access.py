@@ -73,9 +73,9 @@ def _scope(
     every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
     names = df.select(*columns).distinct().withColumn("_slice", F.explode(every_slice))
     match = reduce(combine, [full_match_column(F.col(c), F.col(p)) for c, p in tests])
-    visible = names.join(sliced, "_slice").filter(match).select(*columns).distinct()
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(visible[c]) for c in columns])
-    return df.join(visible, same, "left_semi")
+    visible = names.join(sliced, "_slice").filter(match).select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in columns])
+    return df.join(visible.distinct(), same, "left_semi")
 
 
 def scope_rows_single(

@@ -59,7 +59,7 @@ def match_meters(
     """
     keyed = queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
     joined = skew_safe_join(
-        keyed, hourly, ["warehouse_id", "_hour"], ["query_id", "start_time"], small, max_rows
+        keyed, hourly, ["warehouse_id", "_hour"], "inner", ["query_id", "start_time"], small, max_rows
     )
     return joined.filter(_within(closed)).drop("_hour")
 

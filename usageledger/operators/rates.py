@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
 from usageledger.operators.access import role_gate
-from usageledger.operators.skew import broadcast_checked
+from usageledger.operators.skew import BROADCAST_ROWS, skew_safe_join
 
+# The usage types warehouse credits are priced with.
+COMPUTE, CLOUD = "compute", "cloud services"
 SERIES = ("account_locator", "region", "usage_type")
 FILLED = (
     "organization_name",
@@ -106,16 +108,18 @@ def convert_credits_to_currency(
     amounts: dict[str, str],
     on: Sequence[str] = (),
     time: str = "start_time",
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``<credits>_effective_rate`` columns and the currency.
 
     ``rates`` has rate_date, the ``on`` columns, currency and the rate columns;
     ``amounts`` maps a credit column to the rate column it is priced with. Days
-    without a price give 0 and no currency.
+    without a price give 0 and no currency. ``small`` tells whether the rates were
+    already found to fit a broadcast.
     """
     on = list(on)
-    priced = df.withColumn("rate_date", F.to_date(time)).join(
-        broadcast_checked(rates), ["rate_date", *on], "left"
+    priced = skew_safe_join(
+        df.withColumn("rate_date", F.to_date(time)), rates, ["rate_date", *on], "left", small=small
     )
     money = {
         f"{credits}_effective_rate": F.coalesce(F.col(credits) * F.col(rate), F.lit(0)) for credits, rate in amounts.items()
@@ -123,6 +127,31 @@ def convert_credits_to_currency(
     return priced.withColumns(money).select(*df.columns, *money, "currency")
 
 
+def few_rates(
+    sheet: DataFrame, usage_types: Sequence[str], ctx: ReportContext, all_accounts: bool = False
+) -> bool:
+    """Whether the joined daily series of the usage types are small enough to broadcast.
+
+    Bounded from the sheet itself: accounts times days times the rows a day has
+    in each series. That is much cheaper than building the series to count it.
+    """
+    chosen = role_gate(sheet, ctx).filter(F.col("usage_type").isin(list(usage_types)))
+    if not all_accounts:
+        chosen = chosen.filter((F.col("account_locator") == ctx.account) & (F.col("region") == ctx.region))
+    account_days = (
+        chosen.groupBy(*SERIES, "rate_date")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("account_locator", "region")
+        .agg(F.min("rate_date").alias("first"), F.max("rows").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("accounts"), F.min("first").alias("first"), F.max("rows").alias("rows"))
+        .first()
+    )
+    if account_days["first"] is None:
+        return True
+    days = max((ctx.today - account_days["first"]).days + 1, 1)
+    return account_days["accounts"] * days * account_days["rows"] ** len(usage_types) <= BROADCAST_ROWS
+
+
 def single_rate(sheet: DataFrame, usage_type: str, ctx: ReportContext) -> DataFrame:
     """rate_date, currency, rate of one usage type."""
     return rate_timeseries(sheet, usage_type, ctx).select(
@@ -134,6 +163,6 @@ def compute_and_cloud_rates(sheet: DataFrame, ctx: ReportContext, all_accounts:
     """Compute and cloud services rates side by side, for days that have both."""
     series = rate_timeseries_all if all_accounts else rate_timeseries
     on = ["rate_date", *(["account_locator", "region"] if all_accounts else [])]
-    compute = series(sheet, "compute", ctx).select(*on, "currency", F.col("effective_rate").alias("compute_rate"))
-    cloud = series(sheet, "cloud services", ctx).select(*on, F.col("effective_rate").alias("cloud_rate"))
+    compute = series(sheet, COMPUTE, ctx).select(*on, "currency", F.col("effective_rate").alias("compute_rate"))
+    cloud = series(sheet, CLOUD, ctx).select(*on, F.col("effective_rate").alias("cloud_rate"))
     return compute.join(cloud, on)

@@ -56,24 +56,29 @@ def skew_safe_join(
     facts: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
-    spread_by: Sequence[str],
+    how: str = "inner",
+    spread_by: Sequence[str] | None = None,
     small: bool | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner equi join of facts to dim.
+    """Inner, left or left anti equi join of facts to dim.
 
     ``spread_by`` names fact columns that differ between rows of one key (a row
-    id). Slots come from their hash, so a task that is run again after a lost
-    executor puts each row into the same slot. ``small`` tells that dim was
-    already found to fit a broadcast, or not.
+    id); without it rows are spread by the input partition they come from, since
+    copies of a row have nothing else to tell them apart. Both give a row the
+    same slot again when its task is run again after a lost executor. ``small``
+    tells that dim was already found to fit a broadcast, or not.
     """
+    if how not in ("inner", "left", "left_anti"):
+        raise ValueError(f"cannot spread a {how} join")
     on = list(on)
     if fits_broadcast(dim, max_rows) if small is None else small:
-        return facts.join(F.broadcast(dim), on)
+        return facts.join(F.broadcast(dim), on, how)
     hot = _hot_keys(facts, on, hot_rows, max_rows)
-    spread = _into_slots(facts, hot, on, F.xxhash64(*spread_by))
-    return spread.join(_for_each_slot(dim, hot, on), [*on, _SLOT]).drop(_SLOT)
+    place = F.spark_partition_id() if spread_by is None else F.xxhash64(*spread_by)
+    spread = _into_slots(facts, hot, on, place)
+    return spread.join(_for_each_slot(dim, hot, on), [*on, _SLOT], how).drop(_SLOT)
 
 
 def skew_safe_anti(
@@ -83,14 +88,9 @@ def skew_safe_anti(
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows whose key is not in seen.
-
-    Copies of one row have nothing to tell them apart, so the rows of a hot key
-    are spread by the input partition they come from.
-    """
-    on = list(on)
-    if fits_broadcast(seen, max_rows):
-        return rows.join(F.broadcast(seen.select(*on)), on, "left_anti")
-    hot = _hot_keys(rows, on, hot_rows, max_rows)
-    spread = _into_slots(rows, hot, on, F.spark_partition_id())
-    return spread.join(_for_each_slot(seen.select(*on).distinct(), hot, on), [*on, _SLOT], "left_anti").drop(_SLOT)
+    """Rows whose key is not in seen."""
+    keys = seen.select(*on)
+    small = fits_broadcast(keys, max_rows)
+    return skew_safe_join(
+        rows, keys if small else keys.distinct(), on, "left_anti", None, small, max_rows, hot_rows
+    )

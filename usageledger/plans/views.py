@@ -18,11 +18,19 @@ from usageledger.operators.access import (
     scope_rows_two_columns,
 )
 from usageledger.operators.ranking import top_recent
-from usageledger.operators.rates import compute_and_cloud_rates, convert_credits_to_currency, single_rate
+from usageledger.operators.rates import (
+    CLOUD,
+    COMPUTE,
+    compute_and_cloud_rates,
+    convert_credits_to_currency,
+    few_rates,
+    single_rate,
+)
 
 #: The query history view shows at most this many newest queries.
 QUERY_VIEW_ROWS = 1_000_000
 
+PRICED_TOGETHER = (COMPUTE, CLOUD)
 CLOUD_AND_COMPUTE = {
     "credits_used": "compute_rate",
     "credits_used_cloud_services": "cloud_rate",
@@ -40,7 +48,9 @@ def priced_service_view(
 ) -> DataFrame:
     """Table service credits with their price, by database."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
-    return convert_credits_to_currency(seen, single_rate(sheet, usage_type, ctx), {"credits_used": "rate"}).distinct()
+    return convert_credits_to_currency(
+        seen, single_rate(sheet, usage_type, ctx), {"credits_used": "rate"}, small=few_rates(sheet, [usage_type], ctx)
+    ).distinct()
 
 
 def copy_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -92,7 +102,12 @@ def warehouse_credit_view(
 ) -> DataFrame:
     """Warehouse credits with compute and cloud prices; 0 for callers who may not see prices."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE))
-    return convert_credits_to_currency(seen, compute_and_cloud_rates(sheet, ctx), CLOUD_AND_COMPUTE).distinct()
+    return convert_credits_to_currency(
+        seen,
+        compute_and_cloud_rates(sheet, ctx),
+        CLOUD_AND_COMPUTE,
+        small=few_rates(sheet, PRICED_TOGETHER, ctx),
+    ).distinct()
 
 
 def organization_view(history: DataFrame, ctx: ReportContext) -> DataFrame:
@@ -104,4 +119,10 @@ def organization_metering_view(history: DataFrame, sheet: DataFrame, ctx: Report
     """Warehouse metering of all accounts with each account's own prices."""
     rates = compute_and_cloud_rates(sheet, ctx, all_accounts=True)
     seen = role_gate(history, ctx).withColumn("start_date", F.to_date("start_time"))
-    return convert_credits_to_currency(seen, rates, CLOUD_AND_COMPUTE, ("account_locator", "region")).distinct()
+    return convert_credits_to_currency(
+        seen,
+        rates,
+        CLOUD_AND_COMPUTE,
+        ("account_locator", "region"),
+        small=few_rates(sheet, PRICED_TOGETHER, ctx, all_accounts=True),
+    ).distinct()

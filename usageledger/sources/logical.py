@@ -9,6 +9,8 @@ take part; conditions are on attributes such as segment or status.
 from __future__ import annotations
 
 import re
+import zlib
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -328,14 +330,20 @@ def statement(name: str) -> str:
     return re.sub(r"\{(%s)\}" % "|".join(BASE_TABLES), r"\1", INPUTS[name])
 
 
+@cache
+def _view(spark: SparkSession, folder: str, name: str) -> str:
+    view = f"usageledger_{name}_{zlib.crc32(folder.encode()):08x}"
+    table(spark, folder, name).createOrReplaceTempView(view)
+    return view
+
+
+@cache
 def logical(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A logical input over the tables in folder; times are zone-less as in the files."""
     text = INPUTS[name]
-    used = [t for t in BASE_TABLES if f"{{{t}}}" in text]
-    for t in used:
-        view = f"usageledger_{t}_{abs(hash(folder)) % 10**8}"
-        table(spark, folder, t).createOrReplaceTempView(view)
-        text = text.replace(f"{{{t}}}", view)
+    for t in BASE_TABLES:
+        if f"{{{t}}}" in text:
+            text = text.replace(f"{{{t}}}", _view(spark, folder, t))
     df = spark.sql(text)
     zoned = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in zoned else F.col(c) for c in df.columns])
