@@ -35,4 +35,4 @@ def folder():
 def rows(df, *columns):
     """Sorted tuples of the chosen columns."""
     chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)
+    return sorted((tuple(r) for r in chosen.collect()), key=lambda t: [(x is None, str(x)) for x in t])

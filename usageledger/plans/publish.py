@@ -80,6 +80,19 @@ def refresh_history(
     return history_table(spark, name)
 
 
+def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
+    """Replace the days found in the table written aside, and no others."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        spark.table(aside).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+    spark.catalog.refreshTable(name)
+    spark.sql(f"DROP TABLE {aside}")
+
+
 def history_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).drop(DAY)
 
@@ -97,8 +110,7 @@ def _rewrite_days(
     aside = f"{name}_incoming"
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
     merged.write.format("parquet").saveAsTable(aside)
-    spark.table(aside).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
-    spark.sql(f"DROP TABLE {aside}")
+    _overwrite_days(spark, aside, name)
 
 
 def _drop_expired(
@@ -126,7 +138,6 @@ def _drop_expired(
         spark.sql(f"DROP TABLE IF EXISTS {aside}")
         kept = expired.filter(F.col(DAY).isin(partly) & ~F.coalesce(gone, F.lit(False)))
         kept.write.format("parquet").saveAsTable(aside)
-        spark.table(aside).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
-        spark.sql(f"DROP TABLE {aside}")
+        _overwrite_days(spark, aside, name)
 
 
