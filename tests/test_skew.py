@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from usageledger.operators import skew
 from usageledger.operators.skew import fits_broadcast, skew_safe_anti, skew_safe_join
 
 
@@ -39,6 +40,12 @@ def test_anti_join_keeps_all_copies(spark, facts):
     assert rows(skew_safe_anti(facts.repartition(4), seen, ["k"], max_rows=0, hot_rows=10)) == plain
 
 
+def test_the_list_of_hot_keys_is_bounded(facts, monkeypatch):
+    assert rows(skew.hot_keys(facts, ["k"], 10)) == [(0, 22), (1, 2), (2, 2), (3, 2), (4, 2), (5, 2), (6, 2)]
+    monkeypatch.setattr(skew, "MOST_HOT_KEYS", 3)
+    assert rows(skew.hot_keys(facts, ["k"], 10)) == [(0, 22)]
+
+
 def test_size_check_stops_at_the_bound(spark):
     assert fits_broadcast(spark.range(10), 10)
     assert not fits_broadcast(spark.range(11), 10)

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import truncate_ntz
-from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, skew_safe_join
+from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_keys, skew_safe_join
 
+HOUR_KEY = ("warehouse_id", "_hour")
 #: Meter columns after the interval join.
 METER = ("meter_name", "meter_start", "meter_end", "meter_credits")
 
@@ -45,11 +46,16 @@ def _within(closed: str) -> Column:
     raise ValueError(f"closed must be 'left' or 'both', not {closed!r}")
 
 
+def _keyed(queries: DataFrame) -> DataFrame:
+    return queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
+
+
 def match_meters(
     queries: DataFrame,
     hourly: DataFrame,
     closed: str = "left",
     small: bool | None = None,
+    hot: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Queries with the meter interval they started in; ``hourly`` comes from ``hourly_meters``.
@@ -57,9 +63,8 @@ def match_meters(
     The hour is a second equi key, so a warehouse's queries meet only the meters
     of their hour and not every meter of the warehouse.
     """
-    keyed = queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
     joined = skew_safe_join(
-        keyed, hourly, ["warehouse_id", "_hour"], "inner", ["query_id", "start_time"], small, max_rows
+        _keyed(queries), hourly, HOUR_KEY, "inner", ["query_id", "start_time"], small, hot, max_rows
     )
     return joined.filter(_within(closed)).drop("_hour")
 
@@ -87,14 +92,17 @@ def attribute_credits(
     interval = ["meter_name", "meter_start", "meter_end"]
     hourly = hourly_meters(metering)
     small = fits_broadcast(hourly, max_rows)
+    hot = None if small else hot_keys(_keyed(slim), HOUR_KEY)
     totals = (
-        match_meters(slim, hourly, closed, small, max_rows).groupBy(*interval).agg(F.sum(_units(guard_zero)).alias("_total"))
+        match_meters(slim, hourly, closed, small, hot)
+        .groupBy(*interval)
+        .agg(F.sum(_units(guard_zero)).alias("_total"))
     )
     # Never more rows than the meters themselves, so the same choice of join holds.
     with_total = hourly.join(totals, interval)
     share = F.try_divide(F.col("execution_time"), F.col("_total"))
     return (
-        match_meters(queries, with_total, closed, small, max_rows)
+        match_meters(queries, with_total, closed, small, hot)
         .withColumns({"pct_credit_used_by_query": share * 100, "credit_used_by_query": share * F.col("meter_credits")})
         .drop("_total")
     )

@@ -13,12 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usageledger.session import staged
+
 #: A side with at most this many narrow rows may be broadcast.
 BROADCAST_ROWS = 200_000
-#: A key with more rows than this is spread; so at most total/HOT_ROWS keys are hot.
+#: A key with more rows than this is spread over several tasks.
 HOT_ROWS = 2_000_000
+#: There are never more hot keys than this, so that their list can be broadcast.
+MOST_HOT_KEYS = 10_000
 
-_SLOT, _FAN = "_slot", "_fan"
+_SLOT, _FAN, _ROWS = "_slot", "_fan", "_rows"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -28,28 +32,29 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint when its counted size allows it, else df."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
+def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than hot_rows rows, and over how many slots each is spread.
 
-def _hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, max_rows: int) -> DataFrame:
-    """Keys with more than hot_rows rows and over how many slots each is spread."""
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.filter(F.col("_rows") > hot_rows).select(
-        *on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(_FAN)
-    )
-    return broadcast_checked(hot, max_rows)
+    One pass of partial counts, written to the shared folder so that the joins
+    do not count again. Keys above 1/MOST_HOT_KEYS of the counted rows number
+    fewer than MOST_HOT_KEYS; when more keys are hot, only those are spread.
+    """
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > hot_rows)
+    hot = staged(counts, "hot-keys")
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum(_ROWS).alias("rows")).first()
+    if found["keys"] > MOST_HOT_KEYS:
+        hot = hot.filter(F.col(_ROWS) > found["rows"] // MOST_HOT_KEYS)
+    return hot.select(*on, F.ceil(F.col(_ROWS) / F.lit(hot_rows)).cast("int").alias(_FAN))
 
 
 def _into_slots(facts: DataFrame, hot: DataFrame, on: Sequence[str], place: Column) -> DataFrame:
     slot = F.coalesce(F.pmod(place, F.col(_FAN)).cast("int"), F.lit(0))
-    return facts.join(hot, list(on), "left").withColumn(_SLOT, slot).drop(_FAN)
+    return facts.join(F.broadcast(hot), list(on), "left").withColumn(_SLOT, slot).drop(_FAN)
 
 
 def _for_each_slot(dim: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
     slots = F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)
-    return dim.join(hot, list(on), "left").withColumn(_SLOT, F.explode(slots)).drop(_FAN)
+    return dim.join(F.broadcast(hot), list(on), "left").withColumn(_SLOT, F.explode(slots)).drop(_FAN)
 
 
 def skew_safe_join(
@@ -59,6 +64,7 @@ def skew_safe_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     small: bool | None = None,
+    hot: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -68,14 +74,16 @@ def skew_safe_join(
     id); without it rows are spread by the input partition they come from, since
     copies of a row have nothing else to tell them apart. Both give a row the
     same slot again when its task is run again after a lost executor. ``small``
-    tells that dim was already found to fit a broadcast, or not.
+    tells that dim was already found to fit a broadcast, or not, and ``hot`` are
+    the facts' hot keys if they are known.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     on = list(on)
     if fits_broadcast(dim, max_rows) if small is None else small:
         return facts.join(F.broadcast(dim), on, how)
-    hot = _hot_keys(facts, on, hot_rows, max_rows)
+    if hot is None:
+        hot = hot_keys(facts, on, hot_rows)
     place = F.spark_partition_id() if spread_by is None else F.xxhash64(*spread_by)
     spread = _into_slots(facts, hot, on, place)
     return spread.join(_for_each_slot(dim, hot, on), [*on, _SLOT], how).drop(_SLOT)
@@ -92,5 +100,5 @@ def skew_safe_anti(
     keys = seen.select(*on)
     small = fits_broadcast(keys, max_rows)
     return skew_safe_join(
-        rows, keys if small else keys.distinct(), on, "left_anti", None, small, max_rows, hot_rows
+        rows, keys if small else keys.distinct(), on, "left_anti", small=small, max_rows=max_rows, hot_rows=hot_rows
     )

@@ -43,7 +43,8 @@ def publish_truncate_insert(parts: Sequence[DataFrame], name: str, folder: str)
 
 
 def _by_day(df: DataFrame, spec: ReportSpec) -> DataFrame:
-    return df.withColumn(DAY, F.to_date(spec.time))
+    """Rows brought together by day before they are written, large days in several parts."""
+    return df.withColumn(DAY, F.to_date(spec.time)).hint("rebalance", F.col(DAY))
 
 
 def _append(df: DataFrame, name: str) -> None:

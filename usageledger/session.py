@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -44,3 +44,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """df written to the shared folder and read back: computed once, and kept when executors are lost."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,7 +66,7 @@ def append_stream(
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = shape(batch)
+        rows = cached = shape(batch).persist()
         if key is not None:
             rows = rows.dropDuplicates(list(key))
             before = _table_or_none(spark, path)
@@ -77,6 +77,7 @@ def append_stream(
                     earlier = earlier & (F.col(time) >= F.lit(first).cast(rows.schema[time].dataType))
                 rows = unmatched(rows, before.filter(earlier), key)
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        cached.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)
