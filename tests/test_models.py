@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -174,6 +174,17 @@ def test_newest_rows_break_ties_by_id(spark):
     df = spark.createDataFrame([(1, t, "a"), (2, t, "b"), (3, t, "c"), (3, t, "c"), (0, datetime(2024, 1, 2), "z"), (9, None, "n")], "id int, t timestamp_ntz, v string")
     assert rows(top_recent(df, "t", "id", 2), "id") == [(0,), (3,), (3,)]
     assert top_recent(df, "t", "id", 100).count() == 5
+    assert rows(top_recent(df, "t", "id", 1), "id") == [(0,)]
+    assert rows(top_recent(df, "t", "id", 4), "id") == [(0,), (1,), (2,), (3,), (3,)]
+
+
+def test_newest_rows_equal_a_sort(spark):
+    h = datetime(2024, 1, 1)
+    data = [(i, h + timedelta(microseconds=[0, 1, 10**6, 3600 * 10**6][i % 4] + (i % 3)), "v") for i in range(60)]
+    df = spark.createDataFrame(data, "id int, t timestamp_ntz, v string")
+    order = sorted(data, key=lambda r: (r[1], r[0]), reverse=True)
+    for n in (1, 7, 16, 31, 59, 60):
+        assert {r[0] for r in rows(top_recent(df, "t", "id", n), "id")} == {r[0] for r in order[:n]}
 
 
 def test_listings_and_monitors(spark):

@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def time_literal(value: date | datetime, kind: T.DataType | None = None) -> Column:
+    """A date or time as a literal of a column's type.
+
+    Zone-less times go through text: a Python datetime would be read in the
+    driver's zone, which need not be the session's.
+    """
+    if kind is None or isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
+    return F.lit(value).cast(kind)
 
 
 def _epoch_seconds(ts: Column) -> Column:

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usageledger.functions.times import truncate_ntz
+from usageledger.functions.times import time_literal, truncate_ntz
 from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_keys, skew_safe_join
 
 HOUR_KEY = ("warehouse_id", "_hour")
@@ -22,10 +22,13 @@ HOUR_KEY = ("warehouse_id", "_hour")
 METER = ("meter_name", "meter_start", "meter_end", "meter_credits")
 
 
-def hourly_meters(metering: DataFrame) -> DataFrame:
-    """Meters with one row per hour they cover; hourly meters stay one row or two."""
+def hourly_meters(metering: DataFrame, closed: str = "left") -> DataFrame:
+    """Meters with one row per clock hour a query can start in; an hourly meter stays one row."""
+    last = F.col("meter_end")
+    if closed == "left":
+        last = F.greatest(F.col("meter_start"), last - F.expr("INTERVAL 0.000001 SECOND"))
     hours = F.sequence(
-        truncate_ntz("hour", F.col("meter_start")), truncate_ntz("hour", F.col("meter_end")), F.expr("INTERVAL 1 HOUR")
+        truncate_ntz("hour", F.col("meter_start")), truncate_ntz("hour", last), F.expr("INTERVAL 1 HOUR")
     )
     return metering.select(
         "warehouse_id",
@@ -90,7 +93,7 @@ def attribute_credits(
     """
     slim = queries.select("query_id", "warehouse_id", "start_time", "execution_time")
     interval = ["meter_name", "meter_start", "meter_end"]
-    hourly = hourly_meters(metering)
+    hourly = hourly_meters(metering, closed)
     small = fits_broadcast(hourly, max_rows)
     hot = None if small else hot_keys(_keyed(slim), HOUR_KEY)
     totals = (
@@ -121,7 +124,7 @@ def attribute_groups(
     One pass over the queries: they are summed per (interval, group) on the map
     side, and the interval's total is taken over those few sums.
     """
-    matched = match_meters(queries, hourly_meters(metering), closed, max_rows=max_rows)
+    matched = match_meters(queries, hourly_meters(metering, closed), closed, max_rows=max_rows)
     sums = matched.groupBy(*METER, *group).agg(
         F.sum("execution_time").alias("_time"), F.sum(_units(guard_zero)).alias("_units"), F.count(F.lit(1)).alias("queries")
     )
@@ -168,7 +171,7 @@ def month_credits_pivot(
     known beforehand, so the pivot is a plain conditional aggregation.
     """
     months = recent_months(today, duration, starting_from)
-    since = F.lit(shift_month(today, -duration)).cast("timestamp_ntz")
+    since = time_literal(shift_month(today, -duration))
     groups = attribute_groups(
         queries, metering.filter(F.col("start_time") >= since), ["user_name"], closed, max_rows=max_rows
     )

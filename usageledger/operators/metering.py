@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.functions.patterns import full_match
-from usageledger.functions.times import derive_time_columns
+from usageledger.functions.times import derive_time_columns, time_literal
 
 
 def metering_history(
@@ -21,8 +21,8 @@ def metering_history(
     reach the scan: day(t) <= end means t < end + 1 day.
     """
     kind = metering.schema["start_time"].dataType
-    first = F.lit(datetime.combine(start, time())).cast(kind)
-    after = F.lit(datetime.combine(end + timedelta(days=1), time())).cast(kind)
+    first = time_literal(datetime.combine(start, time()), kind)
+    after = time_literal(datetime.combine(end + timedelta(days=1), time()), kind)
     chosen = metering.filter(
         F.col("service_type").isin(list(services))
         & (F.col("start_time") >= first)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.functions.times import time_literal
 
 
 def retention_cutoff(ctx: ReportContext, days: int) -> datetime:
@@ -27,7 +28,7 @@ def retention_delete(
     """
     if days is None:
         return df
-    cutoff = F.lit(retention_cutoff(ctx, days)).cast(df.schema[column].dataType)
+    cutoff = time_literal(retention_cutoff(ctx, days), df.schema[column].dataType)
     keep = (F.col(column) > cutoff) | F.col(column).isNull()
     if account is not None:
         keep = keep | F.col(account).isNull() | (F.col(account) != F.lit(ctx.account))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.functions.times import time_literal
 
 LATE_LOOKBACK = timedelta(hours=36)
 LOAD_WINDOW_DAYS = 30
@@ -34,7 +35,7 @@ def year_before(ctx: ReportContext) -> datetime:
 
 
 def _from(df: DataFrame, column: str, start) -> DataFrame:
-    return df if start is None else df.filter(F.col(column) >= F.lit(start).cast(df.schema[column].dataType))
+    return df if start is None else df.filter(F.col(column) >= time_literal(start, df.schema[column].dataType))
 
 
 def high_watermark_scan(source: DataFrame, time: str, watermark, ctx: ReportContext) -> DataFrame:
@@ -65,6 +66,6 @@ def bounded_window_scan(
     """As the watermark scan, and not before the last days nor after now."""
     kind = source.schema[time].dataType
     in_window = F.col(time).between(
-        F.lit(ctx.as_of - timedelta(days=days)).cast(kind), F.lit(ctx.as_of).cast(kind)
+        time_literal(ctx.as_of - timedelta(days=days), kind), time_literal(ctx.as_of, kind)
     )
     return high_watermark_scan(source.filter(in_window), time, watermark, ctx)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.functions.times import time_literal
 from usageledger.operators.retention import retention_cutoff
 from usageledger.plans.spec import ReportSpec, incremental_load, new_rows, watermark
 
@@ -126,7 +127,7 @@ def _drop_expired(
     cutoff = retention_cutoff(ctx, retain_days)
     stored = spark.table(name)
     expired = stored.filter(F.col(DAY) <= F.lit(cutoff.date()))
-    gone = F.col(spec.time) <= F.lit(cutoff).cast(stored.schema[spec.time].dataType)
+    gone = F.col(spec.time) <= time_literal(cutoff, stored.schema[spec.time].dataType)
     if spec.account is not None:
         gone = gone & (F.col(spec.account) == F.lit(ctx.account))
     days = expired.groupBy(DAY).agg(F.count_if(gone).alias("gone"), F.count(F.lit(1)).alias("rows"))

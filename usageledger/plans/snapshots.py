@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.functions.times import time_literal
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators.access import (
     WAREHOUSE,
@@ -37,7 +38,7 @@ def _months_ago(ctx: ReportContext, months: int):
 
 def recent_queries(queries: DataFrame, ctx: ReportContext) -> DataFrame:
     """Queries of the attribution look-back, as a literal bound on the time."""
-    since = F.lit(_months_ago(ctx, ATTRIBUTION_MONTHS)).cast(queries.schema["start_time"].dataType)
+    since = time_literal(_months_ago(ctx, ATTRIBUTION_MONTHS), queries.schema["start_time"].dataType)
     return queries.filter(F.col("start_time") >= since)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
 from usageledger.functions.keys import business_key
+from usageledger.functions.times import time_literal
 from usageledger.operators.merge import latest_per_key, merge_insert_only, merge_upsert, unmatched
 from usageledger.operators.retention import retention_delete
 from usageledger.operators.watermark import (
@@ -84,7 +85,7 @@ def can_match(spec: ReportSpec, mark, target: DataFrame) -> Column | None:
         return None
     start: datetime | date = mark - spec.lookback if spec.lookback is not None else mark
     # NULL times never match a batch that was selected by time.
-    return F.col(spec.time) >= F.lit(start).cast(target.schema[spec.time].dataType)
+    return F.col(spec.time) >= time_literal(start, target.schema[spec.time].dataType)
 
 
 def incremental_load(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.functions import labels
 from usageledger.functions.keys import business_key, key_text, moment, number, text
-from usageledger.functions.times import date_range, derive_time_columns, elapsed_seconds
+from usageledger.functions.times import date_range, derive_time_columns, elapsed_seconds, time_literal
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators import access, budget, names, rates, reconcile, settings, tags, watermark
 from usageledger.operators.attribution import attribute_credits
@@ -96,7 +96,7 @@ def price_list(spark: SparkSession, folder: str) -> DataFrame:
 
 def two_batches(spec: ReportSpec, source: DataFrame, cut: datetime, ctx: ReportContext, early: DataFrame | None = None) -> DataFrame:
     """The history table after a load of what existed at the cut and a later load of everything."""
-    known = early if early is not None else source.filter(F.col(spec.source_time) < F.lit(cut).cast(source.schema[spec.source_time].dataType))
+    known = early if early is not None else source.filter(F.col(spec.source_time) < time_literal(cut, source.schema[spec.source_time].dataType))
     stored = incremental_load(spec, known, None, ctx, spec.retain_days)
     return incremental_load(spec, source, stored, ctx, spec.retain_days)
 
@@ -114,7 +114,7 @@ def _business_key(spark, folder):
 @query("high_watermark_scan")
 def _high_watermark_scan(spark, folder):
     source = logical(spark, folder, "query_history")
-    mark = watermark.newest(source.filter(F.col("start_time") < F.lit(EVENTS_CUT).cast("timestamp_ntz")), "start_time")
+    mark = watermark.newest(source.filter(F.col("start_time") < time_literal(EVENTS_CUT)), "start_time")
     return watermark.high_watermark_scan(source, "start_time", mark, EVENTS).select("query_id", "start_time")
 
 
@@ -126,7 +126,7 @@ def _high_watermark_scan_min_default(spark, folder):
 @query("late_lookback_scan")
 def _late_lookback_scan(spark, folder):
     source = logical(spark, folder, "task_runs")
-    mark = watermark.newest(source.filter(F.col("scheduled_time") < F.lit(ORDERS_CUT).cast("timestamp_ntz")), "scheduled_time")
+    mark = watermark.newest(source.filter(F.col("scheduled_time") < time_literal(ORDERS_CUT)), "scheduled_time")
     return watermark.late_lookback_scan(source, "scheduled_time", mark, ORDERS).select("run_id", "scheduled_time", "state")
 
 
@@ -139,7 +139,7 @@ def _bounded_window_scan(spark, folder):
 @query("merge_insert_only")
 def _merge_insert_only(spark, folder):
     runs = logical(spark, folder, "task_runs").select(business_key([number("run_id")]).alias("sh_key"), "run_id", "state", "scheduled_time")
-    cut = F.lit(ORDERS_CUT).cast("timestamp_ntz")
+    cut = time_literal(ORDERS_CUT)
     stored = runs.filter(F.col("scheduled_time") < cut).withColumn("state", F.lit("STORED"))
     overlap = runs.filter(F.col("scheduled_time") >= cut - F.expr("INTERVAL 30 DAYS"))
     return shown(merge_insert_only(overlap, stored))
@@ -148,7 +148,7 @@ def _merge_insert_only(spark, folder):
 @query("merge_upsert")
 def _merge_upsert(spark, folder):
     runs = logical(spark, folder, "task_runs").select(business_key([number("run_id")]).alias("sh_key"), "run_id", "state", "scheduled_time")
-    cut = F.lit(ORDERS_CUT).cast("timestamp_ntz")
+    cut = time_literal(ORDERS_CUT)
     stored = runs.filter(F.col("scheduled_time") < cut).withColumn("state", F.lit("STORED"))
     overlap = runs.filter(F.col("scheduled_time") >= cut - F.expr("INTERVAL 30 DAYS"))
     return shown(merge_upsert(overlap, stored, updates=["state"], newest_by=["scheduled_time"]))
@@ -269,7 +269,7 @@ def _publish_swap(spark, folder):
     where = shared_dir(spark, "published")
     name = "usageledger_daily_credits"
     metered = logical(spark, folder, "named_metering")
-    publish_swap(warehouse_daily_credits(metered.filter(F.col("start_time") < F.lit(EVENTS_CUT).cast("timestamp_ntz"))), name, where)
+    publish_swap(warehouse_daily_credits(metered.filter(F.col("start_time") < time_literal(EVENTS_CUT))), name, where)
     return shown(publish_swap(warehouse_daily_credits(metered), name, where))
 
 
@@ -421,7 +421,7 @@ def _rpt_storage(spark, folder):
 @query("rpt_task_history")
 def _rpt_task_history(spark, folder):
     source = logical(spark, folder, "task_runs")
-    cut = F.lit(ORDERS_CUT).cast("timestamp_ntz")
+    cut = time_literal(ORDERS_CUT)
     running = F.col("scheduled_time") >= cut - F.expr("INTERVAL 36 HOURS")
     early = source.filter(F.col("scheduled_time") < cut).withColumns(
         {
@@ -582,7 +582,7 @@ def _warehouse_daily_credits(spark, folder):
 @query("warehouse_daily_credits_merge")
 def _warehouse_daily_credits_merge(spark, folder):
     metered = logical(spark, folder, "named_metering")
-    stored = warehouse_daily_credits(metered.filter(F.col("start_time") < F.lit(EVENTS_CUT).cast("timestamp_ntz")))
+    stored = warehouse_daily_credits(metered.filter(F.col("start_time") < time_literal(EVENTS_CUT)))
     merged = merge_upsert(warehouse_daily_credits(metered), stored, ["warehouse_name", "active_date"], ["credits_used"])
     return shown(sorted_for_readers(merged, "warehouse_name", "active_date"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from usageledger.context import ReportContext
+from usageledger.functions.times import time_literal
 from usageledger.operators.merge import unmatched
 from usageledger.operators.retention import retention_delete
 from usageledger.operators.watermark import LATE_LOOKBACK, oldest
@@ -74,7 +75,7 @@ def append_stream(
                 earlier = F.col(BATCH) < batch_id
                 first = oldest(rows, time) if time is not None else None
                 if first is not None:
-                    earlier = earlier & (F.col(time) >= F.lit(first).cast(rows.schema[time].dataType))
+                    earlier = earlier & (F.col(time) >= time_literal(first, rows.schema[time].dataType))
                 rows = unmatched(rows, before.filter(earlier), key)
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         cached.unpersist()
