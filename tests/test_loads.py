@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from usageledger import queries
+from usageledger.functions.times import time_literal
 from usageledger.plans import loads, views
 from usageledger.plans.spec import incremental_load, new_rows, watermark
 from usageledger.sources.logical import logical
@@ -132,7 +133,7 @@ def test_task_states_are_updated_within_the_lookback_only(spark, ctx):
 
 def test_only_rows_near_the_watermark_are_compared(spark, ctx, folder):
     source = logical(spark, folder, "query_history")
-    stored = incremental_load(loads.QUERY_HISTORY, source.filter(F.col("start_time") < F.lit(queries.EVENTS_CUT).cast("timestamp_ntz")), None, queries.EVENTS)
+    stored = incremental_load(loads.QUERY_HISTORY, source.filter(F.col("start_time") < time_literal(queries.EVENTS_CUT)), None, queries.EVENTS)
     fresh = new_rows(loads.QUERY_HISTORY, source, stored, queries.EVENTS)
     assert fresh.count() + stored.count() == source.count()
 

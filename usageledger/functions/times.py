@@ -17,6 +17,8 @@ def time_literal(value: date | datetime, kind: T.DataType | None = None) -> Colu
     """
     if kind is None or isinstance(kind, T.TimestampNTZType):
         return F.lit(value.isoformat()).cast("timestamp_ntz")
+    if isinstance(kind, T.DateType):
+        return F.lit(value.date() if isinstance(value, datetime) else value)
     return F.lit(value).cast(kind)
 
 

@@ -6,7 +6,7 @@ nothing is ever deleted from it unless the caller's settings say so.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
@@ -334,6 +334,24 @@ REPORTS = {
 }
 
 
+# Days kept by reports that are not incremental loads.
+OTHER_RETENTION = {"query_credit": YEAR, "db_schema_credit": YEAR, "connector_type_history": YEAR}
+SETTINGS_SCHEMA = (
+    "account_locator string, region_name string, var_name string, var_value string, var_usage string, var_description string"
+)
+
+
+def default_settings(spark: SparkSession, ctx: ReportContext) -> DataFrame:
+    """The settings a new account starts with: retention of each report and the organization."""
+    kept = {**{s.name: s.retain_days for s in REPORTS.values()}, **OTHER_RETENTION}
+    rows = [("DAYS_TO_RETAIN", str(days), name, "days of history to keep") for name, days in kept.items() if days]
+    rows += [
+        ("ACCOUNT_LOCATOR", ctx.account, "GLOBAL", "account"),
+        ("ORGANIZATION", ctx.organization, "GLOBAL", "organization"),
+    ]
+    return spark.createDataFrame([(ctx.account, ctx.region, *r) for r in rows], SETTINGS_SCHEMA)
+
+
 def pipe_usage(metering: DataFrame, pipes: DataFrame) -> DataFrame:
     """Metering of pipes with where each pipe lives; source of the pipe report."""
     return metering.join(
