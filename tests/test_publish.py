@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from usageledger.plans import loads
-from usageledger.plans.publish import DAY, publish_swap, publish_truncate_insert, refresh_history
+from usageledger.plans.publish import DAY, publish_swap, publish_truncate_insert, refresh_history, stored_watermark
 from usageledger.plans.spec import incremental_load
 from usageledger.session import shared_dir
 from test_loads import runs
@@ -89,6 +89,15 @@ def test_stored_upsert_rewrites_recent_days_only(spark, ctx):
     assert before[str(old.date())] in after and before[str(recent.date())] not in after
 
 
+def test_the_stored_watermark_comes_from_the_newest_day(spark, ctx):
+    name = "stored_newest"
+    data = usage(spark, [("a", T0 - timedelta(days=25)), ("b", T0), ("c", T0 + HOUR)])
+    refresh_history(spark, loads.AUTO_CLUSTERING, data, name, ctx)
+    assert stored_watermark(spark, loads.AUTO_CLUSTERING, name) == T0 + HOUR
+    refresh_history(spark, loads.MV_REFRESH, data, f"{name}_days", ctx)
+    assert stored_watermark(spark, loads.MV_REFRESH, f"{name}_days") == datetime(2024, 2, 1)
+
+
 def test_written_state_goes_below_the_cluster_folder(spark, monkeypatch):
     class Cluster:
         class sparkContext:

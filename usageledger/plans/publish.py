@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from usageledger.context import ReportContext
 from usageledger.functions.times import time_literal
 from usageledger.operators.retention import retention_cutoff
-from usageledger.plans.spec import ReportSpec, incremental_load, new_rows, watermark
+from usageledger.operators.watermark import newest
+from usageledger.plans.spec import ReportSpec, from_newest, incremental_load, new_rows
 
 DAY = "part_day"
 
@@ -72,11 +74,14 @@ def refresh_history(
         first = _by_day(incremental_load(spec, source, None, ctx, retain_days), spec)
         first.write.partitionBy(DAY).format("parquet").saveAsTable(name)
         return history_table(spark, name)
-    target = history_table(spark, name)
+    mark = stored_watermark(spark, spec, name)
+    recent = spark.table(name)
+    if mark is not None:
+        recent = recent.filter(F.col(DAY) >= F.lit(first_day(spec, mark)))
     if spec.updates:
-        _rewrite_days(spark, spec, source, target, name, ctx)
+        _rewrite_days(spark, spec, source, recent.drop(DAY), name, ctx, mark)
     else:
-        _append(_by_day(new_rows(spec, source, target, ctx), spec), name)
+        _append(_by_day(new_rows(spec, source, recent.drop(DAY), ctx, mark), spec), name)
     _drop_expired(spark, spec, name, ctx, retain_days)
     spark.catalog.refreshTable(name)
     return history_table(spark, name)
@@ -95,18 +100,35 @@ def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
     spark.sql(f"DROP TABLE {aside}")
 
 
+def stored_watermark(spark: SparkSession, spec: ReportSpec, name: str):
+    """The watermark of a stored table, read from its newest day that holds rows.
+
+    The days come from the catalog, one entry each, so the history itself is not
+    scanned.
+    """
+    days = sorted((r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()), reverse=True)
+    for day in days:
+        value = newest(spark.table(name).filter(F.col(DAY) == F.to_date(F.lit(day))), spec.time)
+        if value is not None:
+            return from_newest(spec, value)
+    return None
+
+
+def first_day(spec: ReportSpec, mark) -> date:
+    """The first day a batch can hold rows of."""
+    start = mark - spec.lookback if spec.lookback is not None else mark
+    return start.date() if isinstance(start, datetime) else start
+
+
 def history_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).drop(DAY)
 
 
 def _rewrite_days(
-    spark: SparkSession, spec: ReportSpec, source: DataFrame, target: DataFrame, name: str, ctx: ReportContext
+    spark: SparkSession, spec: ReportSpec, source: DataFrame, recent: DataFrame, name: str, ctx: ReportContext, mark
 ) -> None:
     """Overwrite the partitions from the batch's first day on with their merged rows."""
-    mark = watermark(spec, target)
-    first_day = (mark - spec.lookback if spec.lookback is not None else mark).date()
-    recent = spark.table(name).filter(F.col(DAY) >= F.lit(first_day)).drop(DAY)
-    merged = _by_day(incremental_load(spec, source, recent, ctx), spec)
+    merged = _by_day(incremental_load(spec, source, recent, ctx, mark=mark), spec)
     merged = merged.select(*spark.table(name).columns)
     # The merged days are written aside first: a table cannot be read and replaced at once.
     aside = f"{name}_incoming"

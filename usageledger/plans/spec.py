@@ -52,7 +52,11 @@ class ReportSpec:
 
 def watermark(spec: ReportSpec, target: DataFrame | None):
     """Newest loaded time, or the start of its day for reports that re-read whole days."""
-    value = None if target is None else newest(target, spec.time)
+    return from_newest(spec, None if target is None else newest(target, spec.time))
+
+
+def from_newest(spec: ReportSpec, value):
+    """The watermark that belongs to a newest loaded time."""
     if value is not None and spec.whole_days and isinstance(value, datetime):
         return datetime.combine(value.date(), time())
     return value
@@ -94,9 +98,13 @@ def incremental_load(
     target: DataFrame | None,
     ctx: ReportContext,
     retain_days: int | None = None,
+    mark=None,
 ) -> DataFrame:
-    """The history table after the next batch: scan, key, merge, retention."""
-    mark = watermark(spec, target)
+    """The history table after the next batch: scan, key, merge, retention.
+
+    ``mark`` is the target's watermark if it is known.
+    """
+    mark = watermark(spec, target) if mark is None else mark
     batch = next_batch(spec, source, mark, ctx)
     if target is None:
         # A first batch meets no rows, but an upsert still keeps one row per key.
@@ -110,8 +118,8 @@ def incremental_load(
     return retention_delete(merged, spec.time, retain_days, ctx, spec.account)
 
 
-def new_rows(spec: ReportSpec, source: DataFrame, target: DataFrame, ctx: ReportContext) -> DataFrame:
+def new_rows(spec: ReportSpec, source: DataFrame, target: DataFrame, ctx: ReportContext, mark=None) -> DataFrame:
     """Only the rows an insert-only batch adds, for appending to a stored table."""
-    mark = watermark(spec, target)
+    mark = watermark(spec, target) if mark is None else mark
     batch = next_batch(spec, source, mark, ctx)
     return unmatched(batch, target, [KEY], can_match(spec, mark, target)).select(*target.columns)
