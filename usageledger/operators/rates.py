@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
@@ -47,19 +47,19 @@ def densify(
     sheet = sheet.filter(F.col(day) <= F.lit(until))
     # The last known value of each column on each published day.
     last_known = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v")))).alias(f"_{c}")
-        for c in filled
+        F.expr(f"max(CASE WHEN {c} IS NOT NULL THEN struct({order} AS o, {c} AS v) END) AS _{c}") for c in filled
     ]
     published = sheet.groupBy(*series, day).agg(*last_known)
-    w = Window.partitionBy(*series).orderBy(day)
-    seen = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    carried = published.select(
+    window = f"PARTITION BY {', '.join(series)} ORDER BY {day}"
+    carried = published.selectExpr(
         *series,
         day,
-        F.lead(day).over(w).alias("_next"),
-        *[F.last(f"_{c}", ignorenulls=True).over(seen)["v"].alias(c) for c in filled],
-        *[F.last(f"_{c}", ignorenulls=True).over(before)["v"].alias(f"_was_{c}") for c in filled],
+        f"lead({day}) OVER ({window}) AS _next",
+        *[f"last(_{c}, true) OVER ({window} ROWS UNBOUNDED PRECEDING).v AS {c}" for c in filled],
+        *[
+            f"last(_{c}, true) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING).v AS _was_{c}"
+            for c in filled
+        ],
     )
     gap_start = F.date_add(F.col(day), 1)
     gap_end = F.coalesce(F.date_sub(F.col("_next"), 1), F.lit(until))
@@ -69,37 +69,32 @@ def densify(
     on_day = sheet.select(*series, day, *filled).join(
         carried.select(*series, day, *[f"_was_{c}" for c in filled]), [*series, day]
     )
-    return on_day.select(
-        *series, day, *[F.coalesce(F.col(c), F.col(f"_was_{c}")).alias(c) for c in filled]
-    ).unionByName(gaps)
+    known = on_day.selectExpr(*series, day, *[f"coalesce({c}, _was_{c}) AS {c}" for c in filled])
+    return known.unionByName(gaps)
+
+
+RATE = ("usage_type", "rate_date", "contract_number", "service_level", "currency", "effective_rate", "service_type")
+
+
+def visible_prices(
+    sheet: DataFrame, usage_types: Sequence[str], ctx: ReportContext, all_accounts: bool = False
+) -> DataFrame:
+    """Published prices of the usage types, for the caller's account or all, role gated."""
+    chosen = role_gate(sheet, ctx).filter(F.col("usage_type").isin(list(usage_types)))
+    if all_accounts:
+        return chosen
+    return chosen.filter((F.col("account_locator") == ctx.account) & (F.col("region") == ctx.region))
 
 
 def rate_timeseries(sheet: DataFrame, usage_type: str, ctx: ReportContext) -> DataFrame:
-    """Daily prices of one usage type for the caller's account, role gated."""
-    own = role_gate(sheet, ctx).filter(
-        (F.col("account_locator") == ctx.account)
-        & (F.col("region") == ctx.region)
-        & (F.col("usage_type") == usage_type)
-    )
-    return densify(own, ctx.today).select(
-        "usage_type", "rate_date", "contract_number", "service_level", "currency", "effective_rate", "service_type"
-    )
+    """Daily prices of one usage type for the caller's account."""
+    return densify(visible_prices(sheet, [usage_type], ctx), ctx.today).select(*RATE)
 
 
 def rate_timeseries_all(sheet: DataFrame, usage_type: str, ctx: ReportContext) -> DataFrame:
-    """Daily prices of one usage type for every account and region, role gated."""
-    chosen = role_gate(sheet, ctx).filter(F.col("usage_type") == usage_type)
-    return densify(chosen, ctx.today).select(
-        "account_locator",
-        "region",
-        "usage_type",
-        "rate_date",
-        "contract_number",
-        "service_level",
-        "currency",
-        "effective_rate",
-        "service_type",
-    )
+    """Daily prices of one usage type for every account and region."""
+    series = densify(visible_prices(sheet, [usage_type], ctx, all_accounts=True), ctx.today)
+    return series.select("account_locator", "region", *RATE)
 
 
 def convert_credits_to_currency(
@@ -135,9 +130,7 @@ def few_rates(
     Bounded from the sheet itself: accounts times days times the rows a day has
     in each series. That is much cheaper than building the series to count it.
     """
-    chosen = role_gate(sheet, ctx).filter(F.col("usage_type").isin(list(usage_types)))
-    if not all_accounts:
-        chosen = chosen.filter((F.col("account_locator") == ctx.account) & (F.col("region") == ctx.region))
+    chosen = visible_prices(sheet, usage_types, ctx, all_accounts)
     account_days = (
         chosen.groupBy(*SERIES, "rate_date")
         .agg(F.count(F.lit(1)).alias("rows"))
@@ -161,8 +154,10 @@ def single_rate(sheet: DataFrame, usage_type: str, ctx: ReportContext) -> DataFr
 
 def compute_and_cloud_rates(sheet: DataFrame, ctx: ReportContext, all_accounts: bool = False) -> DataFrame:
     """Compute and cloud services rates side by side, for days that have both."""
-    series = rate_timeseries_all if all_accounts else rate_timeseries
+    both = densify(visible_prices(sheet, [COMPUTE, CLOUD], ctx, all_accounts), ctx.today)
     on = ["rate_date", *(["account_locator", "region"] if all_accounts else [])]
-    compute = series(sheet, COMPUTE, ctx).select(*on, "currency", F.col("effective_rate").alias("compute_rate"))
-    cloud = series(sheet, CLOUD, ctx).select(*on, F.col("effective_rate").alias("cloud_rate"))
+    compute = both.filter(F.col("usage_type") == COMPUTE).select(
+        *on, "currency", F.col("effective_rate").alias("compute_rate")
+    )
+    cloud = both.filter(F.col("usage_type") == CLOUD).select(*on, F.col("effective_rate").alias("cloud_rate"))
     return compute.join(cloud, on)

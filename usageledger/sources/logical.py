@@ -125,19 +125,17 @@ INPUTS: dict[str, str] = {
           o_orderkey AS run_id, CAST(NULL AS STRING) AS return_value
         FROM {{orders}}""",
     "rate_sheet": """
-        SELECT DISTINCT 'ORG' AS organization_name, CAST(o_custkey % 3 AS BIGINT) + 1 AS contract_number,
-          'NAME_' || CAST(o_custkey % 3 AS STRING) AS account_name, 'ACC_' || CAST(o_custkey % 3 AS STRING) AS account_locator,
-          'R1' AS region, CASE WHEN extract(day FROM o_orderdate) >= 21 THEN NULL ELSE 'ENTERPRISE' END AS service_level,
-          CASE WHEN o_orderpriority = '1-URGENT' THEN 'compute' WHEN o_orderpriority = '2-HIGH' THEN 'overage-cloud services'
-            WHEN o_orderpriority = '3-MEDIUM' THEN 'search optimization'
-            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'overage-serverless tasks' ELSE 'overage-adj for incl cloud services' END AS usage_type,
-          CAST(CAST(date_trunc('month', o_orderdate) AS DATE) + INTERVAL '8218' DAY + INTERVAL '1' DAY *
-            CASE WHEN extract(day FROM o_orderdate) < 11 THEN 0 WHEN extract(day FROM o_orderdate) < 21 THEN 10 ELSE 20 END AS DATE) AS rate_date,
-          'USD' AS currency,
-          CAST(CAST(200 + (o_custkey % 3) * 10 + extract(month FROM o_orderdate) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2))
-            AS DECIMAL(12,2)) AS effective_rate,
-          CASE WHEN o_orderpriority = '1-URGENT' THEN 'COMPUTE' ELSE 'OTHER' END AS service_type
-        FROM {orders}""",
+        SELECT 'ORG' AS organization_name, CAST(n AS BIGINT) + 1 AS contract_number, 'NAME_' || CAST(n AS STRING) AS account_name,
+          'ACC_' || CAST(n AS STRING) AS account_locator, 'R1' AS region, CASE WHEN third = 20 THEN NULL ELSE 'ENTERPRISE' END AS service_level,
+          CASE WHEN priority = '1-URGENT' THEN 'compute' WHEN priority = '2-HIGH' THEN 'overage-cloud services'
+            WHEN priority = '3-MEDIUM' THEN 'search optimization' WHEN priority = '4-NOT SPECIFIED' THEN 'overage-serverless tasks'
+            ELSE 'overage-adj for incl cloud services' END AS usage_type,
+          CAST(CAST(month_start AS DATE) + INTERVAL '8218' DAY + INTERVAL '1' DAY * third AS DATE) AS rate_date, 'USD' AS currency,
+          CAST(CAST(200 + n * 10 + extract(month FROM month_start) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS effective_rate,
+          CASE WHEN priority = '1-URGENT' THEN 'COMPUTE' ELSE 'OTHER' END AS service_type
+        FROM (SELECT DISTINCT o_custkey % 3 AS n, o_orderpriority AS priority, date_trunc('month', o_orderdate) AS month_start,
+            CASE WHEN extract(day FROM o_orderdate) < 11 THEN 0 WHEN extract(day FROM o_orderdate) < 21 THEN 10 ELSE 20 END AS third
+          FROM {orders}) published""",
     "org_usage": f"""
         SELECT 'ORG' AS organization_name, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(7 AS BIGINT) END AS contract_number,
           {_name('NAME_', 'o_custkey % 3')} AS account_name, {_name('ACC_', 'o_custkey % 3')} AS account_locator, 'R1' AS region,
