@@ -13,6 +13,10 @@ from usageledger.oracle import ORACLE  # noqa: E402
 from usageledger.queries import QUERIES  # noqa: E402
 
 
+#: All pairs, and rows handed to Python.
+AVOIDED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow")
+
+
 @pytest.fixture(scope="module")
 def con():
     from conftest import SMALL
@@ -26,7 +30,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, folder, name):
-    assert compare.difference(spark, con, folder, name) is None
+    df = QUERIES[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [p for p in AVOIDED if p in plan]
+    assert compare.difference(spark, con, folder, name, df) is None
 
 
 def test_entry_contract(spark):

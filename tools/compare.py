@@ -49,9 +49,9 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def difference(spark, con, folder: str, name: str) -> str | None:
+def difference(spark, con, folder: str, name: str, df=None) -> str | None:
     """None when both sides agree, else what differs."""
-    df = QUERIES[name](spark, folder)
+    df = QUERIES[name](spark, folder) if df is None else df
     got = normalized(df.columns, df.collect())
     cursor = con.execute(ORACLE[name])
     want = normalized([c[0] for c in cursor.description], cursor.fetchall())

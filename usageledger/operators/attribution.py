@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usageledger.functions.times import time_literal, truncate_ntz
+from usageledger.functions.times import hour_number, time_literal
 from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_keys, skew_safe_join
 
 HOUR_KEY = ("warehouse_id", "_hour")
@@ -27,9 +27,7 @@ def hourly_meters(metering: DataFrame, closed: str = "left") -> DataFrame:
     last = F.col("meter_end")
     if closed == "left":
         last = F.greatest(F.col("meter_start"), last - F.expr("INTERVAL 0.000001 SECOND"))
-    hours = F.sequence(
-        truncate_ntz("hour", F.col("meter_start")), truncate_ntz("hour", last), F.expr("INTERVAL 1 HOUR")
-    )
+    hours = F.sequence(hour_number(F.col("meter_start")), hour_number(last))
     return metering.select(
         "warehouse_id",
         F.col("warehouse_name").alias("meter_name"),
@@ -50,7 +48,7 @@ def _within(closed: str) -> Column:
 
 
 def _keyed(queries: DataFrame) -> DataFrame:
-    return queries.withColumn("_hour", truncate_ntz("hour", F.col("start_time")))
+    return queries.withColumn("_hour", hour_number(F.col("start_time")))
 
 
 def match_meters(

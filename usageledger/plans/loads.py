@@ -15,6 +15,7 @@ from usageledger.functions.labels import RATE_LABELS, SPEND_LABELS, normalize_us
 from usageledger.functions.times import derive_time_columns
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators.settings import stamp_context
+from usageledger.operators.skew import skew_safe_join
 from usageledger.operators.watermark import LATE_LOOKBACK, LOAD_WINDOW_DAYS
 from usageledger.plans.spec import ReportSpec
 
@@ -354,15 +355,13 @@ def default_settings(spark: SparkSession, ctx: ReportContext) -> DataFrame:
 
 def pipe_usage(metering: DataFrame, pipes: DataFrame) -> DataFrame:
     """Metering of pipes with where each pipe lives; source of the pipe report."""
-    return metering.join(
-        pipes.select(
-            F.col("pipe_id").alias("entity_id"),
-            "pipe_schema",
-            F.col("pipe_catalog").alias("pipe_database"),
-            "pipe_owner",
-        ),
-        "entity_id",
-    ).select(
+    where = pipes.select(
+        F.col("pipe_id").alias("entity_id"),
+        "pipe_schema",
+        F.col("pipe_catalog").alias("pipe_database"),
+        "pipe_owner",
+    )
+    return skew_safe_join(metering, where, ["entity_id"], spread_by=["start_time"]).select(
         "start_time",
         "end_time",
         F.col("entity_id").alias("pipe_id"),
@@ -380,6 +379,6 @@ def pipe_usage(metering: DataFrame, pipes: DataFrame) -> DataFrame:
 
 def session_logins(sessions: DataFrame, logins: DataFrame) -> DataFrame:
     """Sessions with the login that opened them; source of the session report."""
-    return sessions.join(
-        logins.select(F.col("event_id").alias("login_event_id"), "event_type", "is_success"), "login_event_id"
-    ).select("session_id", "created_on", "user_name", "client_application_id", "event_type", "is_success")
+    opened = logins.select(F.col("event_id").alias("login_event_id"), "event_type", "is_success")
+    # One login, of a service account say, may have opened a large part of all sessions.
+    return skew_safe_join(sessions, opened, ["login_event_id"], spread_by=["session_id"]).select("session_id", "created_on", "user_name", "client_application_id", "event_type", "is_success")
