@@ -27,11 +27,7 @@ def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else f"{value:.5f}".rstrip("0").rstrip(".").replace("-0", "0" if value == 0 else "-0")
-    if isinstance(value, bool):
-        return str(value)
-    if isinstance(value, int):
-        return str(value)
+        return None if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, dt.datetime):
         return value.isoformat(" ")
     return value if value is None else str(value)
