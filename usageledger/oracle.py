@@ -236,7 +236,7 @@ def shares(where: str, unit: str) -> str:
 GUARDED = "CASE WHEN q.execution_time = 0 THEN 1 ELSE q.execution_time END"
 RECENT = "q.start_time >= TIMESTAMP '2023-10-10 00:00:00'"
 ORACLE["attribute_credits"] = f"""WITH {shares('TRUE', GUARDED)}
-SELECT query_id, meter_start, {num('share * 100', 'pct_credit_used_by_query')}, {num('share * meter_credits', 'credit_used_by_query')} FROM shares"""
+SELECT query_id, meter_start, share * 100 AS pct_credit_used_by_query, share * meter_credits AS credit_used_by_query FROM shares"""
 
 DAILY = """daily AS (SELECT name AS warehouse_name, strftime(start_time, '%Y-%m-%d') AS active_date, coalesce(sum(credits_used), 0) AS credits_used
   FROM named_metering GROUP BY ALL)"""
@@ -457,7 +457,7 @@ FROM kept LEFT JOIN compute ON {ON_ACCOUNT.format('compute')} LEFT JOIN cloud ON
 
 ORACLE["rpt_query_credit"] = f"""WITH {shares(f'q.warehouse_size IS NOT NULL AND {RECENT}', 'q.execution_time')}, {resolved()}
 SELECT DISTINCT {STAMP}, warehouse_name, database_name, query_id, CAST(start_time AS DATE) AS start_date,
-  {num('share * 100', 'pct_credit_used_by_query')}, {num('share * meter_credits', 'credit_used_by_query')}
+  share * 100 AS pct_credit_used_by_query, share * meter_credits AS credit_used_by_query
 FROM shares WHERE {allowed(f"{wh()} OR {db()}")}"""
 
 ORACLE["rpt_db_schema_credit"] = f"""WITH {shares(f'q.database_name IS NOT NULL AND q.schema_name IS NOT NULL AND {RECENT}', GUARDED)}, {resolved()}

@@ -1,6 +1,6 @@
 """Named queries: every operator and report over the tables of one folder.
 
-A query takes (spark, folder) and returns a DataFrame. Shares and money are
+A query takes (spark, folder) and returns a DataFrame. Sums and money are
 rounded to six digits in the output only; keys are shown as hex.
 """
 
@@ -69,10 +69,11 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def _plain(f: T.StructField) -> Column:
+def _plain(f: T.StructField, exact: bool) -> Column:
     c = F.col(f"`{f.name}`")
     if isinstance(f.dataType, (T.DecimalType, T.DoubleType)):
-        return F.round(c.cast("double"), 6).alias(f.name)
+        number = c.cast("double")
+        return (number if exact else F.round(number, 6)).alias(f.name)
     if isinstance(f.dataType, T.BinaryType):
         return key_text(c).alias(f.name)
     if isinstance(f.dataType, T.TimestampType):
@@ -80,9 +81,13 @@ def _plain(f: T.StructField) -> Column:
     return c
 
 
-def shown(df: DataFrame) -> DataFrame:
-    """Columns in the form results are compared in."""
-    return df.select(*[_plain(f) for f in df.schema.fields])
+def shown(df: DataFrame, exact: bool = False) -> DataFrame:
+    """Columns in the form results are compared in.
+
+    Numbers are rounded, since sums depend on the order they are added in;
+    ``exact`` numbers come from one row and need no rounding.
+    """
+    return df.select(*[_plain(f, exact) for f in df.schema.fields])
 
 
 def patterns(spark: SparkSession, folder: str, ctx: ReportContext = EVENTS) -> DataFrame:
@@ -261,7 +266,7 @@ def _convert_credits_to_currency(spark, folder):
 @query("attribute_credits")
 def _attribute_credits(spark, folder):
     shares = attribute_credits(logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), guard_zero=True)
-    return shown(shares.select("query_id", "meter_start", "pct_credit_used_by_query", "credit_used_by_query"))
+    return shown(shares.select("query_id", "meter_start", "pct_credit_used_by_query", "credit_used_by_query"), exact=True)
 
 
 @query("publish_swap")
@@ -470,7 +475,7 @@ def _rpt_org_metering(spark, folder):
 @query("rpt_query_credit")
 def _rpt_query_credit(spark, folder):
     credits = snapshots.query_credit(logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), EVENTS)
-    return shown(snapshots.query_credit_view(credits, patterns(spark, folder)))
+    return shown(snapshots.query_credit_view(credits, patterns(spark, folder)), exact=True)
 
 
 @query("rpt_db_schema_credit")
