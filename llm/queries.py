@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, exact_dedup, mixing
+from llm import bpe, exact_dedup, mixing, simhash
 from llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).withColumn("row_key", F.monotonically_increasing_id())
     return exact_dedup.dedup_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op6_simhash_dedup")
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
