@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, exact_dedup, mixing, simhash
+from llm import bpe, exact_dedup, langid, mixing, simhash
 from llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = langid.identify(docs, langid.train(docs), ["doc_id"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
