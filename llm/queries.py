@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, exact_dedup, langid, mixing, simhash
+from llm import bpe, exact_dedup, langid, mixing, simhash, sketch
 from llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op5_sketch")
+def op5_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprint_pairs(documents(spark, folder))
+
+
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
