@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, exact_dedup, langid, mixing, simhash, sketch
-from llm.common import documents
+from llm import bpe, exact_dedup, langid, mixing, simhash, sketch, toxicity
+from llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,14 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, folder), VOCABULARY)
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxicity.fit(toxicity.training_sample(docs, table(spark, folder, "labels")))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 MIX_SQL = r"""
 WITH rows AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
