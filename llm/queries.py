@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, exact_dedup, langid, mixing, simhash, sketch, toxicity
+from llm import bpe, chat, exact_dedup, langid, mixing, simhash, sketch, toxicity
 from llm.common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,33 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     return register
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, regexp_replace(replace(text, '\', '\\'),
+    '(<)(\|im_start\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>|\|endoftext\|>)|(\[)(INST\]|/INST\])', '\1\3#\2\4', 'g') AS body
+  FROM rows)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(role) + length(body) + 24)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query("op2_chat", CHAT_SQL)
+def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
+    rows = rows.unionByName(spark.createDataFrame(more, rows.schema))
+    return chat.read_back(*chat.prefix_trees(rows))
+
 
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
