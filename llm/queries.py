@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import bpe, chat, exact_dedup, langid, mixing, simhash, sketch, toxicity
-from llm.common import documents, table
+from llm import archive, bpe, chat, exact_dedup, langid, mixing, simhash, sketch, toxicity, urlfilter
+from llm.common import documents, pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,30 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     return register
 
+@query("op1_url_filter")
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(pages(spark, folder))
+
+
+ARCHIVE_SQL = r"""
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+rows AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (1 + ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31))::INT, 1)), '') AS payload_digest
+  FROM hashed),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM rows GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM rows JOIN firsts USING (payload_digest)
+"""
+
+
+@query("op8_archive", ARCHIVE_SQL)
+def op8_archive(spark: SparkSession, folder: str) -> DataFrame:
+    return archive.archived_pages(pages(spark, folder))
+
+
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 CHAT_SQL = r"""
