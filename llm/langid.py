@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.common import fresh, id_text, ship, uniform
 
@@ -92,10 +93,12 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def ftrl(x: np.ndarray, y: np.ndarray, classes: int, s: Settings, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+Row = tuple[np.ndarray, np.ndarray]  # the slots that a text uses, and their values
+
+
+def ftrl(rows: list[Row], y: np.ndarray, slots: int, classes: int, s: Settings, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias of a multinomial logistic regression by FTRL-proximal, one row at a time."""
-    n_features = x.shape[1] + 1
-    z = np.zeros((n_features, classes), dtype=np.float64)
+    z = np.zeros((slots + 1, classes), dtype=np.float64)
     g2 = np.zeros_like(z)
     order = np.random.default_rng(seed)
 
@@ -103,12 +106,10 @@ def ftrl(x: np.ndarray, y: np.ndarray, classes: int, s: Settings, seed: int = 7)
         shrunk = np.sign(zs) * s.l1 - zs
         return np.where(np.abs(zs) <= s.l1, 0.0, shrunk / ((s.beta + np.sqrt(gs)) / s.alpha + s.l2))
 
-    active = [np.flatnonzero(row) for row in x]
     target = np.eye(classes)
     for _ in range(s.epochs):
-        for i in order.permutation(len(x)):
-            at = np.append(active[i], n_features - 1)
-            value = np.append(x[i, active[i]], 1.0)
+        for i in order.permutation(len(rows)):
+            at, value = np.append(rows[i][0], slots), np.append(rows[i][1], 1.0)
             w = solve(z[at], g2[at])
             error = softmax(value @ w) - target[y[i]]
             g = value[:, None] * error
@@ -141,18 +142,25 @@ def fit(rows: list[tuple[str, str]], s: Settings = Settings()) -> Model:
     languages = sorted({lang for _, lang in rows})
     if not languages:
         return Model([UNDETERMINED], np.ones(s.slots, np.float32), np.zeros((s.slots, 1), np.float32), np.zeros(1, np.float32), 1.0)
-    counts = np.stack([ngram_counts(t, s.slots) for t, _ in rows])
-    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1
-    x = np.log1p(counts).astype(np.float32) * idf.astype(np.float32)
-    del counts
-    x /= np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+    used = []
+    seen = np.zeros(s.slots, dtype=np.int64)
+    for t, _ in rows:
+        counts = ngram_counts(t, s.slots)
+        at = np.flatnonzero(counts).astype(np.int32)
+        used.append((at, np.log1p(counts[at]).astype(np.float32)))
+        seen[at] += 1
+    idf = np.log((1 + len(rows)) / (1 + seen)) + 1
+    x: list[Row] = []
+    for at, tf in used:
+        value = tf * idf[at]
+        x.append((at, (value / np.sqrt(value @ value)).astype(np.float32)))
     y = np.array([languages.index(lang) for _, lang in rows])
     rest = np.random.default_rng(11).random(len(rows)) < s.calibration_share
     if rest.all() or not rest.any():
         rest[:] = False
-    w, bias = ftrl(x[~rest], y[~rest], len(languages), s)
-    t = temperature(x[rest] @ w + bias, y[rest])
-    return Model(languages, idf, w, bias, t)
+    w, bias = ftrl([r for r, out in zip(x, rest) if not out], y[~rest], s.slots, len(languages), s)
+    logits = np.array([v @ w[at] + bias for (at, v), out in zip(x, rest) if out]).reshape(-1, len(languages))
+    return Model(languages, idf, w, bias, temperature(logits, y[rest]))
 
 
 def training_sample(rows: DataFrame, s: Settings = Settings()) -> list[tuple[str, str]]:
@@ -190,8 +198,10 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model:
     return fit(training_sample(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), s), s)
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep``, lang_pred and score of every row.
+def identify(
+    docs: DataFrame, model: Model, keep: list[str], text: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` of every row, its language and the score of that, called ``names``.
 
     ``und`` with score 0 where the text is null or has no letter. Only the text
     is read. An empty table gives no rows; rows may repeat.
@@ -208,12 +218,13 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                 lang, score = found.predict(some.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    names=[*keep, "lang_pred", "score"],
+                    names=[*keep, *names],
                 )
 
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("text_read"))
-    wanted = narrow.drop("text_read").withColumn("lang_pred", F.lit("").cast("string")).withColumn("score", F.lit(0.0))
-    return narrow.mapInArrow(task, wanted.schema)
+    (read,) = fresh(keep, "text_read")
+    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(read))
+    found_fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return narrow.mapInArrow(task, T.StructType([*narrow.schema.fields[:-1], *found_fields]))
 
 
 def with_known_language(docs: DataFrame, least: float = 0.3, s: Settings = Settings()) -> DataFrame:
@@ -223,5 +234,5 @@ def with_known_language(docs: DataFrame, least: float = 0.3, s: Settings = Setti
     """
     model = train(docs, s)
     lang, score = fresh(docs.columns, "lang_pred", "score")
-    found = identify(docs, model, docs.columns).toDF(*docs.columns, lang, score)
+    found = identify(docs, model, docs.columns, names=(lang, score))
     return found.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,8 +41,8 @@ REMEMBERED = 200_000
 class Settings:
     """per_class, characters: bounds of the training sample, in labelled documents of a class and characters of all."""
 
-    per_class: int = 1500
-    characters: int = 16_000_000
+    per_class: int = 1000
+    characters: int = 6_000_000
     candidates: int = 800
     landmarks: int = 96
     decay: float = 0.75
@@ -238,15 +238,14 @@ def pick_landmarks(toxic: list[set[str]], clean: list[set[str]], s: Settings) ->
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
     """A linear support vector machine by averaged subgradient steps."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    mean_w, mean_b, n = np.zeros_like(w), 0.0, 0
-    total = weight.sum()
+    w, b = np.zeros(x.shape[1], dtype=np.float32), 0.0  # of x's type, which is not copied then
+    mean_w, mean_b, n = np.zeros(x.shape[1]), 0.0, 0
+    pull = (weight * y / weight.sum()).astype(np.float32)
     for t in range(1, s.steps + 1):
-        inside = y * (x @ w + b) < 1
-        g = -((weight * y * inside) @ x) / total + s.penalty * w
-        gb = -(weight * y * inside).sum() / total
+        inside = np.where(y * (x @ w + b) < 1, pull, np.float32(0))
         step = 30.0 / np.sqrt(t)
-        w, b = w - step * g, b - step * 0.1 * gb
+        w = (w * (1 - step * s.penalty) + step * (inside @ x)).astype(np.float32)
+        b += step * 0.1 * float(inside.sum())
         if t > s.steps // 2:
             mean_w, mean_b, n = mean_w + w, mean_b + b, n + 1
     return mean_w / max(n, 1), float(mean_b / max(n, 1))
@@ -298,9 +297,10 @@ def fit(rows: list[tuple[str, int]], s: Settings = Settings()) -> Model:
             at = np.fromiter((number[t] for t in tokens), dtype=np.int64, count=len(tokens))
             sentences.append(np.add.reduceat(near[at], starts, axis=0))
             owner.append(np.full(len(starts), d))
-    x = np.concatenate(sentences).astype(np.float64) @ root
+    x = np.concatenate(sentences) @ root.astype(np.float32)
+    del sentences
     owner = np.concatenate(owner)
-    y = label[owner].astype(np.float64)
+    y = label[owner].astype(np.float32)
     use = np.ones(len(x), dtype=bool)
     for round_no in range(s.rounds):
         pos, neg = use & (y > 0), use & (y < 0)
