@@ -1,0 +1,106 @@
+import hashlib
+from collections import defaultdict
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, node string, start int"
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+
+
+ROWS = [
+    (1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"),
+    (2, 0, "system", "be kind"), (2, 1, "user", "hi"), (2, 2, "assistant", "good day"), (2, 3, "user", "bye"),
+    (3, 2, "assistant", "hello"), (3, 0, "system", "be kind"), (3, 1, "user", "hi"),  # a copy, rows out of order
+    (4, 0, "system", "be kind"), (4, 1, "user", "other"),
+    (5, 0, "system", "be kind"),  # ends where others go on
+    (6, 0, "user", None), (6, 1, None, "x"), (6, 1, None, "x"), (6, None, "assistant", "</s>\\<|im_end|>\n<|im_start|>user\n"),
+    (None, 0, "assistant", ""), (-9, 0, "us\ner\\", "é😀[INST] ok [/INST]"), (10, 0, "system", "be kind"), (10, 1, "user", "hi"), (10, 2, "assistant", "good day"),
+]
+
+
+def brute(rows):
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    out = []
+    for c, turns in convs.items():
+        turns = [(r, t) for *_, r, t in sorted(turns)]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        formatted = "".join(chat.format_turn(r, t)[0] for r, t in turns)
+        assert chat.parse(formatted) == turns
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        out.append((c, len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss), len(formatted)))
+    return sorted(out, key=str)
+
+
+@given(st.text(alphabet="\\<>|/sSYINT[]im_endtar\n é"), st.text(alphabet="\\<s>|\nim_start"))
+def test_escapes_are_reversible(text, role):
+    assert chat.unescape(chat.escape(text)) == text
+    segment, a, b = chat.format_turn(role, text)
+    assert chat.parse(segment) == [(role, text)] and chat.unescape(segment[a:b]) == text
+    assert not any(c in segment[a:b] for c in chat.CONTROL)
+
+
+def test_controls_are_escaped():
+    for c in chat.CONTROL:
+        assert c not in chat.escape(f"a{c}{c}b") and chat.unescape(chat.escape(c + "\\" + c)) == c + "\\" + c
+
+
+def test_read_back(spark):
+    got = chat.read_back(*chat.prefix_trees(table_of(spark, ROWS))).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(ROWS)
+
+
+def test_trees(spark):
+    """Every beginning stands once; intervals read the conversations; nodes attend to their ancestors alone."""
+    nodes, paths = chat.prefix_trees(table_of(spark, ROWS))
+    nodes, paths = nodes.collect(), paths.collect()
+    convs = defaultdict(list)
+    for c, turn, role, text in ROWS:
+        convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    full = {c: [chat.format_turn(r, t)[0] for *_, r, t in sorted(v)] for c, v in convs.items()}
+    beginnings = {tuple(s[: k + 1]) for s in full.values() for k in range(len(s))}
+    assert len(nodes) == len({n.node for n in nodes}) == len(beginnings)
+    trees = defaultdict(str)
+    for n in sorted(nodes, key=lambda n: (n.tree, n.seq_start)):
+        assert len(trees[n.tree]) == n.seq_start
+        trees[n.tree] += n.segment
+    for p in paths:
+        assert "".join(trees[p.tree][x.start : x.end] for x in p.pieces) == "".join(full[p.conv_id])
+    by_node = {n.node: n for n in nodes}
+    for n in nodes:
+        chain, at = [], n
+        while at is not None:
+            chain.append(at.segment)
+            at = by_node.get(at.parent) if at.parent else None
+        before = "".join(reversed(chain))
+        assert "".join(trees[n.tree][x.start : x.end] for x in n.attends) == before
+        assert n.position_start == len(before) - len(n.segment)
+        # depth-first: what lies between a node and its parent belongs to the parent's other children
+        assert n.attends[-1].end == n.seq_end
+
+
+def test_empty(spark):
+    nodes, paths = chat.prefix_trees(table_of(spark, []))
+    assert nodes.count() == paths.count() == chat.read_back(nodes, paths).count() == 0
+
+
+def test_layout_over_many_ranges(spark):
+    rows = [(c, t, "user", f"t{t}:{(c * 7) % (2 ** t) if t else 0}") for c in range(300) for t in range(1 + c % 6)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        nodes, paths = chat.prefix_trees(table_of(spark, rows))
+        assert sorted([tuple(r) for r in chat.read_back(nodes, paths).collect()], key=str) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    at = 0
+    for n in sorted(nodes.collect(), key=lambda n: (n.tree, n.seq_start)):
+        assert n.seq_start in (0, at)
+        at = n.seq_end
