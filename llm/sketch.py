@@ -158,6 +158,8 @@ def _with_range(rows: DataFrame, edges: list[float]) -> DataFrame:
     """A column ``range``: 0 for the largest ids; a missing id lies in the last range, which has no other."""
     from pyspark.ml.feature import Bucketizer
 
+    if not edges:
+        return rows.withColumn("range", F.lit(0))
     splits = [-math.inf, *edges, math.inf]
     dealt = Bucketizer(splits=splits, inputCol="number", outputCol="place", handleInvalid="keep").transform(
         rows.withColumn("number", F.col("doc_id").cast("double"))
