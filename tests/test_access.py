@@ -70,10 +70,10 @@ def patterns(spark):
     return spark.createDataFrame([("DB_1", "WH_1"), ("DB_5", "WH_2")], "database_pattern string, warehouse_pattern string")
 
 
-@pytest.mark.parametrize("literal", [500, 0])
+@pytest.mark.parametrize("literal", [1000, 0])
 def test_scope_modes(data, patterns, literal):
-    """The same rows whether patterns become literals or are joined."""
-    kw = {"literal_patterns": literal}
+    """The same rows whether patterns become literals or are read by the tasks."""
+    kw = {"literal_characters": literal}
     ids = lambda df: [r[0] for r in rows(df, "id")]
     assert ids(access.scope_rows_single(data, patterns, "database_name", **kw)) == [1, 3, 4]
     assert ids(access.scope_rows_single(data, patterns, "warehouse_name", access.WAREHOUSE, **kw)) == [1, 2, 4]
@@ -86,7 +86,25 @@ def test_scope_keeps_repeated_rows_once_per_row(data, spark):
     overlapping = spark.createDataFrame([("DB_.", "x"), ("DB_1", "x")], "database_pattern string, warehouse_pattern string")
     twice = data.union(data)
     assert access.scope_rows_single(twice, overlapping, "database_name").count() == 8
-    assert access.scope_rows_single(twice, overlapping, "database_name", literal_patterns=0).count() == 8
+    assert access.scope_rows_single(twice, overlapping, "database_name", literal_characters=0).count() == 8
+
+
+@pytest.mark.parametrize("literal", [10**6, 0])
+def test_many_patterns(spark, literal):
+    """Thousands of patterns are a few expressions, or meet names that are spread over tasks."""
+    data = spark.range(3000).selectExpr("id", "concat('DB_', id) AS database_name", "concat('WH_', id % 10) AS warehouse_name")
+    wanted = spark.range(2500).selectExpr("concat('DB_', id * 2, '(a|b)?') AS database_pattern", "concat('WH_', id % 5) AS warehouse_pattern")
+    got = access.scope_rows_both(data, wanted, literal_characters=literal)
+    assert {r.id for r in got.collect()} == {i for i in range(0, 3000, 2) if i % 10 == (i // 2) % 5}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    if literal:
+        assert "Join" not in plan and plan.count("RLIKE") <= 12
+
+
+def test_patterns_with_group_references_stand_alone(spark, data):
+    own = spark.createDataFrame([("(D)B_1", "x"), (r"DB_(\d)\1?", "x"), (r"(?<k>W)H_\k<k>?9", "y")], "database_pattern string, warehouse_pattern string")
+    assert [r[0] for r in rows(access.scope_rows_single(data, own, "database_name"), "id")] == [1, 2, 3, 4]
 
 
 def test_few_patterns_add_no_join(data, patterns):

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
-from usageledger.functions.patterns import full_match, full_match_column
+from usageledger.functions.patterns import alternations, full_match, full_match_column
 
-#: Up to this many patterns become literals in a filter; more are joined.
-LITERAL_PATTERNS = 500
-#: Patterns per task when they are joined.
-PATTERNS_PER_SLICE = 2_000
+#: Patterns of up to so many characters in all become literals of the plan; more are read by the tasks.
+LITERAL_CHARACTERS = 1_000_000
+#: Stands between the names of two columns that one expression tests together.
+_BETWEEN = "\x00"
 
 DATABASE, WAREHOUSE = "database_pattern", "warehouse_pattern"
 
@@ -43,46 +43,74 @@ def resolve_access_patterns(access_map: DataFrame, ctx: ReportContext) -> DataFr
     )
 
 
+def _tested(columns: Sequence[str]) -> Column:
+    """One text of the columns; missing when one of them is."""
+    return F.concat(*_between([F.col(c) for c in columns]))
+
+
+def _between(parts: Sequence) -> list:
+    return [x for part in parts for x in (F.lit(_BETWEEN), part)][1:]
+
+
 def _scope(
     df: DataFrame,
     patterns: DataFrame,
     tests: Sequence[tuple[str, str]],
     every: bool,
-    literal_patterns: int,
+    literal_characters: int,
 ) -> DataFrame:
     """Rows for which some pattern row passes the tests (column, pattern column).
 
-    Few patterns turn into a literal predicate: no join at all. Many patterns are
-    matched against the distinct names, which are far fewer than rows, and the
-    rows are then semi-joined on the names.
+    Patterns become alternations: one regular expression for many of them, as a
+    literal predicate without a join. Where several columns must match the same
+    pattern row, they are tested as one text. Patterns beyond
+    ``literal_characters``, which the driver shouldn't hold, meet the distinct
+    names instead, spread over tasks by the names' hash.
     """
-    combine = (lambda a, b: a & b) if every else (lambda a, b: a | b)
     used = list(dict.fromkeys(p for _, p in tests))
+    joined = every and len(tests) > 1
+    # columns that are tested as one text, or each on its own against the expressions of their pattern column
+    subjects = [[c for c, _ in tests]] if joined else [[c for c, q in tests if q == p] for p in used]
     wanted = patterns.select(*used).distinct()
-    found = wanted.limit(literal_patterns + 1).collect()
-    if not found:
-        return df.filter(F.lit(False))
-    if len(found) <= literal_patterns:
-        rows = sorted(tuple(r) for r in found)
-        at = {p: i for i, p in enumerate(used)}
-        allowed = [reduce(combine, [full_match(F.col(c), r[at[p]]) for c, p in tests]) for r in rows]
-        return df.filter(reduce(lambda a, b: a | b, allowed))
-    columns = list(dict.fromkeys(c for c, _ in tests))
-    slices = int(wanted.count() // PATTERNS_PER_SLICE) + 1
-    sliced = wanted.withColumn("_slice", F.pmod(F.xxhash64(*used), F.lit(slices)).cast("int"))
-    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
-    names = df.select(*columns).distinct().withColumn("_slice", F.explode(every_slice))
-    match = reduce(combine, [full_match_column(F.col(c), F.col(p)) for c, p in tests])
-    visible = names.join(sliced, "_slice").filter(match).select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
+    characters = wanted.agg(F.sum(reduce(lambda a, b: a + b, [F.length(p) for p in used]))).scalar()
+    found = wanted.filter(F.coalesce(characters, F.lit(0)) <= literal_characters).collect()
+    if not found and not wanted.isEmpty():
+        return _scope_by_names(df, wanted, used, subjects, joined)
+    texts = [{_BETWEEN.join(f"(?:{x})" for x in r) for r in found}] if joined else [{r[p] for r in found} for p in used]
+    allowed = F.lit(False)
+    for patterns_of, columns in zip(texts, subjects):
+        for e in alternations(sorted(patterns_of)):
+            for subject in [_tested(columns)] if joined else [F.col(c) for c in columns]:
+                allowed = allowed | full_match(subject, e)
+    return df.filter(allowed)
+
+
+def _scope_by_names(
+    df: DataFrame, wanted: DataFrame, used: Sequence[str], subjects: Sequence[Sequence[str]], joined: bool
+) -> DataFrame:
+    """The same rows, found through the distinct names: each slot of names meets every expression."""
+    grouped = [F.concat(F.lit("(?:"), F.col(p), F.lit(")")) for p in used]
+    each = [F.concat(*_between(grouped))] if joined else [F.col(p) for p in used]
+    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = list(dict.fromkeys(c for cs in subjects for c in cs))
+    visible = None
+    for expression, own in zip(each, subjects):
+        everywhere = wanted.select(expression.alias("e")).distinct().withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        for subject in [_tested(own)] if joined else [F.col(c) for c in own]:
+            names = df.select(*columns).distinct().withColumn("_subject", subject).filter(F.col("_subject").isNotNull())
+            names = names.withColumn("_slot", F.pmod(F.xxhash64("_subject"), F.lit(slots)).cast("int"))
+            same = (names["_slot"] == everywhere["_slot"]) & full_match_column(F.col("_subject"), F.col("e"))
+            seen = names.join(everywhere, same, "left_semi").select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
+            visible = seen if visible is None else visible.unionByName(seen)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in columns])
     return df.join(visible.distinct(), same, "left_semi")
 
 
 def scope_rows_single(
-    df: DataFrame, patterns: DataFrame, column: str, pattern: str = DATABASE, literal_patterns: int = LITERAL_PATTERNS
+    df: DataFrame, patterns: DataFrame, column: str, pattern: str = DATABASE, literal_characters: int = LITERAL_CHARACTERS
 ) -> DataFrame:
     """One column must match some pattern."""
-    return _scope(df, patterns, [(column, pattern)], True, literal_patterns)
+    return _scope(df, patterns, [(column, pattern)], True, literal_characters)
 
 
 def scope_rows_either(
@@ -90,10 +118,10 @@ def scope_rows_either(
     patterns: DataFrame,
     warehouse: str = "warehouse_name",
     database: str = "database_name",
-    literal_patterns: int = LITERAL_PATTERNS,
+    literal_characters: int = LITERAL_CHARACTERS,
 ) -> DataFrame:
     """The warehouse or the database must match."""
-    return _scope(df, patterns, [(warehouse, WAREHOUSE), (database, DATABASE)], False, literal_patterns)
+    return _scope(df, patterns, [(warehouse, WAREHOUSE), (database, DATABASE)], False, literal_characters)
 
 
 def scope_rows_both(
@@ -101,10 +129,10 @@ def scope_rows_both(
     patterns: DataFrame,
     warehouse: str = "warehouse_name",
     database: str = "database_name",
-    literal_patterns: int = LITERAL_PATTERNS,
+    literal_characters: int = LITERAL_CHARACTERS,
 ) -> DataFrame:
     """Warehouse and database must match the same pattern row."""
-    return _scope(df, patterns, [(warehouse, WAREHOUSE), (database, DATABASE)], True, literal_patterns)
+    return _scope(df, patterns, [(warehouse, WAREHOUSE), (database, DATABASE)], True, literal_characters)
 
 
 def scope_rows_two_columns(
@@ -113,10 +141,10 @@ def scope_rows_two_columns(
     first: str,
     second: str,
     pattern: str = DATABASE,
-    literal_patterns: int = LITERAL_PATTERNS,
+    literal_characters: int = LITERAL_CHARACTERS,
 ) -> DataFrame:
     """Either of two columns must match one pattern."""
-    return _scope(df, patterns, [(first, pattern), (second, pattern)], False, literal_patterns)
+    return _scope(df, patterns, [(first, pattern), (second, pattern)], False, literal_characters)
 
 
 def role_gate(df: DataFrame, ctx: ReportContext, role: str = REPORT_SERVICE_ROLE) -> DataFrame:
