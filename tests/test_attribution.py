@@ -37,10 +37,10 @@ def q(i, wh, t, x, user="u", db="d", schema="s"):
     return (i, wh, t, x, user, db, schema)
 
 
-@pytest.mark.parametrize("max_rows", [1000, 0])
-def test_shares(spark, meters, max_rows):
+@pytest.mark.parametrize("max_bytes", [10**6, 0])
+def test_shares(spark, meters, max_bytes):
     df = queries(spark, [q(1, 1, H, 30), q(2, 1, H + HOUR / 2, 10), q(3, 1, H + HOUR, 7), q(4, 2, H + 3 * HOUR, 1)])
-    got = attribute_credits(df, meters, max_rows=max_rows)
+    got = attribute_credits(df, meters, max_bytes=max_bytes)
     assert rows(got, "query_id", "pct_credit_used_by_query", "credit_used_by_query") == [(1, 75.0, 7.5), (2, 25.0, 2.5), (3, 100.0, 20.0)]
 
 
@@ -71,7 +71,7 @@ def test_meters_longer_than_an_hour(spark):
 def test_groups_sum_to_the_single_queries(spark, folder):
     data, meters = logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering")
     single = attribute_credits(data, meters, guard_zero=True).groupBy("meter_name", "user_name").agg(F.round(F.sum("credit_used_by_query"), 6))
-    grouped = attribute_groups(data, meters, ["user_name"], max_rows=0).groupBy("meter_name", "user_name").agg(F.round(F.sum("credits"), 6))
+    grouped = attribute_groups(data, meters, ["user_name"], max_bytes=0).groupBy("meter_name", "user_name").agg(F.round(F.sum("credits"), 6))
     assert rows(single) == rows(grouped)
 
 

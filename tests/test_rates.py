@@ -84,15 +84,34 @@ def test_rates_of_other_accounts_do_not_fan_out(spark, sheet, ctx):
     assert [(r[0], r[1], float(r[4])) for r in rows(got)] == [("ACC_0", "R1", 3.0), ("ACC_0", "R2", 0.0), ("ACC_1", "R1", 9.0)]
 
 
+def test_two_contracts_in_two_currencies_price_a_row_once(spark, ctx):
+    """Compute and cloud prices are of one contract, and metered rows stay as many."""
+    d = date(2024, 2, 1)
+    lines = [
+        line("ACC_0", d, "2.00", 1), line("ACC_0", d, "1.00", 1, usage="cloud services"),
+        line("ACC_0", d, "3.00", 2), line("ACC_0", d, "5.00", 2, usage="cloud services"),
+        line("ACC_0", date(2024, 2, 3), "9.00", 4), line("ACC_0", d, "8.00", 2, level="ABC"),
+    ]
+    euro = spark.createDataFrame(lines, SHEET).withColumn("currency", rates.F.when(rates.F.col("contract_number") == 2, "EUR").otherwise("USD"))
+    both = rates.compute_and_cloud_rates(euro, ctx)
+    assert [(r.rate_date.day, r.currency, str(r.compute_rate), str(r.cloud_rate)) for r in both.orderBy("rate_date").collect()] == [
+        (k, "EUR", "3.00", "5.00") for k in range(1, 11)
+    ]
+    one = {r.rate_date.day: (r.currency, str(r.rate)) for r in rates.single_rate(euro, "compute", ctx).collect()}
+    assert one == {k: ("EUR", "3.00") if k < 3 else ("USD", "9.00") for k in range(1, 11)}
+    facts = spark.createDataFrame([(datetime(2024, 2, k, 3), 1.0) for k in (1, 2, 5)], "start_time timestamp_ntz, credits_used double")
+    got = rates.convert_credits_to_currency(facts, both, {"credits_used": "compute_rate"})
+    assert [(float(r["credits_used_effective_rate"]), r["currency"]) for r in got.collect()] == [(3.0, "EUR")] * 3
+
+
 def test_days_need_both_prices(sheet, ctx):
     days = [r[0].day for r in rows(rates.compute_and_cloud_rates(sheet, ctx), "rate_date")]
     assert days == [4, 5, 6, 7, 8, 9, 10]
 
 
-def test_size_of_the_series_is_known_beforehand(sheet, ctx, monkeypatch):
+def test_size_of_the_series_is_known_beforehand(sheet, ctx):
     assert rates.few_rates(sheet, [rates.COMPUTE, rates.CLOUD], ctx)
-    monkeypatch.setattr(rates, "BROADCAST_ROWS", 9)
-    assert not rates.few_rates(sheet, [rates.COMPUTE], ctx)
+    assert not rates.few_rates(sheet, [rates.COMPUTE], ctx, max_bytes=2000)
     assert rates.few_rates(sheet.filter("false"), [rates.COMPUTE], ctx)
 
 

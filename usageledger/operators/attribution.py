@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import hour_number, time_literal
-from usageledger.operators.skew import BROADCAST_ROWS, fits_broadcast, hot_keys, skew_safe_join
+from usageledger.operators.skew import BROADCAST_BYTES, fits_broadcast, hot_keys, hot_rows_of, skew_safe_join
 
 HOUR_KEY = ("warehouse_id", "_hour")
 #: Meter columns after the interval join.
@@ -57,7 +57,7 @@ def match_meters(
     closed: str = "left",
     small: bool | None = None,
     hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Queries with the meter interval they started in; ``hourly`` comes from ``hourly_meters``.
 
@@ -65,7 +65,7 @@ def match_meters(
     of their hour and not every meter of the warehouse.
     """
     joined = skew_safe_join(
-        _keyed(queries), hourly, HOUR_KEY, "inner", ["query_id", "start_time"], small, hot, max_rows
+        _keyed(queries), hourly, HOUR_KEY, "inner", ["query_id", "start_time"], small, hot, max_bytes
     )
     return joined.filter(_within(closed)).drop("_hour")
 
@@ -81,7 +81,7 @@ def attribute_credits(
     metering: DataFrame,
     closed: str = "left",
     guard_zero: bool = False,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Each matched query with its percentage and its credit.
 
@@ -90,10 +90,12 @@ def attribute_credits(
     one task. An interval without any execution time gives NULL.
     """
     slim = queries.select("query_id", "warehouse_id", "start_time", "execution_time")
-    interval = ["meter_name", "meter_start", "meter_end"]
     hourly = hourly_meters(metering, closed)
-    small = fits_broadcast(hourly, max_rows)
-    hot = None if small else hot_keys(_keyed(slim), HOUR_KEY)
+    # Meters without a name form intervals like the others.
+    hourly = hourly.withColumns({"_name": F.coalesce("meter_name", F.lit("")), "_unnamed": F.col("meter_name").isNull()})
+    interval = ["_name", "_unnamed", "meter_start", "meter_end"]
+    small = fits_broadcast(hourly, max_bytes)
+    hot = None if small else hot_keys(_keyed(slim), HOUR_KEY, hot_rows_of(slim))
     totals = (
         match_meters(slim, hourly, closed, small, hot)
         .groupBy(*interval)
@@ -105,7 +107,7 @@ def attribute_credits(
     return (
         match_meters(queries, with_total, closed, small, hot)
         .withColumns({"pct_credit_used_by_query": share * 100, "credit_used_by_query": share * F.col("meter_credits")})
-        .drop("_total")
+        .drop("_total", "_name", "_unnamed")
     )
 
 
@@ -115,14 +117,14 @@ def attribute_groups(
     group: Sequence[str],
     closed: str = "left",
     guard_zero: bool = True,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Credits and query counts per meter interval and group.
 
     One pass over the queries: they are summed per (interval, group) on the map
     side, and the interval's total is taken over those few sums.
     """
-    matched = match_meters(queries, hourly_meters(metering, closed), closed, max_rows=max_rows)
+    matched = match_meters(queries, hourly_meters(metering, closed), closed, max_bytes=max_bytes)
     sums = matched.groupBy(*METER, *group).agg(
         F.sum("execution_time").alias("_time"), F.sum(_units(guard_zero)).alias("_units"), F.count(F.lit(1)).alias("queries")
     )
@@ -131,12 +133,12 @@ def attribute_groups(
     return sums.withColumn("credits", share * F.col("meter_credits")).drop("_time", "_units")
 
 
-def db_schema_credits(queries: DataFrame, metering: DataFrame, closed: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def db_schema_credits(queries: DataFrame, metering: DataFrame, closed: str = "left", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Credits per warehouse, database, schema and day, of queries that used a schema."""
     placed = queries.filter(F.col("database_name").isNotNull() & F.col("schema_name").isNotNull()).withColumn(
         "usage_date", F.to_date("start_time")
     )
-    groups = attribute_groups(placed, metering, ["database_name", "schema_name", "usage_date"], closed, max_rows=max_rows)
+    groups = attribute_groups(placed, metering, ["database_name", "schema_name", "usage_date"], closed, max_bytes=max_bytes)
     return groups.groupBy(
         F.col("meter_name").alias("warehouse_name"), "database_name", "schema_name", "usage_date"
     ).agg(F.sum("credits").alias("credit_used"))
@@ -161,17 +163,18 @@ def month_credits_pivot(
     duration: int = 12,
     starting_from: int = 0,
     closed: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per warehouse, user and resource monitor: credits and query count of each month.
 
     ``monitors`` has resource_monitor_name and warehouse_name. The month list is
-    known beforehand, so the pivot is a plain conditional aggregation.
+    known beforehand, so the pivot is a plain conditional aggregation. Meters are
+    read from the first of the months on.
     """
     months = recent_months(today, duration, starting_from)
-    since = time_literal(shift_month(today, -duration))
+    since = time_literal(months[-1])
     groups = attribute_groups(
-        queries, metering.filter(F.col("start_time") >= since), ["user_name"], closed, max_rows=max_rows
+        queries, metering.filter(F.col("start_time") >= since), ["user_name"], closed, max_bytes=max_bytes
     )
     monthly = groups.groupBy(
         F.col("meter_name").alias("name"), "user_name", F.trunc("meter_start", "month").alias("usage_month")

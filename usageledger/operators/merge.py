@@ -8,13 +8,14 @@ target rows at or after the batch's start need to be read for the join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.operators.skew import skew_safe_anti
 
-_ROW, _MATCHED = "_new", "_matched"
+_ROW, _MATCHED, _OLD = "_new", "_matched", "_old"
 
 
 def unmatched(batch: DataFrame, target: DataFrame, key: Sequence[str], can_match: Column | None = None) -> DataFrame:
@@ -53,23 +54,26 @@ def merge_upsert(
     newest_by: Sequence[str] | None = None,
     can_match: Column | None = None,
 ) -> DataFrame:
-    """Update the listed columns of matched target rows and insert the others.
+    """Update the listed columns of matched target rows and insert the others: one full outer join.
 
-    Several batch rows of one key are ambiguous; with ``newest_by`` the last wins.
+    Several batch rows of one key are ambiguous; with ``newest_by`` the last
+    wins, without it the largest row does. Either way one row per key is left,
+    which is found before the shuffle, so neither side has a hot key but for
+    repeats in the target. A missing key part matches nothing. Rows that a batch
+    can't meet take no part in the join.
     """
     key = list(key)
-    if newest_by is not None:
-        batch = latest_per_key(batch, key, newest_by)
+    batch = latest_per_key(batch, key, newest_by or ())
     touched = target if can_match is None else target.filter(can_match)
-    changes = batch.select(*key, F.struct(*updates).alias(_ROW), F.lit(True).alias(_MATCHED))
-    updated = touched.join(changes, key, "left").select(
-        *[
-            F.when(F.col(_MATCHED), F.col(f"{_ROW}.{c}")).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
-            for c in target.columns
-        ]
-    )
-    inserted = unmatched(batch, touched, key).select(*target.columns)
-    merged = updated.unionByName(inserted)
+    theirs, ours = touched.withColumn(_OLD, F.lit(True)).alias("t"), batch.withColumn(_MATCHED, F.lit(True)).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in key])
+    stays, changes = F.col(_OLD).isNotNull(), F.col(_MATCHED).isNotNull()
+
+    def merged_column(c: str) -> Column:
+        old, new = F.col(f"t.{c}"), F.col(f"b.{c}")
+        return F.when(changes, new).otherwise(old) if c in updates else F.when(stays, old).otherwise(new)
+
+    merged = theirs.join(ours, same, "full_outer").select(*[merged_column(c).alias(c) for c in target.columns])
     if can_match is None:
         return merged
     return target.filter(~F.coalesce(can_match, F.lit(False))).unionByName(merged)

@@ -6,45 +6,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import time_literal, truncate_ntz
+from usageledger.session import staged
 
 #: The edge of the newest rows is narrowed down in these steps.
 STEPS = {"hour": "INTERVAL 1 HOUR", "second": "INTERVAL 1 SECOND", "microsecond": "INTERVAL 0.000001 SECOND"}
 
 
-def _edge_bucket(pairs: DataFrame, bucket: Column, wanted: int):
+def _edge_bucket(rows: DataFrame, bucket: Column, wanted: int):
     """(start, rows in newer buckets) of the bucket the wanted-th newest row is in.
 
     None when there are fewer rows. The running sum is over one row per bucket.
     """
-    counts = pairs.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     newest_first = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = counts.withColumn("through", F.sum("n").over(newest_first)).filter(F.col("through") >= wanted)
     found = running.agg(F.max("b").alias("b"), F.min(F.col("through") - F.col("n")).alias("newer")).first()
     return None if found["b"] is None else (found["b"], found["newer"])
 
 
-def top_recent(df: DataFrame, time: str, unique: str, rows: int = 1_000_000) -> DataFrame:
-    """The ``rows`` newest rows by time, ties broken by a unique column.
+def top_recent(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
+    """The ``rows`` newest rows by time, ties broken by a unique column; rows without a time are the oldest.
 
-    Where the newest rows end is found from counts per hour, then per second and
-    per microsecond around the edge, so neither the wide rows nor many (time,
-    unique) pairs meet in one task. The rows are then filtered by that edge, a
-    literal that reaches the scan. Repeats of a pair count once and all stay.
-    The result is not sorted; the consumer orders what it shows.
+    Rows are expected once each; loading sees to that. Where the newest rows end
+    is found from counts per hour, summed before the shuffle. Only the (time,
+    unique) pairs of the hour at the edge are stored and narrowed by second and
+    microsecond. The rows are then filtered by that edge, a literal that reaches
+    the scan. The result is not sorted; the consumer orders what it shows.
     """
-    dated = df.filter(F.col(time).isNotNull())
     kind = df.schema[time].dataType
-    pairs = dated.select(F.col(time).cast("timestamp_ntz").alias("t"), F.col(unique).alias("u")).distinct()
+    dated = df.filter(F.col(time).isNotNull())
+    pairs = dated.select(F.col(time).cast("timestamp_ntz").alias("t"), F.col(unique).alias("u"))
     start, wanted = None, rows
     for unit, step in STEPS.items():
         found = _edge_bucket(pairs, truncate_ntz(unit, F.col("t")), wanted)
         if found is None:
-            return dated
+            return _with_undated(df, time, unique, rows)
         start, newer = found
         wanted -= newer
         begin = time_literal(start)
         pairs = pairs.filter((F.col("t") >= begin) & (F.col("t") < begin + F.expr(step)))
+        if unit == "hour":
+            pairs = staged(pairs, "edge-hour")
     last = pairs.select("u").orderBy(F.desc("u")).limit(wanted).agg(F.min("u")).first()[0]
     edge = time_literal(start).cast(kind)
     newer_than_edge = (F.col(time) > edge) | (F.col(unique) >= F.lit(last))
     return dated.filter((F.col(time) >= edge) & newer_than_edge)
+
+
+def _with_undated(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
+    """All dated rows, fewer than wanted, and as many of the others as there is room for."""
+    undated = df.filter(F.col(time).isNull())
+    n = df.agg(F.count(time).alias("dated"), F.count(F.lit(1)).alias("all")).first()
+    if n["all"] <= rows:
+        return df
+    last = undated.select(unique).orderBy(F.desc(unique)).limit(rows - n["dated"]).agg(F.min(unique)).first()[0]
+    return df.filter(F.col(time).isNotNull() | (F.col(unique) >= F.lit(last)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
 from usageledger.operators.access import role_gate
-from usageledger.operators.skew import BROADCAST_ROWS, skew_safe_join
+from usageledger.operators.skew import BROADCAST_BYTES, TEXT_BYTES, skew_safe_join
 
 # The usage types warehouse credits are priced with.
 COMPUTE, CLOUD = "compute", "cloud services"
@@ -107,7 +107,8 @@ def convert_credits_to_currency(
 ) -> DataFrame:
     """Add ``<credits>_effective_rate`` columns and the currency.
 
-    ``rates`` has rate_date, the ``on`` columns, currency and the rate columns;
+    ``rates`` has rate_date, the ``on`` columns, currency and the rate columns, one
+    row a day and ``on``, so every row of df stays one row;
     ``amounts`` maps a credit column to the rate column it is priced with. Days
     without a price give 0 and no currency. ``small`` tells whether the rates were
     already found to fit a broadcast.
@@ -122,42 +123,73 @@ def convert_credits_to_currency(
     return priced.withColumns(money).select(*df.columns, *money, "currency")
 
 
+def daily_prices(
+    sheet: DataFrame, wanted: dict[str, str], ctx: ReportContext, all_accounts: bool = False
+) -> DataFrame:
+    """One row per account, region and day with all wanted prices: column name by usage type.
+
+    Prices of a day go together: they are of one contract and in one currency.
+    Each contract's prices are carried over its gaps; of the contracts that have
+    all wanted prices on a day the highest counts (a missing number is the
+    lowest, then the currency decides). Of several service levels on a day the
+    last in order counts. The list is dealt out once, by account and region, and
+    all steps keep that.
+    """
+    series = ["account_locator", "region", "currency", "contract_number"]
+    chosen = visible_prices(sheet, list(wanted.values()), ctx, all_accounts).filter(F.col("rate_date") <= F.lit(ctx.today))
+    chosen = chosen.repartition("account_locator", "region")
+    priced = F.col("effective_rate").isNotNull()
+    level = F.struct("service_level", "effective_rate")
+    on_day = chosen.groupBy(*series, "rate_date").agg(
+        *[F.max(F.when(priced & (F.col("usage_type") == t), level))["effective_rate"].alias(c) for c, t in wanted.items()]
+    )
+    window = f"PARTITION BY {', '.join(series)} ORDER BY rate_date"
+    carried = on_day.selectExpr(
+        *series,
+        "rate_date",
+        f"lead(rate_date) OVER ({window}) AS _next",
+        *[f"last({c}, true) OVER ({window} ROWS UNBOUNDED PRECEDING) AS {c}" for c in wanted],
+    )
+    until = F.coalesce(F.date_sub("_next", 1), F.lit(ctx.today))
+    daily = carried.withColumn("rate_date", F.explode(F.sequence("rate_date", until)))
+    for c in wanted:
+        daily = daily.filter(F.col(c).isNotNull())
+    best = F.max(F.struct("contract_number", "currency", *wanted)).alias("best")
+    picked = daily.groupBy("account_locator", "region", "rate_date").agg(best)
+    return picked.select("account_locator", "region", "rate_date", "best.currency", *[f"best.{c}" for c in wanted])
+
+
 def few_rates(
-    sheet: DataFrame, usage_types: Sequence[str], ctx: ReportContext, all_accounts: bool = False
+    sheet: DataFrame, usage_types: Sequence[str], ctx: ReportContext, all_accounts: bool = False, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether the joined daily series of the usage types are small enough to broadcast.
+    """Whether the daily prices are small enough to broadcast.
 
-    Bounded from the sheet itself: accounts times days times the rows a day has
-    in each series. That is much cheaper than building the series to count it.
+    Bounded from the sheet itself, accounts times days: cheaper than counting the
+    series. A row has two names, a day and its prices.
     """
     chosen = visible_prices(sheet, usage_types, ctx, all_accounts)
-    account_days = (
-        chosen.groupBy(*SERIES, "rate_date")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("account_locator", "region")
-        .agg(F.min("rate_date").alias("first"), F.max("rows").alias("rows"))
-        .agg(F.count(F.lit(1)).alias("accounts"), F.min("first").alias("first"), F.max("rows").alias("rows"))
+    bound = (
+        chosen.groupBy("account_locator", "region")
+        .agg(F.min("rate_date").alias("first"))
+        .agg(F.count(F.lit(1)).alias("accounts"), F.min("first").alias("first"))
         .first()
     )
-    if account_days["first"] is None:
+    if bound["first"] is None:
         return True
-    days = max((ctx.today - account_days["first"]).days + 1, 1)
-    return account_days["accounts"] * days * account_days["rows"] ** len(usage_types) <= BROADCAST_ROWS
+    days = max((ctx.today - bound["first"]).days + 1, 1)
+    return bound["accounts"] * days * (3 * TEXT_BYTES + 16 * (1 + len(usage_types))) <= max_bytes
+
+
+def _for_caller(prices: DataFrame, all_accounts: bool) -> DataFrame:
+    return prices if all_accounts else prices.drop("account_locator", "region")
 
 
 def single_rate(sheet: DataFrame, usage_type: str, ctx: ReportContext) -> DataFrame:
-    """rate_date, currency, rate of one usage type."""
-    return rate_timeseries(sheet, usage_type, ctx).select(
-        "rate_date", "currency", F.col("effective_rate").alias("rate")
-    )
+    """rate_date, currency, rate of one usage type: one price a day."""
+    return _for_caller(daily_prices(sheet, {"rate": usage_type}, ctx), False)
 
 
 def compute_and_cloud_rates(sheet: DataFrame, ctx: ReportContext, all_accounts: bool = False) -> DataFrame:
-    """Compute and cloud services rates side by side, for days that have both."""
-    both = densify(visible_prices(sheet, [COMPUTE, CLOUD], ctx, all_accounts), ctx.today)
-    on = ["rate_date", *(["account_locator", "region"] if all_accounts else [])]
-    compute = both.filter(F.col("usage_type") == COMPUTE).select(
-        *on, "currency", F.col("effective_rate").alias("compute_rate")
-    )
-    cloud = both.filter(F.col("usage_type") == CLOUD).select(*on, F.col("effective_rate").alias("cloud_rate"))
-    return compute.join(cloud, on)
+    """Compute and cloud services rates of one contract side by side, for days that have both."""
+    wanted = {"compute_rate": COMPUTE, "cloud_rate": CLOUD}
+    return _for_caller(daily_prices(sheet, wanted, ctx, all_accounts), all_accounts)
