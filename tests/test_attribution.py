@@ -107,6 +107,24 @@ def test_month_pivot_and_back(spark, meters):
     assert long.agg(F.sum("value")).first()[0] == 15.0
 
 
+@pytest.mark.parametrize("max_bytes", [10**6, 0])
+def test_meters_without_a_name_bill_their_queries(spark, max_bytes):
+    meters = spark.createDataFrame(
+        [(1, "W1", H, H + HOUR, 10.0), (2, None, H, H + HOUR, 6.0)],
+        "warehouse_id int, warehouse_name string, start_time timestamp_ntz, end_time timestamp_ntz, credits_used double",
+    )
+    got = attribute_credits(queries(spark, [q(1, 1, H, 5), q(2, 2, H, 1), q(3, 2, H, 2)]), meters, max_bytes=max_bytes)
+    assert rows(got, "query_id", "meter_name", "credit_used_by_query") == [(1, "W1", 10.0), (2, None, 2.0), (3, None, 4.0)]
+
+
+def test_the_pivot_reaches_back_to_its_first_month(spark, meters):
+    monitors = spark.createDataFrame([], "resource_monitor_name string, warehouse_name string")
+    df = queries(spark, [q(1, 1, H, 30)])
+    got = month_credits_pivot(df, meters, monitors, date(2024, 5, 10), 3, starting_from=2)
+    assert got.columns[3:6] == ["202403_credits", "202402_credits", "202401_credits"]
+    assert rows(got, "202401_credits", "202401_query") == [(10.0, 1)]
+
+
 def test_meters_before_the_first_month_are_left_out(spark, meters):
     monitors = spark.createDataFrame([], "resource_monitor_name string, warehouse_name string")
     df = queries(spark, [q(1, 1, H, 30)])

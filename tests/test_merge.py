@@ -64,12 +64,12 @@ def test_watermark_scans(spark, ctx):
     days = [datetime(2023, 2, 9, 23), datetime(2023, 2, 10), datetime(2024, 1, 30), datetime(2024, 2, 1), datetime(2024, 3, 1)]
     df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id int, t timestamp_ntz")
     ids = lambda d: [r[0] for r in rows(d, "id")]
-    assert ids(watermark.high_watermark_scan(df, "t", None, ctx)) == [1, 2, 3, 4]
+    assert ids(watermark.high_watermark_scan(df, "t", None, ctx, 12)) == [1, 2, 3, 4]
     assert ids(watermark.high_watermark_scan(df, "t", days[2], ctx)) == [2, 3, 4]
     assert ids(watermark.high_watermark_scan_min_default(df, "t", None)) == [0, 1, 2, 3, 4]
-    assert ids(watermark.late_lookback_scan(df, "t", datetime(2024, 2, 1, 11), ctx)) == [2 + 1, 4]
-    assert ids(watermark.late_lookback_scan(df, "t", datetime(2024, 1, 31, 12), ctx)) == [2, 3, 4]
-    assert ids(watermark.bounded_window_scan(df, "t", None, ctx)) == [2, 3]
+    assert ids(watermark.late_lookback_scan(df, "t", datetime(2024, 2, 1, 11), ctx, timedelta(hours=36))) == [2 + 1, 4]
+    assert ids(watermark.late_lookback_scan(df, "t", datetime(2024, 1, 31, 12), ctx, timedelta(hours=36))) == [2, 3, 4]
+    assert ids(watermark.bounded_window_scan(df, "t", None, ctx, 30, 12)) == [2, 3]
 
 
 def test_the_watermark_reaches_the_scan(spark, ctx, tmp_path):
@@ -80,8 +80,8 @@ def test_the_watermark_reaches_the_scan(spark, ctx, tmp_path):
 
 
 def test_year_before_a_leap_day(ctx):
-    assert watermark.year_before(ctx.at(datetime(2024, 2, 29, 5))) == datetime(2023, 2, 28)
-    assert watermark.year_before(ctx) == datetime(2023, 2, 10)
+    assert watermark.months_before(ctx.at(datetime(2024, 2, 29, 5)), 12) == datetime(2023, 2, 28)
+    assert watermark.months_before(ctx, 12) == datetime(2023, 2, 10)
 
 
 def test_settings(spark, ctx):

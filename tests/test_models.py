@@ -154,7 +154,7 @@ def test_patterns_from_grants(spark):
 
 
 def test_calendar(spark):
-    cal = dim_date(spark, date(2024, 3, 3))
+    cal = dim_date(spark, date(2024, 3, 3), 730)
     assert cal.count() == 730
     assert tuple(cal.orderBy("date", ascending=False).first()) == (date(2024, 3, 3), 2024, 1, 3, "Mar", 9, 3, "Sun", 0, 63)
 
@@ -173,9 +173,12 @@ def test_newest_rows_break_ties_by_id(spark):
     t = datetime(2024, 1, 1)
     df = spark.createDataFrame([(1, t, "a"), (2, t, "b"), (3, t, "c"), (3, t, "c"), (0, datetime(2024, 1, 2), "z"), (9, None, "n")], "id int, t timestamp_ntz, v string")
     assert rows(top_recent(df, "t", "id", 2), "id") == [(0,), (3,), (3,)]
-    assert top_recent(df, "t", "id", 100).count() == 5
+    assert top_recent(df, "t", "id", 100).count() == 6
+    assert rows(top_recent(df, "t", "id", 6), "id")[-1] == (9,)
+    more = df.union(spark.createDataFrame([(8, None, "m")], df.schema))
+    assert rows(top_recent(more, "t", "id", 6), "id") == [(0,), (1,), (2,), (3,), (3,), (9,)]
     assert rows(top_recent(df, "t", "id", 1), "id") == [(0,)]
-    assert rows(top_recent(df, "t", "id", 4), "id") == [(0,), (1,), (2,), (3,), (3,)]
+    assert rows(top_recent(df, "t", "id", 4), "id") == [(0,), (2,), (3,), (3,)]
 
 
 def test_newest_rows_equal_a_sort(spark):

@@ -64,13 +64,46 @@ def test_a_batch_reads_only_the_days_it_can_meet(spark, ctx):
 
 
 def test_keys_are_compared_from_the_watermark_on(events_on_disk, ctx):
-    spec = loads.QUERY_HISTORY
-    stored = incremental_load(spec, events_on_disk("query_history"), None, ctx)
+    spec = loads.WAREHOUSE_CREDIT
+    stored = incremental_load(spec, events_on_disk("metering"), None, ctx)
     seen = stored.filter(can_match(spec, T0, stored)).select("sh_key")
     assert "GreaterThanOrEqual(start_time,2024-02-01T10:00)" in formatted(seen)
+    assert can_match(loads.QUERY_HISTORY, T0, stored) is None
 
 
 def test_the_edge_of_the_newest_rows_reaches_the_scan(events_on_disk):
     plan = formatted(top_recent(events_on_disk("query_history"), "start_time", "query_id", 100))
     assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(start_time,2024-01-\d\d", plan)
     assert "Exchange" not in plan
+
+
+def test_views_neither_shuffle_nor_compare_rows(spark, events_on_disk):
+    """Nothing is exchanged above a stored history; prices, the one thing joined, are broadcast."""
+    from usageledger import queries
+    from usageledger.plans import views
+
+    history = events_on_disk("query_history")
+    patterns = queries.patterns(spark, queries_folder())
+    history = history.withColumns({"catalog_name": F.col("database_name"), "pipe_database": F.col("database_name")})
+    task = history.withColumns({"query_start_time": F.col("start_time"), "completed_time": F.col("end_time")})
+    seen = [
+        views.table_service_view(history, patterns),
+        views.load_history_view(history, patterns),
+        views.database_storage_view(history, patterns),
+        views.pipe_credit_view(history, patterns),
+        views.query_history_view(history, patterns),
+        views.reader_query_history_view(history, patterns),
+        views.reader_warehouse_credit_view(history, patterns),
+        views.task_history_view(task, patterns),
+        views.organization_view(history, queries.EVENTS),
+        views.copy_history_view(history.withColumn("pipe_catalog_name", F.col("database_name")).withColumn("table_catalog_name", F.col("database_name")), patterns),
+    ]
+    for df in seen:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def queries_folder():
+    from conftest import SMALL
+
+    return SMALL

@@ -19,6 +19,7 @@ def test_swap_may_read_the_table_it_replaces(spark, tmp_path):
     publish_swap(spark.range(3).select("id"), "swap_self", where)
     publish_swap(spark.table("swap_self").select((F.col("id") + 10).alias("id")), "swap_self", where)
     assert rows(spark.table("swap_self")) == [(10,), (11,), (12,)]
+    assert len(list((tmp_path / "t").iterdir())) == 1  # the version before is deleted
 
 
 def test_a_failed_write_leaves_the_old_version(spark, tmp_path):

@@ -7,10 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CALENDAR_DAYS = 730
 
-
-def dim_date(spark: SparkSession, today: date, days: int = CALENDAR_DAYS) -> DataFrame:
+def dim_date(spark: SparkSession, today: date, days: int) -> DataFrame:
     """One row per day, from today backwards. Days of the week count from Sunday = 0."""
     d = F.date_sub(F.lit(today), F.col("id").cast("int"))
     return spark.range(days).select(

@@ -6,6 +6,8 @@ nothing is ever deleted from it unless the caller's settings say so.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,13 @@ from usageledger.functions.times import derive_time_columns
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators.settings import stamp_context
 from usageledger.operators.skew import skew_safe_join
-from usageledger.operators.watermark import LATE_LOOKBACK, LOAD_WINDOW_DAYS
 from usageledger.plans.spec import ReportSpec
 
+# Days of retention, months of a first load, days of the file load reports, and how late task runs change.
 YEAR, TWO_YEARS, MONTH = 365, 730, 30
+FIRST_MONTHS = 12
+LOAD_WINDOW_DAYS = 30
+LATE_LOOKBACK = timedelta(hours=36)
 
 
 def _account_key(*parts: Column) -> list[Column]:
@@ -112,6 +117,7 @@ def _table_service(name: str, *key: str, whole_days: bool = False) -> ReportSpec
         name=name,
         source_time="start_time",
         time="start_time",
+        first_months=FIRST_MONTHS,
         shape=_timed,
         key=lambda: _account_key(*[text(k) for k in key], moment("start_time")),
         whole_days=whole_days,
@@ -129,6 +135,7 @@ COPY_HISTORY = ReportSpec(
     name="copy_history",
     source_time="last_load_time",
     time="last_load_time",
+    first_months=FIRST_MONTHS,
     shape=_stamped,
     key=lambda: _account_key(
         text("file_name"),
@@ -149,6 +156,7 @@ LOAD_HISTORY = ReportSpec(
     name="load_history",
     source_time="last_load_time",
     time="last_load_time",
+    first_months=FIRST_MONTHS,
     shape=_stamped,
     key=lambda: _account_key(
         text("table_name"), text("schema_name"), text("catalog_name"), text("file_name"), moment("last_load_time")
@@ -160,6 +168,7 @@ DATABASE_STORAGE = ReportSpec(
     name="database_storage",
     source_time="usage_date",
     time="usage_month",
+    first_months=FIRST_MONTHS,
     shape=_database_storage,
     key=lambda: _account_key(text("database_name"), day("usage_month")),
     retain_days=YEAR,
@@ -169,6 +178,8 @@ ACCOUNT_STORAGE = ReportSpec(
     name="account_storage",
     source_time="usage_date",
     time="usage_month",
+    first_months=FIRST_MONTHS,
+    distinct=False,
     shape=_account_storage,
     key=lambda: _account_key(day("usage_month")),
     retain_days=YEAR,
@@ -178,6 +189,7 @@ PIPE_CREDIT = ReportSpec(
     name="pipe_credit",
     source_time="start_time",
     time="start_time",
+    first_months=FIRST_MONTHS,
     shape=_stamped,
     key=lambda: _account_key(text("pipe_name"), moment("start_time")),
     whole_days=True,
@@ -188,6 +200,8 @@ QUERY_HISTORY = ReportSpec(
     name="query_history",
     source_time="start_time",
     time="start_time",
+    first_months=FIRST_MONTHS,
+    keyed_by_time=False,
     shape=_stamped,
     key=lambda: _account_key(text("query_id")),
     retain_days=MONTH,
@@ -197,6 +211,8 @@ READER_QUERY_HISTORY = ReportSpec(
     name="reader_query_history",
     source_time="start_time",
     time="start_time",
+    first_months=FIRST_MONTHS,
+    keyed_by_time=False,
     shape=_stamped,
     key=lambda: _account_key(text("query_id"), text("reader_account_name")),
     retain_days=YEAR,
@@ -206,6 +222,7 @@ READER_WAREHOUSE_CREDIT = ReportSpec(
     name="reader_warehouse_credit",
     source_time="start_time",
     time="start_time",
+    first_months=FIRST_MONTHS,
     shape=_timed,
     key=lambda: _account_key(text("warehouse_name"), text("reader_account_name"), moment("start_time")),
     retain_days=YEAR,
@@ -215,6 +232,8 @@ SESSIONS = ReportSpec(
     name="sessions",
     source_time="created_on",
     time="created_on",
+    first_months=FIRST_MONTHS,
+    distinct=False,
     shape=lambda df, ctx: stamp_context(df, ctx).withColumn("created_date", F.to_date("created_on")),
     key=lambda: _account_key(
         number("session_id"), text("user_name"), text("client_application_id"), moment("created_on")
@@ -226,6 +245,7 @@ TASK_HISTORY = ReportSpec(
     name="task_history",
     source_time="scheduled_time",
     time="scheduled_time",
+    first_months=FIRST_MONTHS,
     shape=_task_runs,
     key=lambda: _account_key(
         text("query_id"),
@@ -247,6 +267,7 @@ WAREHOUSE_CREDIT = ReportSpec(
     name="warehouse_credit",
     source_time="start_time",
     time="start_time",
+    first_months=FIRST_MONTHS,
     shape=_warehouse_credits,
     key=lambda: _account_key(number("warehouse_id"), text("service_type"), moment("start_time")),
     whole_days=True,
@@ -269,7 +290,7 @@ ORG_CURRENCY = ReportSpec(
         text("currency"),
         day("usage_date"),
     ],
-    first_load="source_min",
+    dated_only=True,
     retain_days=TWO_YEARS,
 )
 
@@ -288,7 +309,7 @@ ORG_RATE_SHEET = ReportSpec(
         text("usage_type"),
         day("rate_date"),
     ],
-    first_load="source_min",
+    dated_only=True,
     retain_days=TWO_YEARS,
 )
 
@@ -305,7 +326,7 @@ ORG_METERING = ReportSpec(
         number("warehouse_id"),
         moment("start_time"),
     ],
-    first_load="source_min",
+    dated_only=True,
     retain_days=YEAR,
 )
 

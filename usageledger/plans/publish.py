@@ -15,18 +15,21 @@ from usageledger.functions.times import time_literal
 from usageledger.operators.retention import retention_cutoff
 from usageledger.operators.watermark import newest
 from usageledger.plans.spec import ReportSpec, from_newest, incremental_load, new_rows
+from usageledger.session import folders, remove
 
 DAY = "part_day"
 
 
 def publish_swap(df: DataFrame, name: str, folder: str) -> DataFrame:
-    """Write df to a new version folder, then point the table at it.
+    """Write df to a new version folder, point the table at it, and delete the version before.
 
-    Readers keep the old version until the last step, which only changes
-    metadata; a failed write leaves the old version in place. df may read the
-    table it replaces.
+    Until the last step, which only changes metadata, readers have the old
+    version; a failed write leaves it in place. df may read the table it
+    replaces. A query that still reads the old version then fails and has to be
+    asked again. Only versions below ``folder`` are deleted.
     """
     spark = df.sparkSession
+    before = set(folders(spark, folder))
     version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(version)
     if spark.catalog.tableExists(name):
@@ -34,9 +37,13 @@ def publish_swap(df: DataFrame, name: str, folder: str) -> DataFrame:
         if same:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
             spark.catalog.refreshTable(name)
-            return spark.table(name)
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version}'")
+    for old in before:
+        if old.startswith("version-"):
+            remove(spark, f"{folder.rstrip('/')}/{old}")
     return spark.table(name)
 
 
@@ -76,7 +83,7 @@ def refresh_history(
         return history_table(spark, name)
     mark = stored_watermark(spark, spec, name)
     recent = spark.table(name)
-    if mark is not None:
+    if mark is not None and spec.keyed_by_time:
         recent = recent.filter(F.col(DAY) >= F.lit(first_day(spec, mark)))
     if spec.updates:
         _rewrite_days(spark, spec, source, recent.drop(DAY), name, ctx, mark)
@@ -89,13 +96,12 @@ def refresh_history(
 
 def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
     """Replace the days found in the table written aside, and no others."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        spark.table(aside).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
+    rows = spark.table(aside)
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    by_day = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY)
+    by_day.parquet(found["data_type"])
+    for r in rows.select(DAY).distinct().filter(F.col(DAY).isNotNull()).collect():  # the days of a batch
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({DAY} = DATE '{r[DAY]}')")
     spark.catalog.refreshTable(name)
     spark.sql(f"DROP TABLE {aside}")
 

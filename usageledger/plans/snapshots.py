@@ -26,9 +26,6 @@ from usageledger.operators.attribution import (
 )
 from usageledger.operators.settings import stamp_context
 
-#: Attribution looks this many months back.
-ATTRIBUTION_MONTHS = 4
-
 
 def _months_ago(ctx: ReportContext, months: int):
     first = shift_month(ctx.today, -months)
@@ -36,15 +33,19 @@ def _months_ago(ctx: ReportContext, months: int):
     return first.replace(day=min(ctx.today.day, last.day))
 
 
-def recent_queries(queries: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Queries of the attribution look-back, as a literal bound on the time."""
-    since = time_literal(_months_ago(ctx, ATTRIBUTION_MONTHS), queries.schema["start_time"].dataType)
+def recent_queries(queries: DataFrame, ctx: ReportContext, months: int | None) -> DataFrame:
+    """Queries of the last months, as a literal bound on the time; None is all of them."""
+    if months is None:
+        return queries
+    since = time_literal(_months_ago(ctx, months), queries.schema["start_time"].dataType)
     return queries.filter(F.col("start_time") >= since)
 
 
-def query_credit(queries: DataFrame, metering: DataFrame, ctx: ReportContext, closed: str = "left") -> DataFrame:
-    """Credit of each query that ran on a sized warehouse."""
-    sized = recent_queries(queries, ctx).filter(F.col("warehouse_size").isNotNull())
+def query_credit(
+    queries: DataFrame, metering: DataFrame, ctx: ReportContext, closed: str = "left", months: int | None = None
+) -> DataFrame:
+    """Credit of each query that ran on a sized warehouse, in the last ``months`` if given."""
+    sized = recent_queries(queries, ctx, months).filter(F.col("warehouse_size").isNotNull())
     shares = attribute_credits(
         sized.select("query_id", "warehouse_id", "warehouse_name", "database_name", "start_time", "execution_time"),
         metering,
@@ -64,14 +65,19 @@ def query_credit(queries: DataFrame, metering: DataFrame, ctx: ReportContext, cl
 
 
 def query_credit_view(credits: DataFrame, patterns: DataFrame) -> DataFrame:
-    return scope_rows_either(credits, patterns).distinct()
+    return scope_rows_either(credits, patterns)
 
 
 def db_schema_credit(
-    queries: DataFrame, metering: DataFrame, patterns: DataFrame | None, ctx: ReportContext, closed: str = "left"
+    queries: DataFrame,
+    metering: DataFrame,
+    patterns: DataFrame | None,
+    ctx: ReportContext,
+    closed: str = "left",
+    months: int | None = None,
 ) -> DataFrame:
     """Credits per warehouse, database, schema and day, scoped before they are summed."""
-    credits = db_schema_credits(recent_queries(queries, ctx), metering, closed)
+    credits = db_schema_credits(recent_queries(queries, ctx, months), metering, closed)
     return credits if patterns is None else scope_rows_both(credits, patterns)
 
 
@@ -83,14 +89,15 @@ def monthly_credits(
     ctx: ReportContext,
     duration: int = 12,
     closed: str = "left",
+    starting_from: int = 0,
 ) -> DataFrame:
     """Credits and query counts per warehouse, user, monitor and month, scoped first."""
     seen = scope_rows_single(queries, patterns, "warehouse_name", WAREHOUSE)
-    return month_credits_pivot(seen, metering, monitors, ctx.today, duration, closed=closed)
+    return month_credits_pivot(seen, metering, monitors, ctx.today, duration, starting_from, closed)
 
 
 def monthly_credits_long(pivoted: DataFrame, patterns: DataFrame) -> DataFrame:
-    return scope_rows_single(month_credits_unpivot(pivoted), patterns, "name", WAREHOUSE).distinct()
+    return scope_rows_single(month_credits_unpivot(pivoted), patterns, "name", WAREHOUSE)
 
 
 def grants_to_roles(grants: DataFrame, ctx: ReportContext) -> DataFrame:
@@ -107,7 +114,7 @@ def passthrough(table: DataFrame) -> DataFrame:
 
 
 def table_storage(metrics: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Storage of each table in GiB."""
+    """Storage of each table in GiB; repeats in the listing count once."""
     sizes = ("active_bytes", "time_travel_bytes", "failsafe_bytes", "retained_for_clone_bytes")
     rest = [c for c in metrics.columns if c not in sizes]
     return stamp_context(metrics, ctx).select(
@@ -116,7 +123,7 @@ def table_storage(metrics: DataFrame, ctx: ReportContext) -> DataFrame:
         "organization_name",
         *rest,
         *[bytes_to_gib(F.col(c)).alias(f"{c}_gb") for c in sizes],
-    )
+    ).distinct()
 
 
 def table_storage_view(stored: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -126,7 +133,7 @@ def table_storage_view(stored: DataFrame, patterns: DataFrame) -> DataFrame:
         + F.col("failsafe_bytes_gb")
         + F.col("retained_for_clone_bytes_gb")
     )
-    return scope_rows_single(stored, patterns, "database_name").withColumn("total_storage_gb", total).distinct()
+    return scope_rows_single(stored, patterns, "database_name").withColumn("total_storage_gb", total)
 
 
 def object_dependencies(edges: DataFrame, ctx: ReportContext) -> DataFrame:
@@ -190,6 +197,7 @@ def resource_monitor(monitors: DataFrame, warehouses: DataFrame, patterns: DataF
     return seen.join(watch, "resource_monitor_name").distinct()
 
 
+# The columns of the connector list.
 CONNECTOR_COLUMNS = (
     "id",
     "official_connector_name",

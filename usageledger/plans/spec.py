@@ -33,6 +33,12 @@ class ReportSpec:
     ``time`` its name in the stored table. ``shape`` turns scanned source rows
     into stored rows without the key; ``key`` lists the key parts over the
     stored columns.
+
+    ``columns``: source columns that are read, as far as the source has them;
+    others are left out on purpose. None reads all. ``distinct``: exact repeats in
+    a batch are one row, so nobody who reads the history has to remove them.
+    ``keyed_by_time``: the key holds the time, so stored rows before a batch can't
+    have its keys. ``first_months``: how far a first load reaches back.
     """
 
     name: str
@@ -41,7 +47,11 @@ class ReportSpec:
     shape: Callable[[DataFrame, ReportContext], DataFrame]
     key: Callable[[], list[Column]]
     whole_days: bool = False
-    first_load: str = "year"
+    columns: tuple[str, ...] | None = None
+    distinct: bool = True
+    keyed_by_time: bool = True
+    first_months: int | None = None
+    dated_only: bool = False
     lookback: timedelta | None = None
     window_days: int | None = None
     updates: tuple[str, ...] = ()
@@ -65,29 +75,36 @@ def from_newest(spec: ReportSpec, value):
 def scan(spec: ReportSpec, source: DataFrame, mark, ctx: ReportContext) -> DataFrame:
     """Source rows the next batch consists of."""
     if spec.window_days is not None:
-        return bounded_window_scan(source, spec.source_time, mark, ctx, spec.window_days)
-    if spec.first_load == "source_min":
+        return bounded_window_scan(source, spec.source_time, mark, ctx, spec.window_days, spec.first_months)
+    if spec.dated_only:
         return high_watermark_scan_min_default(source, spec.source_time, mark)
     if spec.lookback is not None:
-        return late_lookback_scan(source, spec.source_time, mark, ctx, spec.lookback)
-    return high_watermark_scan(source, spec.source_time, mark, ctx)
+        return late_lookback_scan(source, spec.source_time, mark, ctx, spec.lookback, spec.first_months)
+    return high_watermark_scan(source, spec.source_time, mark, ctx, spec.first_months)
 
 
 def next_batch(spec: ReportSpec, source: DataFrame, mark, ctx: ReportContext) -> DataFrame:
     """The scanned rows as stored rows with their key."""
+    if spec.columns is not None:
+        source = source.select(*[c for c in source.columns if c in spec.columns])
     rows = spec.shape(scan(spec, source, mark, ctx), ctx)
+    rows = rows.distinct() if spec.distinct else rows
     return rows.select(business_key(spec.key()).alias(KEY), *rows.columns)
 
 
 def can_match(spec: ReportSpec, mark, target: DataFrame) -> Column | None:
-    """Target rows a batch can meet: none lies before the batch's start.
+    """Target rows a batch can meet, or None for all.
 
-    A key names one event and an event has one time, so a stored row with the
-    key of a batch row has the batch row's time.
+    Where the key holds the time, none of them lies before the batch's start.
+    Keys hold milliseconds, so the start is one too. Other keys, a query's id say,
+    may come again with a later time and are compared with the whole history; of
+    that only the key is read.
     """
-    if mark is None:
+    if mark is None or not spec.keyed_by_time:
         return None
     start: datetime | date = mark - spec.lookback if spec.lookback is not None else mark
+    if isinstance(start, datetime):
+        start = start.replace(microsecond=start.microsecond // 1000 * 1000)
     # NULL times never match a batch that was selected by time.
     return F.col(spec.time) >= time_literal(start, target.schema[spec.time].dataType)
 

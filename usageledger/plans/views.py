@@ -1,6 +1,7 @@
 """What callers see of each history table: their rows, with derived columns.
 
-Views are distinct but not sorted; sorting belongs to whoever shows the rows.
+Exact repeats were removed when a batch was loaded, so views neither shuffle nor
+compare rows. They aren't sorted; sorting belongs to whoever shows the rows.
 """
 
 from __future__ import annotations
@@ -27,9 +28,6 @@ from usageledger.operators.rates import (
     single_rate,
 )
 
-#: The query history view shows at most this many newest queries.
-QUERY_VIEW_ROWS = 1_000_000
-
 PRICED_TOGETHER = (COMPUTE, CLOUD)
 CLOUD_AND_COMPUTE = {
     "credits_used": "compute_rate",
@@ -40,7 +38,7 @@ CLOUD_AND_COMPUTE = {
 
 def table_service_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
     """Clustering, materialized view and replication credits by database."""
-    return elapsed_seconds(scope_rows_single(history, patterns, "database_name")).distinct()
+    return elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
 
 
 def priced_service_view(
@@ -50,23 +48,23 @@ def priced_service_view(
     seen = elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
     return convert_credits_to_currency(
         seen, single_rate(sheet, usage_type, ctx), {"credits_used": "rate"}, small=few_rates(sheet, [usage_type], ctx)
-    ).distinct()
+    )
 
 
 def copy_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return scope_rows_two_columns(history, patterns, "table_catalog_name", "pipe_catalog_name").distinct()
+    return scope_rows_two_columns(history, patterns, "table_catalog_name", "pipe_catalog_name")
 
 
 def load_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return scope_rows_single(history, patterns, "catalog_name").distinct()
+    return scope_rows_single(history, patterns, "catalog_name")
 
 
 def database_storage_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return scope_rows_single(history, patterns, "database_name").distinct()
+    return scope_rows_single(history, patterns, "database_name")
 
 
 def pipe_credit_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return elapsed_seconds(scope_rows_single(history, patterns, "pipe_database")).distinct()
+    return elapsed_seconds(scope_rows_single(history, patterns, "pipe_database"))
 
 
 def _query_columns(df: DataFrame) -> DataFrame:
@@ -78,23 +76,23 @@ def _query_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def query_history_view(history: DataFrame, patterns: DataFrame, rows: int = QUERY_VIEW_ROWS) -> DataFrame:
-    """The newest queries of the caller's warehouses or databases."""
-    newest = top_recent(scope_rows_either(history, patterns), "start_time", "query_id", rows)
-    return _query_columns(newest).distinct()
+def query_history_view(history: DataFrame, patterns: DataFrame, rows: int | None = None) -> DataFrame:
+    """The queries of the caller's warehouses or databases; with ``rows`` so many newest ones, as of this call."""
+    seen = scope_rows_either(history, patterns)
+    return _query_columns(seen if rows is None else top_recent(seen, "start_time", "query_id", rows))
 
 
 def reader_query_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return _query_columns(scope_rows_either(history, patterns)).distinct()
+    return _query_columns(scope_rows_either(history, patterns))
 
 
 def reader_warehouse_credit_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
-    return elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE)).distinct()
+    return elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE))
 
 
 def task_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
     seen = scope_rows_single(history, patterns, "database_name")
-    return elapsed_seconds(seen, "query_start_time", "completed_time").distinct()
+    return elapsed_seconds(seen, "query_start_time", "completed_time")
 
 
 def warehouse_credit_view(
@@ -107,12 +105,12 @@ def warehouse_credit_view(
         compute_and_cloud_rates(sheet, ctx),
         CLOUD_AND_COMPUTE,
         small=few_rates(sheet, PRICED_TOGETHER, ctx),
-    ).distinct()
+    )
 
 
 def organization_view(history: DataFrame, ctx: ReportContext) -> DataFrame:
     """Organization-wide rows for the report service role."""
-    return role_gate(history, ctx).distinct()
+    return role_gate(history, ctx)
 
 
 def organization_metering_view(history: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
@@ -125,4 +123,4 @@ def organization_metering_view(history: DataFrame, sheet: DataFrame, ctx: Report
         CLOUD_AND_COMPUTE,
         ("account_locator", "region"),
         small=few_rates(sheet, PRICED_TOGETHER, ctx, all_accounts=True),
-    ).distinct()
+    )

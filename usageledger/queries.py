@@ -120,7 +120,7 @@ def _business_key(spark, folder):
 def _high_watermark_scan(spark, folder):
     source = logical(spark, folder, "query_history")
     mark = watermark.newest(source.filter(F.col("start_time") < time_literal(EVENTS_CUT)), "start_time")
-    return watermark.high_watermark_scan(source, "start_time", mark, EVENTS).select("query_id", "start_time")
+    return watermark.high_watermark_scan(source, "start_time", mark, EVENTS, first_months=12).select("query_id", "start_time")
 
 
 @query("high_watermark_scan_min_default")
@@ -132,13 +132,13 @@ def _high_watermark_scan_min_default(spark, folder):
 def _late_lookback_scan(spark, folder):
     source = logical(spark, folder, "task_runs")
     mark = watermark.newest(source.filter(F.col("scheduled_time") < time_literal(ORDERS_CUT)), "scheduled_time")
-    return watermark.late_lookback_scan(source, "scheduled_time", mark, ORDERS).select("run_id", "scheduled_time", "state")
+    return watermark.late_lookback_scan(source, "scheduled_time", mark, ORDERS, timedelta(hours=36), first_months=12).select("run_id", "scheduled_time", "state")
 
 
 @query("bounded_window_scan")
 def _bounded_window_scan(spark, folder):
     source = logical(spark, folder, "file_loads")
-    return watermark.bounded_window_scan(source, "last_load_time", None, FILE_LOADS).select("file_name", "last_load_time", "row_count")
+    return watermark.bounded_window_scan(source, "last_load_time", None, FILE_LOADS, days=30, first_months=12).select("file_name", "last_load_time", "row_count")
 
 
 @query("merge_insert_only")
@@ -379,7 +379,7 @@ def _rpt_pipe_credit(spark, folder):
 @query("rpt_query_history")
 def _rpt_query_history(spark, folder):
     loaded = two_batches(loads.QUERY_HISTORY, logical(spark, folder, "query_history"), EVENTS_CUT, EVENTS)
-    return shown(views.query_history_view(loaded, patterns(spark, folder)))
+    return shown(views.query_history_view(loaded, patterns(spark, folder), rows=1_000_000))
 
 
 @query("rpt_reader_query_history")
@@ -474,7 +474,7 @@ def _rpt_org_metering(spark, folder):
 
 @query("rpt_query_credit")
 def _rpt_query_credit(spark, folder):
-    credits = snapshots.query_credit(logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), EVENTS)
+    credits = snapshots.query_credit(logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), EVENTS, months=4)
     return shown(snapshots.query_credit_view(credits, patterns(spark, folder)), exact=True)
 
 
@@ -482,7 +482,7 @@ def _rpt_query_credit(spark, folder):
 def _rpt_db_schema_credit(spark, folder):
     return shown(
         snapshots.db_schema_credit(
-            logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), patterns(spark, folder), EVENTS
+            logical(spark, folder, "query_history"), logical(spark, folder, "warehouse_metering"), patterns(spark, folder), EVENTS, months=4
         )
     )
 
@@ -566,7 +566,7 @@ def _rpt_monthly_credit_summary(spark, folder):
 def _dim_date(spark, folder):
     """The calendar with the orders of each day."""
     per_day = table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("orders"))
-    return dim_date(spark, ORDERS.today).join(per_day, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+    return dim_date(spark, ORDERS.today, days=730).join(per_day, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
 
 
 @query("parse_database_names")
@@ -691,12 +691,13 @@ def _connector_type_current(spark, folder):
 
 @query("connector_type_history")
 def _connector_type_history(spark, folder):
-    """Two deliveries of the connector table, the second with one attribute changed."""
+    """Two deliveries of the connector table, the second with one attribute changed, in four micro-batches."""
     base = shared_dir(spark, "connectors")
     connectors = logical(spark, folder, "connectors")
-    connectors.write.parquet(f"{base}/changes/delivery=1")
-    connectors.withColumn("availability", F.lit("changed")).filter(F.col("broken")).write.parquet(f"{base}/changes/delivery=2")
-    stream = parquet_stream(spark, f"{base}/changes", connectors.schema)
+    connectors.repartition(2).write.parquet(f"{base}/changes/delivery=1")
+    changed = connectors.withColumn("availability", F.lit("changed")).filter(F.col("broken"))
+    changed.repartition(2).write.parquet(f"{base}/changes/delivery=2")
+    stream = parquet_stream(spark, f"{base}/changes", connectors.schema, per_trigger=1)
     stored = connector_type_history(stream, f"{base}/history", f"{base}/checkpoint", EVENTS, 365)
     return access.any_pattern_gate(stored, patterns(spark, folder))
 
@@ -711,23 +712,31 @@ def _connector_log_views(spark, folder):
 
 @query("stream_incremental_append")
 def _stream_incremental_append(spark, folder):
-    """Query history as a stream: the file arrives twice, every query lands once."""
+    """Query history as a stream: everything arrives twice, in four micro-batches; every query lands once."""
     base = shared_dir(spark, "stream")
     source = logical(spark, folder, "query_history")
-    source.write.parquet(f"{base}/arrived")
-    source.write.mode("append").parquet(f"{base}/arrived")
-    stream = parquet_stream(spark, f"{base}/arrived", source.schema)
+    for _ in range(2):
+        source.repartition(2).write.mode("append").parquet(f"{base}/arrived")
+    stream = parquet_stream(spark, f"{base}/arrived", source.schema, per_trigger=1)
     append_stream(stream, f"{base}/history", f"{base}/checkpoint", ["query_id"], "start_time")
     return history(spark, f"{base}/history").select("query_id", "warehouse_name", "start_time", "execution_time")
 
 
 @query("stream_dedup_late")
 def _stream_dedup_late(spark, folder):
-    """Events delivered twice, each kept once."""
+    """Events in three deliveries, the second with late copies of the first, the third with copies of all.
+
+    Each delivery is one micro-batch of two files. Copies within the 36 hours are
+    known and dropped; older ones lie behind the watermark.
+    """
     base = shared_dir(spark, "stream")
-    schema = table(spark, folder, "events").schema
-    twice = parquet_stream(spark, folder, schema, "events.parquet").withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
-    file_stream(dedup_late(twice.drop("delivery"), ["event_id"], "ts"), f"{base}/events", f"{base}/checkpoint")
+    events = table(spark, folder, "events")
+    cut = time_literal(EVENTS_CUT)
+    late = events.filter((F.col("ts") < cut) & (F.col("ts") >= cut - F.expr("INTERVAL 24 HOURS")))
+    for delivery in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut).unionByName(late), events):
+        delivery.repartition(2).write.mode("append").parquet(f"{base}/arrived")
+    stream = parquet_stream(spark, f"{base}/arrived", events.schema, per_trigger=2)
+    file_stream(dedup_late(stream, ["event_id"], "ts", timedelta(hours=36), slots=16), f"{base}/events", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/events").select("event_id", "ts", "user_id", "event_type")
 
 

@@ -43,6 +43,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _local_base()
+    elif base.startswith("file:") and spark.sparkContext.master.startswith(("yarn", "k8s")):
+        raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine of a cluster has its own of")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -51,3 +53,26 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system and path of a folder, wherever it is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _store(spark, path)
+    return store.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all files in it, if it is there."""
+    store, where = _store(spark, path)
+    store.delete(where, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none when it is missing."""
+    store, where = _store(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(where) if f.isDirectory()) if store.exists(where) else []

@@ -9,19 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from usageledger.context import ReportContext
-from usageledger.functions.times import time_literal
 from usageledger.operators.merge import unmatched
-from usageledger.operators.retention import retention_delete
-from usageledger.operators.watermark import LATE_LOOKBACK, oldest
+from usageledger.operators.retention import retention_cutoff, retention_delete
 from usageledger.plans.snapshots import CONNECTOR_COLUMNS
+from usageledger.session import exists, folders, remove
 
-BATCH = "batch_id"
+BATCH, DAY = "batch_id", "part_day"
 
 
 def parquet_stream(
@@ -34,18 +33,25 @@ def parquet_stream(
     return reader.parquet(folder)
 
 
-def _table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def history(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``append_stream``."""
-    return spark.read.parquet(path).drop(BATCH)
+    return spark.read.parquet(path).drop(BATCH, DAY)
+
+
+def _with_day(rows: DataFrame, time: str | None) -> DataFrame:
+    """The day that decides where a row is stored; rows without a time, and tables without one, have one folder."""
+    day = F.lit(None).cast("date") if time is None else F.to_date(time)
+    return rows.withColumn(DAY, F.coalesce(day.cast("string"), F.lit("none")))
+
+
+def _earlier(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> DataFrame | None:
+    """What earlier batches stored of the days that rows have; other days are neither listed nor read."""
+    days = [r[DAY] for r in rows.select(DAY).distinct().collect()]
+    there = [f"{path}/{DAY}={d}" for d in days if exists(spark, f"{path}/{DAY}={d}")]
+    if not there:
+        return None
+    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(*there).filter(F.col(BATCH) < batch_id)
 
 
 def append_stream(
@@ -56,28 +62,27 @@ def append_stream(
     time: str | None = None,
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> None:
-    """Append what is new in a stream to a Parquet table.
-
-    Each micro-batch writes its own partition and replaces it when the batch is
-    replayed after a failure, so a replay adds nothing. With ``key`` rows whose
-    key an earlier batch wrote are left out, and repeats inside a batch collapse.
-    A key names one event with one ``time``, so with ``time`` only stored rows at
-    or after the batch's first are compared.
+    """Append what is new in a stream to a Parquet table, by day of ``time`` and by batch.
+
+    Each micro-batch writes partitions of its own and replaces them when the
+    batch is replayed after a failure, so a replay adds nothing. With ``key``
+    rows whose key an earlier batch wrote are left out, and repeats inside a
+    batch collapse. A key names one event with one ``time``, so a batch is
+    compared with the stored rows of its own days only, and its cost doesn't
+    grow with the number of batches before it. Without ``time`` there is one
+    folder, which is compared whole.
     """
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = cached = shape(batch).persist()
+        rows = cached = _with_day(shape(batch), time).persist()
         if key is not None:
             rows = rows.dropDuplicates(list(key))
-            before = _table_or_none(spark, path)
+            before = _earlier(spark, path, rows, batch_id)
             if before is not None:
-                earlier = F.col(BATCH) < batch_id
-                first = oldest(rows, time) if time is not None else None
-                if first is not None:
-                    earlier = earlier & (F.col(time) >= time_literal(first, rows.schema[time].dataType))
-                rows = unmatched(rows, before.filter(earlier), key)
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+                rows = unmatched(rows, before, key)
+        out = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(path)
         cached.unpersist()
 
     query = (
@@ -89,15 +94,27 @@ def append_stream(
     query.awaitTermination()
 
 
+def drop_expired(spark: SparkSession, path: str, days: int | None, ctx: ReportContext) -> None:
+    """Delete the stored days that lie wholly before the retention's cutoff."""
+    if days is None:
+        return
+    cutoff = retention_cutoff(ctx, days).date().isoformat()
+    for name in folders(spark, path):
+        day = name.removeprefix(f"{DAY}=")
+        if name != day and day != "none" and day < cutoff:
+            remove(spark, f"{path}/{name}")
+
+
 def dedup_late(
-    stream: DataFrame, key: Sequence[str], time: str, delay: timedelta = LATE_LOOKBACK, slots: int = 16
+    stream: DataFrame, key: Sequence[str], time: str, delay: timedelta, slots: int
 ) -> DataFrame:
     """First row per key among rows that arrive within the delay; state is bounded by it.
 
     Copies are dropped in two steps, first per key and slot and then per key. The
     slot is the input partition's, so the copies of a key that makes up a large
     part of the stream are spread over ``slots`` tasks, and the second step gets
-    at most one row per slot.
+    at most one row per slot. Ask for as many slots as there are tasks; a stream
+    keeps its number, as its state does.
     """
     hours = int(delay.total_seconds() // 3600)
     timed = stream.withColumns(
@@ -131,7 +148,8 @@ def connector_type_history(
 ) -> DataFrame:
     """Every image of a connector type that a change stream delivered, within retention.
 
-    Old and new images both stay, so there is no key.
+    Expired days are deleted; rows of the day the cutoff falls on are left out. Old and new images both stay, so there is no key.
     """
-    append_stream(changes.select(*CONNECTOR_COLUMNS), path, checkpoint)
+    append_stream(changes.select(*CONNECTOR_COLUMNS), path, checkpoint, time="synced")
+    drop_expired(changes.sparkSession, path, days, ctx)
     return retention_delete(history(changes.sparkSession, path), "synced", days, ctx, account=None)
