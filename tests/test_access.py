@@ -2,6 +2,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from usageledger.operators import access
 
@@ -109,7 +110,10 @@ def test_patterns_with_group_references_stand_alone(spark, data):
 
 def test_few_patterns_add_no_join(data, patterns):
     plan = access.scope_rows_both(data, patterns)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan and "RLIKE" in plan.upper()
+    assert "Join" not in plan and " IN (" in plan
+    loose = patterns.withColumn("database_pattern", F.lit("DB_.*"))
+    plan = access.scope_rows_both(data, loose)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.upper().count("RLIKE") == 1
 
 
 def test_role_gate_and_membership(spark, ctx):

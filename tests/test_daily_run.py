@@ -5,15 +5,17 @@ from datetime import timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from usageledger import queries
 from usageledger.operators import access, rates
 from usageledger.operators.metering import metering_history
 from usageledger.operators.settings import retention_days
 from usageledger.plans import loads
-from usageledger.plans.refresh import refresh_all
-from usageledger.plans.sql import register_functions, register_views
+from usageledger.plans.refresh import FULL, refresh_all
+from usageledger.plans.sql import LOG_TABLES, REPORT_VIEWS, refresh_and_register, register_functions, register_views
 from usageledger.sources.logical import logical
+from usageledger.streaming.loads import parquet_stream
 
 CTX = queries.EVENTS
 
@@ -59,7 +61,7 @@ def test_views_show_a_caller_their_part(spark, stored, inputs):
     of, _ = inputs
     _, tables = stored
     names = register_views(spark, tables, of("access_map"), CTX)
-    assert set(names) == {f"ext_{n}" for n in tables}
+    assert set(names) == {f"ext_{n}" for n in tables} | {"ext_calendar"}
     seen = spark.sql("SELECT count(*) FROM ext_query_history").first()[0]
     assert 0 < seen < tables["query_history"].count()
     assert spark.sql("SELECT sum(credits_used_effective_rate) FROM ext_warehouse_credit").first()[0] > 0
@@ -94,3 +96,93 @@ def test_default_settings_name_each_retention(spark):
     settings = loads.default_settings(spark, CTX)
     assert retention_days(settings, "org_rate_sheet", CTX) == 730
     assert retention_days(settings, "load_history", CTX) is None
+
+
+@pytest.fixture(scope="module")
+def inputs_of_all(inputs):
+    """What the whole run is made of, by name."""
+    of, _ = inputs
+    logs = {f"log_{n}": of("users") for n in LOG_TABLES}
+    return logs | {
+        "table_storage_metrics": of("table_storage"),
+        "role_grants": of("role_grants"),
+        "user_grants": of("user_grants"),
+        "dependencies": of("object_dependencies"),
+        "databases": of("databases"),
+        "warehouses": of("warehouses"),
+        "roles": of("roles"),
+        "users": of("users"),
+        "monitors": of("monitors"),
+        "database_listing": of("database_listing"),
+        "warehouse_listing": of("warehouse_listing"),
+        "database_overrides": of("database_overrides"),
+        "warehouse_overrides": of("warehouse_overrides"),
+        "tag_references": of("tag_references"),
+        "object_listing": of("object_listing"),
+        "tag_overrides": of("tag_overrides"),
+        "raw_warehouse_tags": of("raw_warehouse_tags"),
+        "raw_database_tags": of("raw_database_tags"),
+        "connectors": of("connectors"),
+        "named_metering": of("named_metering"),
+        "metering": of("metering"),
+        "purchases": of("purchases"),
+        "tracker": of("tracker"),
+        "access_map": of("access_map_current"),
+        "role_tags": of("role_tags"),
+    }
+
+
+def test_everything_that_is_not_a_history(spark, inputs, inputs_of_all, tmp_path):
+    """Twice the run, once the result; every view has a name and can be read."""
+    of, _ = inputs
+    changes = str(tmp_path / "changes")
+    of("connectors").write.parquet(changes)
+    settings = loads.default_settings(spark, CTX)
+
+    def run():
+        stream = parquet_stream(spark, changes, of("connectors").schema)
+        return refresh_all(spark, {}, settings, CTX, str(tmp_path / "out"), prefix="whole_", inputs=inputs_of_all, connector_changes=stream)
+
+    first = {n: df.count() for n, df in run().items()}
+    stored = run()
+    assert {n: df.count() for n, df in stored.items()} == first
+    assert set(first) == {*FULL, "daily_credits", "access_map", "connector_type_history"} and all(first.values())
+    for table in FULL:
+        assert len(list((tmp_path / "out" / table).iterdir())) == 1  # replaced versions are gone
+    made = register_views(spark, {**inputs_of_all, **stored}, of("access_map"), CTX, "whole_ext_")
+    histories = set(loads.REPORTS) | {"query_credit", "db_schema_credit", "month_credits"}
+    assert set(made) == {f"whole_ext_{n}" for n in REPORT_VIEWS if n not in histories}
+    for name in made:
+        spark.table(name).write.format("noop").mode("overwrite").save()
+    assert spark.table("whole_ext_calendar").count() == 730
+
+
+def test_organization_comes_from_the_settings(spark, inputs, tmp_path):
+    _, sources = inputs
+    settings = loads.default_settings(spark, CTX)
+    one = {"auto_clustering": sources["auto_clustering"]}
+    named = settings.withColumn("var_value", F.when(F.col("var_name") == "ORGANIZATION", "OTHER").otherwise(F.col("var_value")))
+    stored = refresh_all(spark, one, named, CTX, str(tmp_path), prefix="org_")
+    assert rows(stored["auto_clustering"].select("organization_name").distinct()) == [("OTHER",)]
+    without = settings.filter(F.col("var_name") != "ORGANIZATION")
+    assert refresh_all(spark, one, without, CTX, str(tmp_path), prefix="absent_") == {}
+    assert not spark.catalog.tableExists("absent_auto_clustering")
+
+
+def test_views_are_registered_anew_after_each_run(spark, inputs, tmp_path):
+    """A view of the queries shows what a later load adds."""
+    of, sources = inputs
+    settings = loads.default_settings(spark, CTX)
+    early = {"query_history": sources["query_history"].filter("start_time < TIMESTAMP_NTZ '2024-01-20'")}
+    args = (settings, CTX, str(tmp_path), of("access_map"))
+    assert refresh_and_register(spark, early, *args, prefix="anew_") == ["ext_query_history", "ext_calendar"]
+    before = spark.table("ext_query_history").count()
+    refresh_and_register(spark, {"query_history": sources["query_history"]}, *args, prefix="anew_")
+    assert spark.table("ext_query_history").count() > before > 0
+
+
+def test_quotes_in_an_account_do_no_harm(spark, inputs):
+    of, _ = inputs
+    odd = replace(CTX, account="A'C")
+    register_functions(spark, of("metering"), loads.default_settings(spark, odd), of("rate_sheet"), of("access_map"), odd)
+    assert spark.sql("SELECT * FROM rate_timeseries('compute')").count() == 0

@@ -169,6 +169,17 @@ def test_metering_history_bounds_whole_days(spark):
     assert rows(metering_history(df, "DEMO", ["W"], date(2024, 1, 1), date(2024, 1, 2)), "entity_id") == [(1,), (5,)]
 
 
+def test_names_in_derived_patterns_match_themselves_alone(spark):
+    from usageledger.operators.access import scope_rows_single
+
+    grants = spark.createDataFrame([("R1", "WAREHOUSE", "WH$1"), ("R1", "WAREHOUSE", "A.B"), ("R1", "DATABASE", r"D\(x)[1]{2}|^?*+")], "grantee_name string, granted_on string, name string")
+    role_tags = spark.createDataFrame([("r1", "ROLE", '{"workspace_name":"w"}')], "id string, type string, tags string")
+    derived = reconcile.grants_to_patterns(grants, role_tags).selectExpr("warehouse AS warehouse_pattern", "database AS database_pattern")
+    data = spark.createDataFrame([("WH$1", r"D\(x)[1]{2}|^?*+"), ("A.B", "D"), ("AxB", "D"), ("WH", "D")], "warehouse_name string, database_name string")
+    assert rows(scope_rows_single(data, derived, "warehouse_name", "warehouse_pattern"), "warehouse_name") == [("A.B",), ("WH$1",)]
+    assert scope_rows_single(data, derived, "database_name").count() == 1
+
+
 def test_newest_rows_break_ties_by_id(spark):
     t = datetime(2024, 1, 1)
     df = spark.createDataFrame([(1, t, "a"), (2, t, "b"), (3, t, "c"), (3, t, "c"), (0, datetime(2024, 1, 2), "z"), (9, None, "n")], "id int, t timestamp_ntz, v string")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Patterns that refer to groups by number or name can't share an expression with others.
 _REFERS = re.compile(r"\\[1-9k]|\(\?<[A-Za-z]")
+#: Patterns that match one text only, themselves.
+_PLAIN = re.compile(r"[\w \-\x00]*")
 
 
 def whole(pattern: str) -> str:
@@ -26,6 +28,10 @@ def full_match_column(value: Column, pattern: Column) -> Column:
     return F.regexp_like(value, F.concat(F.lit(r"\A(?:"), pattern, F.lit(r")\z")))
 
 
+def is_plain(pattern: str) -> bool:
+    return _PLAIN.fullmatch(pattern) is not None
+
+
 def alternations(patterns: Iterable[str], longest: int = 20_000) -> Iterator[str]:
     """The patterns as few expressions, each an alternation of about ``longest`` characters."""
     held: list[str] = []

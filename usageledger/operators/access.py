@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
-from usageledger.functions.patterns import alternations, full_match, full_match_column
+from usageledger.functions.patterns import alternations, full_match, full_match_column, is_plain
 
 #: Patterns of up to so many characters in all become literals of the plan; more are read by the tasks.
 LITERAL_CHARACTERS = 1_000_000
@@ -61,8 +61,8 @@ def _scope(
 ) -> DataFrame:
     """Rows for which some pattern row passes the tests (column, pattern column).
 
-    Patterns become alternations: one regular expression for many of them, as a
-    literal predicate without a join. Where several columns must match the same
+    Patterns become a literal predicate without a join: plain names one set,
+    others alternations, one regular expression for many of them. Where several columns must match the same
     pattern row, they are tested as one text. Patterns beyond
     ``literal_characters``, which the driver shouldn't hold, meet the distinct
     names instead, spread over tasks by the names' hash.
@@ -76,11 +76,15 @@ def _scope(
     found = wanted.filter(F.coalesce(characters, F.lit(0)) <= literal_characters).collect()
     if not found and not wanted.isEmpty():
         return _scope_by_names(df, wanted, used, subjects, joined)
-    texts = [{_BETWEEN.join(f"(?:{x})" for x in r) for r in found}] if joined else [{r[p] for r in found} for p in used]
+    texts = [{tuple(r) for r in found}] if joined else [{(r[p],) for r in found} for p in used]
     allowed = F.lit(False)
     for patterns_of, columns in zip(texts, subjects):
-        for e in alternations(sorted(patterns_of)):
-            for subject in [_tested(columns)] if joined else [F.col(c) for c in columns]:
+        plain = sorted(t for t in patterns_of if all(map(is_plain, t)))
+        rest = sorted(patterns_of.difference(plain))
+        for subject in [_tested(columns)] if joined else [F.col(c) for c in columns]:
+            if plain:
+                allowed = allowed | subject.isin([_BETWEEN.join(t) for t in plain])
+            for e in alternations(_BETWEEN.join(f"(?:{x})" for x in t) if joined else t[0] for t in rest):
                 allowed = allowed | full_match(subject, e)
     return df.filter(allowed)
 

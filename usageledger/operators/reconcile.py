@@ -77,7 +77,9 @@ def apply_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
 def grants_to_patterns(grants: DataFrame, role_tags: DataFrame) -> DataFrame:
     """Access map rows of workspace roles, made from the objects granted to them.
 
-    A role's databases become one pattern ``(A)|(B)``, its warehouses another.
+    A role's databases become one pattern ``(A)|(B)``, its warehouses another, each
+    name quoted so that it matches itself alone. A pattern is one cell and holds
+    the names of all objects granted to the role, as long as that may be.
     Objects are made distinct before they are joined into a pattern, so several
     privileges on one object do not repeat it.
     """
@@ -95,8 +97,10 @@ def grants_to_patterns(grants: DataFrame, role_tags: DataFrame) -> DataFrame:
         .join(roles, "role", "left_semi")
     )
 
+    quoted = F.regexp_replace("name", r"([\\^$.|?*+()\[\]{}])", r"\\$1")
+
     def alternatives(kind: str) -> Column:
-        names = F.sort_array(F.collect_set(F.when(F.col("granted_on") == kind, F.col("name"))))
+        names = F.sort_array(F.collect_set(F.when(F.col("granted_on") == kind, quoted)))
         return F.when(F.size(names) > 0, F.concat(F.lit("("), F.array_join(names, ")|("), F.lit(")")))
 
     return objects.groupBy("role").agg(
@@ -109,3 +113,17 @@ def access_map_refresh(current: DataFrame, derived: DataFrame) -> DataFrame:
     columns = [*KEY, *VALUES]
     keyed = lambda df: df.select(business_key([text(c) for c in columns]).alias("sh_key"), *columns)
     return merge_insert_only(keyed(derived), keyed(current)).select(*columns)
+
+
+def reconcile_access_map(
+    desired: DataFrame, current: DataFrame, grants: DataFrame | None = None, role_tags: DataFrame | None = None
+) -> DataFrame:
+    """The access map after all steps: check and compare the desired state, apply the changes, add derived rows.
+
+    The desired state comes from a file read with ``access_map_csv``. A repeated
+    key in it stops everything before anything is changed.
+    """
+    applied = apply_changes(current, access_map_reconcile(desired, current))
+    if grants is None or role_tags is None:
+        return applied
+    return access_map_refresh(applied, grants_to_patterns(grants, role_tags))

@@ -50,9 +50,9 @@ def tag_unresolved(listing: DataFrame, pivoted: DataFrame) -> DataFrame:
     )
 
 
-def tag_metadata(references: DataFrame, listing: DataFrame) -> DataFrame:
+def tag_metadata(references: DataFrame, listing: DataFrame, existing_tags: DataFrame | None = None) -> DataFrame:
     """Resolved and unresolved objects together."""
-    pivoted = tag_pivot(references)
+    pivoted = tag_pivot(references, existing_tags)
     return pivoted.unionByName(tag_unresolved(listing, pivoted))
 
 

@@ -203,6 +203,10 @@ ORACLE["scope_rows_two_columns"] = f"""WITH {resolved()}, {ctes('file_loads')}
 SELECT file_name, table_catalog_name, pipe_catalog_name FROM file_loads
 WHERE {allowed(f"{db('table_catalog_name')} OR {db('pipe_catalog_name')}")}"""
 
+ORACLE["scope_rows_many"] = """WITH wanted AS (SELECT CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_custkey % 6 = 0)
+SELECT o_orderkey, 'DB_' || CAST(o_orderkey AS VARCHAR) AS database_name FROM orders
+WHERE CAST(o_orderkey AS VARCHAR) IN (SELECT k FROM wanted)
+  OR (right(CAST(o_orderkey AS VARCHAR), 1) IN ('0', '1', '2', '3') AND left(CAST(o_orderkey AS VARCHAR), -1) IN (SELECT k FROM wanted))"""
 ORACLE["role_gate"] = f"""WITH {prices()} SELECT {SHEET_COLUMNS} FROM sheet"""
 ORACLE["role_membership_scope"] = f"""WITH {ctes('role_grants')}
 SELECT * FROM role_grants WHERE grantee_name IN ('ROLE_3', 'role_18', 'REPORT_SERVICE')"""
@@ -569,6 +573,14 @@ listing AS (SELECT DISTINCT name, 'OWN' AS owner, CAST(NULL AS VARCHAR) AS comme
 spent AS (SELECT warehouse_name, sum(credits_used) AS total_credits_used, CAST(date_trunc('month', CAST(active_date AS DATE)) AS DATE) AS active_month FROM daily GROUP BY 1, 3)
 SELECT s.warehouse_name, w.bu, env, purpose, db_name, {num('total_credits_used')}, {num('purchased_rate')}, workspace, b.ws_id, b.pur_id, b.active_date AS budget_month, monthly_credit_budget
 FROM w JOIN spent s ON s.warehouse_name = w.name
+LEFT JOIN (SELECT budget.*, purchased_rate, workspace, bu FROM budget JOIN purchases USING (ws_id, pur_id) JOIN tracker USING (ws_id)) b
+  ON b.bu = w.bu AND b.active_date = s.active_month"""
+ORACLE["bu_warehouse_spend_overridden"] = f"""{BUDGET}, {ctes('named_metering')}, {DAILY},
+listing AS (SELECT DISTINCT name, 'OWN' AS owner, CAST(NULL AS VARCHAR) AS comment FROM named_metering), parsed_names AS ({parsed('WH', 'wh_type', True)}),
+w AS (SELECT * REPLACE (CASE WHEN contains(name, '_P3_') THEN 'BU1' ELSE bu END AS bu) FROM parsed_names),
+spent AS (SELECT warehouse_name, sum(credits_used) AS total_credits_used, CAST(date_trunc('month', CAST(active_date AS DATE)) AS DATE) AS active_month FROM daily GROUP BY 1, 3)
+SELECT s.warehouse_name, w.bu, env, purpose, db_name, {num('total_credits_used')}, {num('purchased_rate')}, workspace, b.ws_id, b.pur_id, b.active_date AS budget_month, monthly_credit_budget
+FROM w JOIN spent s ON s.warehouse_name = w.name
 LEFT JOIN (SELECT budget.*, purchased_rate, workspace, bu FROM budget JOIN purchases USING (ws_id, pur_id) JOIN tracker USING (ws_id)) b
   ON b.bu = w.bu AND b.active_date = s.active_month"""
 ORACLE["workspace_details"] = f"""WITH {ctes('purchases', 'tracker')}
@@ -586,6 +598,9 @@ tagged AS (SELECT object_name, domain AS object_type, {', '.join(f"max(tag_value
 untagged AS (SELECT object_name, object_type, {', '.join(f'CAST(NULL AS VARCHAR) AS {t.lower()}' for t in TAGS)}, FALSE AS is_resolved FROM (
   SELECT object_name, object_type FROM object_listing WHERE object_type = 'WAREHOUSE' OR origin = '' EXCEPT SELECT object_name, object_type FROM tagged))"""
 ORACLE["tag_pivot"] = f"WITH {TAGGED} SELECT * FROM tagged"
+ORACLE["tag_pivot_existing"] = f"""WITH {ctes('tag_references')}
+SELECT object_name, domain AS object_type, {', '.join(f"max(tag_value) FILTER (WHERE tag_name = '{t}') AS {t.lower()}" for t in TAGS)}, TRUE AS is_resolved
+FROM tag_references WHERE object_deleted IS NULL AND domain IN ('DATABASE', 'WAREHOUSE') AND tag_name <> 'ENVIRONMENT' GROUP BY object_name, domain"""
 ORACLE["tag_unresolved"] = f"WITH {TAGGED} SELECT * FROM untagged"
 for _kind, _test in (("DATABASE", db("c.object_name")), ("WAREHOUSE", wh("c.object_name"))):
     ORACLE[f"tag_override_{_kind.lower()}"] = f"""WITH {TAGGED}, {resolved(*OWN_ROWS)}, o AS ({statement('tag_overrides')}),
@@ -608,6 +623,11 @@ SELECT * FROM access_map_current UNION ALL SELECT * FROM derived d WHERE NOT EXI
     AND c.warehouse IS NOT DISTINCT FROM d.warehouse AND c.database IS NOT DISTINCT FROM d.database)"""
 ORACLE["access_map_reconcile"] = statement("access_map_desired")
 
+ORACLE["access_map_from_file"] = f"""WITH {DERIVED}, {ctes('access_map_desired')}
+SELECT * FROM access_map_desired UNION ALL SELECT * FROM derived d WHERE NOT EXISTS (SELECT 1 FROM access_map_desired c
+  WHERE c.account IS NOT DISTINCT FROM d.account AND c.role IS NOT DISTINCT FROM d.role
+    AND c.warehouse IS NOT DISTINCT FROM d.warehouse AND c.database IS NOT DISTINCT FROM d.database)"""
+
 ORACLE["connector_type_current"] = statement("connectors")
 ORACLE["connector_type_history"] = f"""WITH {ctes('connectors')}, images AS (
   SELECT * FROM connectors UNION ALL SELECT * REPLACE ('changed' AS availability) FROM connectors WHERE broken)

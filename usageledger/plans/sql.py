@@ -5,64 +5,183 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.operators import budget, names, tags
 from usageledger.operators.access import (
+    DATABASE,
     WAREHOUSE,
+    any_pattern_gate,
     resolve_access_patterns,
     role_gate,
     scope_rows_both,
     scope_rows_single,
 )
+from usageledger.operators.calendar import dim_date
+from usageledger.operators.metering import monthly_credit_summary
 from usageledger.operators.rates import densify
 from usageledger.plans import snapshots, views
+from usageledger.plans.refresh import refresh_all
 
 Tables = Mapping[str, DataFrame]
 View = Callable[[Tables, DataFrame, ReportContext], DataFrame]
 
 SHEET = "org_rate_sheet"
+#: Days that the calendar goes back.
+CALENDAR_DAYS = 730
 
-REPORT_VIEWS: dict[str, View] = {
-    "auto_clustering": lambda t, p, c: views.table_service_view(t["auto_clustering"], p),
-    "mv_refresh": lambda t, p, c: views.table_service_view(t["mv_refresh"], p),
-    "replication": lambda t, p, c: views.table_service_view(t["replication"], p),
-    "search_optimization": lambda t, p, c: views.priced_service_view(
-        t["search_optimization"], p, t[SHEET], "search optimization", c
+
+def _kind(kind: str) -> View:
+    return lambda t, p, c: any_pattern_gate(snapshots.active_of_kind(t["active_resources"], kind), p)
+
+
+def _overridden(kind: str, fields: tuple[str, ...], pattern: str) -> View:
+    def view(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+        merged = names.override_coalesce(t[f"{kind}_metadata"], t[f"{kind}_overrides"], fields, out=f"{kind}_name")
+        return scope_rows_single(merged, p, f"{kind}_name", pattern)
+
+    return view
+
+
+def _tagged(kind: str, pattern: str) -> View:
+    def view(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+        merged = tags.tag_override(t["tag_metadata"], t["tag_overrides"], kind.upper(), f"{kind}_name")
+        return scope_rows_single(merged, p, f"{kind}_name", pattern)
+
+    return view
+
+
+def _spend(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+    """Spending by the metadata that people see, overrides included."""
+    merged = names.override_coalesce(t["warehouse_metadata"], t["warehouse_overrides"], names.WAREHOUSE_FIELDS, out="warehouse_name")
+    return budget.bu_warehouse_spend(merged, t["daily_credits"], t["purchases"], t["tracker"])
+
+
+# Tables of the connector service's log, each shown as it is.
+LOG_TABLES = (
+    "account",
+    "account_membership",
+    "audit",
+    "connector",
+    "destination",
+    "destination_membership",
+    "incremental_mar",
+    "log",
+    "resource_membership",
+    "role",
+    "role_permission",
+    "user",
+)
+
+#: Views by name: the tables each needs and how it is made of them.
+REPORT_VIEWS: dict[str, tuple[tuple[str, ...], View]] = {
+    "auto_clustering": (("auto_clustering",), lambda t, p, c: views.table_service_view(t["auto_clustering"], p)),
+    "mv_refresh": (("mv_refresh",), lambda t, p, c: views.table_service_view(t["mv_refresh"], p)),
+    "replication": (("replication",), lambda t, p, c: views.table_service_view(t["replication"], p)),
+    "search_optimization": (
+        ("search_optimization", SHEET),
+        lambda t, p, c: views.priced_service_view(t["search_optimization"], p, t[SHEET], "search optimization", c),
     ),
-    "serverless_task": lambda t, p, c: views.priced_service_view(t["serverless_task"], p, t[SHEET], "serverless tasks", c),
-    "copy_history": lambda t, p, c: views.copy_history_view(t["copy_history"], p),
-    "load_history": lambda t, p, c: views.load_history_view(t["load_history"], p),
-    "database_storage": lambda t, p, c: views.database_storage_view(t["database_storage"], p),
-    "account_storage": lambda t, p, c: t["account_storage"],
-    "sessions": lambda t, p, c: t["sessions"],
-    "pipe_credit": lambda t, p, c: views.pipe_credit_view(t["pipe_credit"], p),
-    "query_history": lambda t, p, c: views.query_history_view(t["query_history"], p),
-    "reader_query_history": lambda t, p, c: views.reader_query_history_view(t["reader_query_history"], p),
-    "reader_warehouse_credit": lambda t, p, c: views.reader_warehouse_credit_view(t["reader_warehouse_credit"], p),
-    "task_history": lambda t, p, c: views.task_history_view(t["task_history"], p),
-    "warehouse_credit": lambda t, p, c: views.warehouse_credit_view(t["warehouse_credit"], p, t[SHEET], c),
-    "org_currency": lambda t, p, c: views.organization_view(t["org_currency"], c),
-    "org_rate_sheet": lambda t, p, c: views.organization_view(t[SHEET], c),
-    "org_metering": lambda t, p, c: views.organization_metering_view(t["org_metering"], t[SHEET], c),
-    "query_credit": lambda t, p, c: snapshots.query_credit_view(t["query_credit"], p),
-    "db_schema_credit": lambda t, p, c: scope_rows_both(t["db_schema_credit"], p),
-    "month_credits": lambda t, p, c: scope_rows_single(t["month_credits"], p, "name", WAREHOUSE).distinct(),
+    "serverless_task": (
+        ("serverless_task", SHEET),
+        lambda t, p, c: views.priced_service_view(t["serverless_task"], p, t[SHEET], "serverless tasks", c),
+    ),
+    "copy_history": (("copy_history",), lambda t, p, c: views.copy_history_view(t["copy_history"], p)),
+    "load_history": (("load_history",), lambda t, p, c: views.load_history_view(t["load_history"], p)),
+    "database_storage": (("database_storage",), lambda t, p, c: views.database_storage_view(t["database_storage"], p)),
+    "account_storage": (("account_storage",), lambda t, p, c: t["account_storage"]),
+    "sessions": (("sessions",), lambda t, p, c: t["sessions"]),
+    "pipe_credit": (("pipe_credit",), lambda t, p, c: views.pipe_credit_view(t["pipe_credit"], p)),
+    "query_history": (("query_history",), lambda t, p, c: views.query_history_view(t["query_history"], p)),
+    "reader_query_history": (
+        ("reader_query_history",),
+        lambda t, p, c: views.reader_query_history_view(t["reader_query_history"], p),
+    ),
+    "reader_warehouse_credit": (
+        ("reader_warehouse_credit",),
+        lambda t, p, c: views.reader_warehouse_credit_view(t["reader_warehouse_credit"], p),
+    ),
+    "task_history": (("task_history",), lambda t, p, c: views.task_history_view(t["task_history"], p)),
+    "warehouse_credit": (
+        ("warehouse_credit", SHEET),
+        lambda t, p, c: views.warehouse_credit_view(t["warehouse_credit"], p, t[SHEET], c),
+    ),
+    "org_currency": (("org_currency",), lambda t, p, c: views.organization_view(t["org_currency"], c)),
+    "org_rate_sheet": ((SHEET,), lambda t, p, c: views.organization_view(t[SHEET], c)),
+    "org_metering": (("org_metering", SHEET), lambda t, p, c: views.organization_metering_view(t["org_metering"], t[SHEET], c)),
+    "query_credit": (("query_credit",), lambda t, p, c: snapshots.query_credit_view(t["query_credit"], p)),
+    "db_schema_credit": (("db_schema_credit",), lambda t, p, c: scope_rows_both(t["db_schema_credit"], p)),
+    "month_credits": (("month_credits",), lambda t, p, c: scope_rows_single(t["month_credits"], p, "name", WAREHOUSE)),
+    "grants_to_roles": (("grants_to_roles",), lambda t, p, c: snapshots.grants_to_roles_view(t["grants_to_roles"], c)),
+    "grants_to_users": (("grants_to_users",), lambda t, p, c: t["grants_to_users"]),
+    "table_storage": (("table_storage",), lambda t, p, c: snapshots.table_storage_view(t["table_storage"], p)),
+    "object_dependencies": (("object_dependencies",), lambda t, p, c: t["object_dependencies"]),
+    "active_databases": (("active_resources",), _kind("DATABASE")),
+    "active_warehouses": (("active_resources",), _kind("WAREHOUSE")),
+    "active_roles": (("active_resources",), _kind("ROLE")),
+    "active_users": (("active_resources",), _kind("USER")),
+    "active_monitors": (("active_resources",), _kind("RM")),
+    "resource_monitor": (
+        ("resource_monitors", "watched_warehouses"),
+        lambda t, p, c: snapshots.resource_monitor(t["resource_monitors"], t["watched_warehouses"], p),
+    ),
+    "monthly_credit_summary": (("metering",), lambda t, p, c: monthly_credit_summary(t["metering"])),
+    "calendar": ((), lambda t, p, c: dim_date(p.sparkSession, c.today, CALENDAR_DAYS)),
+    "database_metadata": (
+        ("database_metadata", "database_overrides"),
+        _overridden("database", names.DATABASE_FIELDS, DATABASE),
+    ),
+    "warehouse_metadata": (
+        ("warehouse_metadata", "warehouse_overrides"),
+        _overridden("warehouse", names.WAREHOUSE_FIELDS, WAREHOUSE),
+    ),
+    "tagged_databases": (("tag_metadata", "tag_overrides"), _tagged("database", DATABASE)),
+    "tagged_warehouses": (("tag_metadata", "tag_overrides"), _tagged("warehouse", WAREHOUSE)),
+    "warehouse_tags": (("raw_warehouse_tags",), lambda t, p, c: t["raw_warehouse_tags"]),
+    "database_tags": (("raw_database_tags",), lambda t, p, c: t["raw_database_tags"]),
+    "workspace_monthly_budget": (
+        ("purchases", "tracker"),
+        lambda t, p, c: budget.workspace_monthly_budget(t["purchases"], t["tracker"]),
+    ),
+    "bu_warehouse_spend": (("warehouse_metadata", "warehouse_overrides", "daily_credits", "purchases", "tracker"), _spend),
+    "workspace_details": (("purchases", "tracker"), lambda t, p, c: budget.workspace_details(t["tracker"], t["purchases"])),
+    "connector_types": (("connector_types",), lambda t, p, c: any_pattern_gate(t["connector_types"], p)),
+    "connector_type_history": (
+        ("connector_type_history",),
+        lambda t, p, c: any_pattern_gate(t["connector_type_history"], p),
+    ),
+    **{f"log_{name}": ((f"log_{name}",), lambda t, p, c, table=f"log_{name}": t[table]) for name in LOG_TABLES},
 }
-#: Reports that need prices beside their own table.
-PRICED = ("search_optimization", "serverless_task", "warehouse_credit", "org_metering")
 
 
 def register_views(
     spark: SparkSession, tables: Tables, access_map: DataFrame, ctx: ReportContext, prefix: str = "ext_"
 ) -> list[str]:
-    """Temporary views of the stored tables, limited to what the caller may see."""
+    """Temporary views of the given tables, limited to what the caller may see; those whose tables are there.
+
+    Besides the stored tables of a refresh ``tables`` may hold overrides,
+    purchases, the tracker, metering records, raw tags and log tables. A caller's
+    patterns and the size of the price list are read now, so views are registered
+    anew after a refresh (``refresh_and_register``). No view holds anything else
+    of this moment.
+    """
     patterns = resolve_access_patterns(access_map, ctx)
-    names = []
-    for report, view in REPORT_VIEWS.items():
-        if report in tables and (report not in PRICED or SHEET in tables):
-            view(tables, patterns, ctx).createOrReplaceTempView(prefix + report)
-            names.append(prefix + report)
-    return names
+    made = []
+    for name, (needed, view) in REPORT_VIEWS.items():
+        if all(n in tables for n in needed):
+            view(tables, patterns, ctx).createOrReplaceTempView(prefix + name)
+            made.append(prefix + name)
+    return made
+
+
+def refresh_and_register(
+    spark: SparkSession, sources: Tables, settings: DataFrame, ctx: ReportContext, folder: str, access_map: DataFrame, **more
+) -> list[str]:
+    """The daily run, and the caller's views over what it stored and the inputs it was given."""
+    stored = refresh_all(spark, sources, settings, ctx, folder, **more)
+    given = {k: v for k, v in (more.get("inputs") or {}).items() if k not in stored}
+    return register_views(spark, {**given, **stored}, stored.get("access_map", access_map), ctx)
 
 
 def register_functions(
@@ -78,8 +197,13 @@ def register_functions(
     settings.createOrReplaceTempView("setting_records")
     resolve_access_patterns(access_map, ctx).createOrReplaceTempView("caller_patterns")
     densify(role_gate(sheet, ctx), ctx.today).createOrReplaceTempView("daily_rates")
+    own = {"account_locator": ctx.account, "region": ctx.region}
+    mine = spark.table("daily_rates")
+    for column, value in own.items():
+        mine = mine.filter(F.col(column) == F.lit(value))
+    mine.createOrReplaceTempView("own_daily_rates")
     for text in FUNCTIONS:
-        spark.sql(text.format(account=ctx.account, region=ctx.region))
+        spark.sql(text)
 
 
 FUNCTIONS = (
@@ -105,8 +229,8 @@ FUNCTIONS = (
     """CREATE OR REPLACE TEMPORARY FUNCTION date_range(first DATE, last DATE) RETURNS TABLE RETURN
     SELECT explode(CASE WHEN first <= last THEN sequence(first, last) END) AS day""",
     """CREATE OR REPLACE TEMPORARY FUNCTION rate_timeseries(wanted STRING) RETURNS TABLE RETURN
-    SELECT usage_type, rate_date, contract_number, service_level, currency, effective_rate, service_type FROM daily_rates
-    WHERE usage_type = wanted AND account_locator = '{account}' AND region = '{region}'""",
+    SELECT usage_type, rate_date, contract_number, service_level, currency, effective_rate, service_type FROM own_daily_rates
+    WHERE usage_type = wanted""",
     """CREATE OR REPLACE TEMPORARY FUNCTION rate_timeseries_all(wanted STRING) RETURNS TABLE RETURN
     SELECT account_locator, region, usage_type, rate_date, contract_number, service_level, currency, effective_rate, service_type
     FROM daily_rates WHERE usage_type = wanted""",

@@ -35,7 +35,7 @@ from usageledger.plans.publish import publish_swap, publish_truncate_insert
 from usageledger.plans.spec import ReportSpec, incremental_load
 from usageledger.session import shared_dir
 from usageledger.sources.logical import logical
-from usageledger.sources.tables import table
+from usageledger.sources.tables import access_map_csv, table
 from usageledger.streaming.loads import append_stream, connector_type_history, dedup_late, file_stream, history, parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +221,17 @@ def _scope_rows_two_columns(spark, folder):
     return seen.select("file_name", "table_catalog_name", "pipe_catalog_name")
 
 
+@query("scope_rows_many")
+def _scope_rows_many(spark, folder):
+    """A caller with a pattern for every sixth order: thousands of them."""
+    name = F.concat(F.lit("DB_"), F.col("o_orderkey").cast("string"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", name.alias("database_name"))
+    wanted = orders.filter(F.col("o_custkey") % 6 == 0).select(
+        F.concat("database_name", F.lit("[0-3]?")).alias(access.DATABASE), F.lit(".+").alias(access.WAREHOUSE)
+    )
+    return access.scope_rows_single(orders, wanted, "database_name").select("o_orderkey", "database_name")
+
+
 @query("role_gate")
 def _role_gate(spark, folder):
     sheet = price_list(spark, folder)
@@ -628,6 +639,19 @@ def _bu_warehouse_spend(spark, folder):
     )
 
 
+@query("bu_warehouse_spend_overridden")
+def _bu_warehouse_spend_overridden(spark, folder):
+    """Spending over metadata with overrides: the warehouses of one product moved to another business unit."""
+    metered = logical(spark, folder, "named_metering")
+    listing = metered.select("name", F.lit("OWN").alias("owner"), F.lit(None).cast("string").alias("comment")).distinct()
+    missing = [F.lit(None).cast("string").alias(c) for c in ("owner", "comment", "wh_type", "env", "db_name", "purpose")]
+    moved = listing.filter(F.col("name").contains("_P3_")).select("name", *missing, F.lit("BU1").alias("bu"))
+    merged = names.override_coalesce(names.parse_warehouse_names(listing), moved, names.WAREHOUSE_FIELDS, out="warehouse_name")
+    return shown(
+        budget.bu_warehouse_spend(merged, warehouse_daily_credits(metered), logical(spark, folder, "purchases"), logical(spark, folder, "tracker"))
+    )
+
+
 @query("workspace_details")
 def _workspace_details(spark, folder):
     return shown(budget.workspace_details(logical(spark, folder, "tracker"), logical(spark, folder, "purchases")))
@@ -643,6 +667,15 @@ def _tag_pivot(spark, folder):
     return tags.tag_pivot(logical(spark, folder, "tag_references"))
 
 
+@query("tag_pivot_existing")
+def _tag_pivot_existing(spark, folder):
+    """As tag_pivot after one of the tags was dropped."""
+    where = {"tag_database": F.lit("GOVERNANCE"), "tag_schema": F.lit("TAGS")}
+    references = logical(spark, folder, "tag_references").withColumns(where)
+    existing = references.select(*tags.TAG_IDENTITY).distinct().filter(F.col("tag_name") != "ENVIRONMENT")
+    return tags.tag_pivot(references, existing)
+
+
 @query("tag_unresolved")
 def _tag_unresolved(spark, folder):
     pivoted = tags.tag_pivot(logical(spark, folder, "tag_references"))
@@ -684,6 +717,19 @@ def _access_map_reconcile(spark, folder):
     return reconcile.apply_changes(current, changes)
 
 
+@query("access_map_from_file")
+def _access_map_from_file(spark, folder):
+    """The desired state from a CSV file, checked, compared, applied, and completed from grants."""
+    path = shared_dir(spark, "access-map")
+    logical(spark, folder, "access_map_desired").select("account", "role", "warehouse", "database").write.option("header", True).csv(path)
+    return reconcile.reconcile_access_map(
+        access_map_csv(spark, path),
+        logical(spark, folder, "access_map_current"),
+        logical(spark, folder, "role_grants"),
+        logical(spark, folder, "role_tags"),
+    )
+
+
 @query("connector_type_current")
 def _connector_type_current(spark, folder):
     return snapshots.connector_type_current(logical(spark, folder, "connectors"))
