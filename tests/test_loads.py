@@ -59,7 +59,19 @@ def test_loading_twice_is_loading_once(spark, folder, spec):
 
 
 def test_there_are_nineteen_reports():
-    assert len(loads.REPORTS) == 19
+    assert len(loads.REPORTS) == 19 and all(s.columns for s in loads.REPORTS.values())
+
+
+@pytest.mark.parametrize("spec", SOURCED, ids=lambda s: s.name)
+def test_a_new_source_column_is_neither_read_nor_stored(spark, folder, tmp_path, spec):
+    source, ctx = source_of(spark, folder, spec), context_of(spec)
+    kept = source.columns
+    source.withColumn("brand_new", F.lit(1)).write.parquet(str(tmp_path / "s"))
+    loaded = incremental_load(spec, spark.read.parquet(str(tmp_path / "s")), None, ctx, spec.retain_days)
+    assert "brand_new" not in loaded.columns
+    assert loaded.columns == incremental_load(spec, source, None, ctx, spec.retain_days).columns
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "brand_new" not in plan and set(kept) - set(spec.columns) <= {"table_id", "num_bytes"}
 
 
 def metering(spark, data):

@@ -18,6 +18,7 @@ from usageledger.functions.times import derive_time_columns
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators.settings import stamp_context
 from usageledger.operators.skew import skew_safe_join
+from usageledger.plans.columns import columns_of
 from usageledger.plans.spec import ReportSpec
 
 # Days of retention, months of a first load, days of the file load reports, and how late task runs change.
@@ -115,6 +116,7 @@ def _table_service(name: str, *key: str, whole_days: bool = False) -> ReportSpec
     """Credits of a service that works on tables or tasks, per hour."""
     return ReportSpec(
         name=name,
+        columns=columns_of(name),
         source_time="start_time",
         time="start_time",
         first_months=FIRST_MONTHS,
@@ -133,6 +135,7 @@ SERVERLESS_TASK = _table_service("serverless_task", "database_name", "schema_nam
 
 COPY_HISTORY = ReportSpec(
     name="copy_history",
+    columns=columns_of("copy_history"),
     source_time="last_load_time",
     time="last_load_time",
     first_months=FIRST_MONTHS,
@@ -154,6 +157,7 @@ COPY_HISTORY = ReportSpec(
 
 LOAD_HISTORY = ReportSpec(
     name="load_history",
+    columns=columns_of("load_history"),
     source_time="last_load_time",
     time="last_load_time",
     first_months=FIRST_MONTHS,
@@ -166,6 +170,7 @@ LOAD_HISTORY = ReportSpec(
 
 DATABASE_STORAGE = ReportSpec(
     name="database_storage",
+    columns=columns_of("database_storage"),
     source_time="usage_date",
     time="usage_month",
     first_months=FIRST_MONTHS,
@@ -176,6 +181,7 @@ DATABASE_STORAGE = ReportSpec(
 
 ACCOUNT_STORAGE = ReportSpec(
     name="account_storage",
+    columns=columns_of("account_storage"),
     source_time="usage_date",
     time="usage_month",
     first_months=FIRST_MONTHS,
@@ -187,6 +193,7 @@ ACCOUNT_STORAGE = ReportSpec(
 
 PIPE_CREDIT = ReportSpec(
     name="pipe_credit",
+    columns=columns_of("pipe_credit"),
     source_time="start_time",
     time="start_time",
     first_months=FIRST_MONTHS,
@@ -198,6 +205,7 @@ PIPE_CREDIT = ReportSpec(
 
 QUERY_HISTORY = ReportSpec(
     name="query_history",
+    columns=columns_of("query_history"),
     source_time="start_time",
     time="start_time",
     first_months=FIRST_MONTHS,
@@ -209,6 +217,7 @@ QUERY_HISTORY = ReportSpec(
 
 READER_QUERY_HISTORY = ReportSpec(
     name="reader_query_history",
+    columns=columns_of("reader_query_history"),
     source_time="start_time",
     time="start_time",
     first_months=FIRST_MONTHS,
@@ -220,6 +229,7 @@ READER_QUERY_HISTORY = ReportSpec(
 
 READER_WAREHOUSE_CREDIT = ReportSpec(
     name="reader_warehouse_credit",
+    columns=columns_of("reader_warehouse_credit"),
     source_time="start_time",
     time="start_time",
     first_months=FIRST_MONTHS,
@@ -230,6 +240,7 @@ READER_WAREHOUSE_CREDIT = ReportSpec(
 
 SESSIONS = ReportSpec(
     name="sessions",
+    columns=columns_of("sessions"),
     source_time="created_on",
     time="created_on",
     first_months=FIRST_MONTHS,
@@ -243,6 +254,7 @@ SESSIONS = ReportSpec(
 
 TASK_HISTORY = ReportSpec(
     name="task_history",
+    columns=columns_of("task_history"),
     source_time="scheduled_time",
     time="scheduled_time",
     first_months=FIRST_MONTHS,
@@ -265,6 +277,7 @@ TASK_HISTORY = ReportSpec(
 
 WAREHOUSE_CREDIT = ReportSpec(
     name="warehouse_credit",
+    columns=columns_of("warehouse_credit"),
     source_time="start_time",
     time="start_time",
     first_months=FIRST_MONTHS,
@@ -276,6 +289,7 @@ WAREHOUSE_CREDIT = ReportSpec(
 
 ORG_CURRENCY = ReportSpec(
     name="org_currency",
+    columns=columns_of("org_currency"),
     source_time="usage_date",
     time="usage_date",
     shape=_spending,
@@ -296,6 +310,7 @@ ORG_CURRENCY = ReportSpec(
 
 ORG_RATE_SHEET = ReportSpec(
     name="org_rate_sheet",
+    columns=columns_of("org_rate_sheet"),
     source_time="rate_date",
     time="rate_date",
     shape=_price_list,
@@ -315,6 +330,7 @@ ORG_RATE_SHEET = ReportSpec(
 
 ORG_METERING = ReportSpec(
     name="org_metering",
+    columns=columns_of("org_metering"),
     source_time="start_time",
     time="start_time",
     shape=_as_is,
