@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from llm.common import id_text, ship, uniform
+from llm.common import fresh, id_text, ship, uniform
 
 SLOTS = 1 << 20
 #: Words are compared by stretches of at most so many characters; longer ones are the best of overlapping stretches.
@@ -375,6 +376,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
                     names=[*keep, "score", "predicted"],
                 )
 
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("text_read"))
-    wanted = narrow.drop("text_read").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
-    return narrow.mapInArrow(task, wanted.schema)
+    (read,) = fresh(keep, "text_read")
+    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(read))
+    found_fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return narrow.mapInArrow(task, T.StructType([*narrow.schema.fields[:-1], *found_fields]))
