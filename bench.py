@@ -1,8 +1,9 @@
-"""Seconds per headline query; prints one JSON line.
+"""Seconds per query; prints one JSON line.
 
 Every query's result is written to Spark's ``noop`` sink, so that all columns of
 all rows are computed. BENCH_SF_DIR names the tables, BENCH_CPUS the cores,
-BENCH_QUERIES (comma separated, or ``all``) the queries.
+BENCH_QUERIES (comma separated) the queries; all of them otherwise. ``value`` is
+the sum of the headline queries, the same in every round; ``all`` that of all.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     asked = os.environ.get("BENCH_QUERIES", "")
-    names = list(QUERIES) if asked == "all" else [q for q in asked.split(",") if q] or list(HEADLINE)
+    names = [q for q in asked.split(",") if q] or [*HEADLINE, *(q for q in QUERIES if q not in HEADLINE)]
     spark = local_session(cores)
 
     def run(name: str) -> float:
@@ -74,8 +75,9 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "usage_mart_total_seconds",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(s for q, s in seconds.items() if q in HEADLINE), 3),
                 "unit": "sec",
+                "all": round(sum(seconds.values()), 3),
                 "queries": seconds,
                 "sf": float(scale.group(1)) if scale else None,
             }
