@@ -35,8 +35,8 @@ NONE = np.int64(2**62)
 #: Pieces of more bytes are merged one by one.
 LONG = 254
 #: Pieces remembered by a worker, in each of two generations.
-REMEMBERED = 150_000
-TEXTS_AT_ONCE = 64
+REMEMBERED = 400_000
+TEXTS_AT_ONCE = 256
 
 
 def byte_alphabet() -> list[str]:
@@ -248,13 +248,10 @@ class Bpe:
     def _learn(self, wanted: set[str]) -> None:
         if len(self._young) > REMEMBERED:
             self._old, self._young = self._young, {}
-        missing = []
-        for piece in wanted:
-            if piece not in self._young:
-                if piece in self._old:
-                    self._young[piece] = self._old[piece]
-                else:
-                    missing.append(piece)
+        unknown = wanted.difference(self._young)
+        missing = list(unknown.difference(self._old))
+        for piece in unknown.intersection(self._old):
+            self._young[piece] = self._old[piece]
         self._young.update(zip(missing, self.merge_many([p.encode() for p in missing])))
 
     def encode_many(self, texts: Sequence[str]) -> Iterator[list[int]]:
