@@ -103,6 +103,20 @@ def test_many_patterns(spark, literal):
         assert "Join" not in plan and plan.count("RLIKE") <= 12
 
 
+def test_literal_starts(spark):
+    cases = {"DB_1": "DB_1", "DB_1?": "DB_", "DB_1*x": "DB_", "DB_1+": "DB_1", "DB_1{2}": "DB_", ".+": "", "A|B": "", "(?i)db": "", "a.b": "a", "?": "", "": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.s for r in df.select("p", access._literal_start(access.F.col("p")).alias("s")).collect()} == cases
+
+
+@pytest.mark.parametrize("literal", [10**6, 0])
+def test_all_kinds_of_patterns(spark, literal):
+    data = spark.createDataFrame([("DB_1",), ("db_2",), ("DB_11",), ("X",), ("",), ("A-B",), ("Ax B",)], "database_name string")
+    wanted = spark.createDataFrame([("DB_1?", "w"), ("(?i)Db_2", "w"), ("Y|X", "w"), ("A.?B", "w"), ("A.{2}B", "w"), ("", "w")], "database_pattern string, warehouse_pattern string")
+    got = access.scope_rows_single(data, wanted, "database_name", literal_characters=literal)
+    assert rows(got) == [("",), ("A-B",), ("Ax B",), ("DB_1",), ("X",), ("db_2",)]
+
+
 def test_patterns_with_group_references_stand_alone(spark, data):
     own = spark.createDataFrame([("(D)B_1", "x"), (r"DB_(\d)\1?", "x"), (r"(?<k>W)H_\k<k>?9", "y")], "database_pattern string, warehouse_pattern string")
     assert [r[0] for r in rows(access.scope_rows_single(data, own, "database_name"), "id")] == [1, 2, 3, 4]

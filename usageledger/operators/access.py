@@ -12,7 +12,7 @@ from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.functions.patterns import alternations, full_match, full_match_column, is_plain
 
 #: Patterns of up to so many characters in all become literals of the plan; more are read by the tasks.
-LITERAL_CHARACTERS = 1_000_000
+LITERAL_CHARACTERS = 20_000
 #: Stands between the names of two columns that one expression tests together.
 _BETWEEN = "\x00"
 
@@ -64,8 +64,8 @@ def _scope(
     Patterns become a literal predicate without a join: plain names one set,
     others alternations, one regular expression for many of them. Where several columns must match the same
     pattern row, they are tested as one text. Patterns beyond
-    ``literal_characters``, which the driver shouldn't hold, meet the distinct
-    names instead, spread over tasks by the names' hash.
+    ``literal_characters``, which neither a plan nor an expression should hold,
+    meet the distinct names in a join instead.
     """
     used = list(dict.fromkeys(p for _, p in tests))
     joined = every and len(tests) > 1
@@ -89,22 +89,41 @@ def _scope(
     return df.filter(allowed)
 
 
+def _literal_start(pattern: Column) -> Column:
+    """What every text that the pattern matches starts with, as far as that is plain to see."""
+    start = F.regexp_extract(pattern, r"^[\w \-]*", 0)
+    behind = F.substring(pattern, F.length(start) + 1, F.lit(1))
+    optional = F.length(start) - F.when(behind.isin("?", "*", "{"), 1).otherwise(0)
+    return F.when(F.contains(pattern, F.lit("|")), "").otherwise(F.left(start, F.greatest(optional, F.lit(0))))
+
+
 def _scope_by_names(
     df: DataFrame, wanted: DataFrame, used: Sequence[str], subjects: Sequence[Sequence[str]], joined: bool
 ) -> DataFrame:
-    """The same rows, found through the distinct names: each slot of names meets every expression."""
-    grouped = [F.concat(F.lit("(?:"), F.col(p), F.lit(")")) for p in used]
-    each = [F.concat(*_between(grouped))] if joined else [F.col(p) for p in used]
+    """The same rows, found through the distinct names.
+
+    A name meets the patterns whose literal start it starts with: an equi join.
+    Patterns without such a start meet all names, which are spread over slots.
+    """
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = [F.concat(F.lit("(?:"), F.col(p), F.lit(")")) for p in used]
+    each = [(F.concat(*_between(grouped)), used[0])] if joined else [(F.col(p), p) for p in used]
     columns = list(dict.fromkeys(c for cs in subjects for c in cs))
     visible = None
-    for expression, own in zip(each, subjects):
-        everywhere = wanted.select(expression.alias("e")).distinct().withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    for (expression, first), own in zip(each, subjects):
+        patterns = wanted.select(expression.alias("e"), _literal_start(F.col(first)).alias("_start")).distinct()
+        everywhere = F.when(F.col("_start") == "", F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0)))
+        patterns = patterns.withColumn("_slot", F.explode(everywhere))
+        sizes = [r[0] for r in patterns.select(F.length("_start")).distinct().collect()]  # no more than a name is long
         for subject in [_tested(own)] if joined else [F.col(c) for c in own]:
             names = df.select(*columns).distinct().withColumn("_subject", subject).filter(F.col("_subject").isNotNull())
-            names = names.withColumn("_slot", F.pmod(F.xxhash64("_subject"), F.lit(slots)).cast("int"))
-            same = (names["_slot"] == everywhere["_slot"]) & full_match_column(F.col("_subject"), F.col("e"))
-            seen = names.join(everywhere, same, "left_semi").select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
+            starts = F.array(*[F.left("_subject", F.lit(n)) for n in sorted(sizes)])
+            names = names.withColumn("_begins", F.explode(F.array_distinct(starts)))
+            spread = F.when(F.col("_begins") == "", F.pmod(F.xxhash64("_subject"), F.lit(slots))).otherwise(0).cast("int")
+            names = names.withColumn("_place", spread)
+            same = (F.col("_begins") == F.col("_start")) & (F.col("_place") == F.col("_slot"))
+            met = names.join(patterns, same & full_match_column(F.col("_subject"), F.col("e")), "left_semi")
+            seen = met.select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
             visible = seen if visible is None else visible.unionByName(seen)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in columns])
     return df.join(visible.distinct(), same, "left_semi")

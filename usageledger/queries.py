@@ -33,7 +33,7 @@ from usageledger.operators.retention import retention_delete
 from usageledger.plans import loads, snapshots, views
 from usageledger.plans.publish import publish_swap, publish_truncate_insert
 from usageledger.plans.spec import ReportSpec, incremental_load
-from usageledger.session import shared_dir
+from usageledger.session import shared_dir, staged
 from usageledger.sources.logical import logical
 from usageledger.sources.tables import access_map_csv, table
 from usageledger.streaming.loads import append_stream, connector_type_history, dedup_late, file_stream, history, parquet_stream
@@ -100,9 +100,9 @@ def price_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def two_batches(spec: ReportSpec, source: DataFrame, cut: datetime, ctx: ReportContext, early: DataFrame | None = None) -> DataFrame:
-    """The history table after a load of what existed at the cut and a later load of everything."""
+    """The history table after a load of what existed at the cut, which is stored, and a later load of everything."""
     known = early if early is not None else source.filter(F.col(spec.source_time) < time_literal(cut, source.schema[spec.source_time].dataType))
-    stored = incremental_load(spec, known, None, ctx, spec.retain_days)
+    stored = staged(incremental_load(spec, known, None, ctx, spec.retain_days), "history")
     return incremental_load(spec, source, stored, ctx, spec.retain_days)
 
 
