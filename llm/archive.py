@@ -106,7 +106,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
 
     ship(pages.sparkSession)
     records = pages.select("page_id", "url", "html").mapInArrow(task, "value string")
-    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 0).text(path)
+    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 0).option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def read_arc(stream: BinaryIO) -> Iterator[dict]:
@@ -272,7 +272,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0)
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
     written = records.select(*columns).mapInArrow(task, "value string").write
-    written.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", 0).text(warc_path)
+    written.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", 0).option("zlib.compress.level", "BEST_SPEED").text(warc_path)
 
 
 def read_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
