@@ -470,7 +470,7 @@ FROM shares WHERE {allowed(f"{wh('meter_name')} AND {db()}")} GROUP BY ALL"""
 
 MONITORED = f"""watched AS (SELECT DISTINCT rm.name AS resource_monitor_name, w.name AS warehouse_name FROM monitors rm JOIN warehouses w
   ON rm.name = w.resource_monitor WHERE rm.level = 'WAREHOUSE' AND {allowed(wh('w.name'))})"""
-MONTHS = {"202402": "2024-02-01", "202401": "2024-01-01", "202312": "2023-12-01"}
+MONTHS = {f"{y}{m:02d}": f"{y}-{m:02d}-01" for y, m in [(2024, 2), (2024, 1), *((2023, k) for k in range(12, 2, -1))]}
 
 
 def month_column(month: str, first: str, kind: str) -> str:
@@ -483,7 +483,7 @@ def month_column(month: str, first: str, kind: str) -> str:
 MONTH_COLUMNS = ", ".join(
     month_column(m, f, kind) for kind in ("credits", "query") for m, f in MONTHS.items()
 )
-PIVOT = f"""WITH {shares("m.start_time >= DATE '2023-11-01'", GUARDED)}, {ctes('monitors', 'warehouses')}, {resolved()}, {MONITORED},
+PIVOT = f"""WITH {shares("m.start_time >= DATE '2023-03-01'", GUARDED)}, {ctes('monitors', 'warehouses')}, {resolved()}, {MONITORED},
 pivoted AS (SELECT meter_name AS name, user_name, resource_monitor_name, {MONTH_COLUMNS}
   FROM shares LEFT JOIN watched ON watched.warehouse_name = meter_name WHERE {allowed(wh('meter_name'))} GROUP BY 1, 2, 3)"""
 ORACLE["rpt_month_credits_pivot"] = f"{PIVOT} SELECT * FROM pivoted"

@@ -511,7 +511,7 @@ def _pivot(spark, folder) -> DataFrame:
         _watched(spark, folder),
         patterns(spark, folder),
         EVENTS,
-        duration=3,
+        duration=12,
     )
 
 
