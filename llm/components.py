@@ -38,5 +38,5 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.join(centre, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(low.unionByName(centre.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
         before, state = state, _state(edges)
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))\
-        .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    linked = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return linked.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

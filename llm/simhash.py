@@ -262,22 +262,16 @@ def _compare_blocks(distance: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs(distance)
-        held: list[pa.RecordBatch] = []
-
-        def close() -> None:
-            rows = pa.Table.from_batches(held)
-            key, i, j, fp = (rows.column(c).to_numpy() for c in range(4))
-            change = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-            pairs.compare(np.concatenate([[0], np.cumsum(change)]), fp)
-
+        held = np.empty((4, 0), dtype=np.int64)  # the group that the next batch may go on with
         for batch in batches:
-            if held and batch.num_rows and [c[0] for c in batch.columns[:3]] != [c[-1] for c in held[-1].columns[:3]]:
-                close()
-                held.clear()
-            if batch.num_rows:
-                held.append(batch)
-        if held:
-            close()
+            held = np.concatenate([held, [c.to_numpy(zero_copy_only=False) for c in batch.columns]], axis=1)
+            if not held.shape[1]:
+                continue
+            group = np.concatenate([[0], np.cumsum((held[:3, 1:] != held[:3, :-1]).any(axis=0))])
+            last = int(np.searchsorted(group, group[-1]))
+            pairs.compare(group[:last], held[3, :last])
+            held = held[:, last:].copy()
+        pairs.compare(np.zeros(held.shape[1], dtype=np.int64), held[3])
         yield _found(*pairs.edges())
 
     return task
