@@ -671,7 +671,7 @@ def _tag_pivot(spark, folder):
 def _tag_pivot_existing(spark, folder):
     """As tag_pivot after one of the tags was dropped."""
     where = {"tag_database": F.lit("GOVERNANCE"), "tag_schema": F.lit("TAGS")}
-    references = logical(spark, folder, "tag_references").withColumns(where)
+    references = staged(logical(spark, folder, "tag_references").withColumns(where), "tag-references")
     existing = references.select(*tags.TAG_IDENTITY).distinct().filter(F.col("tag_name") != "ENVIRONMENT")
     return tags.tag_pivot(references, existing)
 
