@@ -35,7 +35,7 @@ NONE = np.int64(2**62)
 #: Pieces of more bytes are merged one by one.
 LONG = 254
 #: Pieces remembered by a worker, in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 TEXTS_AT_ONCE = 256
 
 
@@ -111,6 +111,7 @@ class Bpe:
         for token, i in special.items():
             self.bytes_of[i] = token.encode()
         self.name_of = [str(i) for i in range(size)]
+        self._id = list(range(size))  # remembered pieces share their numbers
         self.special = special
         longest_first = sorted(special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if special else None
@@ -241,7 +242,7 @@ class Bpe:
                 tree[up] = np.minimum(tree[low], tree[low + 1])
                 width_left >>= 1
         counts = live.reshape(rows, leaves).sum(axis=1)
-        tokens = flat[live].tolist()
+        tokens = list(map(self._id.__getitem__, flat[live].tolist()))
         ends = np.cumsum(counts).tolist()
         return [tuple(tokens[a:b]) for a, b in zip([0, *ends], ends)]
 
