@@ -40,7 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every row, packed, with their number and digests."""
-    return bpe.encode_documents(docs, VOCABULARY, packed=True)
+    return bpe.encode_documents(docs, VOCABULARY, packed=True, remembered=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -119,6 +119,7 @@ class Bpe:
         self._newer = _newer_characters()
         self._newer_set = frozenset(map(chr, self._newer))
         self._high = re.compile(f"[{chr(min(self._newer, default=sys.maxunicode))}-{chr(sys.maxunicode)}]")
+        self.remembered = REMEMBERED
         self._young: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
 
@@ -247,7 +248,7 @@ class Bpe:
         return [tuple(tokens[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _learn(self, wanted: set[str]) -> None:
-        if len(self._young) > REMEMBERED:
+        if len(self._young) > self.remembered:
             self._old, self._young = self._young, {}
         unknown = wanted.difference(self._young)
         missing = list(unknown.difference(self._old))
@@ -304,12 +305,18 @@ class _Spec:
 
 
 def encode_documents(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", packed: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    id_col: str = "doc_id",
+    text: str = "text",
+    packed: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if ``packed``, input_ids.
 
     ``vocabulary`` is the driver's path of a tokenizer file. ``input_ids`` are
-    little-endian 32-bit numbers. Null texts count as empty: no tokens, the
+    little-endian 32-bit numbers. A worker remembers the tokens of about twice
+    ``remembered`` pieces, some 200 bytes each. Null texts count as empty: no tokens, the
     digests of the empty text. Ids may be null or repeat; an empty table gives
     no rows; other columns are not read. Each task holds a few texts at a time,
     and nothing is shuffled.
@@ -320,6 +327,7 @@ def encode_documents(
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(spec)
+        bpe.remembered = remembered
         sha, name = hashlib.sha256, bpe.name_of.__getitem__
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):

@@ -47,9 +47,9 @@ def test_long_pieces_and_both_ways_of_merging():
     assert OWN.merge_many(pieces) == [OWN.merge(p) for p in pieces]
 
 
-def test_forgotten_pieces_are_learned_again(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+def test_forgotten_pieces_are_learned_again():
     own = bpe.Bpe(open(VOCABULARY, encoding="utf-8").read())
+    own.remembered = 10
     for k in range(50):
         text = " ".join(f"word{k + j}" for j in range(20))
         assert own.encode(text) == LIBRARY.encode(text).ids
