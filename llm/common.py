@@ -6,7 +6,8 @@ import itertools
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections import defaultdict
+from collections.abc import Hashable, Iterable, Sequence
 
 import usageledger
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ __all__ = [
     "staged",
     "table",
     "uniform",
+    "within",
     "WORD",
 ]
 
@@ -78,6 +80,34 @@ def uniform(*parts: Column, salt: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
+def within(rows: Sequence[tuple[Hashable, int]], characters: int) -> list[int]:
+    """The places of (group, size) rows that hold at most ``characters`` together, in order.
+
+    Groups have equal parts; what a group doesn't need of its own is shared by the
+    larger ones. A row that doesn't fit is passed over, and rows passed over may
+    use what is left when every group had its part.
+    """
+    groups = defaultdict(list)
+    for k, (group, _) in enumerate(rows):
+        groups[group].append(k)
+    need = {g: sum(rows[k][1] for k in places) for g, places in groups.items()}
+    left, spare, taken = characters, 0, set()
+    for i, g in enumerate(sorted(groups, key=need.__getitem__)):
+        part = min(need[g], left // (len(groups) - i))
+        left -= part
+        for k in groups[g]:
+            if rows[k][1] <= part:
+                part -= rows[k][1]
+                taken.add(k)
+        spare += part
+    spare += left
+    for k, (_, size) in enumerate(rows):
+        if k not in taken and size <= spare:
+            spare -= size
+            taken.add(k)
+    return sorted(taken)
+
+
 def fresh(taken: Iterable[str], *wanted: str) -> list[str]:
     """Column names like the wanted ones that clash with no taken name, whatever its case."""
     used = {t.lower() for t in taken}

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import fresh, id_text, ship, uniform
+from llm.common import fresh, id_text, ship, uniform, within
 
 SLOTS = 1 << 20
 #: Words are compared by stretches of at most so many characters; longer ones are the best of overlapping stretches.
@@ -327,6 +327,7 @@ def held_out(id_col: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> list[tuple[str, int]]:
     """(text, toxic) of a bounded sample: about ``per_class`` labelled documents of each class, by the hash of their ids.
 
+    Each class has half of the characters, and what the other one leaves of its half.
     Labels are narrow and sampled first; texts are then read by the ids found,
     in one scan without a shuffle. The driver sees the ids and the sample.
     """
@@ -335,7 +336,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     counts = {r["toxic"]: r["count"] for r in own.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     u = uniform(F.col("doc_id"), salt="toxicity-sample")
     share = F.when(F.col("toxic") > 0, F.lit(1.2 * s.per_class / counts.get(1, 1))).otherwise(F.lit(1.2 * s.per_class / counts.get(0, 1)))
-    picked = own.withColumn("u", u).filter(F.col("u") < share).orderBy("u", "doc_id").limit(3 * s.per_class).collect()
+    near = own.withColumn("rank", u / share).filter("rank < 1")
+    picked = near.orderBy("rank", "doc_id").limit(3 * s.per_class).collect()
     toxic = {r["doc_id"]: int(r["toxic"] > 0) for r in picked}
     if not toxic:
         return []
@@ -344,12 +346,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     size = Counter()
     for r in sizes:
         size[r["doc_id"]] += r["n"]
-    left, kept = s.characters, []
-    for r in picked:
-        left -= size[r["doc_id"]]
-        if left < 0:
-            break
-        kept.append(r["doc_id"])
+    sized = [(toxic[r["doc_id"]], size[r["doc_id"]]) for r in picked]
+    kept = [picked[k]["doc_id"] for k in within(sized, s.characters)]
     rows = chosen.filter(F.col("doc_id").isin(kept)).limit(2 * len(toxic)).collect()
     return sorted((r["text"], toxic[r["doc_id"]]) for r in rows)
 

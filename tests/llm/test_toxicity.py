@@ -89,3 +89,17 @@ def test_training_reads_no_held_out_row(spark, folder):
     assert 0 < len(bounded) <= 60 and sum(len(t) for t, _ in bounded) <= 20_000 and set(bounded) <= set(want)
     empty = labels.filter(F.lit(False))
     assert tx.training_sample(d, empty) == []
+
+
+def test_rare_class_and_long_documents_in_a_bounded_sample(spark, docs):  # noqa: F811
+    rows = [(i, f"idiot {i} " + "x" * 90 if i % 20 == 0 else f"house {i} " + "x" * 90) for i in range(2000)]
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    s = tx.Settings(per_class=60, characters=6000)
+    sample = tx.training_sample(docs(rows), labels, s)
+    assert sum(len(t) for t, _ in sample) <= s.characters
+    assert 25 <= sum(y for _, y in sample) <= 30 and 25 <= sum(not y for _, y in sample) <= 30
+    # the first documents of each class in the sample's order are too long
+    some = {t.split()[1] for t, _ in sample}
+    longer = [(i, t + "x" * 7000 if str(i) in some and int(str(i)[-1]) % 4 == 0 else t) for i, t in rows]
+    again = tx.training_sample(docs(longer), labels, s)
+    assert sum(len(t) for t, _ in again) <= s.characters and min(sum(y for _, y in again), sum(not y for _, y in again)) >= 10
