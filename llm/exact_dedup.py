@@ -132,11 +132,11 @@ def dedup_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ro
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; see dedup_groups for which do.
 
-    Rows get a number from the place they are read at, which is the same in
-    each pass over stored files. The list that travels back to the texts names
-    the rows that go, not the texts.
+    Rows are numbered once and stored with their numbers, as a second scan may be
+    split otherwise and number them anew. The list that travels back to the texts
+    names the rows that go, not the texts.
     """
     (row,) = fresh(docs.columns, "row_key")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     gone = staged(dedup_groups(numbered, id_col, text, row).filter(~F.col("kept")).select(row), "repeats")
     return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -341,10 +341,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", word
     """One document of each group, that with the smallest id, with all its columns.
 
     Missing ids count as larger than any; of rows with the same id the first
-    one read stays. Only the numbers of rows that go travel back to the texts.
+    one read stays. Rows are numbered once and stored with their numbers; only the
+    numbers of rows that go travel back to the texts.
     """
     (row,) = fresh([*docs.columns, "fp", "doc_id", "root"], "row_key")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     groups = staged(near_groups(numbered, id_col, text, row, words_each, distance).select("doc_id", row, "root"), "near-groups")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
     stays = staged(groups.groupBy("root").agg(F.min(order)[row].alias("stays")), "near-keepers")

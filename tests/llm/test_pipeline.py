@@ -3,12 +3,13 @@
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 import test_bpe
 import test_exact_dedup
 import test_simhash
 from llm_helpers import docs  # noqa: F401
 
-from llm import mixing
+from llm import exact_dedup, mixing, simhash
 from llm.common import documents, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -50,3 +51,16 @@ def test_odd_and_empty_tables(spark, docs, folder):  # noqa: F811
             if name != "bpe":
                 assert df.columns == columns
         assert df.count() <= 2 * before
+
+
+@pytest.mark.parametrize("dedup", [exact_dedup.exact_dedup, simhash.near_dedup])
+def test_rows_keep_their_number_when_files_are_split_otherwise(spark, docs, tmp_path, dedup):  # noqa: F811
+    rows = [(i, " ".join(f"w{i // 2}x{k}" for k in range(60))) for i in range(80)]
+    docs(rows).repartition(8).write.parquet(str(tmp_path / "docs"))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # a partition for each file, then fewer
+        out = dedup(spark.read.parquet(str(tmp_path / "docs")))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        assert sorted(r.doc_id for r in out.collect()) == list(range(0, 80, 2))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
