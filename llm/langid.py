@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import fresh, id_text, ship, uniform
+from llm.common import fresh, id_text, ship, staged, uniform, within
 
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
@@ -30,12 +30,11 @@ UNDETERMINED = "und"
 @dataclass(frozen=True)
 class Settings:
     """slots: hashed features. per_language, characters: bounds of the training sample, in rows of a language and in
-    characters of all. languages: at most so many are learned, the most frequent. alpha, beta, l1, l2: FTRL.
+    characters of all. Every labelled language is learned. alpha, beta, l1, l2: FTRL.
     """
 
     slots: int = 1 << 14
     per_language: int = 600
-    languages: int = 200
     characters: int = 24_000_000
     epochs: int = 4
     alpha: float = 2.0
@@ -166,27 +165,33 @@ def fit(rows: list[tuple[str, str]], s: Settings = Settings()) -> Model:
 def training_sample(rows: DataFrame, s: Settings = Settings()) -> list[tuple[str, str]]:
     """(text, language) of a bounded sample of ``rows`` (doc_id, text, lang), spread over the languages.
 
-    Rows with the smallest hashes of their ids, about ``per_language`` of each of
-    at most ``languages`` languages; then as many of them as hold ``characters``
-    characters. The driver sees a count per language and the sample.
+    Rows with the smallest hashes of their ids and texts, about ``per_language``
+    of each language; then as many of them as hold ``characters`` characters, of
+    which languages have equal parts. A row that doesn't fit is passed over; of a
+    language in which none fits, the beginning of one is taken. Equal rows are one.
+    The driver sees a count per language, sizes of about ``per_language`` rows of each, and the sample.
     """
+    spark = rows.sparkSession
     labelled = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.languages).collect()
+    counts = labelled.groupBy("lang").count().collect()
     if not counts:
         return []
-    u = uniform(F.col("doc_id"), salt="langid-sample")
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.2 * s.per_language / r["count"]))).otherwise(share)
-    near = labelled.select("doc_id", "lang", "text", u.alias("u")).filter(F.col("u") < share)
-    some = near.select("doc_id", "lang", "u", F.length("text").alias("n")).orderBy("u", "doc_id").limit(2 * s.per_language * len(counts)).collect()
-    left, edge = s.characters, 0.0
-    for r in some:
-        left -= r["n"]
-        if left < 0:
-            break
-        edge = r["u"]
-    return [(r["text"], r["lang"]) for r in near.filter(F.col("u") <= edge).select("text", "lang", "u", "doc_id").orderBy("u", "doc_id").limit(len(some)).collect()]
+    shares = spark.createDataFrame([(r["lang"], min(1.0, 1.2 * s.per_language / r["count"])) for r in counts], "lang string, share double")
+    u = uniform(F.col("doc_id"), F.md5(F.col("text").cast("binary")), salt="langid-sample")
+    near = labelled.select("lang", "text", u.alias("u")).join(F.broadcast(shares), "lang").filter(F.col("u") < F.col("share"))
+    one = near.groupBy("lang", "u").agg(F.min("text").alias("text"), (F.col("u") / F.min("share")).alias("rank"))
+    near = staged(one, "langid-sample")
+    some = near.select("lang", "u", "rank", F.length("text").alias("n")).orderBy("rank", "u", "lang").limit(2 * s.per_language * len(counts)).collect()
+    sized, part = [(r["lang"], r["n"]) for r in some], s.characters // len(counts)
+    fits = {lang for lang, n in sized if n <= part}
+    for k, (lang, n) in enumerate(sized):
+        if lang not in fits:
+            fits.add(lang)
+            sized[k] = lang, part
+    kept = [(some[k]["lang"], some[k]["u"], sized[k][1]) for k in within(sized, s.characters)]
+    chosen = spark.createDataFrame(kept, "lang string, u double, n int")
+    read = near.join(F.broadcast(chosen), ["lang", "u"]).select("lang", "u", "rank", F.substr("text", F.lit(1), "n").alias("text"))
+    return [(r["text"], r["lang"]) for r in read.orderBy("rank", "u", "lang").collect()]
 
 
 def held_out(id_col: Column) -> Column:
@@ -208,7 +213,7 @@ def identify(
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # slots x languages numbers, 13 MB at the most
+    shared = spark.sparkContext.broadcast(model)  # slots x languages numbers, 64 kB a language
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value

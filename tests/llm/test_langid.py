@@ -74,3 +74,20 @@ def test_filter_keeps_columns(docs):  # noqa: F811
     kept = {r.doc_id for r in out.collect()}
     assert not kept & {500, 501} and len(kept) >= 115
     assert langid.with_known_language(docs([])).count() == 0
+
+
+def test_every_language_has_its_part_of_a_bounded_sample(docs):  # noqa: F811
+    rows = [(i, f"{i} the and of house " + "water " * 20, "en") for i in range(1500)]
+    rows += [(2000 + i, f"{i} und der die haus " + "wasser " * 17, "de") for i in range(30)]
+    rows += [(3000 + i, f"{i} le la et maison " + "avec " * 5000, "fr") for i in range(3)]
+    rows += [(4000, "the longest one " + "water " * 9000, "en")] + [(None, f"{i} la casa y el " + "agua " * 24, "es") for i in range(30)] * 2
+    s = langid.Settings(per_language=100, characters=12_000)
+    sample = langid.training_sample(docs(rows), s)
+    assert sum(len(t) for t, _ in sample) <= s.characters
+    n = {k: sum(lang == k for _, lang in sample) for k in ("en", "de", "fr", "es")}
+    assert all(15 <= n[k] <= 25 for k in ("en", "de", "es")) and n["fr"] == 1 and len(set(sample)) == len(sample)
+
+
+def test_more_than_200_languages_are_learned(docs):  # noqa: F811
+    rows = [(i, f"text {i}", f"l{i % 230}") for i in range(460)]
+    assert len({lang for _, lang in langid.training_sample(docs(rows))}) == 230
