@@ -232,9 +232,11 @@ def identify(
     return narrow.mapInArrow(task, T.StructType([*narrow.schema.fields[:-1], *found_fields]))
 
 
-def with_known_language(docs: DataFrame, least: float = 0.3, s: Settings = Settings()) -> DataFrame:
-    """The documents whose language is determined with at least the score ``least``, with all their columns.
+def with_known_language(docs: DataFrame, least: float = 0.0, s: Settings = Settings()) -> DataFrame:
+    """The documents whose language is determined, with all their columns; texts without letters go.
 
+    With ``least``, documents whose best score is smaller go as well. How sure a
+    score can be depends on how many languages there are, so none goes by default.
     The columns doc_id, text and lang must be there; they keep their values.
     """
     model = train(docs, s)

@@ -91,3 +91,10 @@ def test_every_language_has_its_part_of_a_bounded_sample(docs):  # noqa: F811
 def test_more_than_200_languages_are_learned(docs):  # noqa: F811
     rows = [(i, f"text {i}", f"l{i % 230}") for i in range(460)]
     assert len({lang for _, lang in langid.training_sample(docs(rows))}) == 230
+
+
+def test_short_clean_texts_of_many_close_languages_stay(docs):  # noqa: F811
+    words = "ba ke di mo nu sa te li ro fu".split()
+    rows = [(i, f"{words[i % 10]} {words[i // 10 % 10]}", f"l{i % 12}") for i in range(600)]
+    out = langid.with_known_language(docs([*rows, (900, "1 2", "l1"), (901, None, "l1")]))
+    assert sorted(r.doc_id for r in out.collect()) == list(range(600))
