@@ -7,8 +7,9 @@ and ARC lacks: identifiers, ISO timestamps, record types, block and payload
 digests. Of records with equal payloads one is a response, the others revisit it
 and store no payload.
 
-Files are read and written by Spark, one archive per task, so they may lie in
-any store. Archives are read twice, first for the narrow digests that settle
+Files are read and written by Spark, so they may lie in any store. A task begins
+a new archive when one is full, so an archive's size, and what a reader holds of
+it, doesn't depend on how the input is split. Archives are read twice, first for the narrow digests that settle
 which records are repeats, then for the payloads; a payload is moved once at
 most. Payloads must be UTF-8 text, as Spark's writer of whole files knows text
 alone; others raise an error.
@@ -41,6 +42,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 CAPTURED = "20240101000000"
 #: Records that a task hands on at once.
 AT_ONCE = 64
+#: Bytes of an archive before compression; a larger record is an archive of its own.
+ARCHIVE_BYTES = 16 << 20
 
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -79,6 +82,11 @@ def _page_document(page_id: int | None, payload: bytes) -> bytes:
     return head.encode() + payload
 
 
+def _archive(records: list[str], between: str) -> pa.RecordBatch:
+    """One row that is written as one file."""
+    return pa.RecordBatch.from_arrays([pa.array([between.join(records)], pa.string())], names=["value"])
+
+
 def write_arc(pages: DataFrame, path: str) -> None:
     """Pages as legacy archives, files of version 1 and 2 in turn.
 
@@ -87,26 +95,32 @@ def write_arc(pages: DataFrame, path: str) -> None:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
-        version, name = 1 + number % 2, f"pages-{number:06d}.arc"
-        first = version_block(version, name)
-        offset = len(first.encode()) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([first], pa.string())], names=["value"])
+        number, k = TaskContext.get().partitionId(), 0
+
+        def begin() -> tuple[int, str, int, list[str]]:
+            version, name = 1 + (number + k) % 2, f"pages-{number:06d}-{k:06d}.arc"
+            first = version_block(version, name)
+            return version, name, len(first.encode()) + 1, [first]
+
+        version, name, offset, out = begin()
         for batch in batches:
-            for k in range(0, batch.num_rows, AT_ONCE):
-                out = []
-                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(k, AT_ONCE).columns)):
+            for at in range(0, batch.num_rows, AT_ONCE):
+                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(at, AT_ONCE).columns)):
                     payload = (html or "").encode()
                     body = _page_document(page_id, payload)
                     safe = _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", url or "") or f"urn:page:{page_id}"
+                    if len(out) > 1 and offset + len(body) > ARCHIVE_BYTES:
+                        yield _archive(out, "\n")
+                        k += 1
+                        version, name, offset, out = begin()
                     line = arc_header(version, safe, len(body), offset, name, hashlib.md5(payload).hexdigest())
                     out.append(line + "\n" + body.decode())
                     offset += len(line.encode()) + len(body) + 2
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield _archive(out, "\n")
 
     ship(pages.sparkSession)
     records = pages.select("page_id", "url", "html").mapInArrow(task, "value string")
-    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 0).option("zlib.compress.level", "BEST_SPEED").text(path)
+    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 1).option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def read_arc(stream: BinaryIO) -> Iterator[dict]:
@@ -236,19 +250,22 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0)
     columns = ["record_id", "url", "date", "ip", "head", "payload", "payload_digest", "first_id", "first_url", "first_date"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
+        number, k = TaskContext.get().partitionId(), 0
         info = b"software: legacy archive converter\r\nformat: WARC File Format 1.1\r\n"
-        fields = [
-            ("WARC-Type", "warcinfo"),
-            ("WARC-Record-ID", f"<{record_id('warcinfo', number)}>"),
-            ("WARC-Date", warc_date(CAPTURED)),
-            ("Content-Type", "application/warc-fields"),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array([warc_record(fields, info)], pa.string())], names=["value"])
+
+        def begin() -> list[str]:
+            fields = [
+                ("WARC-Type", "warcinfo"),
+                ("WARC-Record-ID", f"<{record_id(f'warcinfo-{number}', k)}>"),
+                ("WARC-Date", warc_date(CAPTURED)),
+                ("Content-Type", "application/warc-fields"),
+            ]
+            return [warc_record(fields, info)]
+
+        out, size = begin(), 0
         for batch in batches:
-            for k in range(0, batch.num_rows, AT_ONCE):
-                out = []
-                for r in batch.slice(k, AT_ONCE).to_pylist():
+            for at in range(0, batch.num_rows, AT_ONCE):
+                for r in batch.slice(at, AT_ONCE).to_pylist():
                     repeat = r["first_id"] is not None and r["first_id"] != r["record_id"]
                     block = r["head"].encode() if repeat else (r["head"] + r["payload"]).encode()
                     fields = [
@@ -268,11 +285,17 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0)
                             ("WARC-Refers-To-Target-URI", r["first_url"]),
                             ("WARC-Refers-To-Date", r["first_date"]),
                         ]
+                    more = len(block) + sum(len(name) + len(value) for name, value in fields)
+                    if len(out) > 1 and size + more > ARCHIVE_BYTES:
+                        yield _archive(out, "\r\n\r\n")
+                        k += 1
+                        out, size = begin(), 0
                     out.append(warc_record(fields, block))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                    size += more
+        yield _archive(out, "\r\n\r\n")
 
     written = records.select(*columns).mapInArrow(task, "value string").write
-    written.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", 0).option("zlib.compress.level", "BEST_SPEED").text(warc_path)
+    written.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", 1).option("zlib.compress.level", "BEST_SPEED").text(warc_path)
 
 
 def read_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:

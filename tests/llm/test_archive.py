@@ -91,3 +91,22 @@ def test_records_of_the_format(spark, tmp_path):
                 assert len(block) == int(fields["content-length"])
                 assert (fields["warc-type"] == "revisit") == ("warc-refers-to" in fields)
     assert len(ids) == len(set(ids)) == len(ROWS)
+
+
+def test_archives_are_bounded_whatever_the_input_layout(spark, tmp_path):
+    import gzip
+
+    rows = [(k, f"http://h/{k}", f"{k % 30} " + "x y" * 350_000) for k in range(36)] + [(50, "http://h/50", "z" * 20_000_000)]
+    df = table_of(spark, rows).coalesce(1)
+    arc, warc = str(tmp_path / "arc"), str(tmp_path / "warc")
+    archive.write_arc(df, arc)
+    archive.convert(spark, arc, warc)
+    for path, least in ((arc, 4), (warc, 3)):
+        sizes = []
+        for name in os.listdir(path):
+            if name.startswith("part-"):
+                with gzip.open(f"{path}/{name}") as f:
+                    sizes.append(len(f.read()))
+        assert len(sizes) >= least and sorted(sizes)[-2] < 17 << 20 and max(sizes) < 21_000_000
+    got = archive.archived_pages(df).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute(rows)
