@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import fresh, id_text, ship, uniform, within
+from llm.common import fresh, id_text, ship, staged, uniform, within
 
 SLOTS = 1 << 20
 #: Words are compared by stretches of at most so many characters; longer ones are the best of overlapping stretches.
@@ -328,8 +328,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     """(text, toxic) of a bounded sample: about ``per_class`` labelled documents of each class, by the hash of their ids.
 
     Each class has half of the characters, and what the other one leaves of its half.
-    Labels are narrow and sampled first; texts are then read by the ids found,
-    in one scan without a shuffle. The driver sees the ids and the sample.
+    Labels are narrow and sampled first; texts are then read by the ids found, in
+    one scan. Of rows with the same id the text with the smallest hash is taken,
+    and only those texts are shuffled. The driver sees the ids and the sample.
     """
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -342,13 +343,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     if not toxic:
         return []
     chosen = docs.select("doc_id", "text").filter(F.col("doc_id").isin(list(toxic)) & F.col("text").isNotNull())
-    sizes = chosen.select("doc_id", F.length("text").alias("n")).limit(2 * len(toxic)).collect()
-    size = Counter()
-    for r in sizes:
-        size[r["doc_id"]] += r["n"]
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    one = staged(chosen.groupBy("doc_id").agg(least["text"].alias("text")), "toxicity-sample")
+    size = Counter({r["doc_id"]: r["n"] for r in one.select("doc_id", F.length("text").alias("n")).collect()})
     sized = [(toxic[r["doc_id"]], size[r["doc_id"]]) for r in picked]
     kept = [picked[k]["doc_id"] for k in within(sized, s.characters)]
-    rows = chosen.filter(F.col("doc_id").isin(kept)).limit(2 * len(toxic)).collect()
+    rows = one.filter(F.col("doc_id").isin(kept)).collect()
     return sorted((r["text"], toxic[r["doc_id"]]) for r in rows)
 
 

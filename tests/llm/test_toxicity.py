@@ -103,3 +103,13 @@ def test_rare_class_and_long_documents_in_a_bounded_sample(spark, docs):  # noqa
     longer = [(i, t + "x" * 7000 if str(i) in some and int(str(i)[-1]) % 4 == 0 else t) for i, t in rows]
     again = tx.training_sample(docs(longer), labels, s)
     assert sum(len(t) for t, _ in again) <= s.characters and min(sum(y for _, y in again), sum(not y for _, y in again)) >= 10
+
+
+def test_an_id_in_many_rows_is_one_document_of_the_sample(spark, docs):  # noqa: F811
+    rows = [(i, f"{'idiot' if i % 2 else 'house'} {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    copies = [(1, f"idiot {k}{'x' * (k % 7)}") for k in range(500)]
+    samples = [tx.training_sample(docs(some), labels) for some in ([*copies, *rows], [*rows, *copies[::-1]])]
+    used = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert samples[0] == samples[1] and len(samples[0]) == len(used) and 1 in used
+    assert {t for i, t in rows if i in used and i != 1} <= {t for t, _ in samples[0]}
