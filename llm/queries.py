@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import archive, bpe, chat, exact_dedup, langid, mixing, simhash, sketch, toxicity, urlfilter
+from llm import archive, bpe, chat, exact_dedup, langid, mixing, ngram_join, simhash, sketch, toxicity, urlfilter
 from llm.common import documents, pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,29 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     found = langid.identify(docs, langid.train(docs), ["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, r, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS shingles
+  FROM words),
+sizes AS MATERIALIZED (SELECT doc_id, r, len(shingles)::BIGINT AS n FROM sets),
+tokens AS MATERIALIZED (SELECT r, unnest(shingles) AS t FROM sets),
+shared AS (SELECT a.r AS ra, b.r AS rb, count(*) AS both FROM tokens a JOIN tokens b ON a.t = b.t AND a.r < b.r GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT ra, rb FROM shared JOIN sizes a ON a.r = ra JOIN sizes b ON b.r = rb WHERE 100 * both >= 85 * (a.n + b.n - both)),
+both_ways AS MATERIALIZED (SELECT ra, rb FROM links UNION ALL SELECT rb, ra FROM links),
+reach(r, other) AS (SELECT r, r FROM sizes UNION SELECT reach.r, rb FROM reach JOIN both_ways ON ra = other)
+SELECT any_value(s.doc_id) AS doc_id, any_value(s.n) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN sizes s ON s.r = reach.r JOIN sizes o ON o.r = reach.other GROUP BY reach.r
+"""
+
+
+@query("op13_ngram_join", JOIN_SQL)
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, folder))
