@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import archive, bpe, chat, exact_dedup, langid, mixing, ngram_join, simhash, sketch, toxicity, urlfilter
+from llm import archive, bpe, chat, exact_dedup, langid, merkle, mixing, ngram_join, simhash, sketch, toxicity, urlfilter
 from llm.common import documents, pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,9 +175,9 @@ sets AS MATERIALIZED (
   FROM words),
 sizes AS MATERIALIZED (SELECT doc_id, r, len(shingles)::BIGINT AS n FROM sets),
 tokens AS MATERIALIZED (SELECT r, unnest(shingles) AS t FROM sets),
-shared AS (SELECT a.r AS ra, b.r AS rb, count(*) AS both FROM tokens a JOIN tokens b ON a.t = b.t AND a.r < b.r GROUP BY ALL),
+shared AS (SELECT a.r AS ra, b.r AS rb, count(*) AS common FROM tokens a JOIN tokens b ON a.t = b.t AND a.r < b.r GROUP BY ALL),
 links AS MATERIALIZED (
-  SELECT ra, rb FROM shared JOIN sizes a ON a.r = ra JOIN sizes b ON b.r = rb WHERE 100 * both >= 85 * (a.n + b.n - both)),
+  SELECT ra, rb FROM shared JOIN sizes a ON a.r = ra JOIN sizes b ON b.r = rb WHERE 100 * common >= 85 * (a.n + b.n - common)),
 both_ways AS MATERIALIZED (SELECT ra, rb FROM links UNION ALL SELECT rb, ra FROM links),
 reach(r, other) AS (SELECT r, r FROM sizes UNION SELECT reach.r, rb FROM reach JOIN both_ways ON ra = other)
 SELECT any_value(s.doc_id) AS doc_id, any_value(s.n) AS n_shingles, min(o.doc_id) AS component_id
@@ -188,3 +188,60 @@ FROM reach JOIN sizes s ON s.r = reach.r JOIN sizes o ON o.r = reach.other GROUP
 @query("op13_ngram_join", JOIN_SQL)
 def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, folder))
+
+
+MANIFEST_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS fields, text,
+    coalesce(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+      lambda i: [ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) & 1 = 1, false) AS edit
+  FROM documents),
+hashed AS MATERIALIZED (
+  SELECT r, doc_id, source, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN edit AND text IS NOT NULL THEN sha256(fields || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''))
+      ELSE sha256(fields || coalesce(strlen(text) || ':' || text, '-')) END AS edited
+  FROM rows),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n FROM hashed),
+nodes(source, level, pos, h, n) AS (
+  SELECT source, 0, pos, leaf, n FROM placed
+  UNION ALL
+  SELECT source, any_value(level) + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, pos // 3),
+subroots AS MATERIALIZED (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, pos, h, n) AS (
+  SELECT 0, pos, h, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM tops WHERE n > 1 GROUP BY pos // 3),
+runs AS MATERIALIZED (
+  SELECT source, level, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS MATERIALIZED (SELECT level, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM tops WHERE n > 1 GROUP BY ALL),
+folded(r, source, level, pos, n, h, proof) AS (
+  SELECT r, source, 0, pos, n, edited, '' FROM placed
+  UNION ALL
+  SELECT r, f.source, f.level + 1, pos // 3, (n + 2) // 3,
+    sha256(array_to_string(list_concat(hs[1:(pos % 3)], [h], hs[(pos % 3 + 2):]), '')),
+    proof || array_to_string(list_concat(hs[1:(pos % 3)], hs[(pos % 3 + 2):]), '')
+  FROM folded f JOIN runs k ON k.source IS NOT DISTINCT FROM f.source AND k.level = f.level AND k.parent = f.pos // 3
+  WHERE n > 1),
+joined(r, subroot, level, pos, n, h, proof) AS (
+  SELECT r, s.h, 0, s.pos, s.n, f.h, f.proof FROM folded f JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source WHERE f.n = 1
+  UNION ALL
+  SELECT r, subroot, f.level + 1, pos // 3, (n + 2) // 3,
+    sha256(array_to_string(list_concat(hs[1:(pos % 3)], [h], hs[(pos % 3 + 2):]), '')),
+    proof || array_to_string(list_concat(hs[1:(pos % 3)], hs[(pos % 3 + 2):]), '')
+  FROM joined f JOIN top_runs k ON k.level = f.level AND k.parent = f.pos // 3 WHERE n > 1)
+SELECT p.doc_id, p.leaf, j.subroot, t.h AS root, sha256(j.proof) AS proof_sha256, j.h AS folded_root, j.h = t.h AS verified
+FROM joined j JOIN placed p USING (r) CROSS JOIN (SELECT h FROM tops WHERE n = 1) t WHERE j.n = 1
+"""
+
+
+@query("op12_merkle_manifest", MANIFEST_SQL)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.prove(documents(spark, folder))
