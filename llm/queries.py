@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import archive, bpe, chat, exact_dedup, langid, merkle, mixing, ngram_join, simhash, sketch, toxicity, urlfilter
+from llm import archive, bpe, chat, exact_dedup, hard_negatives, langid, merkle, mixing, ngram_join, simhash, sketch, toxicity, urlfilter
 from llm.common import documents, pages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,30 @@ FROM joined j JOIN placed p USING (r) CROSS JOIN (SELECT h FROM tops WHERE n = 1
 @query("op12_merkle_manifest", MANIFEST_SQL)
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.prove(documents(spark, folder))
+
+
+NEGATIVES_SQL = r"""
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS MATERIALIZED (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0)::BIGINT AS s
+  FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS MATERIALIZED (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY s DESC, id, br) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER w::INT AS rank, n.id AS negative_id,
+  p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scores n ON n.ar = p.ar AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+WINDOW w AS (PARTITION BY p.ar, p.br ORDER BY n.s DESC, n.id, n.br)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, label=moved)

@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_archive": "page_id payload_bytes payload_digest record_type refers_to",
     "op9_exact_dedup": "doc_id keep_id group_size kept text_sha256",
     "op10_language_id": "doc_id held_out lang_pred score",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     "op12_merkle_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
     "op13_ngram_join": "doc_id n_shingles component_id",
 }
