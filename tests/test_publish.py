@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -19,7 +20,51 @@ def test_swap_may_read_the_table_it_replaces(spark, tmp_path):
     publish_swap(spark.range(3).select("id"), "swap_self", where)
     publish_swap(spark.table("swap_self").select((F.col("id") + 10).alias("id")), "swap_self", where)
     assert rows(spark.table("swap_self")) == [(10,), (11,), (12,)]
-    assert len(list((tmp_path / "t").iterdir())) == 1  # the version before is deleted
+    publish_swap(spark.table("swap_self"), "swap_self", where)
+    assert len(list((tmp_path / "t" / "swap_self").iterdir())) == 2  # the version before stays, the one before that is deleted
+
+
+def test_a_reader_never_fails_and_never_sees_a_mixture(spark, tmp_path):
+    """Twenty publishes of frames with a constant column, and in the middle other columns, under a reader that doesn't stop."""
+    where, name = str(tmp_path / "t"), "swap_read"
+    frame = lambda k: spark.range(200).select(F.lit(k).alias("k"), F.col("id").alias("own" if k % 7 else "other"))
+    publish_swap(frame(0), name, where)
+    done, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(tuple(spark.table(name).agg(F.min("k"), F.max("k"), F.count("k")).first()))
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for k in range(1, 21):
+            publish_swap(frame(k), name, where)
+    finally:
+        done.set()
+        reader.join()
+    assert not failed and len({k for k, _, _ in seen}) > 3
+    assert all(low == high and n == 200 for low, high, n in seen)
+    assert [k for k, _, _ in seen] == sorted(k for k, _, _ in seen)
+    assert len(list((tmp_path / "t" / name).iterdir())) == 2
+
+
+def test_two_names_share_a_folder(spark, tmp_path):
+    where = str(tmp_path / "t")
+    for k in range(3):
+        publish_swap(spark.range(k + 1), "swap_left", where, keep=0)
+        publish_swap(spark.range(10 * k + 10), "swap_right", where, keep=0)
+    assert spark.table("swap_left").count() == 3 and spark.table("swap_right").count() == 30
+    assert spark.sql("SHOW TABLES LIKE 'swap_left__*'").count() == 1
+
+
+def test_a_plain_table_becomes_the_first_version(spark, tmp_path):
+    spark.range(4).write.saveAsTable("swap_plain")
+    got = publish_swap(spark.table("swap_plain").select((F.col("id") + 1).alias("id")), "swap_plain", str(tmp_path / "t"))
+    assert rows(got) == [(1,), (2,), (3,), (4,)] and spark.table("swap_plain__plain").count() == 4
 
 
 def test_a_failed_write_leaves_the_old_version(spark, tmp_path):

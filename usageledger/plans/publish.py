@@ -15,38 +15,66 @@ from usageledger.functions.times import time_literal
 from usageledger.operators.retention import retention_cutoff
 from usageledger.operators.watermark import newest
 from usageledger.plans.spec import ReportSpec, from_newest, incremental_load, new_rows
-from usageledger.session import folders, remove
+from usageledger.session import remove
 
 DAY = "part_day"
 
 
-def publish_swap(df: DataFrame, name: str, folder: str) -> DataFrame:
-    """Write df to a new version folder, point the table at it, and delete the version before.
+#: Properties of a published name: the version it shows, and the ones before it that still exist.
+VERSION, EARLIER = "usageledger.version", "usageledger.earlier"
 
-    Until the last step, which only changes metadata, readers have the old
-    version; a failed write leaves it in place. df may read the table it
-    replaces. A query that still reads the old version then fails and has to be
-    asked again. Only versions below ``folder`` are deleted.
+
+def publish_swap(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFrame:
+    """Write df as a new version of a published name and show it from the next read on.
+
+    A version is a table of its own, ``<name>__<version>``, whose rows lie below
+    ``folder/<name>``; the name is a view of one of them. Replacing the view is the one
+    statement in which old becomes new, whatever the columns of either, so there is
+    always something to read under the name. A failed write leaves the old version,
+    and df may read the name it replaces.
+
+    The last ``keep`` versions before this one stay, for queries that began before;
+    older ones that this name has shown are deleted, and nothing else is. Of several
+    publishers at once the last one wins. A plain table under the name becomes the
+    first version.
     """
     spark = df.sparkSession
-    before = set(folders(spark, folder))
-    version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(version)
-    if spark.catalog.tableExists(name):
-        same = spark.table(name).schema == df.schema
-        if same:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-            spark.catalog.refreshTable(name)
-        else:
-            spark.sql(f"DROP TABLE {name}")
-    if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version}'")
-    for old in before:
-        if old.startswith("version-"):
-            remove(spark, f"{folder.rstrip('/')}/{old}")
+    version = uuid.uuid4().hex
+    place = f"{folder.rstrip('/')}/{name}/version-{version}"
+    df.write.mode("error").parquet(place)
+    spark.catalog.createTable(f"{name}__{version}", path=place, source="parquet", schema=df.schema)
+    shown = _shown_versions(spark, name)
+    kept, gone = shown[:keep], shown[keep:]
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{version}', '{EARLIER}' = '{','.join(kept)}') "
+        f"AS SELECT * FROM {name}__{version}"
+    )
+    for old in gone:
+        where = _location(spark, f"{name}__{old}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}__{old}")
+        if where is not None:
+            remove(spark, where)
     return spark.table(name)
 
 
+def _shown_versions(spark: SparkSession, name: str) -> list[str]:
+    """Versions a published name shows or has shown, the newest first, as far as they exist."""
+    if not spark.catalog.tableExists(name):
+        return []
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    properties = {r["key"]: r["value"] for r in found if r["key"] in (VERSION, EARLIER)}
+    if VERSION not in properties:  # a table from elsewhere
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__plain")
+        return ["plain"]
+    return [properties[VERSION], *filter(None, properties[EARLIER].split(","))]
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+
+
 def publish_truncate_insert(parts: Sequence[DataFrame], name: str, folder: str) -> DataFrame:
     """Replace a table by several parts below each other, in one step."""
     return publish_swap(reduce(DataFrame.unionByName, parts), name, folder)
@@ -97,9 +125,8 @@ def refresh_history(
 def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
     """Replace the days found in the table written aside, and no others."""
     rows = spark.table(aside)
-    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
     by_day = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY)
-    by_day.parquet(found["data_type"])
+    by_day.parquet(_location(spark, name))
     for r in rows.select(DAY).distinct().filter(F.col(DAY).isNotNull()).collect():  # the days of a batch
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({DAY} = DATE '{r[DAY]}')")
     spark.catalog.refreshTable(name)
