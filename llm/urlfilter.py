@@ -30,6 +30,8 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
+#: Characters of a host name, at most.
+NAME_LENGTH = 253
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -55,10 +57,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def domains(host: Column) -> Column:
-    """The host and the domains above it, the host first."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+def labels(host: Column) -> Column:
+    """How many parts between dots a host has."""
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def domain(host: Column, k: Column) -> Column:
+    """The last k labels of a host that has so many."""
+    return F.call_function("substring_index", host, F.lit("."), -k)
 
 
 def host_rules(hosts: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -67,7 +73,10 @@ def host_rules(hosts: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataF
     table = spark.createDataFrame(
         [(h, p, h + p, v) for v, h, p in rules], "domain string, rule_path string, rule string, rule_verdict string"
     )
-    each = hosts.select("host", F.explode(domains(F.col("host"))).alias("domain")).join(table, "domain")
+    host = F.col("host")
+    deepest = max((h.count(".") + 1 for _, h, _ in rules), default=1)  # longer domains have no rule
+    ends = F.transform(F.sequence(F.lit(1), F.least(labels(host), F.lit(deepest))), lambda k: domain(host, k))
+    each = hosts.select("host", F.explode(ends).alias("domain")).join(table, "domain")
     order = F.struct(
         (-F.length("rule")).alias("shorter"),
         (-F.length("domain")).alias("wider"),
@@ -79,15 +88,20 @@ def host_rules(hosts: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataF
 
 
 def links(pages: DataFrame, hosts: DataFrame, domain_links: float) -> DataFrame:
-    """(src, dst, n): links between different hosts, with (host, html) of pages and (host) of hosts."""
-    found = F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), lambda h: F.lower(h))
+    """(src, dst, n): links between different hosts, with (host, html) of pages and (host) of hosts.
+
+    Hosts of links, like those of pages, have A-Z in lower case and no other letter
+    changed. A host longer than any name can be (NAME_LENGTH) is linked with no domain.
+    """
+    found = F.transform(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), ascii_lower)
     written = pages.filter("host != '' AND html IS NOT NULL").select(F.col("host").alias("src"), F.explode(found).alias("dst"))
     written = written.filter("src != dst").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("n"))
     if not domain_links:
         return written
-    above = F.filter(domains(F.col("host")), lambda d: F.instr(d, ".") > 0)
-    steps = F.transform(F.sequence(F.lit(1), F.size(above) - 1), lambda k: F.struct(above[k - 1].alias("low"), above[k].alias("high")))
-    pairs = hosts.select("host").filter(F.size(above) > 1).select(F.explode(steps).alias("s")).select("s.low", "s.high").distinct()
+    host = F.col("host")
+    deep = hosts.select("host").filter((F.length("host") <= NAME_LENGTH) & (labels(host) > 2))
+    steps = F.transform(F.sequence(F.lit(2), labels(host) - 1), lambda k: F.struct(domain(host, k + 1).alias("low"), domain(host, k).alias("high")))
+    pairs = deep.select(F.explode(steps).alias("s")).select("s.low", "s.high").distinct()
     owned = pairs.select(F.col("low").alias("src"), F.col("high").alias("dst"), F.lit(domain_links).alias("n"))
     owning = pairs.select(F.col("high").alias("src"), F.col("low").alias("dst"), F.lit(domain_links).alias("n"))
     return written.unionByName(owned).unionByName(owning).groupBy("src", "dst").agg(F.sum("n").alias("n"))
@@ -121,8 +135,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, s: Se
 
     ``verdict`` is the rule's, or without a rule its host's. Null urls and those
     without :// have an empty host and path, which no rule fits and no link
-    reaches; they are allowed, like hosts that neither flow reaches. Missing html
-    has no links. Repeated rows each give a row. An empty table gives no rows.
+    reaches; they are allowed, like hosts that neither flow reaches. Rules fit hosts
+    of any length and any number of labels; for links with domains see ``links``.
+    Missing html has no links. Repeated rows each give a row. An empty table gives no rows.
     """
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     hosts = staged(parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")

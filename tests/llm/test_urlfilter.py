@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter, defaultdict
 
 from llm import urlfilter as uf
@@ -11,9 +12,13 @@ def table_of(spark, rows):
     return spark.createDataFrame([(*r, "c", "c", "c", "c") for r in rows], SCHEMA)
 
 
+def ascii_lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
 def parse(url):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
-    return ("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m[1]), m[2]) if m else ("", "")
+    return (ascii_lower(m[1]), m[2]) if m else ("", "")
 
 
 def by_rule(host, path):
@@ -26,11 +31,12 @@ def brute(rows, s=uf.Settings()):
     links, hosts = Counter(), {h for _, h, _, _ in parsed}
     for _, h, _, html in parsed:
         for d in re.findall(uf._LINK, html or ""):
-            if h and d.lower() != h:
-                links[h, d.lower()] += 1
+            d = ascii_lower(d)
+            if h and d != h:
+                links[h, d] += 1
     pairs = set()
     for h in hosts:
-        labels = h.split(".")
+        labels = h.split(".") if len(h) <= 253 else []
         for k in range(len(labels) - 2):
             pairs.add((".".join(labels[k:]), ".".join(labels[k + 1 :])))
     for a, b in pairs:
@@ -82,6 +88,43 @@ def test_distrust_runs_against_links(spark):
     assert verdict == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_links_to_hosts_with_other_letters(spark):
+    """A host keeps letters beyond A-Z as they are, in urls and in links; distrust reaches it through both."""
+    rows = [
+        (1, "http://x.net/es/1", None), (2, "http://ÄB.org/a", '<a href="http://x.net/">' * 9), (3, "http://p.org/", '<a href="http://ÄB.ORG/">' * 9),
+        (4, "http://t.com/", None), (5, "http://äb.org/", None),
+    ]
+    got = uf.judge(table_of(spark, rows)).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=str) == brute(rows)
+    assert {r.page_id: r.distrust > 0 for r in got} == {1: True, 2: True, 3: True, 4: False, 5: False}
+
+
+def test_hosts_of_very_many_labels(spark):
+    long = ".".join("a" for _ in range(20_000))
+    deep = ".".join(f"l{i}" for i in range(60))
+    rows = [(1, f"http://{long}.example.com/en/x", None), (2, f"http://{long}.org/", f'<a href="http://{long}.net/">'), (3, f"http://{deep}.net/es/", None)]
+    rows += [(4, f"http://{long}.net/fr/", None), (5, "http://t.com/", None)]
+    began = time.time()
+    got = uf.judge(table_of(spark, rows)).collect()
+    assert time.time() - began < 10
+    assert sorted([tuple(r)[:5] for r in got], key=str) == brute(rows)
+    assert {r.page_id: (r.rule, r.verdict) for r in got}[1] == ("example.com/en/", "block")
+    assert {r.page_id: r.distrust > 0 for r in got}[2]
+
+
+def test_whole_table_with_links(spark, folder):
+    """The pages of the table, each with links to the urls of three others put into its html."""
+    found = pages(spark, folder).collect()
+    urls = [r.url or "" for r in found]
+    rows = [
+        (r.page_id, r.url, (r.html or "") + "".join(f'<a href="{urls[(7 * k + j * j) % len(urls)]}">' for j in range(3)))
+        for k, r in enumerate(found)
+    ]
+    got = uf.judge(table_of(spark, rows)).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=str) == brute(rows)
+    assert any(r.distrust > 0 and r.trust > 0 for r in got if r.rule is None)
+
+
 def test_empty_table(spark):
     assert uf.judge(table_of(spark, [])).count() == 0
 
