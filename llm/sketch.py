@@ -10,15 +10,14 @@ has an exact sketch.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ship
+from llm.common import ship, staged
 
 #: Words of a shingle, and hashes of a sketch.
 SHINGLE, K = 5, 128
@@ -26,8 +25,8 @@ SHINGLE, K = 5, 128
 BITS = 48
 #: Texts are hashed so many bytes at a time.
 WINDOW = 1 << 22
-#: Ranges of ids for each of the session's shuffle partitions.
-RANGES_EACH = 4
+#: Ranges of documents for each of the session's shuffle partitions, and rows sampled for each range.
+RANGES_EACH, SAMPLED = 4, 20
 
 _R = 0x9E3779B97F4A7C15
 _INVERSE = pow(_R, -1, 2**64)
@@ -154,50 +153,73 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _with_range(rows: DataFrame, edges: list[float]) -> DataFrame:
-    """A column ``range``: 0 for the largest ids; a missing id lies in the last range, which has no other."""
-    from pyspark.ml.feature import Bucketizer
+def _edges(keys: DataFrame, ranges: int) -> list[tuple]:
+    """(id, hash) pairs at which ranges begin, in the order of the documents, from a sample of SAMPLED rows a range.
 
+    They only say how evenly rows are dealt out; any edges give the same result.
+    """
+    rows = keys.count()
+    share = SAMPLED * ranges / max(1, rows)
+    found = [(r["doc_id"], r["h"]) for r in (keys if share >= 1 else keys.sample(False, share, 7)).collect()]
+    found.sort(key=lambda r: r[1])
+    missing = [r for r in found if r[0] is None]
+    found = sorted((r for r in found if r[0] is not None), key=lambda r: r[0], reverse=True) + missing
+    return list(dict.fromkeys(found[len(found) * k // ranges] for k in range(1, ranges))) if found else []
+
+
+def _range(edges: list[tuple], id_type: str) -> Column:
+    """The range of a row (doc_id, h): how many edges don't lie behind it, found by halving."""
     if not edges:
-        return rows.withColumn("range", F.lit(0))
-    splits = [-math.inf, *edges, math.inf]
-    dealt = Bucketizer(splits=splits, inputCol="number", outputCol="place", handleInvalid="keep").transform(
-        rows.withColumn("number", F.col("doc_id").cast("double"))
+        return F.lit(0)
+    ids = F.array(*[F.lit(e[0]).cast(id_type) for e in edges])
+    hashes = F.array(*[F.lit(e[1]) for e in edges])
+    doc_id, h = F.col("doc_id"), F.col("h")
+
+    def reached(k: Column) -> Column:
+        at, hash_ = F.element_at(ids, k), F.element_at(hashes, k)
+        same = doc_id.eqNullSafe(at)
+        return F.when(same, h >= hash_).otherwise(F.coalesce(doc_id < at, doc_id.isNull()))
+
+    steps = [1 << k for k in range(len(edges).bit_length() - 1, -1, -1)]
+    # acc: edges known not to lie behind the row
+    return F.aggregate(
+        F.lit(steps),
+        F.lit(0),
+        lambda acc, step: F.when((acc + step <= len(edges)) & reached(F.least(acc + step, F.lit(len(edges)))), acc + step).otherwise(acc),
     )
-    place = F.when(F.col("number").isNull(), F.lit(len(splits) - 1)).otherwise(F.lit(len(splits) - 2) - F.col("place"))
-    return dealt.withColumn("range", place.cast("int")).drop("number", "place")
 
 
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(range, doc_id, text, guest): documents dealt into ranges of falling ids, and after each range a guest.
+    """(range, doc_id, text, guest): documents dealt into ranges of their order, and after each range a guest.
 
+    The order is that of falling ids, a missing id last, and among rows with the same
+    id that of their texts' hashes; a range is a piece of it, so the rows of one id may
+    lie in many ranges. Only rows alike in id and text lie together in any case.
     The guest is a copy of the first document of the next range that has one,
     and of the very first after the last. So every document finds its successor
-    in its own range, and each text is shuffled once. Edges come from
-    approximate quantiles of the ids alone. The driver sees an edge and a first
-    id per range, and there are as many ranges as the session's shuffle
-    partitions ask for.
+    in its own range, and each text is shuffled once. The driver sees a bounded sample
+    of ids and hashes, and a first id per range; there are as many ranges as the
+    session's shuffle partitions ask for.
     """
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     spark = docs.sparkSession
-    ranges = RANGES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = [k / ranges for k in range(1, ranges)]
-    number = F.col("doc_id").cast("double")
-    found = narrow.agg(F.percentile_approx(number, cuts, 10 * ranges).alias("q")).first()["q"]
-    placed = _with_range(narrow, sorted(set(found or [])))
-    firsts = placed.groupBy("range").agg(F.max("doc_id").alias("first")).orderBy("range").collect()
-    own = placed.select("range", "doc_id", "text", F.lit(False).alias("guest"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    hashed = narrow.withColumn("h", F.xxhash64("text"))
+    keys = staged(hashed.select("doc_id", "h"), "document-keys")
+    id_type = keys.schema["doc_id"].dataType.simpleString()
+    edges = _edges(keys, RANGES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    place = _range(edges, id_type).alias("range")
+    # the first of a range has the largest id, and of those the smallest hash
+    first = F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.bitwise_not("h").alias("flipped")))
+    firsts = keys.groupBy(place).agg(first.alias("first")).orderBy("range").select("range", "first.doc_id", "first.flipped").collect()
+    own = hashed.select(place, "doc_id", "text", F.lit(False).alias("guest"))
     if not firsts:
         return own
-    hosts = list(zip([r["range"] for r in firsts], [r["range"] for r in firsts[-1:] + firsts[:-1]]))
-    leading = [r["first"] for r in firsts if r["first"] is not None]
-    leads = F.col("doc_id").isin(leading) if leading else F.lit(False)
-    if any(r["first"] is None for r in firsts):
-        leads = leads | F.col("doc_id").isNull()
-    first = F.min_by(F.struct("doc_id", "text"), F.struct(F.xxhash64("text"), "text")).alias("head")
-    heads = placed.filter(leads).groupBy("range").agg(first)
-    host = F.broadcast(spark.createDataFrame(hosts, "range int, host int"))  # a row per range
-    guests = heads.join(host, "range").select(F.col("host").alias("range"), "head.doc_id", "head.text", F.lit(True).alias("guest"))
+    before = [firsts[-1], *firsts[:-1]]
+    hosts = [(b["range"], f["doc_id"], ~f["flipped"]) for b, f in zip(before, firsts)]
+    host = F.broadcast(spark.createDataFrame(hosts, f"host int, lead {id_type}, lead_h bigint"))  # a row per range
+    leads = hashed.join(host, (F.col("h") == F.col("lead_h")) & F.col("doc_id").eqNullSafe(F.col("lead")))
+    head = F.min(F.struct("text", "doc_id")).alias("head")
+    guests = leads.groupBy("host").agg(head).select(F.col("host").alias("range"), "head.doc_id", "head.text", F.lit(True).alias("guest"))
     return own.unionByName(guests)
 
 
@@ -211,8 +233,8 @@ def fingerprint_pairs(
     next document has the next smaller id, a missing id being the smallest; rows
     with equal ids follow each other by their texts' hashes, and the last is
     followed by the first. Null texts count as empty; two texts without words
-    resemble each other fully. A single document follows itself. An empty table
-    gives no rows.
+    resemble each other fully. A single document follows itself. Ids may be whole
+    numbers or texts. An empty table gives no rows.
     """
     ship(docs.sparkSession)
 

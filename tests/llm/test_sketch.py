@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
+
 from llm_helpers import docs  # noqa: F401
 
 from llm import sketch as sk
@@ -90,6 +92,30 @@ def test_repeated_ids_follow_each_other(docs):  # noqa: F811
     assert len({r.fingerprint for r in got}) == 3
 
 
+def test_one_id_lies_in_several_ranges(spark, docs):  # noqa: F811
+    """Rows of one id, and rows without an id, are dealt out by their texts' hashes, and still follow each other."""
+    rows = [(7, f"text number {k} of many") for k in range(4000)] + [(None, f"no id {k}") for k in range(3000)]
+    rows += [(k, f"other {k}") for k in range(100, 200)]
+    df = docs(rows)
+    dealt = sk.neighbours(df).filter("NOT guest").groupBy("range").count().collect()
+    assert len(dealt) >= 12 and max(r["count"] for r in dealt) < 1500
+    hashed = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    want = {t: sk.edited(t, order[(k + 1) % len(order)][1]) for k, (_, t) in enumerate(order)}
+    got = sk.fingerprint_pairs(df).collect()
+    assert sorted(r.edited_sha256 for r in got) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in want.values())
+    assert {r.fingerprint for r in got} == {sk.text_of(sk.sketch(t)) for _, t in rows}
+
+
+def test_text_ids(spark):
+    rows = [("b", "one two three"), ("a", "four five"), ("é", "six"), (None, "seven eight"), ("aa", None), ("", "nine")]
+    got = sk.fingerprint_pairs(spark.createDataFrame(rows, "name string, body string"), "name", "body").collect()
+    order = ["é", "b", "aa", "a", "", None]
+    text = {i: t or "" for i, t in rows}
+    want = {i: sk.edited(text[i], text[order[(k + 1) % len(order)]]) for k, i in enumerate(order)}
+    assert {r.doc_id: r.edited_sha256 for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
 def test_whole_table(spark, folder):
     df = documents(spark, folder)
     check([(r.doc_id, r.text) for r in df.collect()], sk.fingerprint_pairs(df).collect())
