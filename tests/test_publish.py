@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from usageledger.plans import loads
-from usageledger.plans.publish import DAY, publish_swap, publish_truncate_insert, refresh_history, stored_watermark
+from usageledger.plans.publish import DAY, publish_swap, publish_truncate_insert, refresh_history, stored_keys, stored_watermark
 from usageledger.plans.spec import incremental_load
 from usageledger.session import shared_dir
 from test_loads import runs
@@ -135,6 +135,27 @@ def test_stored_upsert_rewrites_recent_days_only(spark, ctx):
     assert before[str(old.date())] in after and before[str(recent.date())] not in after
 
 
+def queries(spark, data):
+    return spark.createDataFrame([(i, "WH", at, 5) for i, at in data], "query_id bigint, warehouse_name string, start_time timestamp_ntz, execution_time bigint")
+
+
+def test_a_key_without_time_is_found_without_a_shuffle_of_the_history(spark, ctx):
+    name, at = "stored_queries", lambda d: T0 + timedelta(days=d)
+    refresh_history(spark, loads.QUERY_HISTORY, queries(spark, [(i, at(-(i % 20)) - i // 50 * 10 * HOUR) for i in range(100)]), name, ctx, buckets=4)
+    late = [(i, at(1)) for i in range(0, 100, 7)] + [(i, at(1)) for i in range(100, 110)] + [(105, at(1))]
+    got = refresh_history(spark, loads.QUERY_HISTORY, queries(spark, late), name, ctx)
+    assert sorted(r[0] for r in rows(got, "query_id")) == list(range(110))
+    plan = stored_keys(spark.table(name), got.limit(5))._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("ShuffledHashJoin") :].split("+- Exchange")[0]
+    assert "FileScan" in left and "Bucketed: true" in left and "Exchange" not in left and "Sort" not in left
+    # an expired part of a day is taken out of the buckets as well, and loads go on
+    kept = refresh_history(spark, loads.QUERY_HISTORY, queries(spark, [(500, at(2))]), name, ctx, 25)
+    assert min(t for (t,) in rows(kept, "start_time")) == datetime(2024, 1, 16, 10)
+    again = refresh_history(spark, loads.QUERY_HISTORY, queries(spark, [(500, at(3)), (105, at(3)), (501, at(3))]), name, ctx)
+    assert again.filter("query_id IN (500, 105, 501)").count() == 3
+    assert {f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(name).inputFiles()} <= {f"{k:05d}" for k in range(4)}
+
+
 def test_the_stored_watermark_comes_from_the_newest_day(spark, ctx):
     name = "stored_newest"
     data = usage(spark, [("a", T0 - timedelta(days=25)), ("b", T0), ("c", T0 + HOUR)])

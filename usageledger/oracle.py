@@ -378,6 +378,8 @@ ORACLE["rpt_query_history"] = f"""{batches(
     ctes('query_history'), f"SELECT *, {STAMP} FROM query_history WHERE {{where}}", account_key(txt('query_id')),
     **{**EVENT_BATCHES, 'cutoff': "TIMESTAMP '2024-01-11 00:00:00'"})},
 {resolved()} SELECT DISTINCT *, {QUERY_COLUMNS} FROM kept WHERE {allowed(f"{wh()} OR {db()}")} ORDER BY start_time DESC, query_id DESC LIMIT 1000000"""
+ORACLE["stored_query_history"] = f"""WITH {ctes('query_history')}
+SELECT {account_key(txt('query_id'))} AS sh_key, query_id, warehouse_name, start_time, execution_time FROM query_history"""
 ORACLE["rpt_reader_query_history"] = f"""{batches(
     ctes('reader_query_history'), f"SELECT *, {STAMP} FROM reader_query_history WHERE {{where}}",
     account_key(txt('query_id'), txt('reader_account_name')), **EVENT_BATCHES)},

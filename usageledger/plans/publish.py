@@ -14,10 +14,12 @@ from usageledger.context import ReportContext
 from usageledger.functions.times import time_literal
 from usageledger.operators.retention import retention_cutoff
 from usageledger.operators.watermark import newest
-from usageledger.plans.spec import ReportSpec, from_newest, incremental_load, new_rows
-from usageledger.session import remove
+from usageledger.plans.spec import KEY, ReportSpec, from_newest, incremental_load, new_rows, next_batch
+from usageledger.session import remove, staged
 
 DAY = "part_day"
+#: Buckets of a history whose key holds no time.
+BUCKETS = 64
 
 
 #: Properties of a published name: the version it shows, and the ones before it that still exist.
@@ -85,6 +87,27 @@ def _by_day(df: DataFrame, spec: ReportSpec) -> DataFrame:
     return df.withColumn(DAY, F.to_date(spec.time)).hint("rebalance", F.col(DAY))
 
 
+def _by_bucket(df: DataFrame, spec: ReportSpec, buckets: int) -> DataFrame:
+    """Rows brought together as a bucketed table has them, so that a task writes one file a day."""
+    return df.withColumn(DAY, F.to_date(spec.time)).repartition(buckets, KEY)
+
+
+def _buckets(spark: SparkSession, name: str) -> int | None:
+    """Into how many buckets a table is cut by key, if it is."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name IN ('Num Buckets', 'Bucket Columns')").collect()
+    described = {r["col_name"]: r["data_type"] for r in found}
+    return int(described["Num Buckets"]) if described.get("Bucket Columns") == f"[`{KEY}`]" else None
+
+
+def stored_keys(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The keys of a batch that a history has which is bucketed by key.
+
+    Only the batch is shuffled, to the buckets. Of the history the key column is read
+    and streamed past a hash table of the batch's keys: no exchange, no sort.
+    """
+    return stored.select(KEY).join(batch.select(KEY).hint("shuffle_hash"), KEY, "left_semi").distinct()
+
+
 def _append(df: DataFrame, name: str) -> None:
     # A new partition column order would move data, so columns are named.
     spark = df.sparkSession
@@ -98,23 +121,37 @@ def refresh_history(
     name: str,
     ctx: ReportContext,
     retain_days: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Bring a stored history table, partitioned by day, up to date.
 
     New rows are appended; the stored history is neither rewritten nor, beyond
     the newest days, read. An upsert rewrites only the days it can change.
     Expired days are dropped as partitions.
+
+    A key without a time may come again on any day. Such a history is also cut into
+    ``buckets`` by its key when it is first stored, so that a batch finds the keys
+    that are there without a shuffle or a sort of stored rows (``stored_keys``).
     """
     if not spark.catalog.tableExists(name):
-        first = _by_day(incremental_load(spec, source, None, ctx, retain_days), spec)
-        first.write.partitionBy(DAY).format("parquet").saveAsTable(name)
+        first = incremental_load(spec, source, None, ctx, retain_days)
+        if spec.keyed_by_time:
+            _by_day(first, spec).write.partitionBy(DAY).format("parquet").saveAsTable(name)
+        else:
+            _by_bucket(first, spec, buckets).write.partitionBy(DAY).bucketBy(buckets, KEY).format("parquet").saveAsTable(name)
         return history_table(spark, name)
     mark = stored_watermark(spark, spec, name)
     recent = spark.table(name)
     if mark is not None and spec.keyed_by_time:
         recent = recent.filter(F.col(DAY) >= F.lit(first_day(spec, mark)))
+    bucketed = _buckets(spark, name)
     if spec.updates:
         _rewrite_days(spark, spec, source, recent.drop(DAY), name, ctx, mark)
+    elif bucketed is not None:
+        batch = next_batch(spec, source, mark, ctx)
+        known = staged(stored_keys(recent, batch), "known-keys")
+        fresh = batch.join(known, KEY, "left_anti").select(*[c for c in recent.columns if c != DAY])
+        _append(_by_bucket(fresh, spec, bucketed), name)
     else:
         _append(_by_day(new_rows(spec, source, recent.drop(DAY), ctx, mark), spec), name)
     _drop_expired(spark, spec, name, ctx, retain_days)
@@ -125,6 +162,12 @@ def refresh_history(
 def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
     """Replace the days found in the table written aside, and no others."""
     rows = spark.table(aside)
+    buckets = _buckets(spark, name)
+    if buckets is not None:
+        same = rows.select(*spark.table(name).columns).repartition(buckets, KEY)
+        same.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        spark.sql(f"DROP TABLE {aside}")
+        return
     by_day = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY)
     by_day.parquet(_location(spark, name))
     for r in rows.select(DAY).distinct().filter(F.col(DAY).isNotNull()).collect():  # the days of a batch

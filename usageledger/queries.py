@@ -6,6 +6,7 @@ rounded to six digits in the output only; keys are shown as hex.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -31,7 +32,7 @@ from usageledger.operators.metering import (
 from usageledger.operators.ranking import top_recent
 from usageledger.operators.retention import retention_delete
 from usageledger.plans import loads, snapshots, views
-from usageledger.plans.publish import publish_swap, publish_truncate_insert
+from usageledger.plans.publish import publish_swap, publish_truncate_insert, refresh_history
 from usageledger.plans.spec import ReportSpec, incremental_load
 from usageledger.session import shared_dir, staged
 from usageledger.sources.logical import logical
@@ -393,6 +394,19 @@ def _rpt_query_history(spark, folder):
     return shown(views.query_history_view(loaded, patterns(spark, folder), rows=1_000_000))
 
 
+@query("stored_query_history")
+def _stored_query_history(spark, folder):
+    """Query history as a stored table: a first load, a daily load, and a load in which old queries come again with a later time."""
+    name = f"usageledger_query_history_{uuid.uuid4().hex}"
+    source = logical(spark, folder, "query_history")
+    refresh_history(spark, loads.QUERY_HISTORY, source.filter(F.col("start_time") < time_literal(EVENTS_CUT)), name, EVENTS, buckets=8)
+    refresh_history(spark, loads.QUERY_HISTORY, source, name, EVENTS)
+    again = source.filter(F.col("query_id") % 3 == 0).withColumn("start_time", F.col("start_time") + F.expr("INTERVAL 40 DAYS"))
+    late = source.unionByName(again)
+    stored = refresh_history(spark, loads.QUERY_HISTORY, late, name, EVENTS)
+    return shown(stored.select("sh_key", "query_id", "warehouse_name", "start_time", "execution_time"))
+
+
 @query("rpt_reader_query_history")
 def _rpt_reader_query_history(spark, folder):
     loaded = two_batches(loads.READER_QUERY_HISTORY, logical(spark, folder, "reader_query_history"), EVENTS_CUT, EVENTS)
