@@ -1,3 +1,4 @@
+import random
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -6,6 +7,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from usageledger.operators import rates
 
@@ -92,7 +94,7 @@ def test_two_contracts_in_two_currencies_price_a_row_once(spark, ctx):
         line("ACC_0", d, "3.00", 2), line("ACC_0", d, "5.00", 2, usage="cloud services"),
         line("ACC_0", date(2024, 2, 3), "9.00", 4), line("ACC_0", d, "8.00", 2, level="ABC"),
     ]
-    euro = spark.createDataFrame(lines, SHEET).withColumn("currency", rates.F.when(rates.F.col("contract_number") == 2, "EUR").otherwise("USD"))
+    euro = spark.createDataFrame(lines, SHEET).withColumn("currency", F.when(F.col("contract_number") == 2, "EUR").otherwise("USD"))
     both = rates.compute_and_cloud_rates(euro, ctx)
     assert [(r.rate_date.day, r.currency, str(r.compute_rate), str(r.cloud_rate)) for r in both.orderBy("rate_date").collect()] == [
         (k, "EUR", "3.00", "5.00") for k in range(1, 11)
@@ -109,10 +111,44 @@ def test_days_need_both_prices(sheet, ctx):
     assert days == [4, 5, 6, 7, 8, 9, 10]
 
 
-def test_size_of_the_series_is_known_beforehand(sheet, ctx):
-    assert rates.few_rates(sheet, [rates.COMPUTE, rates.CLOUD], ctx)
-    assert not rates.few_rates(sheet, [rates.COMPUTE], ctx, max_bytes=2000)
-    assert rates.few_rates(sheet.filter("false"), [rates.COMPUTE], ctx)
+def test_prices_as_of_a_day_equal_the_daily_ones(spark, ctx):
+    """Random price lists: the search among changes gives what the row of each day gives, for one account and all."""
+    rng = random.Random(3)
+    first = date(2024, 1, 5)
+    lines = []
+    for account in ("ACC_0", "ACC_1"):
+        for _ in range(40):
+            day, rate = first + timedelta(days=rng.randrange(45)), rng.choice([None, *"123456789"])
+            contract, usage = rng.choice([None, 1, 2, 3]), rng.choice(["compute", "cloud services", "storage"])
+            lines.append(line(account, day, rate, contract, rng.choice(["A", "B", None]), usage, rng.choice(["R1", "R2"])))
+    sheet = spark.createDataFrame(lines, SHEET).withColumn("currency", F.when(F.col("contract_number") == 2, "EUR").otherwise("USD"))
+    hours = [(a, r, datetime(2024, 1, 1, 5) + timedelta(days=d), 2.0) for a in ("ACC_0", "ACC_1", "ACC_2") for r in ("R1", "R2") for d in range(50)]
+    facts = spark.createDataFrame(hours, "account_locator string, region string, start_time timestamp_ntz, credits_used double")
+    amounts = {"credits_used": "compute_rate"}
+    on = ("account_locator", "region")
+    daily = rates.convert_credits_to_currency(facts, rates.compute_and_cloud_rates(sheet, ctx, True), amounts, on)
+    for most in (rates.BROADCAST_BYTES, 1):  # broadcast, and joined by a shuffle
+        assert rows(rates.price_as_of(facts, sheet, rates.COMPUTE_AND_CLOUD, amounts, ctx, True, max_bytes=most)) == rows(daily)
+    own = rates.convert_credits_to_currency(facts, rates.single_rate(sheet, "compute", ctx), {"credits_used": "rate"})
+    searched = rates.price_as_of(facts, sheet, {"rate": "compute"}, {"credits_used": "rate"}, ctx)
+    assert rows(searched) == rows(own) and searched.filter("currency IS NOT NULL").count() > 10
+    none = rates.price_as_of(facts, sheet, {"rate": "compute"}, {"credits_used": "rate"}, replace(ctx, roles=()))
+    assert none.filter("currency IS NOT NULL OR credits_used_effective_rate != 0").count() == 0
+
+
+def test_no_row_per_day_is_made(sheet, ctx):
+    wanted = rates.COMPUTE_AND_CLOUD
+    plan = rates.price_intervals(sheet, wanted, ctx, True)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+    got = rows(rates.price_intervals(sheet, {"rate": "compute"}, ctx), "first_day", "next_day", "rate")
+    assert [(a.day, b and b.day, str(r)) for a, b, r in got] == [(1, 4, "2.00"), (4, None, "3.00")]
+
+
+def test_the_price_list_is_read_once(spark, sheet, ctx, tmp_path):
+    sheet.write.parquet(str(tmp_path / "sheet"))
+    stored = spark.read.parquet(str(tmp_path / "sheet"))
+    plan = rates.rate_timeseries_all(stored, "compute", ctx)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") <= 2
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

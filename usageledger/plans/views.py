@@ -19,16 +19,8 @@ from usageledger.operators.access import (
     scope_rows_two_columns,
 )
 from usageledger.operators.ranking import top_recent
-from usageledger.operators.rates import (
-    CLOUD,
-    COMPUTE,
-    compute_and_cloud_rates,
-    convert_credits_to_currency,
-    few_rates,
-    single_rate,
-)
+from usageledger.operators.rates import COMPUTE_AND_CLOUD, price_as_of
 
-PRICED_TOGETHER = (COMPUTE, CLOUD)
 CLOUD_AND_COMPUTE = {
     "credits_used": "compute_rate",
     "credits_used_cloud_services": "cloud_rate",
@@ -46,9 +38,7 @@ def priced_service_view(
 ) -> DataFrame:
     """Table service credits with their price, by database."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
-    return convert_credits_to_currency(
-        seen, single_rate(sheet, usage_type, ctx), {"credits_used": "rate"}, small=few_rates(sheet, [usage_type], ctx)
-    )
+    return price_as_of(seen, sheet, {"rate": usage_type}, {"credits_used": "rate"}, ctx)
 
 
 def copy_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -100,12 +90,7 @@ def warehouse_credit_view(
 ) -> DataFrame:
     """Warehouse credits with compute and cloud prices; 0 for callers who may not see prices."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE))
-    return convert_credits_to_currency(
-        seen,
-        compute_and_cloud_rates(sheet, ctx),
-        CLOUD_AND_COMPUTE,
-        small=few_rates(sheet, PRICED_TOGETHER, ctx),
-    )
+    return price_as_of(seen, sheet, COMPUTE_AND_CLOUD, CLOUD_AND_COMPUTE, ctx)
 
 
 def organization_view(history: DataFrame, ctx: ReportContext) -> DataFrame:
@@ -115,12 +100,5 @@ def organization_view(history: DataFrame, ctx: ReportContext) -> DataFrame:
 
 def organization_metering_view(history: DataFrame, sheet: DataFrame, ctx: ReportContext) -> DataFrame:
     """Warehouse metering of all accounts with each account's own prices."""
-    rates = compute_and_cloud_rates(sheet, ctx, all_accounts=True)
     seen = role_gate(history, ctx).withColumn("start_date", F.to_date("start_time"))
-    return convert_credits_to_currency(
-        seen,
-        rates,
-        CLOUD_AND_COMPUTE,
-        ("account_locator", "region"),
-        small=few_rates(sheet, PRICED_TOGETHER, ctx, all_accounts=True),
-    )
+    return price_as_of(seen, sheet, COMPUTE_AND_CLOUD, CLOUD_AND_COMPUTE, ctx, all_accounts=True)
