@@ -15,26 +15,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import hour_number, time_literal
-from usageledger.operators.skew import BROADCAST_BYTES, fits_broadcast, hot_keys, hot_rows_of, skew_safe_join
+from usageledger.operators.skew import BROADCAST_BYTES, fits_broadcast, skew_safe_join
+from usageledger.operators.sweep import overlapping, sweep_edges, sweep_join
 
 HOUR_KEY = ("warehouse_id", "_hour")
 #: Meter columns after the interval join.
 METER = ("meter_name", "meter_start", "meter_end", "meter_credits")
 
 
-def hourly_meters(metering: DataFrame, closed: str = "left") -> DataFrame:
-    """Meters with one row per clock hour a query can start in; an hourly meter stays one row."""
-    last = F.col("meter_end")
-    if closed == "left":
-        last = F.greatest(F.col("meter_start"), last - F.expr("INTERVAL 0.000001 SECOND"))
-    hours = F.sequence(hour_number(F.col("meter_start")), hour_number(last))
+def meter_rows(metering: DataFrame) -> DataFrame:
+    """Meters under the names they have after the join, one row each."""
     return metering.select(
         "warehouse_id",
         F.col("warehouse_name").alias("meter_name"),
         F.col("start_time").alias("meter_start"),
         F.col("end_time").alias("meter_end"),
         F.col("credits_used").cast("double").alias("meter_credits"),
-    ).withColumn("_hour", F.explode(hours))
+    )
+
+
+def by_hour(meters: DataFrame, closed: str = "left") -> DataFrame:
+    """Meters with one row per clock hour a query can start in; an hourly meter stays one row."""
+    last = F.col("meter_end")
+    if closed == "left":
+        last = F.greatest(F.col("meter_start"), last - F.expr("INTERVAL 0.000001 SECOND"))
+    return meters.withColumn("_hour", F.explode(F.sequence(hour_number(F.col("meter_start")), hour_number(last))))
+
+
+def hourly_meters(metering: DataFrame, closed: str = "left") -> DataFrame:
+    return by_hour(meter_rows(metering), closed)
 
 
 def _within(closed: str) -> Column:
@@ -70,6 +79,29 @@ def match_meters(
     return joined.filter(_within(closed)).drop("_hour")
 
 
+_UNIQUE = ("query_id", "start_time")
+
+
+def sweep_meters(queries: DataFrame, meters: DataFrame, closed: str = "left", shared: DataFrame | None = None, edges: list | None = None) -> DataFrame:
+    """As match_meters for meters of any number and length, of which each stays one row.
+
+    ``meters`` come from ``meter_rows``. Warehouses with overlapping meters, named in
+    ``shared``, can't be swept and are matched by the hour.
+    """
+    swept = lambda q, m: sweep_join(q, m, "warehouse_id", "start_time", "meter_start", "meter_end", _UNIQUE, closed, edges)
+    if shared is None:
+        return swept(queries, meters)
+    apart = [df.join(shared, "warehouse_id", "left_anti") for df in (queries, meters)]
+    together = [df.join(shared, "warehouse_id", "left_semi") for df in (queries, meters)]
+    matched = match_meters(together[0], by_hour(together[1], closed), closed, small=False)
+    rest = swept(*apart)
+    return rest.unionByName(matched.select(*rest.columns))
+
+
+def _shared(meters: DataFrame, closed: str) -> DataFrame | None:
+    return overlapping(meters, "warehouse_id", "meter_start", "meter_end", closed)
+
+
 def _units(guard_zero: bool) -> Column:
     """What a query adds to the interval's total; idle queries may count as one unit."""
     t = F.col("execution_time")
@@ -90,22 +122,20 @@ def attribute_credits(
     one task. An interval without any execution time gives NULL.
     """
     slim = queries.select("query_id", "warehouse_id", "start_time", "execution_time")
-    hourly = hourly_meters(metering, closed)
     # Meters without a name form intervals like the others.
-    hourly = hourly.withColumns({"_name": F.coalesce("meter_name", F.lit("")), "_unnamed": F.col("meter_name").isNull()})
+    meters = meter_rows(metering).withColumns({"_name": F.coalesce("meter_name", F.lit("")), "_unnamed": F.col("meter_name").isNull()})
     interval = ["_name", "_unnamed", "meter_start", "meter_end"]
-    small = fits_broadcast(hourly, max_bytes)
-    hot = None if small else hot_keys(_keyed(slim), HOUR_KEY, hot_rows_of(slim))
-    totals = (
-        match_meters(slim, hourly, closed, small, hot)
-        .groupBy(*interval)
-        .agg(F.sum(_units(guard_zero)).alias("_total"))
-    )
+    if fits_broadcast(by_hour(meters, closed), max_bytes):
+        match = lambda q, m: match_meters(q, by_hour(m, closed), closed, True)
+    else:
+        shared, edges = _shared(meters, closed), sweep_edges(slim, "warehouse_id", "start_time", _UNIQUE)
+        match = lambda q, m: sweep_meters(q, m, closed, shared, edges)
+    totals = match(slim, meters).groupBy(*interval).agg(F.sum(_units(guard_zero)).alias("_total"))
     # Never more rows than the meters themselves, so the same choice of join holds.
-    with_total = hourly.join(totals, interval)
+    with_total = meters.join(totals, interval)
     share = F.try_divide(F.col("execution_time"), F.col("_total"))
     return (
-        match_meters(queries, with_total, closed, small, hot)
+        match(queries, with_total)
         .withColumns({"pct_credit_used_by_query": share * 100, "credit_used_by_query": share * F.col("meter_credits")})
         .drop("_total", "_name", "_unnamed")
     )
@@ -124,7 +154,12 @@ def attribute_groups(
     One pass over the queries: they are summed per (interval, group) on the map
     side, and the interval's total is taken over those few sums.
     """
-    matched = match_meters(queries, hourly_meters(metering, closed), closed, max_bytes=max_bytes)
+    meters = meter_rows(metering)
+    if fits_broadcast(by_hour(meters, closed), max_bytes):
+        matched = match_meters(queries, by_hour(meters, closed), closed, True)
+    else:
+        narrow = queries.select("query_id", "warehouse_id", "start_time", "execution_time", *group)
+        matched = sweep_meters(narrow, meters, closed, _shared(meters, closed))
     sums = matched.groupBy(*METER, *group).agg(
         F.sum("execution_time").alias("_time"), F.sum(_units(guard_zero)).alias("_units"), F.count(F.lit(1)).alias("queries")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
+from usageledger.functions.search import last_place
 from usageledger.operators.access import role_gate
 from usageledger.operators.skew import BROADCAST_BYTES, fits_broadcast, skew_safe_join
 
@@ -205,18 +206,13 @@ def price_books(intervals: DataFrame, wanted: Sequence[str]) -> DataFrame:
 
 
 #: Prices of one account that the search can tell apart.
-LONGEST_BOOK = 1 << 15
+LONGEST_BOOK = (1 << 15) - 1
 
 
 def price_on(prices: Column, day: Column) -> Column:
     """The last entry of a book that begins on or before a day, found by halving; NULL before the first."""
     n = F.coalesce(F.size(prices), F.lit(0))
-    steps = [LONGEST_BOOK >> k for k in range(1, LONGEST_BOOK.bit_length())]
-    place = F.aggregate(
-        F.array(*[F.lit(k) for k in steps]),
-        F.lit(0),
-        lambda acc, step: F.when((acc + step <= n) & (F.get(prices, acc + step - 1)["first_day"] <= day), acc + step).otherwise(acc),
-    )
+    place = last_place(LONGEST_BOOK, lambda k: (k <= n) & (F.get(prices, k - 1)["first_day"] <= day))
     return F.when(place > 0, F.get(prices, place - 1))
 
 

@@ -227,12 +227,12 @@ SELECT warehouse_name, start_time, {num('credits_used')}, {num('CASE WHEN effect
 FROM warehouse_metering LEFT JOIN compute ON CAST(start_time AS DATE) = rate_date"""
 
 
-def shares(where: str, unit: str) -> str:
+def shares(where: str, unit: str, meters: str = "warehouse_metering") -> str:
     """Queries with their meters and their share of the meter's total, as the CTE ``shares``."""
-    return f"""{ctes('query_history', 'warehouse_metering')},
+    return f"""{ctes('query_history', meters)},
     shares AS (SELECT q.*, m.warehouse_name AS meter_name, m.start_time AS meter_start, CAST(m.credits_used AS DOUBLE) AS meter_credits,
         CASE WHEN sum({unit}) OVER w = 0 THEN NULL ELSE q.execution_time / sum({unit}) OVER w END AS share
-      FROM query_history q JOIN warehouse_metering m
+      FROM query_history q JOIN {meters} m
         ON m.warehouse_id = q.warehouse_id AND q.start_time >= m.start_time AND q.start_time < m.end_time
       WHERE {where} WINDOW w AS (PARTITION BY m.warehouse_name, m.start_time, m.end_time))"""
 
@@ -241,6 +241,8 @@ GUARDED = "CASE WHEN q.execution_time = 0 THEN 1 ELSE q.execution_time END"
 RECENT = "q.start_time >= TIMESTAMP '2023-10-10 00:00:00'"
 ORACLE["attribute_credits"] = f"""WITH {shares('TRUE', GUARDED)}
 SELECT query_id, meter_start, share * 100 AS pct_credit_used_by_query, share * meter_credits AS credit_used_by_query FROM shares"""
+ORACLE["attribute_credits_swept"] = f"""WITH {shares('TRUE', GUARDED, 'mixed_metering')}
+SELECT query_id, meter_start, share * 100 AS pct_credit_used_by_query, share * meter_credits AS credit_used_by_query FROM shares"""
 
 DAILY = """daily AS (SELECT name AS warehouse_name, strftime(start_time, '%Y-%m-%d') AS active_date, coalesce(sum(credits_used), 0) AS credits_used
   FROM named_metering GROUP BY ALL)"""

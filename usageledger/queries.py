@@ -281,6 +281,13 @@ def _attribute_credits(spark, folder):
     return shown(shares.select("query_id", "meter_start", "pct_credit_used_by_query", "credit_used_by_query"), exact=True)
 
 
+@query("attribute_credits_swept")
+def _attribute_credits_swept(spark, folder):
+    """Shares of meters of days, hours and quarters of an hour, matched by a sweep."""
+    shares = attribute_credits(logical(spark, folder, "query_history"), logical(spark, folder, "mixed_metering"), guard_zero=True, max_bytes=0)
+    return shown(shares.select("query_id", "meter_start", "pct_credit_used_by_query", "credit_used_by_query"), exact=True)
+
+
 @query("publish_swap")
 def _publish_swap(spark, folder):
     where = shared_dir(spark, "published")

@@ -28,6 +28,7 @@ def _credits(cents: str, unit: str) -> str:
 
 _CENTS = "CAST(round(value * 100) AS BIGINT)"
 _HOUR = "date_trunc('hour', ts)"
+_QUARTER = "(date_trunc('hour', ts) + CAST(floor(minute(ts) / 15) AS INT) * INTERVAL '15' MINUTE)"
 
 
 def _name(prefix: str, number: str) -> str:
@@ -53,6 +54,17 @@ INPUTS: dict[str, str] = {
         SELECT user_id % 10 AS warehouse_id, {_name('WH_', 'user_id % 10')} AS warehouse_name,
           {_HOUR} AS start_time, {_HOUR} + INTERVAL '1' HOUR AS end_time, {_credits(_CENTS, '0.0003')} AS credits_used
         FROM {{events}} GROUP BY user_id % 10, {_HOUR}""",
+    # meters of days, hours and quarters of an hour
+    "mixed_metering": f"""
+        SELECT user_id % 10 AS warehouse_id, {_name('WH_', 'user_id % 10')} AS warehouse_name, date_trunc('day', ts) AS start_time,
+          date_trunc('day', ts) + INTERVAL '1' DAY AS end_time, {_credits(_CENTS, '0.0003')} AS credits_used
+        FROM {{events}} WHERE user_id % 10 < 4 GROUP BY user_id % 10, date_trunc('day', ts)
+        UNION ALL
+        SELECT user_id % 10, {_name('WH_', 'user_id % 10')}, {_HOUR}, {_HOUR} + INTERVAL '1' HOUR, {_credits(_CENTS, '0.0003')}
+        FROM {{events}} WHERE user_id % 10 BETWEEN 4 AND 6 GROUP BY user_id % 10, {_HOUR}
+        UNION ALL
+        SELECT user_id % 10, {_name('WH_', 'user_id % 10')}, {_QUARTER}, {_QUARTER} + INTERVAL '15' MINUTE, {_credits(_CENTS, '0.0003')}
+        FROM {{events}} WHERE user_id % 10 > 6 GROUP BY user_id % 10, {_QUARTER}""",
     "named_metering": f"""
         SELECT 'DEV_BU' || CAST(user_id % 5 AS STRING) || '_P' || CAST(user_id % 12 AS STRING) || '_LOAD_WH' AS name,
           {_HOUR} AS start_time, {_HOUR} + INTERVAL '1' HOUR AS end_time, {_credits(_CENTS, '0.0003')} AS credits_used
