@@ -1,3 +1,4 @@
+import random
 from dataclasses import replace
 
 import pytest
@@ -109,6 +110,54 @@ def test_literal_starts(spark):
     assert {r.p: r.s for r in df.select("p", access._literal_start(access.F.col("p")).alias("s")).collect()} == cases
 
 
+def test_what_a_pattern_requires(spark):
+    cases = {
+        ".*_P3_.*": ["_P3", "P3_"], "DB": [], "DB_1": ["DB_", "B_1"], "abcd?e": ["abc"], "abcd+efg": ["abc", "bcd", "efg"], "abc|abd": [],
+        "x(abc|abd)yzw": ["yzw"], "x(abc)yzw(a(b)*c)?": ["yzw"], "abc{2}def": ["def"], "[abcd]efg[^hij]{2}klm": ["efg", "klm"], r"abc\.def\dghi": ["abc", "def", "ghi"],
+        "(?i)abcdef": [], r"\Qabc\Edef": [], "(?:abc)def": ["def"], "abc.def": ["abc", "def"], "a-b c*": ["a-b", "-b "], "[a[bcd]efg]hij": [], "((((((abc))))))def": [], "": [],
+        "ab*cde": ["cde"], "abc(": [], "aaaa": ["aaa"],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.s for r in df.select("p", access.required_pieces(F.col("p")).alias("s")).collect()} == cases
+
+
+def test_required_pieces_are_in_every_match(spark):
+    """Random patterns over a small alphabet: whatever name a pattern matches contains its trigrams."""
+    rng = random.Random(5)
+    parts = ["ab", "abc", "a", "b", "_", "a?", "b*", "c+", "[ab]", "(ab|ba)", "(abc)?", ".", ".*", "ab{2}", r"\w", "(a(b|c)a)+", "cab", "[^c]"]
+    patterns = ["".join(rng.choices(parts, k=rng.randrange(1, 7))) for _ in range(250)] + ["ab|cabc", "abc_|_abc"]
+    names = ["".join(rng.choices("abc_", weights=[4, 4, 3, 1], k=rng.randrange(0, 10))) for _ in range(400)]
+    p = spark.createDataFrame([(x,) for x in set(patterns)], "p string").withColumn("need", access.required_pieces(F.col("p")))
+    met = p.join(spark.createDataFrame([(x,) for x in set(names)], "n string"), access.full_match_column(F.col("n"), F.col("p")))
+    assert met.filter(F.size("need") > 0).count() > 30
+    assert met.filter(F.exists("need", lambda t: ~F.contains(F.col("n"), t))).count() == 0
+    wanted = p.select(F.col("p").alias("database_pattern"), F.lit("w").alias("warehouse_pattern"))
+    data = spark.createDataFrame([(x,) for x in set(names)], "database_name string")
+    assert rows(access.scope_rows_single(data, wanted, "database_name", literal_characters=0)) == rows(met.select("n").distinct())
+
+
+def test_names_meet_few_patterns_that_begin_with_anything(spark):
+    """Two thousand patterns of one shape: a name meets about one of them, not all."""
+    names = spark.range(4000).select(F.concat(F.lit("DEV_P"), F.col("id").cast("string"), F.lit("_WH")).alias("_subject"))
+    middle = F.concat(F.lit(".*_P"), (F.col("id") * 2).cast("string"), F.lit("_.*"))
+    patterns = spark.range(2000).select(middle.alias("e"), middle.alias("first"))
+    listed = access.indexed_patterns(patterns, names, 4)
+    met = access.indexed_names(names, [], 4).join(listed, ["_key", "_slot"])
+    per_name = met.groupBy("_subject").count().agg(F.max("count"), F.avg("count")).first()
+    assert listed.count() == 2000 and per_name[0] <= 120 and per_name[1] < 40
+
+
+def test_a_callers_patterns_are_read_in_one_job(spark, access_map, data, ctx):
+    caller = who(ctx, "zoe", "R1", "R2", "R3")
+    found = access.caller_patterns(access_map, caller)
+    assert sorted(found.literals) == rows(access.resolve_access_patterns(access_map, caller))
+    assert rows(access.scope_rows_both(data, found)) == rows(access.scope_rows_both(data, found.frame))
+    assert access.caller_patterns(access_map, who(ctx, "eve", "R1")).literals == frozenset()
+    many = access.caller_patterns(access_map, caller, 3)
+    assert many.literals is None and rows(access.scope_rows_either(data, many)) == rows(access.scope_rows_either(data, found))
+    assert access.any_pattern_gate(data, many).count() == access.any_pattern_gate(data, found).count() > 0
+
+
 @pytest.mark.parametrize("literal", [10**6, 0])
 def test_all_kinds_of_patterns(spark, literal):
     data = spark.createDataFrame([("DB_1",), ("db_2",), ("DB_11",), ("X",), ("",), ("A-B",), ("Ax B",)], "database_name string")

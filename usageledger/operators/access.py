@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
@@ -19,21 +20,25 @@ _BETWEEN = "\x00"
 DATABASE, WAREHOUSE = "database_pattern", "warehouse_pattern"
 
 
-def resolve_access_patterns(access_map: DataFrame, ctx: ReportContext) -> DataFrame:
-    """Distinct (database_pattern, warehouse_pattern) of the caller.
-
-    Rows for the user alone win over rows for the caller's roles. Rows naming
-    both never apply. Rows with a missing pattern count as a user's rows but
-    allow nothing; a caller without rows gets nothing.
-    """
+def _rows_of_caller(access_map: DataFrame, ctx: ReportContext) -> DataFrame:
     account, role = F.lower("account"), F.lower("role")
     for_user = (account == ctx.user.lower()) & F.col("role").isNull()
     for_role = F.col("account").isNull() & role.isin([r.lower() for r in ctx.roles])
-    own = access_map.filter(for_user | for_role).select(
+    return access_map.filter(for_user | for_role).select(
         F.col("database").alias(DATABASE),
         F.col("warehouse").alias(WAREHOUSE),
         F.col("role").isNull().alias("_user"),
     )
+
+
+def resolve_access_patterns(access_map: DataFrame, ctx: ReportContext) -> DataFrame:
+    """Distinct (database_pattern, warehouse_pattern) of the caller.
+
+    Rows for the user alone win over rows for the caller's roles. Rows naming
+    both never apply. Rows with a missing pattern count as a user's rows but
+    allow nothing; a caller without rows gets nothing.
+    """
+    own = _rows_of_caller(access_map, ctx)
     by_user = own.agg(F.max("_user").alias("_user")).scalar()
     return (
         own.filter(F.col("_user") == by_user)
@@ -43,6 +48,37 @@ def resolve_access_patterns(access_map: DataFrame, ctx: ReportContext) -> DataFr
     )
 
 
+@dataclass(frozen=True)
+class CallerPatterns:
+    """A caller's patterns, read once: the relation, and its rows where a plan may hold them (else None)."""
+
+    frame: DataFrame
+    literals: frozenset[tuple[str, str]] | None
+
+    def rows(self, columns: Sequence[str]) -> set[tuple] | None:
+        if self.literals is None:
+            return None
+        at = [(DATABASE, WAREHOUSE).index(c) for c in columns]
+        return {tuple(row[k] for k in at) for row in self.literals}
+
+
+def caller_patterns(access_map: DataFrame, ctx: ReportContext, literal_characters: int = LITERAL_CHARACTERS) -> CallerPatterns:
+    """resolve_access_patterns in one job, for all views of a caller.
+
+    The driver reads the rows of the map that name the caller or their roles, as far
+    as a plan may hold them; of more, only the relation is kept.
+    """
+    of_caller = _rows_of_caller(access_map, ctx).limit(literal_characters + 1).collect()
+    frame = resolve_access_patterns(access_map, ctx)
+    for_user = any(r["_user"] for r in of_caller)
+    found = {(r[DATABASE], r[WAREHOUSE]) for r in of_caller if r["_user"] == for_user and None not in (r[DATABASE], r[WAREHOUSE])}
+    fits = len(of_caller) <= literal_characters and sum(len(t) for row in found for t in row) <= literal_characters
+    return CallerPatterns(frame, frozenset(found) if fits else None)
+
+
+Patterns = DataFrame | CallerPatterns
+
+
 def _tested(columns: Sequence[str]) -> Column:
     """One text of the columns; missing when one of them is."""
     return F.concat(*_between([F.col(c) for c in columns]))
@@ -54,7 +90,7 @@ def _between(parts: Sequence) -> list:
 
 def _scope(
     df: DataFrame,
-    patterns: DataFrame,
+    patterns: Patterns,
     tests: Sequence[tuple[str, str]],
     every: bool,
     literal_characters: int,
@@ -71,12 +107,14 @@ def _scope(
     joined = every and len(tests) > 1
     # columns that are tested as one text, or each on its own against the expressions of their pattern column
     subjects = [[c for c, _ in tests]] if joined else [[c for c, q in tests if q == p] for p in used]
-    wanted = patterns.select(*used).distinct()
-    characters = wanted.agg(F.sum(reduce(lambda a, b: a + b, [F.length(p) for p in used]))).scalar()
-    found = wanted.filter(F.coalesce(characters, F.lit(0)) <= literal_characters).collect()
-    if not found and not wanted.isEmpty():
+    frame = patterns.frame if isinstance(patterns, CallerPatterns) else patterns
+    wanted = frame.select(*used).distinct()
+    found = patterns.rows(used) if isinstance(patterns, CallerPatterns) else None
+    if found is None:
+        found = {tuple(r) for r in wanted.limit(literal_characters + 1).collect()}
+    if len(found) > literal_characters or sum(len(t or "") for row in found for t in row) > literal_characters:
         return _scope_by_names(df, wanted, used, subjects, joined)
-    texts = [{tuple(r) for r in found}] if joined else [{(r[p],) for r in found} for p in used]
+    texts = [found] if joined else [{(row[k],) for row in found} for k in range(len(used))]
     allowed = F.lit(False)
     for patterns_of, columns in zip(texts, subjects):
         plain = sorted(t for t in patterns_of if all(map(is_plain, t)))
@@ -97,32 +135,88 @@ def _literal_start(pattern: Column) -> Column:
     return F.when(F.contains(pattern, F.lit("|")), "").otherwise(F.left(start, F.greatest(optional, F.lit(0))))
 
 
+#: Length of the pieces of text that names and patterns are indexed by.
+PIECE = 3
+
+
+def required_pieces(pattern: Column) -> Column:
+    """Distinct trigrams that every text the pattern matches contains.
+
+    They come from runs of plain characters outside of groups and classes. What may be
+    missing, or read otherwise, counts for nothing: characters under a quantifier,
+    alternatives, escapes; a pattern with flags or quotes has no trigrams at all.
+    """
+    gap = "\x00"
+    odd = F.regexp_like(pattern, F.lit(r"\(\?[^:]|\\[QE]|\[[^\]]*\[|\[\^?\]"))
+    plain = F.regexp_replace(pattern, r"(?s)\\.", gap)
+    plain = F.regexp_replace(plain, r"\[[^\]]*\]", gap)
+    plain = F.regexp_replace(plain, r"\(\?:", "(")
+    plain = F.regexp_replace(plain, r"[^()](?:[?*]|\{[^}]*\})", gap)
+    for _ in range(4):  # groups in groups, the inner ones first
+        plain = F.regexp_replace(plain, r"\([^()]*\)(?:[?*]|\{[^}]*\})?", gap)
+    plain = F.when(odd | F.regexp_like(plain, F.lit(r"[|()\[\]]")), "").otherwise(plain)
+    runs = F.filter(F.split(plain, r"[^\w \-]+"), lambda r: F.length(r) >= PIECE)
+    return F.array_distinct(F.flatten(F.transform(runs, pieces)))
+
+
+def pieces(text: Column) -> Column:
+    """The trigrams of a text, as often as they occur."""
+    starts = F.when(F.length(text) >= PIECE, F.sequence(F.lit(1), F.length(text) - (PIECE - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: F.substring(text, k, F.lit(PIECE)))
+
+
+#: How a pattern finds its names: by its start, by a trigram, or among all of them.
+_START, _PIECE, _ALL = "s", "t", ""
+
+
+def indexed_patterns(patterns: DataFrame, names: DataFrame, slots: int) -> DataFrame:
+    """(e, _key, _slot): expressions with the key under which they meet names.
+
+    ``patterns`` has e and first, the pattern whose start and trigrams count; ``names``
+    has _subject. A pattern has the key of its literal start, or else that of the
+    rarest of its trigrams among the names. Only a pattern with neither meets all names,
+    which are dealt out over slots.
+    """
+    each = patterns.withColumns({"_start": _literal_start(F.col("first")), "_pieces": required_pieces(F.col("first"))})
+    by_piece = each.filter((F.col("_start") == "") & (F.size("_pieces") > 0)).select("e", F.explode("_pieces").alias("_piece"))
+    often = names.select(F.explode(F.array_distinct(pieces(F.col("_subject")))).alias("_piece")).groupBy("_piece").agg(F.count(F.lit(1)).alias("n"))
+    rarest = by_piece.join(often, "_piece", "left").groupBy("e").agg(F.min_by("_piece", F.struct(F.coalesce("n", F.lit(0)), "_piece")).alias("_piece"))
+    rarest = rarest.select("e", F.concat(F.lit(_PIECE), "_piece").alias("_key"), F.lit(0).alias("_slot"))
+    starts = each.filter(F.col("_start") != "").select("e", F.concat(F.lit(_START), "_start").alias("_key"), F.lit(0).alias("_slot"))
+    rest = each.filter((F.col("_start") == "") & (F.size("_pieces") == 0))
+    every = rest.select("e", F.lit(_ALL).alias("_key"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"))
+    return starts.unionByName(rarest).unionByName(every)
+
+
+def indexed_names(names: DataFrame, sizes: Sequence[int], slots: int) -> DataFrame:
+    """names with every key (_key, _slot) under which patterns may find them; ``sizes`` are the lengths of the patterns' starts."""
+    subject = F.col("_subject")
+    starts = F.transform(F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>"), lambda n: F.concat(F.lit(_START), F.left(subject, n)))
+    by_piece = F.transform(pieces(subject), lambda t: F.concat(F.lit(_PIECE), t))
+    keyed = names.withColumn("_key", F.explode(F.array_distinct(F.concat(starts, by_piece, F.array(F.lit(_ALL))))))
+    slot = F.when(F.col("_key") == _ALL, F.pmod(F.xxhash64("_subject"), F.lit(slots))).otherwise(0).cast("int")
+    return keyed.withColumn("_slot", slot)
+
+
 def _scope_by_names(
     df: DataFrame, wanted: DataFrame, used: Sequence[str], subjects: Sequence[Sequence[str]], joined: bool
 ) -> DataFrame:
-    """The same rows, found through the distinct names.
-
-    A name meets the patterns whose literal start it starts with: an equi join.
-    Patterns without such a start meet all names, which are spread over slots.
-    """
+    """The same rows, found through the distinct names: names meet patterns by an inverted list of starts and trigrams."""
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = [F.concat(F.lit("(?:"), F.col(p), F.lit(")")) for p in used]
     each = [(F.concat(*_between(grouped)), used[0])] if joined else [(F.col(p), p) for p in used]
     columns = list(dict.fromkeys(c for cs in subjects for c in cs))
     visible = None
     for (expression, first), own in zip(each, subjects):
-        patterns = wanted.select(expression.alias("e"), _literal_start(F.col(first)).alias("_start")).distinct()
-        everywhere = F.when(F.col("_start") == "", F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0)))
-        patterns = patterns.withColumn("_slot", F.explode(everywhere))
-        sizes = [r[0] for r in patterns.select(F.length("_start")).distinct().collect()]  # no more than a name is long
+        patterns = wanted.select(expression.alias("e"), F.col(first).alias("first")).distinct()
+        lengths = patterns.select(F.length(_literal_start(F.col("first"))).alias("n")).filter("n > 0").distinct().collect()
+        sizes = [r["n"] for r in lengths]  # no more than a name is long
         for subject in [_tested(own)] if joined else [F.col(c) for c in own]:
             names = df.select(*columns).distinct().withColumn("_subject", subject).filter(F.col("_subject").isNotNull())
-            starts = F.array(*[F.left("_subject", F.lit(n)) for n in sorted(sizes)])
-            names = names.withColumn("_begins", F.explode(F.array_distinct(starts)))
-            spread = F.when(F.col("_begins") == "", F.pmod(F.xxhash64("_subject"), F.lit(slots))).otherwise(0).cast("int")
-            names = names.withColumn("_place", spread)
-            same = (F.col("_begins") == F.col("_start")) & (F.col("_place") == F.col("_slot"))
-            met = names.join(patterns, same & full_match_column(F.col("_subject"), F.col("e")), "left_semi")
+            listed = indexed_patterns(patterns, names, slots)
+            matches = full_match_column(F.col("_subject"), F.col("e"))
+            same = [F.col(f"n.{c}") == F.col(f"p.{c}") for c in ("_key", "_slot")]
+            met = indexed_names(names, sizes, slots).alias("n").join(listed.alias("p"), same[0] & same[1] & matches, "left_semi")
             seen = met.select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
             visible = seen if visible is None else visible.unionByName(seen)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in columns])
@@ -130,7 +224,7 @@ def _scope_by_names(
 
 
 def scope_rows_single(
-    df: DataFrame, patterns: DataFrame, column: str, pattern: str = DATABASE, literal_characters: int = LITERAL_CHARACTERS
+    df: DataFrame, patterns: Patterns, column: str, pattern: str = DATABASE, literal_characters: int = LITERAL_CHARACTERS
 ) -> DataFrame:
     """One column must match some pattern."""
     return _scope(df, patterns, [(column, pattern)], True, literal_characters)
@@ -138,7 +232,7 @@ def scope_rows_single(
 
 def scope_rows_either(
     df: DataFrame,
-    patterns: DataFrame,
+    patterns: Patterns,
     warehouse: str = "warehouse_name",
     database: str = "database_name",
     literal_characters: int = LITERAL_CHARACTERS,
@@ -149,7 +243,7 @@ def scope_rows_either(
 
 def scope_rows_both(
     df: DataFrame,
-    patterns: DataFrame,
+    patterns: Patterns,
     warehouse: str = "warehouse_name",
     database: str = "database_name",
     literal_characters: int = LITERAL_CHARACTERS,
@@ -160,7 +254,7 @@ def scope_rows_both(
 
 def scope_rows_two_columns(
     df: DataFrame,
-    patterns: DataFrame,
+    patterns: Patterns,
     first: str,
     second: str,
     pattern: str = DATABASE,
@@ -180,9 +274,13 @@ def role_membership_scope(df: DataFrame, ctx: ReportContext, column: str = "gran
     return df.filter(F.col(column).isin(sorted(set(ctx.roles))))
 
 
-def any_pattern_gate(df: DataFrame, patterns: DataFrame) -> DataFrame:
+def any_pattern_gate(df: DataFrame, patterns: Patterns) -> DataFrame:
     """All distinct rows for callers with at least one database pattern."""
-    allowed = bool(patterns.filter(F.col(DATABASE).isNotNull()).limit(1).collect())
+    if isinstance(patterns, CallerPatterns) and patterns.literals is not None:
+        allowed = bool(patterns.literals)
+    else:
+        frame = patterns.frame if isinstance(patterns, CallerPatterns) else patterns
+        allowed = not frame.filter(F.col(DATABASE).isNotNull()).isEmpty()
     return df.filter(F.lit(allowed)).distinct()
 
 

@@ -207,6 +207,9 @@ ORACLE["scope_rows_many"] = """WITH wanted AS (SELECT CAST(o_orderkey AS VARCHAR
 SELECT o_orderkey, 'DB_' || CAST(o_orderkey AS VARCHAR) AS database_name FROM orders
 WHERE CAST(o_orderkey AS VARCHAR) IN (SELECT k FROM wanted)
   OR (right(CAST(o_orderkey AS VARCHAR), 1) IN ('0', '1', '2', '3') AND left(CAST(o_orderkey AS VARCHAR), -1) IN (SELECT k FROM wanted))"""
+ORACLE["scope_rows_by_pieces"] = """WITH named AS (
+  SELECT o_orderkey, o_custkey, 'DEV_BU' || o_custkey % 5 || '_P' || o_orderkey || '_LOAD_WH' AS warehouse_name FROM orders)
+SELECT o_orderkey, warehouse_name FROM named WHERE o_custkey % 6 = 0"""
 ORACLE["role_gate"] = f"""WITH {prices()} SELECT {SHEET_COLUMNS} FROM sheet"""
 ORACLE["role_membership_scope"] = f"""WITH {ctes('role_grants')}
 SELECT * FROM role_grants WHERE grantee_name IN ('ROLE_3', 'role_18', 'REPORT_SERVICE')"""

@@ -12,6 +12,7 @@ from usageledger.functions.times import time_literal
 from usageledger.functions.units import bytes_to_gib
 from usageledger.operators.access import (
     WAREHOUSE,
+    Patterns,
     role_membership_scope,
     scope_rows_both,
     scope_rows_either,
@@ -64,14 +65,14 @@ def query_credit(
     )
 
 
-def query_credit_view(credits: DataFrame, patterns: DataFrame) -> DataFrame:
+def query_credit_view(credits: DataFrame, patterns: Patterns) -> DataFrame:
     return scope_rows_either(credits, patterns)
 
 
 def db_schema_credit(
     queries: DataFrame,
     metering: DataFrame,
-    patterns: DataFrame | None,
+    patterns: Patterns | None,
     ctx: ReportContext,
     closed: str = "left",
     months: int | None = None,
@@ -85,7 +86,7 @@ def monthly_credits(
     queries: DataFrame,
     metering: DataFrame,
     monitors: DataFrame,
-    patterns: DataFrame,
+    patterns: Patterns,
     ctx: ReportContext,
     duration: int = 12,
     closed: str = "left",
@@ -96,7 +97,7 @@ def monthly_credits(
     return month_credits_pivot(seen, metering, monitors, ctx.today, duration, starting_from, closed)
 
 
-def monthly_credits_long(pivoted: DataFrame, patterns: DataFrame) -> DataFrame:
+def monthly_credits_long(pivoted: DataFrame, patterns: Patterns) -> DataFrame:
     return scope_rows_single(month_credits_unpivot(pivoted), patterns, "name", WAREHOUSE)
 
 
@@ -126,7 +127,7 @@ def table_storage(metrics: DataFrame, ctx: ReportContext) -> DataFrame:
     ).distinct()
 
 
-def table_storage_view(stored: DataFrame, patterns: DataFrame) -> DataFrame:
+def table_storage_view(stored: DataFrame, patterns: Patterns) -> DataFrame:
     total = (
         F.col("active_bytes_gb")
         + F.col("time_travel_bytes_gb")
@@ -164,7 +165,7 @@ def captured_monitors(monitors: DataFrame) -> DataFrame:
     return monitors.filter(F.col("level") == "WAREHOUSE")
 
 
-def resource_monitor(monitors: DataFrame, warehouses: DataFrame, patterns: DataFrame) -> DataFrame:
+def resource_monitor(monitors: DataFrame, warehouses: DataFrame, patterns: Patterns) -> DataFrame:
     """Monitors with the warehouses they watch, for the caller's warehouses."""
     watch = captured_monitors(monitors).select(
         F.col("name").alias("resource_monitor_name"),

@@ -12,7 +12,9 @@ from usageledger.operators import budget, names, tags
 from usageledger.operators.access import (
     DATABASE,
     WAREHOUSE,
+    CallerPatterns,
     any_pattern_gate,
+    caller_patterns,
     resolve_access_patterns,
     role_gate,
     scope_rows_both,
@@ -25,7 +27,7 @@ from usageledger.plans import snapshots, views
 from usageledger.plans.refresh import refresh_all
 
 Tables = Mapping[str, DataFrame]
-View = Callable[[Tables, DataFrame, ReportContext], DataFrame]
+View = Callable[[Tables, CallerPatterns, ReportContext], DataFrame]
 
 SHEET = "org_rate_sheet"
 #: Days that the calendar goes back.
@@ -37,7 +39,7 @@ def _kind(kind: str) -> View:
 
 
 def _overridden(kind: str, fields: tuple[str, ...], pattern: str) -> View:
-    def view(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+    def view(t: Tables, p: CallerPatterns, c: ReportContext) -> DataFrame:
         merged = names.override_coalesce(t[f"{kind}_metadata"], t[f"{kind}_overrides"], fields, out=f"{kind}_name")
         return scope_rows_single(merged, p, f"{kind}_name", pattern)
 
@@ -45,14 +47,14 @@ def _overridden(kind: str, fields: tuple[str, ...], pattern: str) -> View:
 
 
 def _tagged(kind: str, pattern: str) -> View:
-    def view(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+    def view(t: Tables, p: CallerPatterns, c: ReportContext) -> DataFrame:
         merged = tags.tag_override(t["tag_metadata"], t["tag_overrides"], kind.upper(), f"{kind}_name")
         return scope_rows_single(merged, p, f"{kind}_name", pattern)
 
     return view
 
 
-def _spend(t: Tables, p: DataFrame, c: ReportContext) -> DataFrame:
+def _spend(t: Tables, p: CallerPatterns, c: ReportContext) -> DataFrame:
     """Spending by the metadata that people see, overrides included."""
     merged = names.override_coalesce(t["warehouse_metadata"], t["warehouse_overrides"], names.WAREHOUSE_FIELDS, out="warehouse_name")
     return budget.bu_warehouse_spend(merged, t["daily_credits"], t["purchases"], t["tracker"])
@@ -127,7 +129,7 @@ REPORT_VIEWS: dict[str, tuple[tuple[str, ...], View]] = {
         lambda t, p, c: snapshots.resource_monitor(t["resource_monitors"], t["watched_warehouses"], p),
     ),
     "monthly_credit_summary": (("metering",), lambda t, p, c: monthly_credit_summary(t["metering"])),
-    "calendar": ((), lambda t, p, c: dim_date(p.sparkSession, c.today, CALENDAR_DAYS)),
+    "calendar": ((), lambda t, p, c: dim_date(p.frame.sparkSession, c.today, CALENDAR_DAYS)),
     "database_metadata": (
         ("database_metadata", "database_overrides"),
         _overridden("database", names.DATABASE_FIELDS, DATABASE),
@@ -166,7 +168,7 @@ def register_views(
     anew after a refresh (``refresh_and_register``). No view holds anything else
     of this moment.
     """
-    patterns = resolve_access_patterns(access_map, ctx)
+    patterns = caller_patterns(access_map, ctx)
     made = []
     for name, (needed, view) in REPORT_VIEWS.items():
         if all(n in tables for n in needed):

@@ -13,6 +13,7 @@ from usageledger.context import ReportContext
 from usageledger.functions.times import elapsed_seconds
 from usageledger.operators.access import (
     WAREHOUSE,
+    Patterns,
     role_gate,
     scope_rows_either,
     scope_rows_single,
@@ -28,32 +29,32 @@ CLOUD_AND_COMPUTE = {
 }
 
 
-def table_service_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def table_service_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     """Clustering, materialized view and replication credits by database."""
     return elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
 
 
 def priced_service_view(
-    history: DataFrame, patterns: DataFrame, sheet: DataFrame, usage_type: str, ctx: ReportContext
+    history: DataFrame, patterns: Patterns, sheet: DataFrame, usage_type: str, ctx: ReportContext
 ) -> DataFrame:
     """Table service credits with their price, by database."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "database_name"))
     return price_as_of(seen, sheet, {"rate": usage_type}, {"credits_used": "rate"}, ctx)
 
 
-def copy_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def copy_history_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return scope_rows_two_columns(history, patterns, "table_catalog_name", "pipe_catalog_name")
 
 
-def load_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def load_history_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return scope_rows_single(history, patterns, "catalog_name")
 
 
-def database_storage_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def database_storage_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return scope_rows_single(history, patterns, "database_name")
 
 
-def pipe_credit_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def pipe_credit_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return elapsed_seconds(scope_rows_single(history, patterns, "pipe_database"))
 
 
@@ -66,27 +67,27 @@ def _query_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def query_history_view(history: DataFrame, patterns: DataFrame, rows: int | None = None) -> DataFrame:
+def query_history_view(history: DataFrame, patterns: Patterns, rows: int | None = None) -> DataFrame:
     """The queries of the caller's warehouses or databases; with ``rows`` so many newest ones, as of this call."""
     seen = scope_rows_either(history, patterns)
     return _query_columns(seen if rows is None else top_recent(seen, "start_time", "query_id", rows))
 
 
-def reader_query_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def reader_query_history_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return _query_columns(scope_rows_either(history, patterns))
 
 
-def reader_warehouse_credit_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def reader_warehouse_credit_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     return elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE))
 
 
-def task_history_view(history: DataFrame, patterns: DataFrame) -> DataFrame:
+def task_history_view(history: DataFrame, patterns: Patterns) -> DataFrame:
     seen = scope_rows_single(history, patterns, "database_name")
     return elapsed_seconds(seen, "query_start_time", "completed_time")
 
 
 def warehouse_credit_view(
-    history: DataFrame, patterns: DataFrame, sheet: DataFrame, ctx: ReportContext
+    history: DataFrame, patterns: Patterns, sheet: DataFrame, ctx: ReportContext
 ) -> DataFrame:
     """Warehouse credits with compute and cloud prices; 0 for callers who may not see prices."""
     seen = elapsed_seconds(scope_rows_single(history, patterns, "warehouse_name", WAREHOUSE))

@@ -91,8 +91,8 @@ def shown(df: DataFrame, exact: bool = False) -> DataFrame:
     return df.select(*[_plain(f, exact) for f in df.schema.fields])
 
 
-def patterns(spark: SparkSession, folder: str, ctx: ReportContext = EVENTS) -> DataFrame:
-    return access.resolve_access_patterns(logical(spark, folder, "access_map"), ctx)
+def patterns(spark: SparkSession, folder: str, ctx: ReportContext = EVENTS) -> access.CallerPatterns:
+    return access.caller_patterns(logical(spark, folder, "access_map"), ctx)
 
 
 def price_list(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,8 +194,9 @@ def _metering_history(spark, folder):
 
 @query("resolve_access_patterns")
 def _resolve_access_patterns(spark, folder):
-    by_role = patterns(spark, folder).withColumn("caller", F.lit("roles"))
-    own = patterns(spark, folder, OWN_ROWS).withColumn("caller", F.lit("user"))
+    access_map = logical(spark, folder, "access_map")
+    by_role = access.resolve_access_patterns(access_map, EVENTS).withColumn("caller", F.lit("roles"))
+    own = access.resolve_access_patterns(access_map, OWN_ROWS).withColumn("caller", F.lit("user"))
     return by_role.unionByName(own)
 
 
@@ -233,6 +234,17 @@ def _scope_rows_many(spark, folder):
     return access.scope_rows_single(orders, wanted, "database_name").select("o_orderkey", "database_name")
 
 
+@query("scope_rows_by_pieces")
+def _scope_rows_by_pieces(spark, folder):
+    """A caller with thousands of patterns that begin with anything: they find names by what stands in the middle."""
+    number = F.col("o_orderkey").cast("string")
+    name = F.concat(F.lit("DEV_BU"), (F.col("o_custkey") % 5).cast("string"), F.lit("_P"), number, F.lit("_LOAD_WH"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", name.alias("warehouse_name"))
+    middle = F.concat(F.lit(".*_P"), number, F.lit("_.*"))
+    wanted = orders.filter(F.col("o_custkey") % 6 == 0).select(F.lit(".+").alias(access.DATABASE), middle.alias(access.WAREHOUSE))
+    return access.scope_rows_single(orders, wanted, "warehouse_name", access.WAREHOUSE).select("o_orderkey", "warehouse_name")
+
+
 @query("role_gate")
 def _role_gate(spark, folder):
     sheet = price_list(spark, folder)
