@@ -6,7 +6,17 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from usageledger.plans import loads
-from usageledger.plans.publish import DAY, publish_swap, publish_truncate_insert, refresh_history, stored_keys, stored_watermark
+from usageledger.plans.publish import (
+    DAY,
+    OPEN,
+    newest_stored,
+    publish_swap,
+    publish_truncate_insert,
+    refresh_history,
+    stored_counts,
+    stored_keys,
+    stored_watermark,
+)
 from usageledger.plans.spec import incremental_load
 from usageledger.session import shared_dir
 from test_loads import runs
@@ -165,6 +175,49 @@ def test_the_stored_watermark_comes_from_the_newest_day(spark, ctx):
     assert stored_watermark(spark, loads.MV_REFRESH, f"{name}_days") == datetime(2024, 2, 1)
 
 
+def test_the_newest_rows_open_two_partitions(spark, ctx):
+    """Twenty days of a hundred queries: the edge of the newest 150 is read from the counts."""
+    name = "stored_counted"
+    data = [(i, T0 - timedelta(days=i // 100) + timedelta(minutes=i % 100)) for i in range(2000)]
+    refresh_history(spark, loads.QUERY_HISTORY, queries(spark, data[100:]), name, ctx, buckets=2)
+    refresh_history(spark, loads.QUERY_HISTORY, queries(spark, data), name, ctx)
+    counts = stored_counts(spark, name)
+    assert counts.agg(F.sum("rows"), F.max("newest")).first() == (2000, max(t for _, t in data))
+    got = newest_stored(spark, loads.QUERY_HISTORY, name, "query_id", 150)
+    assert {i for (i,) in rows(got, "query_id")} == {i for i, _ in sorted(data, key=lambda r: (r[1], r[0]), reverse=True)[:150]}
+    assert {f.split(f"{DAY}=")[1][:10] for f in got.inputFiles()} == {"2024-02-01", "2024-01-31"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f"{DAY}" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_counts_follow_appends_rewrites_and_expired_days(spark, ctx):
+    def exact(name, spec):
+        stored = spark.table(name)
+        hour = F.date_trunc("hour", F.col(spec.time)).cast("timestamp_ntz")
+        return rows(stored.groupBy(DAY, hour.alias("hour")).agg(F.count(F.lit(1)).alias("rows"), F.max(spec.time).alias("newest")))
+
+    spec, name = loads.AUTO_CLUSTERING, "counted_clustering"
+    cutoff = datetime(2024, 1, 11)
+    first = [("a", T0 - timedelta(days=25)), ("b", T0 - timedelta(days=20)), ("m", cutoff), ("c", T0), ("n", T0 + HOUR)]
+    refresh_history(spark, spec, usage(spark, first), name, ctx)
+    for more in ([*first, ("d", T0 + 2 * HOUR)], [*first, ("e", T0 + 30 * HOUR)]):
+        refresh_history(spark, spec, usage(spark, more), name, ctx, 30)
+        assert rows(stored_counts(spark, name), DAY, "hour", "rows", "newest") == exact(name, spec)
+    task, name = loads.TASK_HISTORY, "counted_tasks"
+    for k in range(3):
+        refresh_history(spark, task, runs(spark, [(i, f"S{k}", T0 + (i - 3) * 20 * HOUR, None) for i in range(4 + k)]), name, ctx)
+        assert rows(stored_counts(spark, name), DAY, "hour", "rows", "newest") == exact(name, task)
+
+
+def test_counts_that_a_broken_load_left_are_made_anew(spark, ctx):
+    spec, name = loads.AUTO_CLUSTERING, "counted_broken"
+    refresh_history(spark, spec, usage(spark, [("a", T0 - timedelta(days=3)), ("b", T0)]), name, ctx)
+    spark.sql(f"ALTER VIEW {name}__counts SET TBLPROPERTIES ('{OPEN}' = 'true')")
+    assert stored_counts(spark, name) is None and stored_watermark(spark, spec, name) == T0
+    refresh_history(spark, spec, usage(spark, [("c", T0 + HOUR)]), name, ctx)
+    assert stored_counts(spark, name).agg(F.sum("rows")).first()[0] == 3 and stored_watermark(spark, spec, name) == T0 + HOUR
+
+
 def test_written_state_goes_below_the_cluster_folder(spark, monkeypatch):
     class Cluster:
         class sparkContext:

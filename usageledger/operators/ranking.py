@@ -12,38 +12,50 @@ from usageledger.session import staged
 STEPS = {"hour": "INTERVAL 1 HOUR", "second": "INTERVAL 1 SECOND", "microsecond": "INTERVAL 0.000001 SECOND"}
 
 
-def _edge_bucket(rows: DataFrame, bucket: Column, wanted: int):
-    """(start, rows in newer buckets) of the bucket the wanted-th newest row is in.
+def _edge_bucket(counts: DataFrame, wanted: int):
+    """(start, rows in newer buckets) of the bucket (b, n) the wanted-th newest row is in.
 
     None when there are fewer rows. The running sum is over one row per bucket.
     """
-    counts = rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
     newest_first = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = counts.withColumn("through", F.sum("n").over(newest_first)).filter(F.col("through") >= wanted)
     found = running.agg(F.max("b").alias("b"), F.min(F.col("through") - F.col("n")).alias("newer")).first()
     return None if found["b"] is None else (found["b"], found["newer"])
 
 
-def top_recent(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
+def _counts(rows: DataFrame, bucket: Column) -> DataFrame:
+    return rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_recent(df: DataFrame, time: str, unique: str, rows: int, hours: DataFrame | None = None, day: str | None = None) -> DataFrame:
     """The ``rows`` newest rows by time, ties broken by a unique column; rows without a time are the oldest.
 
     Rows are expected once each; loading sees to that. Where the newest rows end
-    is found from counts per hour, summed before the shuffle. Only the (time,
-    unique) pairs of the hour at the edge are stored and narrowed by second and
-    microsecond. The rows are then filtered by that edge, a literal that reaches
-    the scan. The result is not sorted; the consumer orders what it shows.
+    is found from counts per hour, summed before the shuffle, or from counts that are
+    stored: ``hours``, with b, an hour, and n. Only the (time, unique) pairs of the
+    hour at the edge are stored and narrowed by second and microsecond. The rows are
+    then filtered by that edge, a literal that reaches the scan; with ``day``, a
+    partition column that holds the date of the time, older partitions are not opened.
+    The result is not sorted; the consumer orders what it shows.
     """
     kind = df.schema[time].dataType
     dated = df.filter(F.col(time).isNotNull())
-    pairs = dated.select(F.col(time).cast("timestamp_ntz").alias("t"), F.col(unique).alias("u"))
-    start, wanted = None, rows
+    start, wanted, pairs = None, rows, None
     for unit, step in STEPS.items():
-        found = _edge_bucket(pairs, truncate_ntz(unit, F.col("t")), wanted)
+        counts = hours if hours is not None and start is None else None
+        if counts is None:
+            if pairs is None:
+                pairs = _pairs(dated, time, unique)
+            counts = _counts(pairs, truncate_ntz(unit, F.col("t")))
+        found = _edge_bucket(counts, wanted)
         if found is None:
             return _with_undated(df, time, unique, rows)
         start, newer = found
         wanted -= newer
         begin = time_literal(start)
+        if unit == "hour":
+            dated = dated if day is None else dated.filter(F.col(day) >= F.lit(start.date()))
+            pairs = _pairs(dated, time, unique)
         pairs = pairs.filter((F.col("t") >= begin) & (F.col("t") < begin + F.expr(step)))
         if unit == "hour":
             pairs = staged(pairs, "edge-hour")
@@ -53,6 +65,10 @@ def top_recent(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
     return dated.filter((F.col(time) >= edge) & newer_than_edge)
 
 
+def _pairs(dated: DataFrame, time: str, unique: str) -> DataFrame:
+    return dated.select(F.col(time).cast("timestamp_ntz").alias("t"), F.col(unique).alias("u"))
+
+
 def _with_undated(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
     """All dated rows, fewer than wanted, and as many of the others as there is room for."""
     undated = df.filter(F.col(time).isNull())

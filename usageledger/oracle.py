@@ -385,6 +385,9 @@ ORACLE["rpt_query_history"] = f"""{batches(
 {resolved()} SELECT DISTINCT *, {QUERY_COLUMNS} FROM kept WHERE {allowed(f"{wh()} OR {db()}")} ORDER BY start_time DESC, query_id DESC LIMIT 1000000"""
 ORACLE["stored_query_history"] = f"""WITH {ctes('query_history')}
 SELECT {account_key(txt('query_id'))} AS sh_key, query_id, warehouse_name, start_time, execution_time FROM query_history"""
+ORACLE["newest_stored_queries"] = f"""WITH {resolved()}, {ctes('query_history')}
+SELECT query_id, warehouse_name, database_name, start_time FROM query_history WHERE {allowed(f"{wh()} OR {db()}")}
+ORDER BY start_time DESC, query_id DESC LIMIT 700"""
 ORACLE["rpt_reader_query_history"] = f"""{batches(
     ctes('reader_query_history'), f"SELECT *, {STAMP} FROM reader_query_history WHERE {{where}}",
     account_key(txt('query_id'), txt('reader_account_name')), **EVENT_BATCHES)},

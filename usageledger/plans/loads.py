@@ -213,6 +213,7 @@ QUERY_HISTORY = ReportSpec(
     shape=_stamped,
     key=lambda: _account_key(text("query_id")),
     retain_days=MONTH,
+    counted_by=("warehouse_name", "database_name"),
 )
 
 READER_QUERY_HISTORY = ReportSpec(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageledger.context import ReportContext
-from usageledger.functions.times import time_literal
+from usageledger.functions.times import time_literal, truncate_ntz
+from usageledger.operators.ranking import top_recent
 from usageledger.operators.retention import retention_cutoff
 from usageledger.operators.watermark import newest
 from usageledger.plans.spec import KEY, ReportSpec, from_newest, incremental_load, new_rows, next_batch
@@ -132,6 +133,8 @@ def refresh_history(
     A key without a time may come again on any day. Such a history is also cut into
     ``buckets`` by its key when it is first stored, so that a batch finds the keys
     that are there without a shuffle or a sort of stored rows (``stored_keys``).
+
+    Beside the history its counts per hour are kept (``stored_counts``).
     """
     if not spark.catalog.tableExists(name):
         first = incremental_load(spec, source, None, ctx, retain_days)
@@ -139,8 +142,12 @@ def refresh_history(
             _by_day(first, spec).write.partitionBy(DAY).format("parquet").saveAsTable(name)
         else:
             _by_bucket(first, spec, buckets).write.partitionBy(DAY).bucketBy(buckets, KEY).format("parquet").saveAsTable(name)
+        _count(spark, spec, name, None)
         return history_table(spark, name)
     mark = stored_watermark(spark, spec, name)
+    trusted = _counts_hold(spark, name)
+    if trusted:
+        spark.sql(f"ALTER VIEW {_counts_name(name)} SET TBLPROPERTIES ('{OPEN}' = 'true')")
     recent = spark.table(name)
     if mark is not None and spec.keyed_by_time:
         recent = recent.filter(F.col(DAY) >= F.lit(first_day(spec, mark)))
@@ -154,8 +161,9 @@ def refresh_history(
         _append(_by_bucket(fresh, spec, bucketed), name)
     else:
         _append(_by_day(new_rows(spec, source, recent.drop(DAY), ctx, mark), spec), name)
-    _drop_expired(spark, spec, name, ctx, retain_days)
+    rewritten = _drop_expired(spark, spec, name, ctx, retain_days)
     spark.catalog.refreshTable(name)
+    _count(spark, spec, name, first_day(spec, mark) if trusted and mark is not None else None, rewritten)
     return history_table(spark, name)
 
 
@@ -176,12 +184,57 @@ def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
     spark.sql(f"DROP TABLE {aside}")
 
 
+#: Property of counts that a load has begun to outdate.
+OPEN = "usageledger.open"
+
+
+def _counts_name(name: str) -> str:
+    return f"{name}__counts"
+
+
+def _counts_hold(spark: SparkSession, name: str) -> bool:
+    """Whether a history has counts and no load was broken off since they were made."""
+    counts = _counts_name(name)
+    if not spark.catalog.tableExists(counts):
+        return False
+    return not any(r["key"] == OPEN for r in spark.sql(f"SHOW TBLPROPERTIES {counts}").collect())
+
+
+def _count(spark: SparkSession, spec: ReportSpec, name: str, since: date | None, also: Sequence[date] = ()) -> None:
+    """Bring the counts of a history up to date: those of the days a load can have changed, and ``also``, or all.
+
+    Expired days leave the counts with their partitions. A load marks the counts before
+    it begins; if it never came to its end, the next one counts anew.
+    """
+    stored = spark.table(name)
+    t = F.col(spec.time)
+    by = [c for c in spec.counted_by if c in stored.columns]
+    changed = F.lit(True) if since is None else (F.col(DAY) >= F.lit(since)) | F.col(DAY).isin(list(also))
+    touched = stored.filter(changed)
+    hour = truncate_ntz("hour", t.cast("timestamp_ntz")).alias("hour")
+    counts = touched.groupBy(DAY, hour, *by).agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("newest"))
+    if since is not None:
+        days = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        kept = spark.table(_counts_name(name)).filter(~F.coalesce(changed, F.lit(False)))
+        kept = kept.filter(F.coalesce(F.col(DAY).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).isin(days))
+        counts = kept.unionByName(counts)
+    publish_swap(counts, _counts_name(name), _location(spark, name).rsplit("/", 1)[0])
+
+
+def stored_counts(spark: SparkSession, name: str) -> DataFrame | None:
+    """(part_day, hour, columns of counted_by, rows, newest) of a stored history; None when they can't be trusted."""
+    return spark.table(_counts_name(name)) if _counts_hold(spark, name) else None
+
+
 def stored_watermark(spark: SparkSession, spec: ReportSpec, name: str):
-    """The watermark of a stored table, read from its newest day that holds rows.
+    """The watermark of a stored table, from its counts, or else from its newest day that holds rows.
 
     The days come from the catalog, one entry each, so the history itself is not
     scanned.
     """
+    counts = stored_counts(spark, name)
+    if counts is not None:
+        return from_newest(spec, newest(counts, "newest"))
     days = sorted((r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()), reverse=True)
     for day in days:
         value = newest(spark.table(name).filter(F.col(DAY) == F.to_date(F.lit(day))), spec.time)
@@ -190,6 +243,23 @@ def stored_watermark(spark: SparkSession, spec: ReportSpec, name: str):
     return None
 
 
+def newest_stored(
+    spark: SparkSession, spec: ReportSpec, name: str, unique: str, rows: int, scope: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """The ``rows`` newest rows of a stored history, of those that ``scope`` lets a caller see.
+
+    Where they begin is read from the counts, so only the partitions that hold them are
+    opened. ``scope`` must go by columns that the history is counted by.
+    """
+    seen = scope or (lambda df: df)
+    counts = stored_counts(spark, name)
+    history = seen(spark.table(name))
+    if counts is None:
+        return top_recent(history, spec.time, unique, rows, day=DAY).drop(DAY)
+    hours = seen(counts).filter("hour IS NOT NULL").groupBy(F.col("hour").alias("b")).agg(F.sum("rows").alias("n"))
+    return top_recent(history, spec.time, unique, rows, hours, DAY).drop(DAY)
+
+
 def first_day(spec: ReportSpec, mark) -> date:
     """The first day a batch can hold rows of."""
     start = mark - spec.lookback if spec.lookback is not None else mark
@@ -215,13 +285,13 @@ def _rewrite_days(
 
 def _drop_expired(
     spark: SparkSession, spec: ReportSpec, name: str, ctx: ReportContext, retain_days: int | None
-) -> None:
-    """Drop whole expired days, and expired rows of the day the cutoff falls on.
+) -> list[date]:
+    """Drop whole expired days, and expired rows of the day the cutoff falls on; the days that lost some rows.
 
     Days that also hold rows of other accounts keep those rows.
     """
     if retain_days is None:
-        return
+        return []
     cutoff = retention_cutoff(ctx, retain_days)
     stored = spark.table(name)
     expired = stored.filter(F.col(DAY) <= F.lit(cutoff.date()))
@@ -239,5 +309,6 @@ def _drop_expired(
         kept = expired.filter(F.col(DAY).isin(partly) & ~F.coalesce(gone, F.lit(False)))
         kept.write.format("parquet").saveAsTable(aside)
         _overwrite_days(spark, aside, name)
+    return partly
 
 

@@ -39,6 +39,7 @@ class ReportSpec:
     a batch are one row, so nobody who reads the history has to remove them.
     ``keyed_by_time``: the key holds the time, so stored rows before a batch can't
     have its keys. ``first_months``: how far a first load reaches back.
+    ``counted_by``: columns that a stored history's counts per hour are split by.
     """
 
     name: str
@@ -58,6 +59,7 @@ class ReportSpec:
     newest_by: tuple[str, ...] = ()
     retain_days: int | None = None
     account: str | None = "account_locator"
+    counted_by: tuple[str, ...] = ()
 
 
 def watermark(spec: ReportSpec, target: DataFrame | None):

@@ -32,7 +32,7 @@ from usageledger.operators.metering import (
 from usageledger.operators.ranking import top_recent
 from usageledger.operators.retention import retention_delete
 from usageledger.plans import loads, snapshots, views
-from usageledger.plans.publish import publish_swap, publish_truncate_insert, refresh_history
+from usageledger.plans.publish import newest_stored, publish_swap, publish_truncate_insert, refresh_history
 from usageledger.plans.spec import ReportSpec, incremental_load
 from usageledger.session import shared_dir, staged
 from usageledger.sources.logical import logical
@@ -426,6 +426,18 @@ def _stored_query_history(spark, folder):
     return shown(stored.select("sh_key", "query_id", "warehouse_name", "start_time", "execution_time"))
 
 
+@query("newest_stored_queries")
+def _newest_stored_queries(spark, folder):
+    """The 700 newest queries that a caller may see, of a stored history: where they begin comes from its counts."""
+    name = f"usageledger_newest_{uuid.uuid4().hex}"
+    source = logical(spark, folder, "query_history")
+    refresh_history(spark, loads.QUERY_HISTORY, source.filter(F.col("start_time") < time_literal(EVENTS_CUT)), name, EVENTS, buckets=8)
+    refresh_history(spark, loads.QUERY_HISTORY, source, name, EVENTS)
+    allowed = patterns(spark, folder)
+    seen = newest_stored(spark, loads.QUERY_HISTORY, name, "query_id", 700, lambda df: access.scope_rows_either(df, allowed))
+    return seen.select("query_id", "warehouse_name", "database_name", "start_time")
+
+
 @query("rpt_reader_query_history")
 def _rpt_reader_query_history(spark, folder):
     loaded = two_batches(loads.READER_QUERY_HISTORY, logical(spark, folder, "reader_query_history"), EVENTS_CUT, EVENTS)
