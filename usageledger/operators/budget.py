@@ -46,6 +46,29 @@ def workspace_monthly_budget(purchases: DataFrame, tracker: DataFrame) -> DataFr
     return budget_months(known).select("ws_id", "active_date", "pur_id", budget.alias("monthly_credit_budget"))
 
 
+#: Budget months by recursion: a purchase's next month follows while the last one lies before the renewal less a month.
+BUDGET_SQL = """
+WITH RECURSIVE months MAX RECURSION LEVEL 1200 AS (
+  SELECT p.ws_id, p.pur_id, p.purchased_date, p.renewal_date, p.purchased_credits, p.purchased_date AS active_date
+  FROM {purchases} p LEFT SEMI JOIN {tracker} t ON p.ws_id = t.ws_id
+  UNION ALL
+  SELECT ws_id, pur_id, purchased_date, renewal_date, purchased_credits, add_months(active_date, 1)
+  FROM months WHERE active_date < add_months(renewal_date, -1))
+SELECT ws_id, active_date, pur_id,
+  CAST(floor(try_divide(purchased_credits, (year(date_add(renewal_date, 1)) - year(purchased_date)) * 12
+    + month(date_add(renewal_date, 1)) - month(purchased_date))) AS BIGINT) AS monthly_credit_budget
+FROM months"""
+
+
+def workspace_monthly_budget_recursive(purchases: DataFrame, tracker: DataFrame) -> DataFrame:
+    """workspace_monthly_budget as a recursive query, for those who read SQL.
+
+    Each month of the longest purchase is a step over all purchases, and Spark bounds
+    a recursion's rows (``spark.sql.cteRecursionRowLimit``); the other form has neither.
+    """
+    return purchases.sparkSession.sql(BUDGET_SQL, purchases=purchases, tracker=tracker)
+
+
 def bu_warehouse_spend(
     warehouses: DataFrame, daily_credits: DataFrame, purchases: DataFrame, tracker: DataFrame
 ) -> DataFrame:

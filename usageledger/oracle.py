@@ -642,7 +642,61 @@ ORACLE["connector_type_current"] = statement("connectors")
 ORACLE["connector_type_history"] = f"""WITH {ctes('connectors')}, images AS (
   SELECT * FROM connectors UNION ALL SELECT * REPLACE ('changed' AS availability) FROM connectors WHERE broken)
 SELECT DISTINCT * FROM images WHERE synced > TIMESTAMP '2023-02-10 00:00:00'"""
-ORACLE["connector_log_views"] = "SELECT * FROM events"
+LOGS = {
+    "account": ("id", "name"),
+    "account_membership": ("user_id", "account_role"),
+    "audit": ("id", "action"),
+    "connector": ("connector_id", "connector_name"),
+    "destination": ("id", "name"),
+    "destination_membership": ("user_id", "CAST(activated AS VARCHAR)"),
+    "incremental_mar": ("connector_id", "CAST(measured_month AS VARCHAR) || ' ' || incremental_rows"),
+    "log": ("id", "message_data"),
+    "resource_membership": ("id", "resource"),
+    "role": ("id", "name"),
+    "role_permission": ("permission_id", "permission"),
+    "user": ("id", "login"),
+}
+ORACLE["connector_log_views"] = f"WITH {ctes(*[f'log_{n}' for n in LOGS])} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS log, CAST({k} AS VARCHAR) AS key, {detail} AS detail FROM log_{n}" for n, (k, detail) in LOGS.items()
+)
+
+# ---------------------------------------------------------------- by their SQL names
+
+ORACLE["sql_metering_history"] = ORACLE["metering_history"]
+ORACLE["sql_settings"] = f"""WITH {ctes('settings')}
+SELECT a.account_locator,
+  (SELECT max(var_value) FROM settings s WHERE var_name = 'DAYS_TO_RETAIN' AND var_usage = 'MACHINERY' AND s.account_locator = a.account_locator) AS highest,
+  o.var_value AS organization
+FROM (SELECT DISTINCT account_locator FROM settings) a
+LEFT JOIN settings o ON o.var_name = 'ORGANIZATION' AND o.var_usage = 'GLOBAL' AND o.region_name = 'R1' AND o.account_locator = a.account_locator"""
+ORACLE["sql_access_patterns"] = f"""WITH {resolved()}, {ctes('query_history')}
+SELECT database_name, count(*) AS queries FROM query_history WHERE {allowed(db())} GROUP BY database_name"""
+ORACLE["sql_date_range"] = """SELECT o_orderstatus, CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
+FROM orders GROUP BY o_orderstatus"""
+ORACLE["sql_rate_timeseries"] = ORACLE["rate_timeseries"]
+ORACLE["sql_rate_timeseries_all"] = ORACLE["rate_timeseries_all"]
+
+ORACLE["live_query_history"] = f"""WITH {resolved()}, {ctes('query_history')},
+own_left AS (SELECT * FROM own WHERE NOT coalesce(regexp_matches(dp, '[13579]'), FALSE)),
+left_over AS (SELECT DISTINCT dp, wp FROM (
+    SELECT * FROM own_left UNION ALL SELECT * FROM byrole WHERE (SELECT count(*) FROM own_left) = 0 AND NOT coalesce(regexp_matches(dp, '[13579]'), FALSE))
+  WHERE dp IS NOT NULL AND wp IS NOT NULL)
+SELECT query_id, warehouse_name, database_name, CAST(start_time AS DATE) AS start_date, CAST(floor(execution_time / 1000) AS BIGINT) AS execution_time_in_sec
+FROM query_history WHERE EXISTS (SELECT 1 FROM left_over p WHERE {wh()} OR {db()})"""
+
+ORACLE["live_warehouse_credit"] = f"""WITH {resolved()}, {COMPUTE_CLOUD}, {ctes('metering')},
+seen AS (SELECT name AS warehouse_name, CAST(start_time AS DATE) AS start_date, credits_used FROM metering
+  WHERE service_type = 'WAREHOUSE_METERING' AND {allowed(wh('name'))})
+SELECT warehouse_name, CASE WHEN cloud.rate_date IS NULL THEN NULL ELSE compute.currency END AS currency, {num('sum(credits_used)', 'credits_used')},
+  {num('sum(CASE WHEN cloud.rate_date IS NULL OR compute.rate_date IS NULL THEN 0 ELSE credits_used * compute.effective_rate END)', 'amount')}
+FROM seen LEFT JOIN compute ON start_date = compute.rate_date LEFT JOIN cloud ON start_date = cloud.rate_date GROUP BY 1, 2"""
+
+ORACLE["workspace_monthly_budget_recursive"] = ORACLE["workspace_monthly_budget"]
+ORACLE["access_map_first_refresh"] = f"WITH {DERIVED} SELECT * FROM derived"
+ORACLE["access_map_bad_rows"] = """WITH rows AS (SELECT c_custkey % 10 AS k, 'USR_' || c_custkey AS account, 'WH_' || c_custkey AS warehouse, 'DB_' || c_custkey AS database FROM customer)
+SELECT 'good' AS kind, account, CAST(NULL AS VARCHAR) AS role, warehouse, database, CAST(NULL AS VARCHAR) AS bad_row FROM rows WHERE k NOT IN (3, 5, 7)
+UNION ALL SELECT 'bad', NULL, NULL, NULL, NULL, CASE k WHEN 3 THEN account || ',' WHEN 5 THEN account || ',,' || warehouse || ',' || database || ',more'
+  ELSE '"' || account || ',,' || warehouse || ',' || database END FROM rows WHERE k IN (3, 5, 7)"""
 
 # ---------------------------------------------------------------- streams
 

@@ -15,13 +15,15 @@ from pyspark.sql import SparkSession
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.operators.access import DATABASE, WAREHOUSE
 from usageledger.operators.rates import COMPUTE_AND_CLOUD, intervals_sql
-from usageledger.plans.publish import DAY
+from usageledger.plans.publish import DAY, counts_name
 from usageledger.plans.views import CLOUD_AND_COMPUTE
 
 Names = Mapping[str, str]
 #: Rows of the view of the newest queries.
 NEWEST = 1_000_000
 SHEET = "org_rate_sheet"
+#: The counts that are kept beside a stored query history.
+COUNTS = "query_history counts"
 
 SERVICE = f"array_contains(session.report_roles, '{REPORT_SERVICE_ROLE.lower()}')"
 
@@ -102,8 +104,7 @@ def _either(table: str, more: str = "") -> View:
 
 def _newest(t: Names, p: str) -> str:
     """The newest of the queries a caller may see; the counts of the history say from which hour on."""
-    counts = f"{t['query_history']}__counts"
-    hours = f"SELECT hour, sum(rows) AS n FROM ({scoped_sql(counts, p, _EITHER, False)}) WHERE hour IS NOT NULL GROUP BY hour"
+    hours = f"SELECT hour, sum(rows) AS n FROM ({scoped_sql(t[COUNTS], p, _EITHER, False)}) WHERE hour IS NOT NULL GROUP BY hour"
     edge = f"SELECT min(hour) FROM (SELECT hour, sum(n) OVER (ORDER BY hour DESC) - n AS newer FROM ({hours})) WHERE newer < {NEWEST}"
     return f"""
     SELECT *{_QUERY} FROM ({scoped_sql(t['query_history'], p, _EITHER, False)})
@@ -160,7 +161,7 @@ LIVE_VIEWS: dict[str, tuple[tuple[str, ...], View]] = {
     "sessions": (("sessions",), _whole("sessions")),
     "pipe_credit": (("pipe_credit",), _by("pipe_database", more=_E)("pipe_credit")),
     "query_history": (("query_history",), _either("query_history", _QUERY)),
-    "newest_queries": (("query_history",), _newest),
+    "newest_queries": (("query_history", COUNTS), _newest),
     "reader_query_history": (("reader_query_history",), _either("reader_query_history", _QUERY)),
     "reader_warehouse_credit": (("reader_warehouse_credit",), _by("warehouse_name", WAREHOUSE, _E)("reader_warehouse_credit")),
     "task_history": (("task_history",), _by("database_name", more=f", {_elapsed('query_start_time', 'completed_time')}")("task_history")),
@@ -194,6 +195,9 @@ def register_live_views(spark: SparkSession, names: Names, access_map: str, ctx:
     published report or access map shows from the next query on.
     """
     set_caller(spark, ctx)
+    counts = counts_name(names.get("query_history", ""))
+    if counts != counts_name("") and spark.catalog.tableExists(counts):
+        names = {**names, COUNTS: counts}
     patterns = f"{prefix}caller_patterns"
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {patterns} AS {patterns_sql(access_map)}")
     made = []

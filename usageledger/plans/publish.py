@@ -147,7 +147,7 @@ def refresh_history(
     mark = stored_watermark(spark, spec, name)
     trusted = _counts_hold(spark, name)
     if trusted:
-        spark.sql(f"ALTER VIEW {_counts_name(name)} SET TBLPROPERTIES ('{OPEN}' = 'true')")
+        spark.sql(f"ALTER VIEW {counts_name(name)} SET TBLPROPERTIES ('{OPEN}' = 'true')")
     recent = spark.table(name)
     if mark is not None and spec.keyed_by_time:
         recent = recent.filter(F.col(DAY) >= F.lit(first_day(spec, mark)))
@@ -188,13 +188,13 @@ def _overwrite_days(spark: SparkSession, aside: str, name: str) -> None:
 OPEN = "usageledger.open"
 
 
-def _counts_name(name: str) -> str:
+def counts_name(name: str) -> str:
     return f"{name}__counts"
 
 
 def _counts_hold(spark: SparkSession, name: str) -> bool:
     """Whether a history has counts and no load was broken off since they were made."""
-    counts = _counts_name(name)
+    counts = counts_name(name)
     if not spark.catalog.tableExists(counts):
         return False
     return not any(r["key"] == OPEN for r in spark.sql(f"SHOW TBLPROPERTIES {counts}").collect())
@@ -215,15 +215,15 @@ def _count(spark: SparkSession, spec: ReportSpec, name: str, since: date | None,
     counts = touched.groupBy(DAY, hour, *by).agg(F.count(F.lit(1)).alias("rows"), F.max(t).alias("newest"))
     if since is not None:
         days = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-        kept = spark.table(_counts_name(name)).filter(~F.coalesce(changed, F.lit(False)))
+        kept = spark.table(counts_name(name)).filter(~F.coalesce(changed, F.lit(False)))
         kept = kept.filter(F.coalesce(F.col(DAY).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).isin(days))
         counts = kept.unionByName(counts)
-    publish_swap(counts, _counts_name(name), _location(spark, name).rsplit("/", 1)[0])
+    publish_swap(counts, counts_name(name), _location(spark, name).rsplit("/", 1)[0])
 
 
 def stored_counts(spark: SparkSession, name: str) -> DataFrame | None:
     """(part_day, hour, columns of counted_by, rows, newest) of a stored history; None when they can't be trusted."""
-    return spark.table(_counts_name(name)) if _counts_hold(spark, name) else None
+    return spark.table(counts_name(name)) if _counts_hold(spark, name) else None
 
 
 def stored_watermark(spark: SparkSession, spec: ReportSpec, name: str):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +33,13 @@ from usageledger.operators.metering import (
 from usageledger.operators.ranking import top_recent
 from usageledger.operators.retention import retention_delete
 from usageledger.plans import loads, snapshots, views
+from usageledger.plans.live import register_live_views, set_caller
 from usageledger.plans.publish import newest_stored, publish_swap, publish_truncate_insert, refresh_history
 from usageledger.plans.spec import ReportSpec, incremental_load
+from usageledger.plans.sql import LOG_TABLES, register_functions, register_views
 from usageledger.session import shared_dir, staged
 from usageledger.sources.logical import logical
-from usageledger.sources.tables import access_map_csv, table
+from usageledger.sources.tables import access_map_csv, access_map_rows, empty_like, table
 from usageledger.streaming.loads import append_stream, connector_type_history, dedup_late, file_stream, history, parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -793,9 +796,171 @@ def _connector_type_history(spark, folder):
     return access.any_pattern_gate(stored, patterns(spark, folder))
 
 
+#: What each view of the connector log shows: a key and a text.
+LOG_COLUMNS = {
+    "account": ("id", "name"),
+    "account_membership": ("user_id", "account_role"),
+    "audit": ("id", "action"),
+    "connector": ("connector_id", "connector_name"),
+    "destination": ("id", "name"),
+    "destination_membership": ("user_id", "CAST(activated AS STRING)"),
+    "incremental_mar": ("connector_id", "concat_ws(' ', measured_month, incremental_rows)"),
+    "log": ("id", "message_data"),
+    "resource_membership": ("id", "resource"),
+    "role": ("id", "name"),
+    "role_permission": ("permission_id", "permission"),
+    "user": ("id", "login"),
+}
+
+
 @query("connector_log_views")
 def _connector_log_views(spark, folder):
-    return snapshots.passthrough(table(spark, folder, "events"))
+    """All twelve views of the connector log, each over its own table."""
+    logs = {f"log_{n}": logical(spark, folder, f"log_{n}") for n in LOG_TABLES}
+    made = register_views(spark, logs, logical(spark, folder, "access_map"), EVENTS, "connector_")
+    parts = [
+        f"SELECT '{n}' AS log, CAST({key} AS STRING) AS key, {detail} AS detail FROM connector_log_{n}"
+        for n, (key, detail) in LOG_COLUMNS.items()
+        if f"connector_log_{n}" in made
+    ]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
+# ---------------------------------------------------------------- by their SQL names
+
+
+def _functions(spark, folder) -> None:
+    register_functions(
+        spark,
+        logical(spark, folder, "metering"),
+        logical(spark, folder, "settings"),
+        price_list(spark, folder),
+        logical(spark, folder, "access_map"),
+        EVENTS,
+    )
+
+
+@query("sql_metering_history")
+def _sql_metering_history(spark, folder):
+    _functions(spark, folder)
+    services = "array('WAREHOUSE_METERING', 'WAREHOUSE_METERING_READER')"
+    return shown(spark.sql(f"SELECT * FROM metering_history('WH_[2-9]', {services}, DATE '2024-01-05', DATE '2024-01-25')"))
+
+
+@query("sql_settings")
+def _sql_settings(spark, folder):
+    """Both forms of the settings lookup, for every account that has settings."""
+    _functions(spark, folder)
+    return spark.sql(
+        """SELECT a.account_locator, h.var_value AS highest, o.var_value AS organization
+        FROM (SELECT DISTINCT account_locator FROM setting_records) a,
+          LATERAL highest_setting('DAYS_TO_RETAIN', 'MACHINERY', a.account_locator) h
+          LEFT JOIN LATERAL settings_of('ORGANIZATION', 'GLOBAL', a.account_locator, 'R1') o"""
+    )
+
+
+@query("sql_access_patterns")
+def _sql_access_patterns(spark, folder):
+    """Queries of the databases that the caller's patterns name, through the table function."""
+    _functions(spark, folder)
+    logical(spark, folder, "query_history").createOrReplaceTempView("sql_queries")
+    return spark.sql(
+        r"""SELECT database_name, count(*) AS queries FROM sql_queries LEFT SEMI JOIN access_patterns() p
+        ON regexp_like(database_name, concat('\\A(?:', p.database_pattern, ')\\z')) GROUP BY database_name"""
+    )
+
+
+@query("sql_date_range")
+def _sql_date_range(spark, folder):
+    """The days of the orders of each status, through the table function."""
+    _functions(spark, folder)
+    table(spark, folder, "orders").createOrReplaceTempView("sql_orders")
+    return spark.sql(
+        """SELECT s.o_orderstatus, d.day FROM
+          (SELECT o_orderstatus, to_date(min(o_orderdate)) AS first_day, to_date(max(o_orderdate)) AS last_day FROM sql_orders GROUP BY o_orderstatus) s,
+          LATERAL date_range(s.first_day, s.last_day) d"""
+    )
+
+
+@query("sql_rate_timeseries")
+def _sql_rate_timeseries(spark, folder):
+    _functions(spark, folder)
+    return shown(spark.sql("SELECT * FROM rate_timeseries('compute')"))
+
+
+@query("sql_rate_timeseries_all")
+def _sql_rate_timeseries_all(spark, folder):
+    _functions(spark, folder)
+    return shown(spark.sql("SELECT * FROM rate_timeseries_all('cloud services')"))
+
+
+def _published(spark, folder, **tables: DataFrame) -> dict[str, str]:
+    """Tables under names of their own, by report."""
+    where, names = shared_dir(spark, "published"), {}
+    for report, df in tables.items():
+        names[report] = f"usageledger_{report}_{uuid.uuid4().hex}"
+        publish_swap(df, names[report], where)
+    return names
+
+
+@query("live_query_history")
+def _live_query_history(spark, folder):
+    """A view registered once, read after the access map lost the roles' rows for databases with an odd number."""
+    access_map = logical(spark, folder, "access_map")
+    names = _published(spark, folder, query_history=logical(spark, folder, "query_history"), access_map=access_map)
+    register_live_views(spark, {"query_history": names["query_history"]}, names["access_map"], EVENTS, "live_")
+    gone = F.coalesce(F.col("database").rlike("[13579]"), F.lit(False))
+    publish_swap(spark.table(names["access_map"]).filter(~gone), names["access_map"], shared_dir(spark, "published"))
+    return shown(spark.sql("SELECT query_id, warehouse_name, database_name, start_date, execution_time_in_sec FROM live_query_history"))
+
+
+@query("live_warehouse_credit")
+def _live_warehouse_credit(spark, folder):
+    """Credits and amounts per warehouse and currency of a caller set after the view was registered."""
+    metered = metering_history(logical(spark, folder, "metering"), ".+", ["WAREHOUSE_METERING"], EVENTS.today - timedelta(days=365), EVENTS.today)
+    credit = metered.withColumnRenamed("name", "warehouse_name")
+    names = _published(spark, folder, warehouse_credit=credit, org_rate_sheet=price_list(spark, folder), access_map=logical(spark, folder, "access_map"))
+    register_live_views(spark, names, names["access_map"], replace(EVENTS, user="nobody", roles=()), "priced_")
+    set_caller(spark, EVENTS)
+    return shown(
+        spark.sql(
+            """SELECT warehouse_name, currency, sum(credits_used) AS credits_used, sum(credits_used_effective_rate) AS amount
+            FROM priced_warehouse_credit GROUP BY warehouse_name, currency"""
+        )
+    )
+
+
+@query("workspace_monthly_budget_recursive")
+def _workspace_monthly_budget_recursive(spark, folder):
+    return budget.workspace_monthly_budget_recursive(logical(spark, folder, "purchases"), logical(spark, folder, "tracker"))
+
+
+@query("access_map_first_refresh")
+def _access_map_first_refresh(spark, folder):
+    """The first refresh of an access map starts from an empty table like the one to come."""
+    derived = reconcile.grants_to_patterns(logical(spark, folder, "role_grants"), logical(spark, folder, "role_tags"))
+    return reconcile.access_map_refresh(empty_like(logical(spark, folder, "access_map_current")), derived)
+
+
+@query("access_map_bad_rows")
+def _access_map_bad_rows(spark, folder):
+    """A file of an access map in which rows lack a cell, have one too many or a quote that isn't closed."""
+    number = F.col("c_custkey").cast("string")
+    cells = [F.concat(F.lit("USR_"), number), F.lit(""), F.concat(F.lit("WH_"), number), F.concat(F.lit("DB_"), number)]
+    whole = F.concat_ws(",", *cells)
+    text = (
+        F.when(F.col("c_custkey") % 10 == 3, F.concat_ws(",", *cells[:2]))
+        .when(F.col("c_custkey") % 10 == 5, F.concat(whole, F.lit(",more")))
+        .when(F.col("c_custkey") % 10 == 7, F.concat(F.lit('"'), whole))
+        .otherwise(whole)
+    )
+    path = shared_dir(spark, "access-map")
+    rows = table(spark, folder, "customer").select("c_custkey", text.alias("value"))
+    head = spark.createDataFrame([(-1, "account,role,warehouse,database")], "c_custkey long, value string")
+    head.unionByName(rows).coalesce(1).sortWithinPartitions("c_custkey").select("value").write.text(path)
+    good, bad = access_map_rows(spark, path)
+    named = good.select(F.lit("good").alias("kind"), "account", "role", "warehouse", "database", F.lit(None).cast("string").alias("bad_row"))
+    return named.unionByName(bad.select(F.lit("bad").alias("kind"), "bad_row"), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- streams

@@ -332,6 +332,20 @@ INPUTS: dict[str, str] = {
     "users": f"SELECT c_name AS name, TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' DAY * c_nationkey AS created_on FROM {{customer}}",
     "databases": f"SELECT {_name('DB_', 'p_partkey')} AS name, TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' DAY * p_size AS created_on FROM {{part}}",
     "roles": f"SELECT {_name('ROLE_', 'n_nationkey')} AS name, TIMESTAMP '2023-01-01 00:00:00' AS created_on FROM {{nation}}",
+    # ---- the log of the connector service: twelve tables with columns of their own
+    "log_account": "SELECT n_nationkey AS id, n_name AS name, n_regionkey AS region_id FROM {nation}",
+    "log_account_membership": "SELECT c_nationkey AS account_id, c_custkey AS user_id, c_mktsegment AS account_role FROM {customer}",
+    "log_audit": "SELECT event_id AS id, ts AS occurred, event_type AS action, user_id AS actor_id FROM {events} WHERE event_type IN ('purchase', 'signup')",
+    "log_connector": f"SELECT s_suppkey AS connector_id, s_name AS connector_name, s_nationkey AS destination_id, s_acctbal < 0 AS paused FROM {{supplier}}",
+    "log_destination": "SELECT n_nationkey AS id, n_name AS name, n_regionkey AS account_id FROM {nation}",
+    "log_destination_membership": "SELECT c_nationkey AS destination_id, c_custkey AS user_id, c_custkey % 3 = 0 AS activated FROM {customer}",
+    "log_incremental_mar": """SELECT l_suppkey AS connector_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS measured_month,
+          count(*) AS incremental_rows FROM {lineitem} GROUP BY l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE)""",
+    "log_log": "SELECT event_id AS id, ts AS time_stamp, event_type AS event, props AS message_data FROM {events}",
+    "log_resource_membership": "SELECT p_partkey AS id, p_brand AS resource, p_size % 7 AS role_id FROM {part}",
+    "log_role": "SELECT r_regionkey AS id, r_name AS name FROM {region}",
+    "log_role_permission": "SELECT s_nationkey % 5 AS role_id, s_suppkey AS permission_id, s_name AS permission FROM {supplier}",
+    "log_user": f"SELECT c_custkey AS id, c_name AS name, {_name('USR_', 'c_custkey')} AS login FROM {{customer}}",
 }
 
 
