@@ -181,6 +181,16 @@ def test_views_are_registered_anew_after_each_run(spark, inputs, tmp_path):
     assert spark.table("ext_query_history").count() > before > 0
 
 
+def test_the_month_report_has_a_start(spark, inputs, tmp_path):
+    """Two months that end one month ago: January and December."""
+    of, sources = inputs
+    monitors = of("warehouses").selectExpr("resource_monitor AS resource_monitor_name", "name AS warehouse_name")
+    some = {n: sources[n] for n in ("query_history", "warehouse_credit")}
+    settings = loads.default_settings(spark, CTX)
+    stored = refresh_all(spark, some, settings, CTX, str(tmp_path), monitors, "month_", report_months=2, report_starts=1)
+    assert {r[0] for r in rows(stored["month_credits"], "attribute")} == {"202401_credits", "202312_credits"}
+
+
 def test_quotes_in_an_account_do_no_harm(spark, inputs):
     of, _ = inputs
     odd = replace(CTX, account="A'C")

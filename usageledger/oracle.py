@@ -642,6 +642,19 @@ ORACLE["connector_type_current"] = statement("connectors")
 ORACLE["connector_type_history"] = f"""WITH {ctes('connectors')}, images AS (
   SELECT * FROM connectors UNION ALL SELECT * REPLACE ('changed' AS availability) FROM connectors WHERE broken)
 SELECT DISTINCT * FROM images WHERE synced > TIMESTAMP '2023-02-10 00:00:00'"""
+FEED = f"""{ctes('connectors')},
+v1 AS (SELECT * FROM connectors),
+v2 AS (SELECT * REPLACE (CASE WHEN CAST(id AS INT) % 5 = 0 THEN 'changed' ELSE availability END AS availability) FROM connectors WHERE CAST(id AS INT) % 7 <> 0),
+added AS (SELECT * REPLACE ('new_' || id AS id, TIMESTAMP '2024-02-10 08:00:00' AS synced) FROM connectors WHERE CAST(id AS INT) % 7 = 0),
+feed AS (
+  SELECT 1 AS version, 'insert' AS change_type, * FROM v1
+  UNION ALL SELECT 2, 'delete', * FROM v1 WHERE id NOT IN (SELECT id FROM v2)
+  UNION ALL SELECT 2, 'update_before', v1.* FROM v1 JOIN v2 USING (id) WHERE v1.availability <> v2.availability
+  UNION ALL SELECT 2, 'update_after', v2.* FROM v1 JOIN v2 USING (id) WHERE v1.availability <> v2.availability
+  UNION ALL SELECT 3, 'insert', * FROM added)"""
+ORACLE["change_feed"] = f"WITH {FEED} SELECT version, change_type, id, availability FROM feed"
+ORACLE["connector_type_history_of_versions"] = f"""WITH {FEED}
+SELECT id, count(*) AS images, count(DISTINCT availability) AS availabilities FROM feed WHERE synced > TIMESTAMP '2023-02-10 00:00:00' GROUP BY id"""
 LOGS = {
     "account": ("id", "name"),
     "account_membership": ("user_id", "account_role"),

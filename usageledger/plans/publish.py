@@ -23,8 +23,8 @@ DAY = "part_day"
 BUCKETS = 64
 
 
-#: Properties of a published name: the version it shows, and the ones before it that still exist.
-VERSION, EARLIER = "usageledger.version", "usageledger.earlier"
+#: Properties of a published name: the version it shows, how many there were, and the ones before it that still exist.
+VERSION, NUMBER, EARLIER = "usageledger.version", "usageledger.number", "usageledger.earlier"
 
 
 def publish_swap(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFrame:
@@ -46,12 +46,11 @@ def publish_swap(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFr
     place = f"{folder.rstrip('/')}/{name}/version-{version}"
     df.write.mode("error").parquet(place)
     spark.catalog.createTable(f"{name}__{version}", path=place, source="parquet", schema=df.schema)
-    shown = _shown_versions(spark, name)
+    number, shown = published_versions(spark, name)
     kept, gone = shown[:keep], shown[keep:]
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{version}', '{EARLIER}' = '{','.join(kept)}') "
-        f"AS SELECT * FROM {name}__{version}"
-    )
+    properties = {VERSION: version, NUMBER: number + 1, EARLIER: ",".join(kept)}
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({listed}) AS SELECT * FROM {name}__{version}")
     for old in gone:
         where = _location(spark, f"{name}__{old}")
         spark.sql(f"DROP TABLE IF EXISTS {name}__{old}")
@@ -60,16 +59,16 @@ def publish_swap(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFr
     return spark.table(name)
 
 
-def _shown_versions(spark: SparkSession, name: str) -> list[str]:
-    """Versions a published name shows or has shown, the newest first, as far as they exist."""
+def published_versions(spark: SparkSession, name: str) -> tuple[int, list[str]]:
+    """How many versions a published name has had, and those it shows or has shown that still exist, the newest first."""
     if not spark.catalog.tableExists(name):
-        return []
+        return 0, []
     found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    properties = {r["key"]: r["value"] for r in found if r["key"] in (VERSION, EARLIER)}
+    properties = {r["key"]: r["value"] for r in found if r["key"] in (VERSION, NUMBER, EARLIER)}
     if VERSION not in properties:  # a table from elsewhere
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}__plain")
-        return ["plain"]
-    return [properties[VERSION], *filter(None, properties[EARLIER].split(","))]
+        return 1, ["plain"]
+    return int(properties[NUMBER]), [properties[VERSION], *filter(None, properties[EARLIER].split(","))]
 
 
 def _location(spark: SparkSession, name: str) -> str | None:

@@ -53,15 +53,17 @@ def stored_name(report: str, prefix: str = "usage_") -> str:
     return f"{prefix}{report}"
 
 
-def _attributed(queries: DataFrame, metering: DataFrame, monitors: DataFrame | None, ctx: ReportContext, months: int | None) -> Inputs:
-    """The reports that split credits between queries."""
+def _attributed(
+    queries: DataFrame, metering: DataFrame, monitors: DataFrame | None, ctx: ReportContext, months: int | None, pivot: tuple[int, int]
+) -> Inputs:
+    """The reports that split credits between queries; ``pivot`` are the months of the month report and how many ago the last is."""
     computed = {
         "query_credit": snapshots.query_credit(queries, metering, ctx, months=months),
         "db_schema_credit": snapshots.db_schema_credit(queries, metering, None, ctx, months=months),
     }
     if monitors is not None:
         computed["month_credits"] = snapshots.month_credits_unpivot(
-            snapshots.month_credits_pivot(queries, metering, monitors, ctx.today)
+            snapshots.month_credits_pivot(queries, metering, monitors, ctx.today, *pivot)
         )
     return computed
 
@@ -77,6 +79,8 @@ def refresh_all(
     inputs: Inputs | None = None,
     attribution_months: int | None = None,
     connector_changes: DataFrame | None = None,
+    report_months: int = 12,
+    report_starts: int = 0,
 ) -> dict[str, DataFrame]:
     """Refresh every report that has its sources; returns the stored tables by report.
 
@@ -85,7 +89,8 @@ def refresh_all(
     credits, and ``access_map`` and ``role_tags``, with ``role_grants``, for the
     access map. ``connector_changes`` is a stream. Attribution reads the stored
     query and warehouse histories, so it comes after both; ``attribution_months``
-    bounds how far it looks back. Account and organization are those of the
+    bounds how far it looks back. The month report has ``report_months`` months, the
+    last of them ``report_starts`` months ago. Account and organization are those of the
     settings: without an ORGANIZATION setting nothing is loaded. A failing report
     stops the run; the ones before it are already complete, and run again they
     change nothing.
@@ -106,7 +111,7 @@ def refresh_all(
     if QUERY_HISTORY.name in stored and WAREHOUSE_CREDIT.name in stored:
         queries = history_table(spark, stored_name(QUERY_HISTORY.name, prefix))
         metering = history_table(spark, stored_name(WAREHOUSE_CREDIT.name, prefix))
-        for name, df in _attributed(queries, metering, monitors, ctx, attribution_months).items():
+        for name, df in _attributed(queries, metering, monitors, ctx, attribution_months, (report_months, report_starts)).items():
             days = retention_days(settings, name, ctx) if name in RETAINED else None
             publish(name, retention_delete(df, RETAINED[name], days, ctx, None) if days is not None else df)
     for name, (needed, made) in FULL.items():

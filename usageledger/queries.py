@@ -40,6 +40,7 @@ from usageledger.plans.sql import LOG_TABLES, register_functions, register_views
 from usageledger.session import shared_dir, staged
 from usageledger.sources.logical import logical
 from usageledger.sources.tables import access_map_csv, access_map_rows, empty_like, table
+from usageledger.streaming.feed import feed_stream, publish_with_feed
 from usageledger.streaming.loads import append_stream, connector_type_history, dedup_late, file_stream, history, parquet_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -796,6 +797,34 @@ def _connector_type_history(spark, folder):
     return access.any_pattern_gate(stored, patterns(spark, folder))
 
 
+def _connector_versions(spark, folder) -> tuple[str, T.StructType]:
+    """Three versions of the connector list, published one after the other: where their feed is, and its columns."""
+    base, name = shared_dir(spark, "versions"), f"usageledger_connectors_{uuid.uuid4().hex}"
+    connectors = logical(spark, folder, "connectors")
+    number = F.col("id").cast("int")
+    changed = connectors.filter(number % 7 != 0).withColumn("availability", F.when(number % 5 == 0, "changed").otherwise(F.col("availability")))
+    more = connectors.filter(number % 7 == 0).withColumn("id", F.concat(F.lit("new_"), "id")).withColumn("synced", F.lit(EVENTS.as_of).cast("timestamp"))
+    for version in (connectors, changed, changed.unionByName(more)):
+        publish_with_feed(version, name, base, f"{base}/feed", ["id"])
+    return base, connectors.schema
+
+
+@query("change_feed")
+def _change_feed(spark, folder):
+    """Inserts, deletes and both images of updates, per version, as a stream consumed them."""
+    base, schema = _connector_versions(spark, folder)
+    append_stream(feed_stream(spark, f"{base}/feed", schema), f"{base}/seen", f"{base}/checkpoint")
+    return history(spark, f"{base}/seen").select("version", "change_type", "id", "availability")
+
+
+@query("connector_type_history_of_versions")
+def _connector_type_history_of_versions(spark, folder):
+    """How many images of each connector the history holds after it consumed the changes of three versions."""
+    base, schema = _connector_versions(spark, folder)
+    stored = connector_type_history(feed_stream(spark, f"{base}/feed", schema), f"{base}/history", f"{base}/checkpoint", EVENTS, 365)
+    return stored.groupBy("id").agg(F.count(F.lit(1)).alias("images"), F.countDistinct("availability").alias("availabilities"))
+
+
 #: What each view of the connector log shows: a key and a text.
 LOG_COLUMNS = {
     "account": ("id", "name"),
