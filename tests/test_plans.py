@@ -107,3 +107,29 @@ def queries_folder():
     from conftest import SMALL
 
     return SMALL
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [
+        ("rpt_query_history", 7),
+        ("rpt_search_opt", 6),
+        ("rpt_serverless_task", 6),
+        ("rpt_warehouse_credit", 6),
+        ("rpt_org_metering", 6),
+        ("rpt_month_credits_pivot", 6),
+        ("rpt_month_credits_unpivot", 6),
+        ("rpt_query_credit", 6),
+    ],
+)
+def test_few_jobs_run_before_the_plan_is_made(spark, name, most):
+    """Two loads, a caller's patterns, and sizes: what must be known before the plan."""
+    from usageledger import queries
+
+    context = spark.sparkContext
+    context.setJobGroup(f"before-{name}", name)
+    try:
+        queries.QUERIES[name](spark, queries_folder())
+        assert len(context.statusTracker().getJobIdsForGroup(f"before-{name}")) <= most
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)

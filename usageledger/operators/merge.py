@@ -18,10 +18,12 @@ from usageledger.operators.skew import skew_safe_anti
 _ROW, _MATCHED, _OLD = "_new", "_matched", "_old"
 
 
-def unmatched(batch: DataFrame, target: DataFrame, key: Sequence[str], can_match: Column | None = None) -> DataFrame:
-    """Batch rows whose key the target does not hold."""
+def unmatched(
+    batch: DataFrame, target: DataFrame, key: Sequence[str], can_match: Column | None = None, most: int | None = None
+) -> DataFrame:
+    """Batch rows whose key the target, of at most ``most`` rows if that is known, does not hold."""
     seen = target if can_match is None else target.filter(can_match)
-    return skew_safe_anti(batch, seen.select(*key), key).select(*batch.columns)
+    return skew_safe_anti(batch, seen.select(*key), key, most=most).select(*batch.columns)
 
 
 def merge_insert_only(
@@ -29,9 +31,10 @@ def merge_insert_only(
     target: DataFrame,
     key: Sequence[str] = ("sh_key",),
     can_match: Column | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Target plus the batch rows with new keys. Repeats inside the batch all land."""
-    return target.unionByName(unmatched(batch, target, key, can_match).select(*target.columns))
+    return target.unionByName(unmatched(batch, target, key, can_match, most).select(*target.columns))
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], newest_by: Sequence[str]) -> DataFrame:

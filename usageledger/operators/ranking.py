@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger.functions.times import time_literal, truncate_ntz
 from usageledger.session import staged
 
 #: The edge of the newest rows is narrowed down in these steps.
-STEPS = {"hour": "INTERVAL 1 HOUR", "second": "INTERVAL 1 SECOND", "microsecond": "INTERVAL 0.000001 SECOND"}
+STEPS = {
+    "hour": "INTERVAL 1 HOUR",
+    "second": "INTERVAL 1 SECOND",
+    "millisecond": "INTERVAL 0.001 SECOND",
+    "microsecond": "INTERVAL 0.000001 SECOND",
+}
 
 
-def _edge_bucket(counts: DataFrame, wanted: int):
-    """(start, rows in newer buckets) of the bucket (b, n) the wanted-th newest row is in.
+def _edge_bucket(counts: DataFrame, wanted: int) -> tuple:
+    """(start, newer, undated): the bucket (b, n) the wanted-th newest row is in, the rows of newer buckets, and of none.
 
-    None when there are fewer rows. The running sum is over one row per bucket.
+    start is None, and newer all dated rows, when they are fewer. The driver sees one
+    row per bucket: the hours of a history, or a few thousand parts of an hour.
     """
-    newest_first = Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = counts.withColumn("through", F.sum("n").over(newest_first)).filter(F.col("through") >= wanted)
-    found = running.agg(F.max("b").alias("b"), F.min(F.col("through") - F.col("n")).alias("newer")).first()
-    return None if found["b"] is None else (found["b"], found["newer"])
+    rows = counts.collect()
+    undated = sum(r["n"] for r in rows if r["b"] is None)
+    newer = 0
+    for start, n in sorted(((r["b"], r["n"]) for r in rows if r["b"] is not None), reverse=True):
+        if newer + n >= wanted:
+            return start, newer, undated
+        newer += n
+    return None, newer, undated
 
 
 def _counts(rows: DataFrame, bucket: Column) -> DataFrame:
@@ -39,22 +49,17 @@ def top_recent(df: DataFrame, time: str, unique: str, rows: int, hours: DataFram
     The result is not sorted; the consumer orders what it shows.
     """
     kind = df.schema[time].dataType
+    start, wanted, pairs = None, rows, _pairs(df, time, unique)
     dated = df.filter(F.col(time).isNotNull())
-    start, wanted, pairs = None, rows, None
     for unit, step in STEPS.items():
-        counts = hours if hours is not None and start is None else None
-        if counts is None:
-            if pairs is None:
-                pairs = _pairs(dated, time, unique)
-            counts = _counts(pairs, truncate_ntz(unit, F.col("t")))
-        found = _edge_bucket(counts, wanted)
-        if found is None:
-            return _with_undated(df, time, unique, rows)
-        start, newer = found
+        counts = hours if unit == "hour" and hours is not None else _counts(pairs, truncate_ntz(unit, F.col("t")))
+        start, newer, undated = _edge_bucket(counts, wanted)
         wanted -= newer
+        if start is None:
+            return df if undated <= wanted else _with_undated(df, time, unique, wanted)
         begin = time_literal(start)
-        if unit == "hour":
-            dated = dated if day is None else dated.filter(F.col(day) >= F.lit(start.date()))
+        if unit == "hour" and day is not None:
+            dated = dated.filter(F.col(day) >= F.lit(start.date()))
             pairs = _pairs(dated, time, unique)
         pairs = pairs.filter((F.col("t") >= begin) & (F.col("t") < begin + F.expr(step)))
         if unit == "hour":
@@ -69,11 +74,10 @@ def _pairs(dated: DataFrame, time: str, unique: str) -> DataFrame:
     return dated.select(F.col(time).cast("timestamp_ntz").alias("t"), F.col(unique).alias("u"))
 
 
-def _with_undated(df: DataFrame, time: str, unique: str, rows: int) -> DataFrame:
-    """All dated rows, fewer than wanted, and as many of the others as there is room for."""
+def _with_undated(df: DataFrame, time: str, unique: str, room: int) -> DataFrame:
+    """All dated rows, and as many of the others as there is room for."""
+    if not room:
+        return df.filter(F.col(time).isNotNull())
     undated = df.filter(F.col(time).isNull())
-    n = df.agg(F.count(time).alias("dated"), F.count(F.lit(1)).alias("all")).first()
-    if n["all"] <= rows:
-        return df
-    last = undated.select(unique).orderBy(F.desc(unique)).limit(rows - n["dated"]).agg(F.min(unique)).first()[0]
+    last = undated.select(unique).orderBy(F.desc(unique)).limit(room).agg(F.min(unique)).first()[0]
     return df.filter(F.col(time).isNotNull() | (F.col(unique) >= F.lit(last)))

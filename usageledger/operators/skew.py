@@ -104,10 +104,11 @@ def skew_safe_anti(
     on: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
-    """Rows whose key is not in seen."""
+    """Rows whose key is not in seen, which has at most ``most`` rows if that is known."""
     keys = seen.select(*on)
-    small = fits_broadcast(keys, max_bytes)
+    small = (most is not None and most <= max_bytes // row_bytes(keys)) or fits_broadcast(keys, max_bytes)
     return skew_safe_join(
         rows, keys if small else keys.distinct(), on, "left_anti", small=small, max_bytes=max_bytes, hot_rows=hot_rows
     )

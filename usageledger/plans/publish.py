@@ -255,7 +255,7 @@ def newest_stored(
     history = seen(spark.table(name))
     if counts is None:
         return top_recent(history, spec.time, unique, rows, day=DAY).drop(DAY)
-    hours = seen(counts).filter("hour IS NOT NULL").groupBy(F.col("hour").alias("b")).agg(F.sum("rows").alias("n"))
+    hours = seen(counts).groupBy(F.col("hour").alias("b")).agg(F.sum("rows").alias("n"))
     return top_recent(history, spec.time, unique, rows, hours, DAY).drop(DAY)
 
 

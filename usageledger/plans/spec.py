@@ -118,10 +118,11 @@ def incremental_load(
     ctx: ReportContext,
     retain_days: int | None = None,
     mark=None,
+    most: int | None = None,
 ) -> DataFrame:
     """The history table after the next batch: scan, key, merge, retention.
 
-    ``mark`` is the target's watermark if it is known.
+    ``mark`` is the target's watermark and ``most`` a bound of its rows, if they are known.
     """
     mark = watermark(spec, target) if mark is None else mark
     batch = next_batch(spec, source, mark, ctx)
@@ -133,7 +134,7 @@ def incremental_load(
             batch, target, [KEY], spec.updates, spec.newest_by, can_match(spec, mark, target)
         )
     else:
-        merged = merge_insert_only(batch, target, [KEY], can_match(spec, mark, target))
+        merged = merge_insert_only(batch, target, [KEY], can_match(spec, mark, target), most)
     return retention_delete(merged, spec.time, retain_days, ctx, spec.account)
 
 

@@ -35,9 +35,9 @@ from usageledger.operators.retention import retention_delete
 from usageledger.plans import loads, snapshots, views
 from usageledger.plans.live import register_live_views, set_caller
 from usageledger.plans.publish import newest_stored, publish_swap, publish_truncate_insert, refresh_history
-from usageledger.plans.spec import ReportSpec, incremental_load
+from usageledger.plans.spec import ReportSpec, from_newest, incremental_load
 from usageledger.plans.sql import LOG_TABLES, register_functions, register_views
-from usageledger.session import shared_dir, staged
+from usageledger.session import shared_dir, staged, staged_with
 from usageledger.sources.logical import logical
 from usageledger.sources.tables import access_map_csv, access_map_rows, empty_like, table
 from usageledger.streaming.feed import feed_stream, publish_with_feed
@@ -107,8 +107,9 @@ def price_list(spark: SparkSession, folder: str) -> DataFrame:
 def two_batches(spec: ReportSpec, source: DataFrame, cut: datetime, ctx: ReportContext, early: DataFrame | None = None) -> DataFrame:
     """The history table after a load of what existed at the cut, which is stored, and a later load of everything."""
     known = early if early is not None else source.filter(F.col(spec.source_time) < time_literal(cut, source.schema[spec.source_time].dataType))
-    stored = staged(incremental_load(spec, known, None, ctx, spec.retain_days), "history")
-    return incremental_load(spec, source, stored, ctx, spec.retain_days)
+    first = incremental_load(spec, known, None, ctx, spec.retain_days)
+    stored, seen = staged_with(first, "history", newest=F.max(spec.time), rows=F.count(F.lit(1)))
+    return incremental_load(spec, source, stored, ctx, spec.retain_days, from_newest(spec, seen["newest"]), seen["rows"])
 
 
 # ---------------------------------------------------------------- building blocks

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -55,6 +55,13 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_with(df: DataFrame, purpose: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """As staged, and aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    stored = staged(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), purpose)
+    return stored, seen.get
+
+
 def _store(spark: SparkSession, path: str):
     """The file system and path of a folder, wherever it is."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
