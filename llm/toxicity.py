@@ -328,11 +328,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     """(text, toxic) of a bounded sample: about ``per_class`` labelled documents of each class, by the hash of their ids.
 
     Each class has half of the characters, and what the other one leaves of its half.
-    Labels are narrow and sampled first; texts are then read by the ids found, in
-    one scan. Of rows with the same id the text with the smallest hash is taken,
+    Labels of ids that no document with a text has don't count. Labels are narrow and
+    sampled first; texts are then read by the ids found, in one scan. Of rows with the same id the text with the smallest hash is taken,
     and only those texts are shuffled. The driver sees the ids and the sample.
     """
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).filter(~held_out(F.col("doc_id")))
+    own = own.join(docs.filter(F.col("text").isNotNull()).select("doc_id"), "doc_id", "left_semi")
     own = own.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in own.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     u = uniform(F.col("doc_id"), salt="toxicity-sample")

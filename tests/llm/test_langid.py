@@ -1,7 +1,10 @@
+import math
+import os
 import random
 import zlib
 
 import numpy as np
+import pytest
 from llm_helpers import docs  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -98,3 +101,101 @@ def test_short_clean_texts_of_many_close_languages_stay(docs):  # noqa: F811
     rows = [(i, f"{words[i % 10]} {words[i // 10 % 10]}", f"l{i % 12}") for i in range(600)]
     out = langid.with_known_language(docs([*rows, (900, "1 2", "l1"), (901, None, "l1")]))
     assert sorted(r.doc_id for r in out.collect()) == list(range(600))
+
+
+# ------------------------------------------------------------------ beside a slow trainer
+
+
+MIX = {1: 0x9E3779B97F4A7C15, 2: 0xC2B2AE3D27D4EB4F, 3: 0x165667B19E3779F9}
+
+
+def slow_counts(text, slots):
+    """n-grams listed one by one."""
+    text, out = text.lower(), {}
+    for n in (1, 2, 3):
+        for i in range(len(text) - n + 1):
+            gram = 0
+            for c in text[i : i + n]:
+                gram = (gram << 21 | ord(c)) % 2**64
+            slot = (gram * MIX[n] % 2**64) >> (64 - (slots.bit_length() - 1))
+            out[slot] = out.get(slot, 0) + 1
+    return out
+
+
+def slow_softmax(z):
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def slow_model(rows, s):
+    """TF-IDF and FTRL-proximal by plain loops over dictionaries, as published; (languages, idf, weight of (slot, class))."""
+    languages = sorted({lang for _, lang in rows})
+    counts = [slow_counts(t, s.slots) for t, _ in rows]
+    idf = {k: math.log((1 + len(rows)) / (1 + sum(k in c for c in counts))) + 1 for c in counts for k in c}
+    vectors = [slow_vector(c, idf) for c in counts]
+    rest = np.random.default_rng(11).random(len(rows)) < s.calibration_share
+    train = [(v, languages.index(lang)) for (v, (_, lang), out) in zip(vectors, rows, rest) if not out]
+    z, n = {}, {}
+
+    def weight(key):
+        zk = z.get(key, 0.0)
+        if abs(zk) <= s.l1:
+            return 0.0
+        return (math.copysign(s.l1, zk) - zk) / ((s.beta + math.sqrt(n.get(key, 0.0))) / s.alpha + s.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(s.epochs):
+        for i in order.permutation(len(train)):
+            v, y = train[i]
+            items = [*v.items(), ("bias", 1.0)]
+            p = slow_softmax([sum(x * weight((k, c)) for k, x in items) for c in range(len(languages))])
+            for c in range(len(languages)):
+                for k, x in items:
+                    g, key, w = x * (p[c] - (c == y)), (k, c), weight((k, c))
+                    before = n.get(key, 0.0)
+                    z[key] = z.get(key, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / s.alpha * w
+                    n[key] = before + g * g
+    logits = lambda v: [sum(x * weight((k, c)) for k, x in [*v.items(), ("bias", 1.0)]) for c in range(len(languages))]
+    calibration = [(logits(v), languages.index(lang)) for v, (_, lang), out in zip(vectors, rows, rest) if out]
+    return languages, idf, logits, calibration
+
+
+def slow_vector(counts, idf):
+    v = {k: math.log1p(c) * idf.get(k, 0.0) for k, c in counts.items()}
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {k: x / norm for k, x in v.items()} if norm else v
+
+
+def slow_loss(calibration, t):
+    return -sum(math.log(max(slow_softmax([x / t for x in z])[y], 1e-12)) for z, y in calibration) / len(calibration)
+
+
+def test_scores_are_those_of_a_slow_trainer(docs):  # noqa: F811
+    rows = corpus(70, seed=5) + [("d'or et de mer", "fr"), ("the end", "en"), ("das ende", "de")]
+    s = langid.Settings(slots=1 << 10, epochs=3)
+    languages, idf, logits, calibration = slow_model(rows, s)
+    model = langid.fit(rows, s)
+    grid = [math.exp(x / 20) for x in range(-78, 60)]
+    assert slow_loss(calibration, model.temperature) <= min(slow_loss(calibration, t) for t in grid) + 1e-6
+    held = corpus(40, seed=6) + [("the", "en"), ("x", "de"), ("zzz qqq", "en")]
+    unseen = math.log(1 + len(rows)) + 1  # the weight of an n-gram that no row has
+    want = []
+    for t, _ in held:
+        c = slow_counts(t, s.slots)
+        want.append(slow_softmax([x / model.temperature for x in logits(slow_vector(c, {k: idf.get(k, unseen) for k in c}))]))
+    got = langid.identify(docs([(i, t) for i, (t, _) in enumerate(held)]), model, ["doc_id"]).orderBy("doc_id").collect()
+    for r, p in zip(got, want):
+        assert abs(r.score - max(p)) < 2e-3 and (r.lang_pred == languages[p.index(max(p))] or max(p) - sorted(p)[-2] < 1e-3)
+
+
+def test_held_out_quality_of_the_whole_query(spark):
+    from llm.queries import QUERIES
+
+    where = "/root/testdata/sf0.01"
+    if not os.path.isdir(where):
+        pytest.skip("larger tables are not there")
+    lang = {r.doc_id: r.lang for r in documents(spark, where).select("doc_id", "lang").collect()}
+    found = [r for r in QUERIES["op10_language_id"](spark, where).collect() if r.held_out and lang[r.doc_id]]
+    assert len(found) > 200 and np.mean([r.lang_pred == lang[r.doc_id] for r in found]) > 0.97
+    sure = [r for r in found if r.score > 0.9]
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in sure]) > 0.97
