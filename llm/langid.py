@@ -215,21 +215,24 @@ def identify(
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # slots x languages numbers, 64 kB a language
 
+    at = keep.index(text) if text in keep else len(keep)  # a text that is kept is sent once
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 some = batch.slice(k, 64)
-                lang, score = found.predict(some.column(len(keep)).to_pylist())
+                lang, score = found.predict(some.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     names=[*keep, *names],
                 )
 
     (read,) = fresh(keep, "text_read")
-    narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(read))
+    kept = docs.select(*[F.col(f"`{c}`") for c in keep])
+    narrow = kept if text in keep else docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(read))
     found_fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
-    return narrow.mapInArrow(task, T.StructType([*narrow.schema.fields[:-1], *found_fields]))
+    return narrow.mapInArrow(task, T.StructType([*kept.schema.fields, *found_fields]))
 
 
 def with_known_language(docs: DataFrame, least: float = 0.0, s: Settings = Settings()) -> DataFrame:

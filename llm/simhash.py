@@ -40,6 +40,8 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0xAE3
 #: Fingerprints under one key that one task compares at once.
 BLOCK = 4096
+#: Distinct fingerprints from which on comparing under short keys costs more than making three times as many long ones.
+WIDE_FROM = 1 << 28
 #: Pairs a task holds before it reduces them to a forest.
 HELD = 1 << 20
 HASHES_AT_ONCE = 1 << 16
@@ -122,8 +124,12 @@ def golay() -> Golay:
     return _golay[0]
 
 
-def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, position in fps) of every key of unsigned fingerprints."""
+def keys(fps: np.ndarray, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(key, position in fps) of every key of unsigned fingerprints.
+
+    Where two segments have one error each the third has at most two. With ``wide`` its
+    codewords are part of those keys: three times as many keys, each 4,096 times rarer.
+    """
     parts = [((fps >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64) for low, width in SEGMENTS]
     index = [golay().indices(p) for p in parts]
     parity = [np.bitwise_count(p).astype(np.int64) & 1 for p in parts]
@@ -145,6 +151,9 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = few[0][:, :, None], few[1][:, None, :]
         both = (left << 13) | (right << 1) | (parity[a] ^ parity[b])[:, None, None]
         valid = (left >= 0) & (right >= 0)
+        if wide:
+            third = index[3 - a - b][:, None, None, :]
+            both, valid = (both[..., None] << 12) | third, valid[..., None] & (third >= 0)
         emit(tag, both.reshape(len(fps), -1), valid.reshape(len(fps), -1))
         tag += 1
     return np.concatenate(out_key), np.concatenate(out_row)
@@ -201,6 +210,18 @@ class _Pairs:
                     self.reduce()
             step += 1
 
+    def cross(self, left: np.ndarray, right: np.ndarray) -> None:
+        """All pairs of one from each side; the sides have no fingerprint in common."""
+        for k in range(0, len(left), 64):
+            some = left[k : k + 64]
+            i, j = np.nonzero(np.bitwise_count((some[:, None] ^ right[None, :]).view(np.uint64)) <= self.distance)
+            if len(i):
+                self.a.append(some[i])
+                self.b.append(right[j])
+                self.held += len(i)
+                if self.held > HELD:
+                    self.reduce()
+
     def reduce(self) -> None:
         if self.a:
             a, b = _forest(np.concatenate(self.a), np.concatenate(self.b))
@@ -258,32 +279,45 @@ def _compare_sorted(distance: int, block: int):
 
 
 def _compare_blocks(distance: int):
-    """Task over rows (key, i, j, fp) sorted by the first three: all pairs within a pair of blocks."""
+    """Task over rows (key, i, j, side, fp) sorted by the first three: the pairs of two blocks, or within one where i is j."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Pairs(distance)
-        held = np.empty((4, 0), dtype=np.int64)  # the group that the next batch may go on with
+        held = np.empty((5, 0), dtype=np.int64)  # the group that the next batch may go on with
+
+        def compare(rows: np.ndarray) -> None:
+            inside = rows[1] == rows[2]
+            group = np.concatenate([[0], np.cumsum((rows[:3, 1:] != rows[:3, :-1]).any(axis=0))])
+            pairs.compare(group[inside], rows[4, inside])
+            for g in np.unique(group[~inside]):
+                mine = rows[:, group == g]
+                pairs.cross(mine[4, mine[3] == 0], mine[4, mine[3] == 1])
+
         for batch in batches:
             held = np.concatenate([held, [c.to_numpy(zero_copy_only=False) for c in batch.columns]], axis=1)
             if not held.shape[1]:
                 continue
             group = np.concatenate([[0], np.cumsum((held[:3, 1:] != held[:3, :-1]).any(axis=0))])
             last = int(np.searchsorted(group, group[-1]))
-            pairs.compare(group[:last], held[3, :last])
+            if last:
+                compare(held[:, :last])
             held = held[:, last:].copy()
-        pairs.compare(np.zeros(held.shape[1], dtype=np.int64), held[3])
+        if held.shape[1]:
+            compare(held)
         yield _found(*pairs.edges())
 
     return task
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK, wide: bool | None = None) -> DataFrame:
     """(a, b): edges that connect exactly the fingerprints linked by chains of at most ``distance`` differing bits.
 
-    ``fps`` has one column ``fp`` of distinct fingerprints as signed numbers.
+    ``fps`` has one column ``fp`` of distinct fingerprints as signed numbers. ``wide``
+    chooses the keys, by their number if it isn't given; the edges connect the same.
     """
     if distance > DISTANCE:
         raise ValueError(f"the keys cover distances up to {DISTANCE}")
+    wide = fps.count() >= WIDE_FROM if wide is None else wide
     ship(fps.sparkSession)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +325,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataF
             fp = batch.column(0).to_numpy(zero_copy_only=False)
             for k in range(0, len(fp), 2048):
                 some = fp[k : k + 2048]
-                key, row = keys(some.view(np.uint64))
+                key, row = keys(some.view(np.uint64), wide)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(some[row])], names=["key", "fp"])
 
     keyed = fps.select("fp").mapInArrow(explode, "key long, fp long")
@@ -304,7 +338,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataF
     most = large.groupBy("key").agg(F.max("part").alias("most"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("most")))
     both = large.join(most, "key").select("key", "part", "fp", other.alias("other"))
-    both = both.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "fp")
+    side = (F.col("part") > F.col("other")).cast("long").alias("side")
+    both = both.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), side, "fp")
     blocks = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = blocks.mapInArrow(_compare_blocks(distance), "part long, a long, b long")
     return edges.unionByName(more.select("a", "b"))

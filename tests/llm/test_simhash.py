@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -52,14 +53,15 @@ def test_fingerprints():
         assert sh.fingerprint(t) == slow_fingerprint(t)
 
 
-def test_every_pair_within_the_distance_shares_a_key():
+@pytest.mark.parametrize("wide", [False, True])
+def test_every_pair_within_the_distance_shares_a_key(wide):
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**64, 4000, dtype=np.uint64)
     b = a.copy()
     for k in range(4):
         move = rng.random(len(a)) < 0.9
         b ^= np.where(move, np.uint64(1) << rng.integers(0, 64, len(a)).astype(np.uint64), np.uint64(0))
-    (ka, ra), (kb, rb) = sh.keys(a), sh.keys(b)
+    (ka, ra), (kb, rb) = sh.keys(a, wide), sh.keys(b, wide)
     left, right = set(zip(ra.tolist(), ka.tolist())), set(zip(rb.tolist(), kb.tolist()))
     assert {r for r, _ in left & right} == set(range(len(a)))
 
@@ -107,6 +109,19 @@ def test_links_with_and_without_blocks(spark):
     want = sorted((f, fps[label[i]]) for i, f in enumerate(fps))
     assert linked(spark, fps) == want
     assert linked(spark, fps, block=3) == want
+    assert linked(spark, fps, wide=True) == want
+    assert linked(spark, fps, block=3, wide=True) == want
+
+
+def test_long_keys_are_more_and_rarer():
+    """Keys and pairs under them for 40,000 random fingerprints, with and without the third segment."""
+    fps = np.random.default_rng(3).integers(0, 2**64, 40_000, dtype=np.uint64)
+    seen = {}
+    for wide in (False, True):
+        key, _ = sh.keys(fps, wide)
+        times = np.unique(key, return_counts=True)[1]
+        seen[wide] = len(key) / len(fps), (times * (times - 1) // 2).sum()
+    assert 2 < seen[True][0] / seen[False][0] < 5 and seen[True][1] < seen[False][1] / 10
 
 
 def test_components(spark):
