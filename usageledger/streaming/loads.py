@@ -15,10 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from usageledger.context import ReportContext
-from usageledger.operators.merge import unmatched
 from usageledger.operators.retention import retention_cutoff, retention_delete
 from usageledger.plans.snapshots import CONNECTOR_COLUMNS
-from usageledger.session import exists, folders, remove
+from usageledger.session import folders, remove
 
 BATCH, DAY = "batch_id", "part_day"
 
@@ -46,12 +45,12 @@ def _with_day(rows: DataFrame, time: str | None) -> DataFrame:
 
 def _earlier(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> DataFrame | None:
     """What earlier batches stored of the days that rows have; other days are neither listed nor read."""
-    days = [r[DAY] for r in rows.select(DAY).distinct().collect()]
-    there = [f"{path}/{DAY}={d}" for d in days if exists(spark, f"{path}/{DAY}={d}")]
+    days = {f"{DAY}={r[DAY]}" for r in rows.select(DAY).distinct().collect()}
+    there = sorted(days.intersection(folders(spark, path)))
     if not there:
         return None
     schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(schema).option("basePath", path).parquet(*there).filter(F.col(BATCH) < batch_id)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{d}" for d in there]).filter(F.col(BATCH) < batch_id)
 
 
 def append_stream(
@@ -70,20 +69,26 @@ def append_stream(
     batch collapse. A key names one event with one ``time``, so a batch is
     compared with the stored rows of its own days only, and its cost doesn't
     grow with the number of batches before it. Without ``time`` there is one
-    folder, which is compared whole.
+    folder, which is compared whole. Rows are brought together by day before they are
+    written, so a day gets few files.
     """
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = cached = _with_day(shape(batch), time).persist()
+        rows = _with_day(shape(batch), time)
+        cached = None
         if key is not None:
-            rows = rows.dropDuplicates(list(key))
+            rows = cached = rows.dropDuplicates(list(key)).persist()
             before = _earlier(spark, path, rows, batch_id)
             if before is not None:
-                rows = unmatched(rows, before, key)
-        out = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-        out.option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(path)
-        cached.unpersist()
+                # the batch's size is known once it is kept, so stored rows are streamed past its keys
+                known = before.select(*key).join(rows.select(*key), list(key), "left_semi").distinct()
+                rows = rows.join(known, list(key), "left_anti").select(*rows.columns)
+        by_day = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).hint("rebalance", F.col(DAY))
+        out = by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy(DAY, BATCH).parquet(path)
+        if cached is not None:
+            cached.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write)
