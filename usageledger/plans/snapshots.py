@@ -167,6 +167,7 @@ def captured_monitors(monitors: DataFrame) -> DataFrame:
 
 def resource_monitor(monitors: DataFrame, warehouses: DataFrame, patterns: Patterns) -> DataFrame:
     """Monitors with the warehouses they watch, for the caller's warehouses."""
+    # The column names of the monitor report.
     watch = captured_monitors(monitors).select(
         F.col("name").alias("resource_monitor_name"),
         "credit_quota",
