@@ -96,6 +96,12 @@ def test_more_than_200_languages_are_learned(docs):  # noqa: F811
     assert len({lang for _, lang in langid.training_sample(docs(rows))}) == 230
 
 
+def test_a_column_that_holds_no_languages_is_refused(docs):  # noqa: F811
+    rows = [(i, f"text {i}", f"row {i}") for i in range(60)]
+    with pytest.raises(ValueError, match="60 languages would take"):
+        langid.train(docs(rows), langid.Settings(most_languages=20))
+
+
 def test_short_clean_texts_of_many_close_languages_stay(docs):  # noqa: F811
     words = "ba ke di mo nu sa te li ro fu".split()
     rows = [(i, f"{words[i % 10]} {words[i // 10 % 10]}", f"l{i % 12}") for i in range(600)]
