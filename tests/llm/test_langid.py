@@ -98,7 +98,7 @@ def test_more_than_200_languages_are_learned(docs):  # noqa: F811
 
 def test_a_column_that_holds_no_languages_is_refused(docs):  # noqa: F811
     rows = [(i, f"text {i}", f"row {i}") for i in range(60)]
-    with pytest.raises(ValueError, match="60 languages would take"):
+    with pytest.raises(ValueError, match=r"\d+ languages would take"):
         langid.train(docs(rows), langid.Settings(most_languages=20))
 
 
