@@ -191,6 +191,19 @@ def test_the_month_report_has_a_start(spark, inputs, tmp_path):
     assert {r[0] for r in rows(stored["month_credits"], "attribute")} == {"202401_credits", "202312_credits"}
 
 
+def test_bounds_of_loads_and_of_the_calendar_are_the_callers(spark, inputs, tmp_path):
+    of, sources = inputs
+    late = CTX.at(CTX.as_of + timedelta(days=800))
+    some, settings = {"auto_clustering": sources["auto_clustering"]}, loads.default_settings(spark, late).limit(0)
+    settings = settings.unionByName(loads.default_settings(spark, late).filter("var_name = 'ORGANIZATION'"))
+    bounded = refresh_all(spark, some, settings, late, str(tmp_path), prefix="bounded_")
+    whole = {**loads.REPORTS, "auto_clustering": replace(loads.AUTO_CLUSTERING, first_months=None)}
+    free = refresh_all(spark, some, settings, late, str(tmp_path), prefix="free_", reports=whole)
+    assert bounded["auto_clustering"].count() == 0 < free["auto_clustering"].count()
+    register_views(spark, {}, of("access_map"), CTX, "days_", calendar_days=40)
+    assert spark.table("days_calendar").count() == 40
+
+
 def test_quotes_in_an_account_do_no_harm(spark, inputs):
     of, _ = inputs
     odd = replace(CTX, account="A'C")

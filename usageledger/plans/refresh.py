@@ -17,6 +17,7 @@ from usageledger.operators.settings import retention_days, setting_value
 from usageledger.plans import snapshots
 from usageledger.plans.loads import QUERY_HISTORY, REPORTS, WAREHOUSE_CREDIT
 from usageledger.plans.publish import history_table, publish_swap, refresh_history
+from usageledger.plans.spec import ReportSpec
 from usageledger.streaming.loads import connector_type_history
 
 Inputs = Mapping[str, DataFrame]
@@ -81,6 +82,7 @@ def refresh_all(
     connector_changes: DataFrame | None = None,
     report_months: int = 12,
     report_starts: int = 0,
+    reports: Mapping[str, ReportSpec] = REPORTS,
 ) -> dict[str, DataFrame]:
     """Refresh every report that has its sources; returns the stored tables by report.
 
@@ -90,7 +92,9 @@ def refresh_all(
     access map. ``connector_changes`` is a stream. Attribution reads the stored
     query and warehouse histories, so it comes after both; ``attribution_months``
     bounds how far it looks back. The month report has ``report_months`` months, the
-    last of them ``report_starts`` months ago. Account and organization are those of the
+    last of them ``report_starts`` months ago. ``reports`` are the specs of the
+    incremental ones, for callers who want another first load, window or look-back
+    (``dataclasses.replace``). Account and organization are those of the
     settings: without an ORGANIZATION setting nothing is loaded. A failing report
     stops the run; the ones before it are already complete, and run again they
     change nothing.
@@ -107,7 +111,7 @@ def refresh_all(
 
     for name, source in sources.items():
         days = retention_days(settings, name, ctx)
-        stored[name] = refresh_history(spark, REPORTS[name], source, stored_name(name, prefix), ctx, days)
+        stored[name] = refresh_history(spark, reports[name], source, stored_name(name, prefix), ctx, days)
     if QUERY_HISTORY.name in stored and WAREHOUSE_CREDIT.name in stored:
         queries = history_table(spark, stored_name(QUERY_HISTORY.name, prefix))
         metering = history_table(spark, stored_name(WAREHOUSE_CREDIT.name, prefix))

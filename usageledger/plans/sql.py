@@ -158,7 +158,7 @@ REPORT_VIEWS: dict[str, tuple[tuple[str, ...], View]] = {
 
 
 def register_views(
-    spark: SparkSession, tables: Tables, access_map: DataFrame, ctx: ReportContext, prefix: str = "ext_"
+    spark: SparkSession, tables: Tables, access_map: DataFrame, ctx: ReportContext, prefix: str = "ext_", calendar_days: int = CALENDAR_DAYS
 ) -> list[str]:
     """Temporary views of the given tables, limited to what the caller may see; those whose tables are there.
 
@@ -172,7 +172,8 @@ def register_views(
     made = []
     for name, (needed, view) in REPORT_VIEWS.items():
         if all(n in tables for n in needed):
-            view(tables, patterns, ctx).createOrReplaceTempView(prefix + name)
+            shown = dim_date(spark, ctx.today, calendar_days) if name == "calendar" else view(tables, patterns, ctx)
+            shown.createOrReplaceTempView(prefix + name)
             made.append(prefix + name)
     return made
 
