@@ -30,4 +30,5 @@ def test_the_mart_answers_without_the_optional_part(hidden):
     done = subprocess.run([sys.executable, "-c", HIDE.format(hidden=hidden, root=ROOT)], capture_output=True, text=True, cwd="/tmp")
     assert done.returncode == 0, done.stderr
     assert int(done.stdout.split()[-1]) >= 92
-    assert ("is left out" in done.stderr) == (hidden[0] != "llm")
+    there = os.path.isdir(os.path.join(ROOT, "llm"))
+    assert ("is left out" in done.stderr) == (there and hidden[0] != "llm")

@@ -18,6 +18,7 @@ from usageledger.plans.publish import (
     stored_watermark,
 )
 from usageledger.plans.spec import incremental_load
+from usageledger import session
 from usageledger.session import shared_dir
 from test_loads import runs
 
@@ -219,6 +220,8 @@ def test_counts_that_a_broken_load_left_are_made_anew(spark, ctx):
 
 
 def test_written_state_goes_below_the_cluster_folder(spark, monkeypatch):
+    settings = {}
+
     class Cluster:
         class sparkContext:
             master = "yarn"
@@ -226,9 +229,20 @@ def test_written_state_goes_below_the_cluster_folder(spark, monkeypatch):
         class conf:
             @staticmethod
             def get(key, default=None):
-                return default
+                return settings.get(key, default)
 
     with pytest.raises(RuntimeError):
         shared_dir(Cluster, "x")
-    monkeypatch.setattr(Cluster.conf, "get", staticmethod(lambda key, default=None: "/shared/state/"))
-    assert shared_dir(Cluster, "x").startswith("/shared/state/x-")
+    for master in ("yarn", "k8s://host", "spark://host:7077"):
+        Cluster.sparkContext.master = master
+        for base, scheme in (("hdfs:///shared/state/", "hdfs"), ("/shared/state/", "hdfs"), ("file:/shared/state/", "file"), ("/shared/state/", "file")):
+            monkeypatch.setattr(session, "_scheme", lambda spark, path, scheme=scheme: scheme)
+            settings.clear()
+            settings["spark.checkpoint.dir"] = base
+            if scheme == "file":
+                with pytest.raises(RuntimeError, match="its own"):
+                    shared_dir(Cluster, "x")
+                settings["spark.usageledger.mounted"] = "true"
+            assert shared_dir(Cluster, "x").startswith(f"{base}x-")
+    monkeypatch.undo()
+    assert session._scheme(spark, "file:/tmp") == session._scheme(spark, "/tmp") == "file"

@@ -36,15 +36,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine.
+    machine-local path would be lost with its machine. So a folder of the machines'
+    own file systems is refused there, with a scheme or without, unless
+    ``spark.usageledger.mounted`` says that it is one mounted on all of them.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _local_base()
-    elif base.startswith("file:") and spark.sparkContext.master.startswith(("yarn", "k8s")):
-        raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine of a cluster has its own of")
+    elif not spark.sparkContext.master.startswith("local") and spark.conf.get("spark.usageledger.mounted", "false") != "true":
+        if _scheme(spark, base) == "file":
+            raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine of a cluster has its own of")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -68,6 +71,11 @@ def _store(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The kind of file system a path lies in; that of the cluster's default one without a scheme."""
+    return _store(spark, path)[0].getScheme()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     store, where = _store(spark, path)
     return store.exists(where)
