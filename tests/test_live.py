@@ -86,10 +86,11 @@ def test_one_registration_follows_the_map_the_caller_and_the_tables(spark, store
 
 def test_patterns_meet_distinct_names_only(spark, stored):
     live.register_live_views(spark, {"query_history": "live_query_history"}, "live_access_map", CTX, "plan_")
-    plan = spark.table("plan_query_history")._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("BroadcastNestedLoopJoin") :]
-    assert "Cartesian" not in plan and plan.count("NestedLoopJoin") == 1
-    assert below.split("\n", 2)[1].lstrip(" :+-").startswith(("HashAggregate", "*"))  # the names are made distinct first
+    plan = spark.table("plan_query_history")._jdf.queryExecution().optimizedPlan().toString()
+    assert "exists(scalar-subquery" in plan and plan.count("Join LeftSemi") == 1
+    assert plan[plan.index("Join LeftSemi") :].count("Aggregate [warehouse_name") == 1  # tested after the names are made distinct
+    running = spark.table("plan_query_history")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in running and "Cartesian" not in running
 
 
 def test_quotes_in_a_caller(spark, stored):

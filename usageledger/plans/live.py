@@ -2,8 +2,9 @@
 
 A view registered once shows what its tables, the access map and the caller are at
 the time of the query. Nothing about the caller is read when it is registered: the
-patterns are a semi-join in the view's text, over the distinct names of a table, so
-rows themselves are compared by equality only.
+patterns are a subquery of the view's text that tests the distinct names of a table,
+and the rows are semi-joined to the names that pass. Prices are a subquery as well,
+the caller's list of changes, in which a row looks its day up.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.operators.access import DATABASE, WAREHOUSE
-from usageledger.operators.rates import COMPUTE_AND_CLOUD, intervals_sql
+from usageledger.operators.rates import COMPUTE_AND_CLOUD, LONGEST_BOOK, intervals_sql
 from usageledger.plans.publish import DAY, counts_name
 from usageledger.plans.views import CLOUD_AND_COMPUTE
 
@@ -64,26 +65,35 @@ def scoped_sql(table: str, patterns: str, tests: Sequence[tuple[str, str]], ever
     names = list(dict.fromkeys(c for c, _ in tests))
     condition = (" AND " if every else " OR ").join(_allowed(c, p) for c, p in tests)
     same = " AND ".join(f"h.{c} <=> s.{c}" for c in names)
+    allowed = f"SELECT collect_list(struct({DATABASE}, {WAREHOUSE})) FROM {patterns}"  # a caller's patterns, one row
     return f"""
     SELECT {columns} FROM {table} h LEFT SEMI JOIN (
-      SELECT * FROM (SELECT DISTINCT {', '.join(names)} FROM {table}) n LEFT SEMI JOIN {patterns} p ON {condition}) s ON {same}"""
+      SELECT {', '.join(names)} FROM (SELECT *, ({allowed}) AS _allowed FROM (SELECT DISTINCT {', '.join(names)} FROM {table})) n
+      WHERE exists(_allowed, p -> {condition})) s ON {same}"""
 
 
 def _elapsed(start: str = "start_time", end: str = "end_time") -> str:
     return f"unix_seconds(CAST({end} AS TIMESTAMP)) - unix_seconds(CAST({start} AS TIMESTAMP)) AS elapsed_time_in_sec"
 
 
-def _priced(rows: str, sheet: str, wanted: dict[str, str], amounts: dict[str, str], columns: str = "h.*", every_account: bool = False) -> str:
-    """Rows with their amounts in currency, by the price interval their day lies in."""
+def _priced(rows: str, sheet: str, wanted: dict[str, str], amounts: dict[str, str], every_account: bool = False) -> str:
+    """Rows with their amounts in currency, by the last price change on or before their day, found by halving."""
     visible = SERVICE if every_account else f"{SERVICE} AND account_locator = session.report_account AND region = session.report_region"
-    of = ("h.account_locator", "h.region") if every_account else ("session.report_account", "session.report_region")
-    day = "to_date(h.start_time)"
-    money = ", ".join(f"coalesce(h.{credits} * r.{rate}, 0) AS {credits}_effective_rate" for credits, rate in amounts.items())
+    intervals = intervals_sql(wanted, sheet, "session.report_today", visible)
+    book = f"sort_array(collect_list(struct(first_day, currency, {', '.join(wanted)})))"
+    if every_account:
+        books = f"SELECT account_locator, region, {book} AS _book FROM ({intervals}) GROUP BY account_locator, region"
+        with_book = f"SELECT h.*, b._book FROM ({rows}) h LEFT JOIN ({books}) b ON h.account_locator = b.account_locator AND h.region = b.region"
+    else:
+        with_book = f"SELECT *, (SELECT {book} FROM ({intervals})) AS _book FROM ({rows})"
+    steps = ", ".join(str(LONGEST_BOOK + 1 >> k) for k in range(1, LONGEST_BOOK.bit_length() + 1))
+    reached = "p + s <= coalesce(size(_book), 0) AND get(_book, p + s - 1).first_day <= to_date(start_time)"
+    place = f"aggregate(array({steps}), 0, (p, s) -> IF({reached}, p + s, p))"
+    price = "CASE WHEN _place > 0 AND to_date(start_time) <= session.report_today THEN get(_book, _place - 1) END"
+    money = ", ".join(f"coalesce({credits} * _price.{rate}, 0) AS {credits}_effective_rate" for credits, rate in amounts.items())
     return f"""
-    SELECT {columns}, {money}, r.currency FROM ({rows}) h
-    LEFT JOIN ({intervals_sql(wanted, sheet, 'session.report_today', visible)}) r
-      ON r.account_locator = {of[0]} AND r.region = {of[1]} AND {day} >= r.first_day AND {day} <= session.report_today
-        AND (r.next_day IS NULL OR {day} < r.next_day)"""
+    SELECT * EXCEPT (_book, _place, _price), {money}, _price.currency AS currency
+    FROM (SELECT *, {price} AS _price FROM (SELECT *, {place} AS _place FROM ({with_book})))"""
 
 
 View = Callable[[Names, str], str]

@@ -895,8 +895,10 @@ def _sql_access_patterns(spark, folder):
     _functions(spark, folder)
     logical(spark, folder, "query_history").createOrReplaceTempView("sql_queries")
     return spark.sql(
-        r"""SELECT database_name, count(*) AS queries FROM sql_queries LEFT SEMI JOIN access_patterns() p
-        ON regexp_like(database_name, concat('\\A(?:', p.database_pattern, ')\\z')) GROUP BY database_name"""
+        r"""SELECT database_name, queries FROM (
+          SELECT *, (SELECT collect_list(database_pattern) FROM access_patterns()) AS allowed
+          FROM (SELECT database_name, count(*) AS queries FROM sql_queries GROUP BY database_name))
+        WHERE exists(allowed, p -> regexp_like(database_name, concat('\\A(?:', p, ')\\z')))"""
     )
 
 
