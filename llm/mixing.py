@@ -107,26 +107,26 @@ def plan_mix(rows: DataFrame, share: float = SHARE, most: int = MOST_EPOCHS, wei
     placed = rows.alias("r").join(goals.alias("g"), seen).select(
         "g.source", "g.rest", "r.size", "r.key", place.alias("range")
     )
-    sums = placed.groupBy("source", "range").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    upto = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ends = sums.withColumn("end", F.sum("words").over(upto))
+    sums = placed.groupBy("source", "range").agg(F.sum("size").alias("words"), F.max("key").alias("top"), F.first("rest").alias("rest"))
+    in_order = W.partitionBy("source").orderBy("range")
+    ends = sums.withColumn("end", F.sum("words").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    ends = ends.withColumn("below", F.max("top").over(in_order.rowsBetween(W.unboundedPreceding, -1)))
     crossed = ends.filter((F.col("end") > F.col("rest")) & (F.col("end") - F.col("words") <= F.col("rest")))
-    crossed = staged(crossed.select("source", "range", (F.col("end") - F.col("words")).alias("start")), "mix-ranges")
+    crossed = staged(crossed.select("source", "range", (F.col("end") - F.col("words")).alias("start"), "below"), "mix-ranges")
 
     inside = placed.alias("p").join(
         crossed.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("p.range") == F.col("c.range"))
-    ).select("p.source", "p.rest", "p.size", "p.key", "c.start")
+    ).select("p.source", "p.rest", "p.size", "p.key", "c.start", "c.below")
     ties = inside.groupBy("source", "key").agg(
-        F.sum("size").alias("size"), F.first("rest").alias("rest"), F.first("start").alias("start")
+        F.sum("size").alias("size"), F.first("rest").alias("rest"), F.first("start").alias("start"), F.first("below").alias("below")
     )
     before = W.partitionBy("source").orderBy("key").rowsBetween(W.unboundedPreceding, -1)
     middle = F.col("start") + F.coalesce(F.sum("size").over(before), F.lit(0)) + F.col("size") / 2
     fits = ties.withColumn("middle", middle).withColumn("fits", F.col("middle") <= F.col("rest"))
-    # below the crossed range everything is taken, whether or not a key inside it fits
-    low = F.min("key") - F.lit(1e-12)
-    cuts = fits.groupBy("source").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("key"))), low).alias("cut"))
-    cuts = cuts.select(F.col("source").alias("s"), "cut")
+    # below the crossed range everything is taken, up to the largest key there, whether or not a key inside it fits
     none = F.lit(-1.0)
+    best = F.coalesce(F.max(F.when(F.col("fits"), F.col("key"))), F.first("below"), none)
+    cuts = fits.groupBy("source").agg(best.alias("cut")).select(F.col("source").alias("s"), "cut")
     out = goals.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").select(
         "source", "source_size", "target", "epochs", F.coalesce("cut", F.when(F.col("rest") > 0, F.lit(float("inf"))), none).alias("cut")
     )

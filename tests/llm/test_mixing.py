@@ -1,3 +1,4 @@
+import math
 import re
 from collections import defaultdict
 
@@ -88,3 +89,13 @@ def test_empty_tables_and_plan(docs):
     assert mixing.mix(docs([(1, None, None, None)])).count() in (0, 1, 2)
     plan = mixing.mix_counts(docs([(1, "a", "en", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian", plan)
+
+
+def test_cut_below_a_range_of_which_nothing_fits(spark, monkeypatch):
+    """The cut is the largest key below the range, however near the range's own keys are to it."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 1)
+    edge = -math.log(0.5)  # with two rows there are two ranges, and the second begins here
+    low = edge - 1e-14
+    rows = spark.createDataFrame([("a", 10, low), ("a", 1000, edge + 1e-14)], "source string, size long, key double")
+    (plan,) = mixing.plan_mix(rows, share=0.02, most=2, weights=(1,)).collect()
+    assert 0 < plan.target - plan.epochs * plan.source_size < 510 and plan.cut == low
