@@ -19,8 +19,20 @@ from llm.common import fresh, staged
 
 #: Shortest and longest chunk in characters; the last chunk of a text may be shorter.
 SHORTEST, LONGEST = 512, 8192
-#: A cut falls behind two neighbours of this class: Latin characters whose code is 3 modulo 8.
-CUT_CLASS = "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x23, 0x180) if c % 8 == 3) + "]"
+#: Where the letters of other scripts begin and how many there are: Latin beyond the first 256 characters, Greek, Cyrillic,
+#: Hebrew, Arabic, Devanagari, Thai, the two kana, Chinese characters (from the middle on, the common ones come first) and Hangul.
+LETTERS = (
+    (0x100, 0x80), (0x3B1, 0x19), (0x430, 0x20), (0x5D0, 0x1B), (0x627, 0x24), (0x905, 0x35), (0xE01, 0x2E),
+    (0x3041, 0x56), (0x30A1, 0x5A), (0x8140, 0x5200), (0xAC00, 0x2BA4),
+)
+#: A cut falls behind two neighbours of this class: of the first 256 characters those whose code is 3 modulo 8, and the
+#: first eighth of each other script's letters.
+CUT_CLASS = (
+    "["
+    + "".join(f"\\x{{{c:x}}}" for c in range(0x23, 0x100) if c % 8 == 3)
+    + "".join(f"\\x{{{a:x}}}-\\x{{{a + n // 8:x}}}" for a, n in LETTERS)
+    + "]"
+)
 WHITE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import docs  # noqa: F401
@@ -61,6 +62,16 @@ def test_chunks_join_to_the_text_and_follow_content(docs):
     assert len(set(one) & set(two)) > len(one) / 2
 
 
+@pytest.mark.parametrize("letters", ["оеаинтсрвлкмдпуябзг", "αβγδεηικλμνοπρσςτυω", "".join(map(chr, range(0x4E00, 0x9FA0, 97))), "ابتدرسعفقكلمنهوي", "가나다라마바사아자하한국어이다"])
+def test_cuts_follow_content_in_other_scripts(docs, letters):
+    rng = random.Random(7)
+    body = "".join(rng.choice(letters) for _ in range(60_000))
+    df = docs([(1, body), (2, letters[:3] * 5 + body)]).select("doc_id", ed.chunks(ed.normalised(F.col("text"))).alias("c"))
+    one, two = [r.c for r in df.orderBy("doc_id").collect()]
+    assert "".join(one) == body and len(one) > 20
+    assert len(set(one) & set(two)) > len(one) / 2
+
+
 def test_chunks_with_one_identifier_are_told_apart(spark, docs, monkeypatch):
     """With an identifier that says nothing, digests still keep different texts apart."""
     monkeypatch.setattr(ed.F, "xxhash64", lambda *c: F.lit(5).cast("long"))
