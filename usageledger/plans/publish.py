@@ -38,8 +38,8 @@ def publish_swap(df: DataFrame, name: str, folder: str, keep: int = 1) -> DataFr
 
     The last ``keep`` versions before this one stay, for queries that began before;
     older ones that this name has shown are deleted, and nothing else is. Of several
-    publishers at once the last one wins. A plain table under the name becomes the
-    first version.
+    publishers at once the last one wins; the versions of the others stay until somebody
+    drops them. A plain table under the name becomes the first version.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
