@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import ship
+from llm.common import lean, ship
 
 #: Fixed value: how byte-level vocabularies of this family split a text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,7 +36,7 @@ NONE = np.int64(2**62)
 LONG = 254
 #: Pieces remembered by a worker, in each of two generations.
 REMEMBERED = 250_000
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 128
 
 
 def byte_alphabet() -> list[str]:
@@ -350,4 +350,4 @@ def encode_documents(
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return narrow.mapInArrow(tokens, schema + (", input_ids binary" if packed else ""))
+    return narrow.mapInArrow(lean(tokens), schema + (", input_ids binary" if packed else ""))

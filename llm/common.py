@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import os
 import tempfile
 import zipfile
 from collections import defaultdict
-from collections.abc import Hashable, Iterable, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 import usageledger
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ __all__ = [
     "documents",
     "fresh",
     "id_text",
+    "lean",
     "pages",
     "shared_dir",
     "ship",
@@ -39,9 +42,20 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _shipped: set[str] = set()
 
+#: Bytes of rows that a task hands to Python at once, where the session has Spark's own bound.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package and the library to the executors' Python, once per application."""
+    """Sends this package and the library to the executors' Python, once per application.
+
+    Whole texts travel to Python, and a batch of them is held several times outside of
+    an executor's heap. So the session's batches are bounded, unless it has a bound of
+    its own; that changes no result.
+    """
+    if spark.conf.get(BATCH, None) == f"{64 << 20}b":
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -56,6 +70,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task that gives the memory it no longer needs back at its end; Python workers live on and hold it otherwise."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 

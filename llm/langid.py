@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import fresh, id_text, ship, staged, uniform, within
+from llm.common import fresh, id_text, lean, ship, staged, uniform, within
 
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
@@ -238,7 +238,7 @@ def identify(
     kept = docs.select(*[F.col(f"`{c}`") for c in keep])
     narrow = kept if text in keep else docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(read))
     found_fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
-    return narrow.mapInArrow(task, T.StructType([*kept.schema.fields, *found_fields]))
+    return narrow.mapInArrow(lean(task), T.StructType([*kept.schema.fields, *found_fields]))
 
 
 def with_known_language(docs: DataFrame, least: float = 0.0, s: Settings = Settings()) -> DataFrame:

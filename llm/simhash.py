@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import fresh, ship, staged
+from llm.common import fresh, lean, ship, staged
 from llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -43,7 +43,7 @@ BLOCK = 4096
 #: Distinct fingerprints from which on comparing under short keys costs more than making three times as many long ones.
 WIDE_FROM = 1 << 28
 #: Pairs a task holds before it reduces them to a forest.
-HELD = 1 << 20
+HELD = 1 << 18
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", words_eac
 
     narrow = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text))
     schema = narrow.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("fp")).schema
-    return narrow.mapInArrow(mark, schema)
+    return narrow.mapInArrow(lean(mark), schema)
 
 
 # ------------------------------------------------------------------ Golay keys
@@ -328,9 +328,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK, wide: bo
                 key, row = keys(some.view(np.uint64), wide)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(some[row])], names=["key", "fp"])
 
-    keyed = fps.select("fp").mapInArrow(explode, "key long, fp long")
+    keyed = fps.select("fp").mapInArrow(lean(explode), "key long, fp long")
     dealt = keyed.repartition("key").sortWithinPartitions("key")
-    found = staged(dealt.mapInArrow(_compare_sorted(distance, block), "part long, a long, b long"), "close-pairs")
+    found = staged(dealt.mapInArrow(lean(_compare_sorted(distance, block)), "part long, a long, b long"), "close-pairs")
     edges = found.filter("part < 0").select("a", "b")
     large = found.filter("part >= 0").select(F.col("a").alias("key"), "part", F.col("b").alias("fp"))
     if large.isEmpty():
@@ -341,7 +341,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK, wide: bo
     side = (F.col("part") > F.col("other")).cast("long").alias("side")
     both = both.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), side, "fp")
     blocks = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = blocks.mapInArrow(_compare_blocks(distance), "part long, a long, b long")
+    more = blocks.mapInArrow(lean(_compare_blocks(distance)), "part long, a long, b long")
     return edges.unionByName(more.select("a", "b"))
 
 
