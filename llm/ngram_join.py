@@ -413,11 +413,11 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def links(sets: DataFrame, members: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): numbers of sets, linked ones, that connect just what links connect.
+def meetings(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(num, grp, slot, kind): where every set is needed, as a member (0) or a query (1); stored.
 
-    ``sets`` has (num, tokens) of all sets in ``members`` (num, grp) and in
-    ``pairs`` (num, grp), query sets with groups that they meet.
+    ``members`` and ``pairs`` have (num, grp). A group that very many queries meet
+    has several slots, each with its members.
     """
     slots = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(SLOT)).alias("slots"))
     slots = staged(slots.filter("slots > 1"), "slots")
@@ -425,9 +425,17 @@ def links(sets: DataFrame, members: DataFrame, pairs: DataFrame, percent: int =
     each = F.explode(F.sequence(F.lit(0).cast("long"), one - 1)).alias("slot")
     mine = members.join(slots, "grp", "left").select("num", "grp", each, F.lit(0).alias("kind"))
     asked = pairs.join(slots, "grp", "left").select("num", "grp", F.pmod(F.xxhash64("num"), one).alias("slot"), F.lit(1).alias("kind"))
-    meet = staged(mine.unionByName(asked), "meetings").join(sets, "num").select("grp", "slot", "kind", "num", "tokens")
-    dealt = meet.repartition("grp", "slot").sortWithinPartitions("grp", "slot", "kind", "num")
-    return staged(dealt.mapInArrow(_open(percent), "a long, b long"), "links")
+    return staged(mine.unionByName(asked), "meetings")
+
+
+def links(meet: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): numbers of sets, linked ones, that connect just what links connect.
+
+    ``meet`` has the rows of ``meetings`` with the tokens of their sets; a row may repeat.
+    """
+    dealt = meet.select("grp", "slot", "kind", "num", "tokens").repartition("grp", "slot")
+    opened = dealt.sortWithinPartitions("grp", "slot", "kind", "num").mapInArrow(_open(percent), "a long, b long")
+    return staged(opened, "links")
 
 
 # ------------------------------------------------------------------ whole join
@@ -462,14 +470,15 @@ def _arrays(docs: DataFrame, text: str, words_each: int, order: Order | None, pe
     return docs.select(F.col(text)).mapInArrow(task, schema)
 
 
-def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, ids: str, words_each: int, percent: int) -> DataFrame:
-    """(num, tokens) of the wanted (num, set_id, some_id): texts of documents with those ids, hashed once more."""
+def _with_tokens(docs: DataFrame, text: str, meet: DataFrame, ids: str, words_each: int, percent: int) -> DataFrame:
+    """``meet`` (num, set_id, some_id, ...) with the tokens of the sets: texts of documents with those ids, hashed once more.
+
+    A set that rows with the same id share may come several times.
+    """
     key = F.xxhash64(F.col(ids).isNull(), F.col(ids)).alias("key")
-    named = wanted.select(F.xxhash64(F.col("some_id").isNull(), F.col("some_id")).alias("key")).distinct()
+    named = meet.select(F.xxhash64(F.col("some_id").isNull(), F.col("some_id")).alias("key")).distinct()
     texts = docs.select(key, F.col(text).alias("text")).join(few(staged(named, "wanted-ids")), "key", "left_semi")
-    arrays = _arrays(texts, "text", words_each, None, percent)
-    found = arrays.join(wanted.select("num", "set_id"), "set_id")
-    return staged(found.groupBy("set_id", "num").agg(F.first("tokens").alias("tokens")).select("num", "tokens"), "opened-sets")
+    return _arrays(texts, "text", words_each, None, percent).join(meet.drop("some_id"), "set_id")
 
 
 def similar_groups(
@@ -508,11 +517,9 @@ def similar_groups(
     asked = pairs.select("grp").distinct()
     opened = numbered.join(asked.unionByName(grouped.select("grp")).distinct(), "grp", "left_semi").select("num", "grp")
     opened = staged(opened, "opened-members")
-    needed = staged(opened.select("num").unionByName(pairs.select("num")).distinct(), "needed-sets")
-    wanted = numbered.join(needed, "num", "left_semi").select("num", "set_id", F.col("smallest").alias("some_id"))
-    tokens = _sets_of(docs, text, staged(wanted, "wanted-sets"), id_col, words_each, percent)
-
-    roots = components(links(tokens, opened, pairs, percent))
+    known = numbered.select("num", "set_id", F.col("smallest").alias("some_id"))
+    meet = staged(meetings(opened, pairs).join(known, "num"), "meeting-sets")
+    roots = components(links(_with_tokens(docs, text, meet, id_col, words_each, percent), percent))
     rooted = numbered.join(roots.withColumnRenamed("node", "num"), "num", "left")
     rooted = staged(rooted.select("set_id", "smallest", F.coalesce("root", "num").alias("root")), "rooted-sets")
     least = staged(rooted.groupBy("root").agg(F.min("smallest").alias("component_id")), "set-components")
