@@ -246,3 +246,52 @@ def test_written_state_goes_below_the_cluster_folder(spark, monkeypatch):
             assert shared_dir(Cluster, "x").startswith(f"{base}x-")
     monkeypatch.undo()
     assert session._scheme(spark, "file:/tmp") == session._scheme(spark, "/tmp") == "file"
+
+
+class Far:
+    """A session whose master says that it is a cluster's."""
+
+    def __init__(self, spark, base):
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.checkpoint.dir": base}.get(key, default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            applicationId = spark.sparkContext.applicationId
+            defaultParallelism = 3
+
+        self.conf, self.sparkContext, self._spark = conf, sparkContext, spark
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+def test_a_mounted_folder_is_found_to_be_one(spark, tmp_path, monkeypatch):
+    tried = []
+    monkeypatch.setattr(session, "remove", lambda spark, path, gone=session.remove: (tried.append(path), gone(spark, path)))
+    base = f"file://{tmp_path}/shared"
+    for _ in range(3):
+        assert shared_dir(Far(spark, base), "x").startswith(f"{base}/x-")
+    assert len(tried) == 1 and list((tmp_path / "shared").iterdir()) == []
+    assert shared_dir(Far(spark, str(tmp_path)), "x").startswith(f"{tmp_path}/x-")
+
+
+def test_a_folder_that_rows_do_not_come_back_from_is_refused(spark, tmp_path):
+    class Lossy(Far):
+        """The driver finds the files of one executor only."""
+
+        @property
+        def read(self):
+            class Reader:
+                schema = staticmethod(lambda schema: Reader)
+                parquet = staticmethod(lambda path: self._spark.read.parquet(path).filter("id % 3 = 0"))
+
+            return Reader
+
+    with pytest.raises(RuntimeError, match="its own of: 6 of 16 rows"):
+        shared_dir(Lossy(spark, f"file://{tmp_path}/lossy"), "x")
+    (tmp_path / "taken").write_text("a file")
+    with pytest.raises(RuntimeError, match="its own"):
+        shared_dir(Far(spark, f"file://{tmp_path}/taken"), "x")

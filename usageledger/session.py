@@ -36,9 +36,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with its machine. So a folder of the machines'
-    own file systems is refused there, with a scheme or without, unless
-    ``spark.usageledger.mounted`` says that it is one mounted on all of them.
+    machine-local path would be lost with its machine. A path of the machines' file
+    systems, with a scheme or without, may be a folder mounted on all of them. So it is
+    tried before it is first used there, unless ``spark.usageledger.mounted`` says that
+    it is one, and refused when what tasks write isn't all there to be read.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -47,10 +48,32 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = _local_base()
     elif not spark.sparkContext.master.startswith("local") and spark.conf.get("spark.usageledger.mounted", "false") != "true":
         if _scheme(spark, base) == "file":
-            raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine of a cluster has its own of")
+            _require_mounted(spark, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: (application, folder) of the folders that were found to be mounted on all machines.
+_mounted: set[tuple[str, str]] = set()
+
+
+def _require_mounted(spark: SparkSession, base: str) -> None:
+    """Refuse a folder unless the rows that tasks on the executors there are write into it are all read back."""
+    try:
+        tried = (spark.sparkContext.applicationId, base)
+        if tried in _mounted:
+            return
+        path = f"{base.rstrip('/')}/mounted-{uuid.uuid4().hex}"
+        tasks = max(16, spark.sparkContext.defaultParallelism)
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        found = spark.read.schema("id bigint").parquet(path).distinct().count()
+        remove(spark, path)
+    except Exception as e:
+        raise RuntimeError(f"spark.checkpoint.dir is {base}, which can't be used, as when each machine of a cluster has its own: {e}") from e
+    if found != tasks:
+        raise RuntimeError(f"spark.checkpoint.dir is {base}, which each machine of a cluster has its own of: {found} of {tasks} rows were found again")
+    _mounted.add(tried)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """df written to the shared folder and read back: computed once, and kept when executors are lost."""
     path = shared_dir(df.sparkSession, purpose)
