@@ -184,3 +184,37 @@ def test_role_gate_and_membership(spark, ctx):
     assert access.role_gate(grants, ctx).count() == 2
     assert access.role_gate(grants, replace(ctx, roles=("R1",))).count() == 0
     assert rows(access.role_membership_scope(grants, ctx), "name") == [("a",)]
+
+
+def test_whole_words_are_in_every_match(spark):
+    """Words that a pattern has whole are words of every name it matches; through the index the same names are found."""
+    cases = {".*_P3_.*": ["P3"], "DB_1_.*": [], ".*_P3": ["P3"], ".*_P3+_x": ["x"], ".*_P3?_x_.*": ["x"], "a.*b_cd-e f": ["cd", "e", "f"], ".*_a|b_c_": [], "(?i).*_ab_": [], ".*_(a|b)_c_": ["c"], r".*_a\_b_c_": ["c"]}
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.s for r in df.select("p", access.required_words(F.col("p")).alias("s")).collect()} == cases
+    rng = random.Random(7)
+    parts = ["_ab_", "_b", "_", "a", "b_", "_a?", "_b+_", "(_a)?", ".", ".*", "[ab]_", r"\w", "(_b_)+", "-", "_{2}"]
+    patterns = ["".join(rng.choices(parts, k=rng.randrange(1, 7))) for _ in range(250)]
+    names = ["".join(rng.choices("ab_-", weights=[4, 4, 6, 1], k=rng.randrange(0, 10))) for _ in range(400)]
+    p = spark.createDataFrame([(x,) for x in set(patterns)], "p string").withColumn("need", access.required_words(F.col("p")))
+    met = p.join(spark.createDataFrame([(x,) for x in set(names)], "n string"), access.full_match_column(F.col("n"), F.col("p")))
+    assert met.filter(F.size("need") > 0).count() > 30
+    assert met.filter(F.size(F.array_except("need", F.regexp_extract_all("n", F.lit("[A-Za-z0-9]+"), F.lit(0)))) > 0).count() == 0
+    wanted = p.select(F.col("p").alias("database_pattern"), F.lit("w").alias("warehouse_pattern"))
+    data = spark.createDataFrame([(x,) for x in set(names)], "database_name string")
+    assert rows(access.scope_rows_single(data, wanted, "database_name", literal_characters=0)) == rows(met.select("n").distinct())
+
+
+@pytest.mark.parametrize("middle", ["_P{}_", "p{}q"])
+def test_pairs_to_try_grow_with_the_names(spark, middle):
+    """Of ten times the names and patterns there are about ten times the pairs, not a hundred times."""
+    before, behind = [F.lit(x) for x in middle.split("{}")]
+
+    def pairs(n):
+        inner = F.concat(before, (F.col("id") + n).cast("string"), behind)
+        names = spark.range(n).select(F.concat(F.lit("DEV"), inner, F.lit("WH")).alias("_subject"))
+        expression = F.concat(F.lit(".*"), inner, F.lit(".*"))
+        patterns = spark.range(0, n, 2).select(expression.alias("e"), expression.alias("first"))
+        return access.indexed_names(names, [], 4).join(access.indexed_patterns(patterns, names, 4), ["_key", "_slot"]).count()
+
+    few, many = pairs(1000), pairs(10_000)
+    assert few >= 500 and many <= 12 * few and many <= 5 * 10_000

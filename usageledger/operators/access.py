@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.functions.patterns import alternations, full_match, full_match_column, is_plain
+from usageledger.operators.skew import hot_rows_of
+from usageledger.session import staged
 
 #: Patterns of up to so many characters in all become literals of the plan; more are read by the tasks.
 LITERAL_CHARACTERS = 20_000
@@ -135,17 +137,14 @@ def _literal_start(pattern: Column) -> Column:
     return F.when(F.contains(pattern, F.lit("|")), "").otherwise(F.left(start, F.greatest(optional, F.lit(0))))
 
 
-#: Length of the pieces of text that names and patterns are indexed by.
+#: Length of the shortest pieces of text that names and patterns are indexed by.
 PIECE = 3
+#: Lengths of pieces. A pattern has those of the greatest length that its longest run holds: the longer, the fewer names share one.
+PIECES = (3, 4, 6, 8, 12, 16, 24, 32)
 
 
-def required_pieces(pattern: Column) -> Column:
-    """Distinct trigrams that every text the pattern matches contains.
-
-    They come from runs of plain characters outside of groups and classes. What may be
-    missing, or read otherwise, counts for nothing: characters under a quantifier,
-    alternatives, escapes; a pattern with flags or quotes has no trigrams at all.
-    """
+def _plain_text(pattern: Column) -> Column:
+    """The pattern with a gap for all that isn't there in every match as it is written; empty where that can't be told."""
     gap = "\x00"
     odd = F.regexp_like(pattern, F.lit(r"\(\?[^:]|\\[QE]|\[[^\]]*\[|\[\^?\]"))
     plain = F.regexp_replace(pattern, r"(?s)\\.", gap)
@@ -154,70 +153,177 @@ def required_pieces(pattern: Column) -> Column:
     plain = F.regexp_replace(plain, r"[^()](?:[?*]|\{[^}]*\})", gap)
     for _ in range(4):  # groups in groups, the inner ones first
         plain = F.regexp_replace(plain, r"\([^()]*\)(?:[?*]|\{[^}]*\})?", gap)
-    plain = F.when(odd | F.regexp_like(plain, F.lit(r"[|()\[\]]")), "").otherwise(plain)
-    runs = F.filter(F.split(plain, r"[^\w \-]+"), lambda r: F.length(r) >= PIECE)
-    return F.array_distinct(F.flatten(F.transform(runs, pieces)))
+    return F.when(odd | F.regexp_like(plain, F.lit(r"[|()\[\]]")), "").otherwise(plain)
+
+
+def _runs(plain: Column) -> Column:
+    return F.split(plain, r"[^\w \-]+")
+
+
+def _pieces_of(plain: Column, size: Column | int) -> Column:
+    return F.array_distinct(F.flatten(F.transform(_runs(plain), lambda r: pieces(r, size))))
+
+
+def required_pieces(pattern: Column, size: int = PIECE) -> Column:
+    """Distinct pieces, trigrams if not told otherwise, that every text the pattern matches contains.
+
+    They come from runs of plain characters outside of groups and classes. What may be
+    missing, or read otherwise, counts for nothing: characters under a quantifier,
+    alternatives, escapes; a pattern with flags or quotes has no pieces at all.
+    """
+    return _pieces_of(_plain_text(pattern), size)
+
+
+def _piece_size(plain: Column) -> Column:
+    """The greatest of PIECES that the longest run holds; missing when none does."""
+    longest = F.array_max(F.transform(_runs(plain), F.length))
+    return F.array_max(F.filter(F.array(*map(F.lit, PIECES)), lambda n: n <= longest))
+
+
+def pieces(text: Column, size: Column | int = PIECE) -> Column:
+    """The pieces of a text, trigrams if not told otherwise, as often as they occur."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda k: F.substring(text, k, size))
+
+
+#: The words of a name.
+_WORD = "[A-Za-z0-9]+"
+
 
+def _whole_words(plain: Column, start: Column) -> Column:
+    behind = F.substring(plain, start + 1, F.length(plain))
+    return F.array_distinct(F.regexp_extract_all(behind, F.lit(rf"(?<=[_ \-]){_WORD}(?=[_ \-]|\z)"), F.lit(0)))
 
-def pieces(text: Column) -> Column:
-    """The trigrams of a text, as often as they occur."""
-    starts = F.when(F.length(text) >= PIECE, F.sequence(F.lit(1), F.length(text) - (PIECE - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda k: F.substring(text, k, F.lit(PIECE)))
 
+def required_words(pattern: Column) -> Column:
+    """Distinct whole words, behind its literal start, that every text the pattern matches has: others end them on both sides."""
+    return _whole_words(_plain_text(pattern), F.length(_literal_start(pattern)))
 
-#: How a pattern finds its names: by its start, by a trigram, or among all of them.
-_START, _PIECE, _ALL = "s", "t", ""
 
+#: How a pattern finds its names: by its start, by a word, by a piece, or among all of them.
+_START, _A_WORD, _PIECE, _ALL = "s", "w", "t", ""
 
-def indexed_patterns(patterns: DataFrame, names: DataFrame, slots: int) -> DataFrame:
+
+@dataclass(frozen=True)
+class Kinds:
+    """Which keys patterns ask for; names need no others: lengths of starts and of pieces, words, and the key of all names."""
+
+    starts: tuple[int, ...] = ()
+    pieces: tuple[int, ...] = PIECES
+    words: bool = True
+    every: bool = True
+
+
+def pattern_keys(patterns: DataFrame) -> DataFrame:
+    """(e, _keys, _start, _size): the keys of an expression, each of them a key of every name it matches.
+
+    ``patterns`` has e and first, the pattern that the keys are taken from: its literal
+    start and the words behind it, without both its pieces, without these the key of
+    all names. _start is the length of the start, _size that of the pieces.
+    """
+    found = patterns.select("e", _literal_start(F.col("first")).alias("_s"), _plain_text(F.col("first")).alias("_plain"))
+    found = found.select("e", "_s", "_plain", _whole_words(F.col("_plain"), F.length("_s")).alias("_w"), _piece_size(F.col("_plain")).alias("_size"))
+    shown = F.concat(
+        F.when(F.col("_s") != "", F.array(F.concat(F.lit(_START), "_s"))).otherwise(F.array().cast("array<string>")),
+        F.transform("_w", lambda w: F.concat(F.lit(_A_WORD), w)),
+    )
+    inner = F.transform(_pieces_of(F.col("_plain"), F.col("_size")), lambda t: F.concat(F.lit(_PIECE), t))
+    bare = F.when(F.size(shown) > 0, shown).when(F.col("_size").isNotNull(), inner).otherwise(F.array(F.lit(_ALL)))
+    return found.select("e", bare.alias("_keys"), F.length("_s").alias("_start"), F.when(F.size(shown) == 0, F.col("_size")).alias("_size"))
+
+
+def _kinds(keys: DataFrame) -> Kinds:
+    of = lambda kind: F.exists("_keys", lambda k: F.left(k, F.lit(1)) == kind)
+    sets = [F.collect_set(F.when(F.col("_start") > 0, F.col("_start"))), F.collect_set("_size")]  # no more than a name is long
+    starts, sizes, words, every = keys.agg(*sets, F.bool_or(of(_A_WORD)), F.bool_or(of(_ALL))).first()
+    return Kinds(tuple(sorted(starts)), tuple(sorted(sizes)), bool(words), bool(every))
+
+
+def _name_keys(subject: Column, kinds: Kinds) -> Column:
+    """Every key under which patterns may find a name."""
+    starts = F.filter(F.array(*[F.lit(n) for n in kinds.starts]).cast("array<int>"), lambda n: n <= F.length(subject))
+    keys = [F.transform(starts, lambda n: F.concat(F.lit(_START), F.left(subject, n)))]
+    if kinds.words:
+        keys.append(F.transform(F.regexp_extract_all(subject, F.lit(_WORD), F.lit(0)), lambda w: F.concat(F.lit(_A_WORD), w)))
+    keys += [F.transform(pieces(subject, n), lambda t: F.concat(F.lit(_PIECE), t)) for n in kinds.pieces]
+    if kinds.every:
+        keys.append(F.array(F.lit(_ALL)))
+    return F.array_distinct(F.concat(*keys))
+
+
+def _listed(patterns: DataFrame, names: DataFrame, slots: int, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame, Kinds]:
+    """(e, _key, _slot) as in indexed_patterns; (_key, _fan), the names' keys of many rows, with their slots; the kinds of keys.
+
+    The names' keys are counted once. Kept of the counts are those of keys that patterns
+    have and of keys of many names, which are few.
+    """
+    keys = staged(pattern_keys(patterns), "pattern-keys")
+    kinds = _kinds(keys)
+    hot_rows = hot_rows or hot_rows_of(names)
+    each = keys.select("e", F.explode("_keys").alias("_key"))
+    asked = each.select("_key").distinct().withColumn("_asked", F.lit(True))
+    counts = names.select(F.explode(_name_keys(F.col("_subject"), kinds)).alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(asked, "_key", "left").filter(F.col("_asked") | (F.col("n") > hot_rows))
+    counts = staged(counts, "name-keys")
+    rarest = each.join(counts.select("_key", "n"), "_key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = staged(rarest.groupBy("e").agg(F.min_by("_key", F.struct("n", "_key")).alias("_key")), "rarest-keys")
+    # names that are many under a key which no pattern has chosen need no slot at all
+    used = rarest.select("_key").distinct().withColumn("_used", F.lit(True))
+    many = counts.filter((F.col("n") > hot_rows) | (F.col("_key") == _ALL)).join(used, "_key", "left")
+    fan = F.greatest(F.ceil(F.col("n") / F.lit(hot_rows)).cast("int"), F.when(F.col("_key") == _ALL, slots))
+    hot = many.select("_key", F.when(F.col("_used"), fan).otherwise(0).alias("_fan"))
+    dealt = F.explode(F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1))
+    return rarest.join(F.broadcast(hot), "_key", "left").select("e", "_key", dealt.alias("_slot")), hot, kinds
+
+
+def indexed_patterns(patterns: DataFrame, names: DataFrame, slots: int, hot_rows: int | None = None) -> DataFrame:
     """(e, _key, _slot): expressions with the key under which they meet names.
 
-    ``patterns`` has e and first, the pattern whose start and trigrams count; ``names``
-    has _subject. A pattern has the key of its literal start, or else that of the
-    rarest of its trigrams among the names. Only a pattern with neither meets all names,
-    which are dealt out over slots.
+    ``patterns`` has e and first, the pattern whose keys count; ``names`` has _subject.
+    A pattern meets names under the rarest of its keys among the names. Only a pattern
+    without a start, words and pieces meets all names, which are dealt out over slots, as
+    are the names of a key with more than hot_rows names.
     """
-    each = patterns.withColumns({"_start": _literal_start(F.col("first")), "_pieces": required_pieces(F.col("first"))})
-    by_piece = each.filter((F.col("_start") == "") & (F.size("_pieces") > 0)).select("e", F.explode("_pieces").alias("_piece"))
-    often = names.select(F.explode(F.array_distinct(pieces(F.col("_subject")))).alias("_piece")).groupBy("_piece").agg(F.count(F.lit(1)).alias("n"))
-    rarest = by_piece.join(often, "_piece", "left").groupBy("e").agg(F.min_by("_piece", F.struct(F.coalesce("n", F.lit(0)), "_piece")).alias("_piece"))
-    rarest = rarest.select("e", F.concat(F.lit(_PIECE), "_piece").alias("_key"), F.lit(0).alias("_slot"))
-    starts = each.filter(F.col("_start") != "").select("e", F.concat(F.lit(_START), "_start").alias("_key"), F.lit(0).alias("_slot"))
-    rest = each.filter((F.col("_start") == "") & (F.size("_pieces") == 0))
-    every = rest.select("e", F.lit(_ALL).alias("_key"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"))
-    return starts.unionByName(rarest).unionByName(every)
-
-
-def indexed_names(names: DataFrame, sizes: Sequence[int], slots: int) -> DataFrame:
-    """names with every key (_key, _slot) under which patterns may find them; ``sizes`` are the lengths of the patterns' starts."""
-    subject = F.col("_subject")
-    starts = F.transform(F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>"), lambda n: F.concat(F.lit(_START), F.left(subject, n)))
-    by_piece = F.transform(pieces(subject), lambda t: F.concat(F.lit(_PIECE), t))
-    keyed = names.withColumn("_key", F.explode(F.array_distinct(F.concat(starts, by_piece, F.array(F.lit(_ALL))))))
-    slot = F.when(F.col("_key") == _ALL, F.pmod(F.xxhash64("_subject"), F.lit(slots))).otherwise(0).cast("int")
-    return keyed.withColumn("_slot", slot)
+    return _listed(patterns, names, slots, hot_rows)[0]
+
+
+def indexed_names(names: DataFrame, sizes: Sequence[int], slots: int, kinds: Kinds | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """names with every key (_key, _slot) under which patterns may find them; ``sizes`` are the lengths of the patterns' starts.
+
+    Names of a key in ``hot`` are dealt out over its slots; if it has none, no pattern looks there.
+    """
+    kinds = replace(kinds or Kinds(), starts=tuple(sorted(sizes)))
+    keyed = names.withColumn("_key", F.explode(_name_keys(F.col("_subject"), kinds)))
+    if hot is None:
+        keyed = keyed.withColumn("_fan", F.when(F.col("_key") == _ALL, slots))
+    else:
+        keyed = keyed.join(F.broadcast(hot), "_key", "left").filter(F.coalesce("_fan", F.lit(1)) > 0)
+    slot = F.coalesce(F.pmod(F.xxhash64("_subject"), F.col("_fan")).cast("int"), F.lit(0))
+    return keyed.withColumn("_slot", slot).drop("_fan")
 
 
 def _scope_by_names(
     df: DataFrame, wanted: DataFrame, used: Sequence[str], subjects: Sequence[Sequence[str]], joined: bool
 ) -> DataFrame:
-    """The same rows, found through the distinct names: names meet patterns by an inverted list of starts and trigrams."""
+    """The same rows, found through the distinct names: names meet patterns by an inverted list of starts, words and pieces."""
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = [F.concat(F.lit("(?:"), F.col(p), F.lit(")")) for p in used]
     each = [(F.concat(*_between(grouped)), used[0])] if joined else [(F.col(p), p) for p in used]
     columns = list(dict.fromkeys(c for cs in subjects for c in cs))
     visible = None
     for (expression, first), own in zip(each, subjects):
-        patterns = wanted.select(expression.alias("e"), F.col(first).alias("first")).distinct()
-        lengths = patterns.select(F.length(_literal_start(F.col("first"))).alias("n")).filter("n > 0").distinct().collect()
-        sizes = [r["n"] for r in lengths]  # no more than a name is long
-        for subject in [_tested(own)] if joined else [F.col(c) for c in own]:
+        patterns = wanted.select(expression.alias("e"), F.col(first).alias("first")).filter(F.col("e").isNotNull()).distinct()
+        patterns = patterns.repartition(slots, "e")  # small rows, but dear to read: not in a few tasks
+        for subject, alone in [(_tested(own), None)] if joined else [(F.col(c), c) for c in own]:
             names = df.select(*columns).distinct().withColumn("_subject", subject).filter(F.col("_subject").isNotNull())
-            listed = indexed_patterns(patterns, names, slots)
+            names = names.drop(alone) if alone else names  # a column that is the subject is carried once
+            listed, hot, kinds = _listed(patterns, names, slots)
             matches = full_match_column(F.col("_subject"), F.col("e"))
             same = [F.col(f"n.{c}") == F.col(f"p.{c}") for c in ("_key", "_slot")]
-            met = indexed_names(names, sizes, slots).alias("n").join(listed.alias("p"), same[0] & same[1] & matches, "left_semi")
-            seen = met.select(*[F.col(c).alias(f"_seen_{c}") for c in columns])
+            keyed = indexed_names(names, kinds.starts, slots, kinds, hot)
+            met = keyed.alias("n").join(listed.alias("p"), same[0] & same[1] & matches, "left_semi")
+            seen = met.select(*[F.col("_subject" if c == alone else c).alias(f"_seen_{c}") for c in columns])
             visible = seen if visible is None else visible.unionByName(seen)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in columns])
     return df.join(visible.distinct(), same, "left_semi")
