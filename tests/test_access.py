@@ -218,3 +218,28 @@ def test_pairs_to_try_grow_with_the_names(spark, middle):
 
     few, many = pairs(1000), pairs(10_000)
     assert few >= 500 and many <= 12 * few and many <= 5 * 10_000
+
+
+def test_names_of_a_frequent_key_do_not_meet_in_one_task(spark):
+    """Names are listed under keys that patterns ask for; under a key of many names they are dealt out, or left out if nobody looks there."""
+    names = spark.range(2000).select(F.concat(F.lit("DB_"), F.col("id").cast("string")).alias("_subject"))
+    pattern = F.concat(F.lit("DB_"), F.col("id").cast("string"), F.lit("[0-3]?"))
+    patterns = spark.range(1, 2000, 3).select(pattern.alias("e"), pattern.alias("first"))
+    listed, hot, kinds = access._listed(patterns, names, 4, 100)
+    assert kinds == access.Kinds(starts=(4, 5, 6, 7), pieces=(), words=False, every=False)
+    keyed = access.indexed_names(names, kinds.starts, 4, kinds, hot)
+    assert keyed.groupBy("_subject").count().agg(F.max("count")).first()[0] <= 4
+    assert keyed.filter("_key = 'sDB_1'").count() == 1111
+    assert keyed.groupBy("_key", "_slot").count().agg(F.max("count")).first()[0] <= 200
+    met = keyed.join(listed, ["_key", "_slot"]).filter(access.full_match_column(F.col("_subject"), F.col("e")))
+    want = names.join(patterns, access.full_match_column(F.col("_subject"), F.col("e")), "left_semi")
+    assert rows(met.select("_subject").distinct()) == rows(want)
+    # nobody looks under the word that all names have, since another one is rarer
+    same = names.select(F.concat(F.lit("x_ALL_"), "_subject", F.lit("_")).alias("_subject"))
+    both = F.concat(F.lit(".*_ALL_DB_"), F.col("id").cast("string"), F.lit("_.*"))
+    listed, hot, kinds = access._listed(spark.range(5).select(both.alias("e"), both.alias("first")), same, 4, 100)
+    keyed = access.indexed_names(same, [], 4, kinds, hot)
+    assert keyed.filter("_key IN ('wALL', 'wDB', 'w')").count() == 0 and listed.count() == 5
+    # and a pattern with nothing to go by meets all names, in every slot
+    listed, hot, kinds = access._listed(spark.createDataFrame([("..", "..")], "e string, first string"), names, 4, 100)
+    assert kinds.every and sorted(r["_slot"] for r in listed.collect()) == list(range(20))
