@@ -1,11 +1,12 @@
 import random
+import re
 from dataclasses import replace
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from usageledger.operators import access
+from usageledger.operators import access, skew
 
 MAP = "account string, role string, warehouse string, database string"
 
@@ -243,3 +244,29 @@ def test_names_of_a_frequent_key_do_not_meet_in_one_task(spark):
     # and a pattern with nothing to go by meets all names, in every slot
     listed, hot, kinds = access._listed(spark.createDataFrame([("..", "..")], "e string, first string"), names, 4, 100)
     assert kinds.every and sorted(r["_slot"] for r in listed.collect()) == list(range(20))
+
+
+def test_a_task_holds_a_bounded_number_of_names_with_their_keys(spark, monkeypatch):
+    """Names become many rows, one for each of their keys: the tasks are as many as these need, whatever the session's number."""
+    names = spark.range(2000).select(F.concat(F.lit("DB_"), F.col("id").cast("string")).alias("database_name"))
+    wanted = names.filter("database_name LIKE '%7%'").select(F.concat("database_name", F.lit("[0-3]?")).alias("database_pattern"), F.lit("w").alias("warehouse_pattern"))
+    plans, staged = {}, access.staged
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(access, "staged", lambda df, purpose: (plans.update({purpose: plan_of(df)}), staged(df, purpose))[1])
+    monkeypatch.setattr(skew, "HOT_BYTES", 500 * 136)  # 500 rows of a name and a key
+    got = access.scope_rows_single(names, wanted, "database_name", literal_characters=0)
+    tasks = lambda by, plan: [int(n) for n in re.findall(rf"hashpartitioning\({by}, (\d+)\)", plan)]
+    assert min(tasks(r"_subject#\d+", plans["name-keys"]), default=0) >= 2000 * 4 / 500
+    joined = tasks(r"_key#\d+, _slot#\d+", plan_of(got))
+    assert len(joined) == 2 and min(joined) >= 2000 * 4 / 500
+    assert min(tasks(r"_subject#\d+", plan_of(got)), default=0) >= 2000 * 4 / 500
+    assert rows(got) == rows(names.join(wanted, access.full_match_column(F.col("database_name"), F.col("database_pattern")), "left_semi"))
+
+
+def test_no_names_or_no_patterns_for_the_join(spark, data, patterns):
+    many = {"literal_characters": 0}
+    assert access.scope_rows_single(data.limit(0), patterns, "database_name", **many).count() == 0
+    assert access.scope_rows_either(data.filter("id = 6"), patterns, **many).count() == 0
+    assert access.scope_rows_both(spark.createDataFrame([], data.schema), patterns, **many).count() == 0
+    empty = spark.createDataFrame([("", "")], patterns.schema).union(patterns)
+    assert [r[0] for r in rows(access.scope_rows_either(data, empty, **many), "id")] == [1, 2, 3, 4, 7]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from usageledger.context import REPORT_SERVICE_ROLE, ReportContext
 from usageledger.functions.patterns import alternations, full_match, full_match_column, is_plain
 from usageledger.operators.skew import hot_rows_of
-from usageledger.session import staged
+from usageledger.session import staged, staged_with
 
 #: Patterns of up to so many characters in all become literals of the plan; more are read by the tasks.
 LITERAL_CHARACTERS = 20_000
@@ -252,25 +252,58 @@ def _name_keys(subject: Column, kinds: Kinds) -> Column:
     return F.array_distinct(F.concat(*keys))
 
 
-def _listed(patterns: DataFrame, names: DataFrame, slots: int, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame, Kinds]:
+def _rows_each(names: DataFrame) -> int:
+    """How many rows of names with their keys a task may hold, by their schema."""
+    return hot_rows_of(names.withColumn("_key", F.lit("")))
+
+
+def _dealt_out(df: DataFrame, rows: int, each: int, *by: str) -> DataFrame:
+    """df with tasks of about ``each`` rows, where Spark's own choice, made by compressed bytes, may give them more."""
+    spark = df.sparkSession
+    tasks = -(-rows // each)
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *by) if tasks > least else df
+
+
+@dataclass(frozen=True)
+class Size:
+    """How many names there are, and how many characters they have in all."""
+
+    names: int
+    characters: int
+
+    def keys(self, kinds: Kinds) -> int:
+        """At most so many rows are the names with their keys."""
+        words = -(-(self.characters + self.names) // 2) if kinds.words else 0
+        return self.names * (len(kinds.starts) + kinds.every) + words + self.characters * len(kinds.pieces)
+
+
+def _listed(
+    patterns: DataFrame, names: DataFrame, slots: int, hot_rows: int | None = None, size: Size | None = None
+) -> tuple[DataFrame, DataFrame, Kinds]:
     """(e, _key, _slot) as in indexed_patterns; (_key, _fan), the names' keys of many rows, with their slots; the kinds of keys.
 
-    The names' keys are counted once. Kept of the counts are those of keys that patterns
-    have and of keys of many names, which are few.
+    The names' keys are counted once, by tasks of as many names as have keys that one
+    may hold, if the size of the names is given. Kept of the counts are those of keys
+    that patterns have and of keys of many names, which are few.
     """
     keys = staged(pattern_keys(patterns), "pattern-keys")
     kinds = _kinds(keys)
-    hot_rows = hot_rows or hot_rows_of(names)
+    hot_rows = hot_rows or _rows_each(names)
+    if size is not None:
+        names = _dealt_out(names, size.keys(kinds), _rows_each(names), "_subject")
     each = keys.select("e", F.explode("_keys").alias("_key"))
-    asked = each.select("_key").distinct().withColumn("_asked", F.lit(True))
-    counts = names.select(F.explode(_name_keys(F.col("_subject"), kinds)).alias("_key")).groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.join(asked, "_key", "left").filter(F.col("_asked") | (F.col("n") > hot_rows))
+    held = names.select(F.explode(_name_keys(F.col("_subject"), kinds)).alias("_key"), F.lit(1).alias("n"), F.lit(False).alias("_asked"))
+    counts = held.unionByName(each.select("_key", F.lit(0).alias("n"), F.lit(True).alias("_asked")))
+    counts = counts.groupBy("_key").agg(F.sum("n").alias("n"), F.bool_or("_asked").alias("_asked")).filter(F.col("_asked") | (F.col("n") > hot_rows))
     counts = staged(counts, "name-keys")
-    rarest = each.join(counts.select("_key", "n"), "_key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # as many as the patterns' keys: by the size of its file Spark would broadcast what takes many times that in memory
+    rarest = each.join(counts.select("_key", "n").hint("merge"), "_key")
     rarest = staged(rarest.groupBy("e").agg(F.min_by("_key", F.struct("n", "_key")).alias("_key")), "rarest-keys")
     # names that are many under a key which no pattern has chosen need no slot at all
-    used = rarest.select("_key").distinct().withColumn("_used", F.lit(True))
-    many = counts.filter((F.col("n") > hot_rows) | (F.col("_key") == _ALL)).join(used, "_key", "left")
+    many = counts.filter((F.col("n") > hot_rows) | (F.col("_key") == _ALL)).select("_key", "n")
+    used = rarest.join(F.broadcast(many), "_key", "left_semi").select("_key").distinct().withColumn("_used", F.lit(True))
+    many = many.join(F.broadcast(used), "_key", "left")
     fan = F.greatest(F.ceil(F.col("n") / F.lit(hot_rows)).cast("int"), F.when(F.col("_key") == _ALL, slots))
     hot = many.select("_key", F.when(F.col("_used"), fan).otherwise(0).alias("_fan"))
     dealt = F.explode(F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1))
@@ -318,10 +351,15 @@ def _scope_by_names(
         for subject, alone in [(_tested(own), None)] if joined else [(F.col(c), c) for c in own]:
             names = df.select(*columns).distinct().withColumn("_subject", subject).filter(F.col("_subject").isNotNull())
             names = names.drop(alone) if alone else names  # a column that is the subject is carried once
-            listed, hot, kinds = _listed(patterns, names, slots)
+            names, found = staged_with(names, "names", names=F.count(F.lit(1)), characters=F.coalesce(F.sum(F.length("_subject")), F.lit(0)))
+            size = Size(**found)
+            listed, hot, kinds = _listed(patterns, names, slots, size=size)
             matches = full_match_column(F.col("_subject"), F.col("e"))
             same = [F.col(f"n.{c}") == F.col(f"p.{c}") for c in ("_key", "_slot")]
-            keyed = indexed_names(names, kinds.starts, slots, kinds, hot)
+            rows, most = size.keys(kinds), _rows_each(names)
+            keyed = indexed_names(_dealt_out(names, rows, most, "_subject"), kinds.starts, slots, kinds, hot)
+            # the names' keys follow: a repartition of theirs would be moved behind the join
+            listed = _dealt_out(listed, rows, most, "_key", "_slot")
             met = keyed.alias("n").join(listed.alias("p"), same[0] & same[1] & matches, "left_semi")
             seen = met.select(*[F.col("_subject" if c == alone else c).alias(f"_seen_{c}") for c in columns])
             visible = seen if visible is None else visible.unionByName(seen)
