@@ -27,6 +27,7 @@ __all__ = [
     "pages",
     "shared_dir",
     "ship",
+    "small_table",
     "staged",
     "table",
     "uniform",
@@ -85,6 +86,15 @@ def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return run
 
 
+def small_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A table of the few rows that the driver holds.
+
+    It becomes part of the plan. A list of Python rows would be read through Python
+    workers with a daemon of their own, which executors hold beside those of the tasks.
+    """
+    return spark.createDataFrame(pa.table(columns))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 

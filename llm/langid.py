@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import fresh, id_text, lean, ship, staged, uniform, within
+from llm.common import fresh, id_text, lean, ship, small_table, staged, uniform, within
 
 LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
@@ -182,7 +182,8 @@ def training_sample(rows: DataFrame, s: Settings = Settings()) -> list[tuple[str
     if len(counts) > s.most_languages:
         held, sent = (b * s.slots * len(counts) / 1e9 for b in (16, 4))
         raise ValueError(f"{len(counts)} languages would take {held:.1f} GB of the driver and {sent:.1f} GB of every task; is lang a language?")
-    shares = spark.createDataFrame([(r["lang"], min(1.0, 1.2 * s.per_language / r["count"])) for r in counts], "lang string, share double")
+    part_read = [min(1.0, 1.2 * s.per_language / r["count"]) for r in counts]
+    shares = small_table(spark, lang=pa.array([r["lang"] for r in counts], pa.string()), share=pa.array(part_read, pa.float64()))
     u = uniform(F.col("doc_id"), F.md5(F.col("text").cast("binary")), salt="langid-sample")
     near = labelled.select("lang", "text", u.alias("u")).join(F.broadcast(shares), "lang").filter(F.col("u") < F.col("share"))
     one = near.groupBy("lang", "u").agg(F.min("text").alias("text"), (F.col("u") / F.min("share")).alias("rank"))
@@ -194,8 +195,13 @@ def training_sample(rows: DataFrame, s: Settings = Settings()) -> list[tuple[str
         if lang not in fits:
             fits.add(lang)
             sized[k] = lang, part
-    kept = [(some[k]["lang"], some[k]["u"], sized[k][1]) for k in within(sized, s.characters)]
-    chosen = spark.createDataFrame(kept, "lang string, u double, n int")
+    kept = within(sized, s.characters)
+    chosen = small_table(
+        spark,
+        lang=pa.array([some[k]["lang"] for k in kept], pa.string()),
+        u=pa.array([some[k]["u"] for k in kept], pa.float64()),
+        n=pa.array([sized[k][1] for k in kept], pa.int32()),
+    )
     read = near.join(F.broadcast(chosen), ["lang", "u"]).select("lang", "u", "rank", F.substr("text", F.lit(1), "n").alias("text"))
     return [(r["text"], r["lang"]) for r in read.orderBy("rank", "u", "lang").collect()]
 

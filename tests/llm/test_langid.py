@@ -4,12 +4,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import docs  # noqa: F401
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from llm import langid
-from llm.common import documents
+from llm.common import documents, small_table
 
 WORDS = {"en": "the and of house with water", "de": "und der die haus mit wässer", "fr": "le la et maison avec élève"}
 
@@ -205,3 +207,23 @@ def test_held_out_quality_of_the_whole_query(spark):
     assert len(found) > 200 and np.mean([r.lang_pred == lang[r.doc_id] for r in found]) > 0.97
     sure = [r for r in found if r.score > 0.9]
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in sure]) > 0.97
+
+
+def test_small_tables_start_no_python_workers(spark, folder, monkeypatch):
+    d = documents(spark, folder)
+    before = langid.training_sample(d)
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of the driver would be read through Python workers")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refuse)
+    assert before and langid.training_sample(d) == before
+
+
+def test_small_tables_keep_values_and_types(spark):
+    columns = {"lang": pa.array(["de", "", "中😀"], pa.string()), "u": pa.array([0.1, 5e-324, 1 - 2**-53]), "n": pa.array([1, 0, 2**31 - 1], pa.int32())}
+    got = small_table(spark, **columns)
+    assert got.dtypes == [("lang", "string"), ("u", "double"), ("n", "int")]
+    assert [tuple(r) for r in got.collect()] == list(zip(*[c.to_pylist() for c in columns.values()]))
+    empty = small_table(spark, lang=pa.array([], pa.string()))
+    assert empty.dtypes == [("lang", "string")] and empty.collect() == []
