@@ -55,6 +55,60 @@ def test_forgotten_pieces_are_learned_again():
         assert own.encode(text) == LIBRARY.encode(text).ids
 
 
+ODD = st.sampled_from("'srevltmdD  a1.\n\t\x85\x1c\u2028é日\u1c89\ua7cb")
+TEXTS = st.text(alphabet=st.one_of(ODD, st.characters(exclude_categories=["Cs"])), max_size=30)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.builds("{}<|endoftext|>{}".format, TEXTS, TEXTS)), max_size=6))
+def test_texts_together_are_cut_as_each_alone(texts):
+    newer = {c: "\u0378" for c in map(ord, "".join(texts)) if bpe.unicodedata.category(chr(c)) == "Cn"}
+    want = []
+    for t in texts:
+        parts = bpe.regex.split(r"(<\|endoftext\|>)", t)
+        cut = [
+            [p] if k % 2 else [p[m.start() : m.end()] for m in bpe.regex.finditer(bpe.SPLIT, p.translate(newer))]
+            for k, p in enumerate(parts)
+        ]
+        want.append([p.encode() for ps in cut for p in ps])
+    pieces, bounds = OWN.pieces(texts)
+    assert [pieces[a:b].to_pylist() for a, b in zip(bounds, bounds[1:])] == want
+    assert list(OWN.encode_many(texts)) == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_blocks_of_every_size_merge_as_single_pieces_do():
+    rng = random.Random(5)
+    sizes = [n for n in [*range(1, 20), 31, 32, 33, 63, 64, 65, 128, 129, 253, 254, 255, 256, 257] for _ in range(bpe.FEW)]
+    pieces = ["".join(rng.choice("aeinorst h") for _ in range(n)).encode() for n in sizes]
+    assert OWN.merge_many(pieces) == [OWN.merge(p) for p in pieces]
+
+
+def test_ids_and_texts_between_bounds():
+    texts = ["", "one two", "", "é<|endoftext|>é", ""]
+    ids, bounds = OWN.encode_all(texts)
+    each = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert each == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [bytes(n).decode() for n in OWN.names(ids, bounds)] == [",".join(map(str, e)) for e in each]
+    assert list(OWN.decode_all(ids, bounds)) == texts
+    half = OWN.encode("日本")[:1]
+    assert OWN.decode(half) == LIBRARY.decode(half, skip_special_tokens=False)
+
+
+def test_python_looks_at_different_pieces_once_not_at_every_piece(monkeypatch):
+    own = bpe.Bpe(open(VOCABULARY, encoding="utf-8").read())
+    asked = []
+    learned = own._learned
+    monkeypatch.setattr(own, "_learned", lambda wanted: asked.append(len(wanted)) or learned(wanted))
+    texts = [" same words again" * 50] * 100
+    assert [i for ids in own.encode_many(texts) for i in ids] == LIBRARY.encode(texts[0], add_special_tokens=False).ids * 100
+    assert asked == [3]
+
+
+def test_texts_are_taken_together_up_to_a_limit():
+    assert list(bpe.together([], 5)) == []
+    assert list(bpe.together([0, 0, 9, 2, 3, 1], 5)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+
+
 def check(rows, got, packed=False):
     assert len(rows) == len(got)
     want = sorted(
